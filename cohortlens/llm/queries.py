@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +20,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"), F.size("paths").cast("bigint").alias("n_paths"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(_read(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup}
+    return {"op1_substring_dedup": op1_substring_dedup, "op9_suffix_dedup": op9_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
