@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .near_dedup import near_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -25,8 +26,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"), shingle=2, part=80, whole=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op9_suffix_dedup": op9_suffix_dedup}
+    return {"op1_substring_dedup": op1_substring_dedup, "op9_suffix_dedup": op9_suffix_dedup, "op10_near_dedup": op10_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
