@@ -7,9 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import approximate_topk
+from .exact_topk import exact_topk
 from .near_dedup import near_duplicates
+from .packing import pack_sequences
+from .shared import new_folder
+from .source_mixing import mix_sources
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .token_output import write_training_order
+from .toxicity import toxicity_scores
+from .url_filter import url_verdicts
+
+#: Rules of the URL filter: verdict, host, path.
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+#: Target weights in blocks a cycle; sources that aren't named share OTHER.
+WEIGHTS = {f"src{i}": 24 if i == 0 else 4 for i in range(20)}
+OTHER = 4
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,9 +45,132 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), shingle=2, part=80, whole=100)
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"), RULES)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_sequences(_read(spark, sf_dir, "documents"), tokenizer(), size=4096, end_id=2)
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_training_order(_read(spark, sf_dir, "documents"), new_folder(spark, "shards"), tokenizer(), length=1024)
+
+
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return approximate_topk(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(_read(spark, sf_dir, "documents").select("doc_id", "source"), WEIGHTS, other=OTHER, block=64)
+    return out.select("doc_id", "source", *(F.col(f"_{c}").cast("bigint").alias(c) for c in ("nth", "block", "slot", "release", "due")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op9_suffix_dedup": op9_suffix_dedup, "op10_near_dedup": op10_near_dedup}
+    named = [op1_substring_dedup, op2_url_filter, op3_packing, op4_token_output, op5_learned_partitions, op6_exact_topk, op7_source_mixing, op8_toxicity, op9_suffix_dedup, op10_near_dedup]
+    return {f.__name__: f for f in named}
+
+
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+_HOSTS = """
+WITH RECURSIVE u AS (
+  SELECT page_id, strpos(url, '://') > 0 AS ok, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+), p AS (
+  SELECT page_id, CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN ok THEN substr(regexp_extract(rest, '^[^?#]*'), length(regexp_extract(rest, '^[^/?#]*')) + 1) ELSE '' END AS path FROM u
+), l AS (
+  SELECT doc_id AS page_id, max(CASE WHEN coalesce(quality, toxic) IS NOT NULL THEN CAST(coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS INTEGER) END) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
+), h0 AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.')[-1] AS suffix,
+    CASE WHEN len(string_split(host, '.')) > 1 THEN string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] ELSE host END AS domain
+  FROM p LEFT JOIN l USING (page_id) GROUP BY host
+), d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h0 GROUP BY ALL
+), s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d0 GROUP BY ALL
+), s1 AS (SELECT s0.*, (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM s0) AS prior FROM s0
+)"""
+
+
+def _level(name: str, rows: str) -> str:
+    """The level's posterior rate from its rows (n, bad, prior): strength by the method of moments."""
+    return f""", {name}k AS (
+  SELECT coalesce(least(1000.0, greatest(2.0, any_value(r) * (1 - any_value(r)) / greatest(any_value(v) - any_value(w), 1e-6) - 1)), 2.0) AS k FROM (
+    SELECT sum(bad) / sum(n) AS r, sum(n * pow(bad / n - prior, 2)) / sum(n) AS v, sum(prior * (1 - prior)) / sum(n) AS w FROM {rows} WHERE n > 0)
+), {name} AS (
+  SELECT x.*, bad + k * prior AS alpha, n - bad + k * (1 - prior) AS beta FROM {rows} x, {name}k
+)"""
+
+
+def _rule(verdict: str, host: str, path: str, value: str) -> str:
+    return f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{value}'"
+
+
+_BY_LENGTH = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+OP2 = (
+    _HOSTS
+    + _level("s2", "s1")
+    + ", d1 AS (SELECT d0.*, alpha / (alpha + beta) AS prior FROM d0 JOIN s2 USING (suffix))"
+    + _level("d2", "d1")
+    + ", h1 AS (SELECT h0.*, alpha / (alpha + beta) AS prior FROM h0 JOIN d2 USING (domain))"
+    + _level("h2", "h1")
+    + f""", m AS (
+  SELECT host, alpha / (alpha + beta) AS rate, alpha + beta AS t FROM h2
+), b AS (SELECT host, rate, rate - 1.645 * sqrt(rate * (1 - rate) / (t + 1)) AS bound FROM m
+)
+SELECT page_id, host, path, CASE {' '.join(_rule(*r, r[1] + r[2]) for r in _BY_LENGTH)} END AS rule,
+  CASE {' '.join(_rule(*r, r[0]) for r in _BY_LENGTH)} WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+  round(rate, 6) AS bad_rate, round(bound, 6) AS bad_bound FROM p JOIN b USING (host)
+"""
+)
+
+_QUOTAS = [*WEIGHTS.values(), OTHER]
+OP7 = f"""
+WITH RECURSIVE w AS (SELECT {_QUOTAS} AS q, {sum(_QUOTAS)} AS cycle, {len(_QUOTAS)} AS n
+), st AS (
+  SELECT 0 AS t, list_transform(q, x -> 0) AS done, NULL::BIGINT AS pool FROM w
+  UNION ALL
+  SELECT t + 1, list_transform(range(0, n), i -> done[i + 1] + CASE WHEN i = pick THEN 1 ELSE 0 END), pick FROM (
+    SELECT t, done, q, n, cycle, list_min(list_transform(range(0, n), i -> CASE WHEN done[i + 1] < q[i + 1] AND done[i + 1] * cycle // q[i + 1] <= t
+      THEN ((done[i + 1] + 1) * cycle + q[i + 1] - 1) // q[i + 1] * n + i END)) % n AS pick FROM st, w WHERE t < cycle)
+), plan AS (SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY t) - 1 AS turn, t - 1 AS at FROM st WHERE t > 0
+), d AS (
+  SELECT doc_id, source, coalesce(list_position({list(WEIGHTS)}, source) - 1, {len(WEIGHTS)}) AS pool FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS nth FROM d
+), b AS (SELECT r.*, nth // 64 AS block, q[pool + 1] AS quota, cycle FROM r, w
+)
+SELECT doc_id, source, nth, block, CAST(block // quota * cycle + at AS BIGINT) AS slot,
+  CAST(block * cycle // quota AS BIGINT) AS release, CAST(((block + 1) * cycle + quota - 1) // quota AS BIGINT) AS due
+FROM b JOIN plan ON plan.pool = b.pool AND plan.turn = block % quota
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": OP2, "op6_exact_topk": OP6, "op7_source_mixing": OP7}

@@ -16,20 +16,22 @@ boundaries. A passage that a third of all documents share is reduced to its dist
 
 Defined results: null text is empty. Documents under `length` bytes keep everything. A document that occurs twice, even
 as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
-and text), so each row is judged by its own text. Further columns are not read. Removal may cut a character in two, so
-`kept` is binary.
+and text), so each row is judged by its own text. Further columns are read only if they are named in `carry`. Removal may
+cut a character in two, so `kept` is binary; as text (`decode`) it leaves out what remains of such a character.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textnp as t
 
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, kept binary, spans array<struct<start:bigint,length:bigint>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
@@ -148,12 +150,16 @@ def _neighbours():
     return run
 
 
-def _removal(length):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary()), ("spans", _SPANS)])
+def _removal(length, decode, carry):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string() if decode else pa.binary()), ("spans", _SPANS)])
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return schema.empty_table()
+        out = judged(docs, marks) if docs.num_rows else schema.empty_table()
+        for name in carry:
+            out = out.append_column(name, docs.column(f"carried_{name}"))
+        return out
+
+    def judged(docs: pa.Table, marks: pa.Table) -> pa.Table:
         uid, low, more, kind = _spans_of(marks) if marks.num_rows else [np.zeros(0, np.int64)] * 4
         names = np.unique(uid[kind >= _OPEN])
         shut = (kind & _CLOSED) > 0
@@ -168,15 +174,16 @@ def _removal(length):
             raw = (text or "").encode()
             a, b = np.searchsorted(owner, key), np.searchsorted(owner, key, "right")
             if a == b:
-                rows.append((doc_id, len(raw), 0, raw, []))
+                rows.append((doc_id, len(raw), 0, (text or "") if decode else raw, []))
                 continue
             change = np.zeros(len(raw) + 1, np.int32)
             np.add.at(change, start[a:b], 1)
             np.add.at(change, end[a:b], -1)
             gone = np.cumsum(change[:-1]) > 0
             edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
+            kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
             spans = [{"start": int(x), "length": int(y - x)} for x, y in edge.reshape(-1, 2)]
-            rows.append((doc_id, len(raw), int(gone.sum()), np.frombuffer(raw, np.uint8)[~gone].tobytes(), spans))
+            rows.append((doc_id, len(raw), int(gone.sum()), kept.decode(errors="ignore") if decode else kept, spans))
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
@@ -199,18 +206,23 @@ def sampled_splitters(rows: DataFrame, length: int, n: int) -> list[int]:
     return out
 
 
-def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192, decode: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Removes every byte covered by a `length`-byte string that also starts anywhere else, in any document.
 
-    Returns doc_id, n_bytes, n_removed, kept (the remaining bytes) and spans, the maximal removed runs.
+    Returns doc_id, n_bytes, n_removed, kept (the remaining bytes), spans (the maximal removed runs) and the columns in carry.
     """
     n = t.partitions(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    carried = [F.col(c).alias(f"carried_{c}") for c in carry]
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *carried)
     rows = rows.withColumn("uid", F.xxhash64("doc_id", "text"))
     anchors = rows.select("uid", "text").mapInArrow(_anchors(n, length, gram), "bucket int, key binary, digest binary, uid binary, low binary, more binary")
     marks = anchors.groupBy("bucket").applyInArrow(_classes(n), "block int, uid binary, low binary, more binary, kind binary")
-    blocks = rows.select(t.block_of(F.col("uid"), n).alias("block"), "uid", "doc_id", "text")
-    suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, sampled_splitters(rows, length, n)), "bucket int, lead binary, digest binary, doc binary, pos binary, block int")
+    blocks = rows.select(t.block_of(F.col("uid"), n).alias("block"), "uid", "doc_id", "text", *(f"carried_{c}" for c in carry))
+    suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, sampled_splitters(rows.select("text"), length, n)), "bucket int, lead binary, digest binary, doc binary, pos binary, block int")
     repeats = suffixes.groupBy("bucket").applyInArrow(_neighbours(), "block int, uid binary, low binary, more binary, kind binary, doc binary, pos binary")
     both = marks.withColumns({"doc": F.lit(b""), "pos": F.lit(b"")}).unionByName(repeats)
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length), RESULT)
+    fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed")]
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
+    fields += [T.StructField("kept", T.StringType() if decode else T.BinaryType()), T.StructField("spans", spans)]
+    fields += [T.StructField(c, docs.schema[c].dataType) for c in carry]
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, decode, list(carry)), T.StructType(fields))
