@@ -128,7 +128,7 @@ def _rerank(dim: int, k: int):
         if not rows.num_rows or not queries.num_rows:
             return _OUT.empty_table()
         points, ids = matrix(rows.column("vector"), dim), rows.column("vec_id").to_numpy()
-        wanted, names = matrix(queries.column("vector"), dim), queries.column("query_id").to_numpy()
+        wanted, names = matrix(queries.column("query"), dim), queries.column("query_id").to_numpy()
         size = np.abs(points).max() * dim
         out = ([], [], [])
         for a in range(0, len(names), 256):
@@ -159,17 +159,16 @@ def approximate_topk(rows: DataFrame, queries: Column, *, k: int = 20, vec_id: s
     lengths = np.array([len(x) for x in drawn.column("vector").to_pylist()], np.int64)
     dim = int(np.bincount(lengths).argmax()) if len(lengths) else 0
     valid = valid.where(F.size("vector") == dim)
-    points = np.array([x for x in drawn.column("vector").to_pylist() if len(x) == dim], float).reshape(-1, dim)
+    points = np.array([x for x in drawn.column("vector").to_pylist() if len(x) == dim], float).reshape(-1, max(dim, 1))
     parts = max(1, min(parts, len(points) // 64))
     router = fit_router(points, parts)
     routed = valid.mapInArrow(_route(router, dim, min(probes, parts)), "vec_id bigint, vector array<double>, is_query boolean, parts array<int>")
     placed = routed.select("vec_id", "vector", F.element_at("parts", 1).alias("part"))
     sizes = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
     held = placed.join(F.broadcast(sizes), "part").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    asked = routed.where("is_query").select(F.col("vec_id").alias("query_id"), "vector", F.explode("parts").alias("part")).dropDuplicates(["query_id", "part"])
-    asked = asked.join(F.broadcast(sizes), "part").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    keys = ["part", "salt"]
-    found = held.select(*keys, "vec_id", "vector").groupBy(*keys).cogroup(asked.select(*keys, "query_id", "vector").groupBy(*keys)).applyInArrow(_rerank(dim, k), "query_id bigint, vec_id bigint, score double")
+    asked = routed.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("parts").alias("part")).dropDuplicates(["query_id", "part"])
+    asked = asked.join(F.broadcast(sizes), "part").select("query_id", "query", F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q_salt"))
+    found = held.select("part", "salt", "vec_id", "vector").groupBy("part", "salt").cogroup(asked.groupBy("q_part", "q_salt")).applyInArrow(_rerank(dim, k), "query_id bigint, vec_id bigint, score double")
     return merged(found, k)
 
 

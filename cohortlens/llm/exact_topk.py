@@ -115,15 +115,16 @@ def exact_topk(rows: DataFrame, queries: Column, *, k: int = 5, vec_id: str = "v
     whole = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
     points = valid.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole.alias("vector"), queries.alias("is_query"))
     points = points.withColumns({"dim": F.size("vector"), "shard": t.block_of(F.col("vec_id"), n)})
-    wanted = points.where("is_query").select("dim", "shard", F.col("vec_id").alias("query_id"), F.col("vector").alias("query")).dropDuplicates(["query_id"])
+    asked = [F.col(a).alias(b) for a, b in (("dim", "q_dim"), ("shard", "q_shard"), ("vec_id", "query_id"), ("vector", "query"))]
+    wanted = points.where("is_query").select(*asked).dropDuplicates(["query_id"])
     schema = "query_id bigint, vec_id bigint, score bigint"
     table = points.select("dim", "shard", "vec_id", "vector")
     home = wanted.withColumn("least", F.lit(float("-inf")))
-    first = table.groupBy("dim", "shard").cogroup(home.groupBy("dim", "shard")).applyInArrow(_search(k, True), schema)
+    first = table.groupBy("dim", "shard").cogroup(home.groupBy("q_dim", "q_shard")).applyInArrow(_search(k, True), schema)
     groups = max(1, -(-wanted.count() // QUERIES_PER_GROUP))
-    group = t.block_of(F.col("query_id"), groups).alias("group")
-    known = wanted.drop("shard").join(first.select("query_id", F.col("score").cast("double").alias("least")), "query_id", "left").fillna({"least": float("-inf")})
-    known = known.select("dim", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), group, "query_id", "query", "least")
+    group = t.block_of(F.col("query_id"), groups).alias("q_group")
+    known = wanted.drop("q_shard").join(first.select("query_id", F.col("score").cast("double").alias("least")), "query_id", "left").fillna({"least": float("-inf")})
+    known = known.select("q_dim", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("q_shard"), group, "query_id", "query", "least")
     dealt = table.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     keys = ["dim", "shard", "group"]
-    return merged(dealt.groupBy(*keys).cogroup(known.groupBy(*keys)).applyInArrow(_search(k, False), schema), k)
+    return merged(dealt.groupBy(*keys).cogroup(known.groupBy(*(f"q_{k}" for k in keys))).applyInArrow(_search(k, False), schema), k)

@@ -7,10 +7,11 @@ coordinates are concentrated like independent MinHash values.
 
 Links. Documents with equal shingle sets are one class with its smallest doc_id as representative. Representatives that
 agree in all rows of a band share a bucket, and a bucket isn't expanded into all pairs: first its members are compared
-with its smallest one and the links found are contracted. Only buckets that still hold several components go on. There
-every pair of different components is tested, in blocks of CHUNK members inside tasks, by the number of equal
-coordinates (one byte of each); only pairs that reach ALIKE leave the task. Every pair is confirmed on its full sets of
-64-bit shingle hashes.
+with its smallest one and the links found are contracted. Only buckets that still hold several components go on, in
+blocks of CHUNK x CHUNK members. A block finds, by the number of equal coordinates (one byte of each), which members of
+different components may be linked - each pair in the first band it shares alone - and gives one row for each such member
+with its partners. Their full sets of 64-bit shingle hashes then meet in the block's second task, which gives back the
+links that join its components. Every link is confirmed on full sets.
 
 With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket once in 8 million, and agrees in fewer than ALIKE of its
 coordinates once in a billion.
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from . import textnp as t
 from .shared import stored
 
-CHUNK = 2048
+CHUNK = 512
+BIT_BYTES = 64 << 20
 ALIKE = 0.63
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -59,11 +61,12 @@ def sketches(rows: np.ndarray, hashes: np.ndarray, n: int, bins: int) -> np.ndar
     empty = np.iinfo(np.uint64).max
     out = np.full((n, bins), empty, np.uint64)
     flat = out.reshape(-1)
+    seeds = np.random.default_rng(41).integers(0, 2**63, 2 * bins, dtype=np.uint64)
     active, h = rows, hashes
     for i in range(2 * bins):
         if not len(active):
             break
-        x = t.mix(h + t.U(((i + 1) * 0x9E3779B97F4A7C15) % 2**64))
+        x = t.mix(h ^ seeds[i])
         place = (x % t.U(bins)).astype(np.int64) if i < bins else i - bins
         np.minimum.at(flat, active * bins + place, t.U(i << 52) | (x >> t.U(12)))
         sets = active[t.runs(active)[0]]
@@ -120,16 +123,18 @@ def _sets(k):
     return run
 
 
-def _alike(part, whole):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _partners(part, whole):
+    schema = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("rep", pa.int64()), ("partners", pa.binary())])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """Pairs of different components of one block whose sizes and sketches allow a link."""
+        """Members of one block that may be linked across components, with those of larger place they may be linked to."""
         _, i, j = (k.as_py() for k in key)
         rep, n, component, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
+        band = table.column("band")[0].as_py()
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)[:, :band]
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        out = []
+        found = []
         for start in range(0, len(left), 64):
             x = left[start : start + 64, None]
             fits = (component[x] != component[right]) & (whole * np.minimum(n[x], n[right]) >= part * np.maximum(n[x], n[right]))
@@ -137,12 +142,65 @@ def _alike(part, whole):
                 fits &= rep[x] < rep[right]
             a, b = np.nonzero(fits)
             a, b = x[a, 0], right[b]
-            for at in range(0, len(a), 50_000):
-                p, q = a[at : at + 50_000], b[at : at + 50_000]
+            for at in range(0, len(a), 20_000):
+                p, q = a[at : at + 20_000], b[at : at + 20_000]
                 near = (sketch[p] == sketch[q]).sum(axis=1) >= ALIKE * sketch.shape[1]
-                out.append((rep[p[near]], rep[q[near]]))
-        pairs = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2
-        return pa.Table.from_arrays([pa.array(np.minimum(*pairs)), pa.array(np.maximum(*pairs))], schema=schema)
+                p, q = p[near], q[near]
+                first = ~(bands[p] == bands[q]).any(axis=1)
+                found.append((p[first], q[first]))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        members = np.unique(np.concatenate((a, b)))
+        order = np.argsort(a, kind="stable")
+        bounds = np.searchsorted(a[order], members), np.searchsorted(a[order], members, "right")
+        lists = [rep[b[order[x:y]]].tobytes() for x, y in zip(*bounds, strict=True)]
+        fixed = [pa.array([k.as_py()] * len(members), kind) for k, kind in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+        return pa.Table.from_arrays([*fixed, pa.array(rep[members]), pa.array(lists, pa.binary())], schema=schema)
+
+    return run
+
+
+def _links(part, whole):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        """Links among a block's members and their partners that join them into components."""
+        rep = table.column("rep").to_numpy()
+        order = np.argsort(rep)
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = np.cumsum(count > 1) - 1
+        width = -(-int((count > 1).sum()) // 8)
+        bits = None
+        if width * len(rep) <= BIT_BYTES:
+            grid = np.zeros((len(rep), width * 8), bool)
+            member = np.repeat(np.arange(len(rep)), size)
+            keep = count[at] > 1
+            grid[member[keep], shared[at[keep]]] = True
+            bits = np.packbits(grid, axis=1)
+        root = list(range(len(rep)))
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for x, partners in enumerate(table.column("partners").to_pylist()):
+            if not partners:
+                continue
+            others = order[np.searchsorted(rep, np.frombuffer(partners, np.int64), sorter=order)]
+            if bits is not None:
+                common = np.bitwise_count(bits[others] & bits[x]).sum(axis=1, dtype=np.int64)
+            else:
+                common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for y in others])
+            for y in others[whole * common >= part * (size[others] + size[x] - common)].tolist():
+                a, b = find(x), find(y)
+                if a != b:
+                    root[a] = b
+                    out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+        return pa.Table.from_arrays([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], schema=schema)
 
     return run
 
@@ -191,9 +249,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     filled = sketched.where("n_shingles > 0 and doc_id is not null")
     same = filled.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = stored(same, "classes")
-    single = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    single = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("pivot")).where("size > 1")
-    members = stored(single.join(shared, "key").select("key", "size", "pivot", "rep", "n"), "buckets")
+    members = stored(single.join(shared, "key").select("key", "band", "size", "pivot", "rep", "n"), "buckets")
     sets = stored(rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(shingle), "doc_id bigint, hashes binary"), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -212,10 +270,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    blocks = placed.join(mixed, "key").join(classes.select("rep", "sketch"), "rep").withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("rep"), chunks).cast("int")})
+    blocks = placed.join(mixed, "key").join(classes.select("rep", "sketch", "bands"), "rep").withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("rep"), chunks).cast("int")})
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    alike = blocks.select("key", "i", "j", "rep", "n", "component", "chunk", "sketch").groupBy("key", "i", "j").applyInArrow(_alike(part, whole), "a bigint, b bigint")
-    labels = components(links.union(confirmed(alike.distinct())))
+    blocks = blocks.select("key", "i", "j", "band", "rep", "n", "component", "chunk", "sketch", "bands")
+    near = blocks.groupBy("key", "i", "j").applyInArrow(_partners(part, whole), "key bigint, i int, j int, rep bigint, partners binary")
+    met = near.join(sets.withColumnRenamed("doc_id", "rep"), "rep").groupBy("key", "i", "j").applyInArrow(_links(part, whole), "a bigint, b bigint")
+    labels = components(links.union(stored(met, "links")))
     named = classes.select("low", "high", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("class_component"))
     out = sketched.select("doc_id", "n_shingles", "low", "high").join(named, ["low", "high", "n_shingles"], "left")

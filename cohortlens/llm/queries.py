@@ -88,8 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP6 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
   FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
@@ -154,19 +154,19 @@ _QUOTAS = [*WEIGHTS.values(), OTHER]
 OP7 = f"""
 WITH RECURSIVE w AS (SELECT {_QUOTAS} AS q, {sum(_QUOTAS)} AS cycle, {len(_QUOTAS)} AS n
 ), st AS (
-  SELECT 0 AS t, list_transform(q, x -> 0) AS done, NULL::BIGINT AS pool FROM w
+  SELECT 0 AS t, list_transform(q, lambda x: 0) AS done, NULL::BIGINT AS pool FROM w
   UNION ALL
-  SELECT t + 1, list_transform(range(0, n), i -> done[i + 1] + CASE WHEN i = pick THEN 1 ELSE 0 END), pick FROM (
-    SELECT t, done, q, n, cycle, list_min(list_transform(range(0, n), i -> CASE WHEN done[i + 1] < q[i + 1] AND done[i + 1] * cycle // q[i + 1] <= t
+  SELECT t + 1, list_transform(range(0, n), lambda i: done[i + 1] + CASE WHEN i = pick THEN 1 ELSE 0 END), pick FROM (
+    SELECT t, done, q, n, cycle, list_min(list_transform(range(0, n), lambda i: CASE WHEN done[i + 1] < q[i + 1] AND done[i + 1] * cycle // q[i + 1] <= t
       THEN ((done[i + 1] + 1) * cycle + q[i + 1] - 1) // q[i + 1] * n + i END)) % n AS pick FROM st, w WHERE t < cycle)
-), plan AS (SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY t) - 1 AS turn, t - 1 AS at FROM st WHERE t > 0
+), plan AS (SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY t) - 1 AS turn, t - 1 AS place FROM st WHERE t > 0
 ), d AS (
   SELECT doc_id, source, coalesce(list_position({list(WEIGHTS)}, source) - 1, {len(WEIGHTS)}) AS pool FROM documents
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS nth FROM d
 ), b AS (SELECT r.*, nth // 64 AS block, q[pool + 1] AS quota, cycle FROM r, w
 )
-SELECT doc_id, source, nth, block, CAST(block // quota * cycle + at AS BIGINT) AS slot,
+SELECT doc_id, source, nth, block, CAST(block // quota * cycle + place AS BIGINT) AS slot,
   CAST(block * cycle // quota AS BIGINT) AS release, CAST(((block + 1) * cycle + quota - 1) // quota AS BIGINT) AS due
 FROM b JOIN plan ON plan.pool = b.pool AND plan.turn = block % quota
 """

@@ -102,11 +102,11 @@ def _indexes(values):
     return run
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, prior: float, *, epochs: int = 40, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, prior: float, *, steps: int = 1200, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier on sets of feature indexes below n."""
     rng = np.random.default_rng(seed)
     w = np.zeros(n + 1)
-    m, v, step = np.zeros(n + 1), np.zeros(n + 1), 0
+    m, v = np.zeros(n + 1), np.zeros(n + 1)
     w[n] = np.log(prior / (1 - prior))
 
     def flat(rows):
@@ -115,24 +115,20 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, p
     def sigmoid(z):
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
-    batches = max(1, (len(positive) + len(unlabelled)) // 512)
-    for _ in range(epochs):
-        for p, u in zip(np.array_split(rng.permutation(len(positive)), batches), np.array_split(rng.permutation(len(unlabelled)), batches), strict=True):
-            if not len(p) or not len(u):
-                continue
-            (pf, pr), (uf, ur) = flat([positive[i] for i in p]), flat([unlabelled[i] for i in u])
-            zp, zu = np.bincount(pr, w[pf], len(p)), np.bincount(ur, w[uf], len(u))
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            up, uu = -prior * sigmoid(-zp) / len(p), np.zeros(len(u))
-            back_p, back_u = -prior * sigmoid(zp) / len(p), sigmoid(zu) / len(u)
-            if negative >= 0:
-                up, uu = up + back_p, uu + back_u
-            else:
-                up, uu = -back_p, -back_u
-            g = np.bincount(pf, up[pr], n + 1) + np.bincount(uf, uu[ur], n + 1) + decay * w
-            step += 1
-            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    for step in range(1, steps + 1):
+        p, u = (rng.integers(0, len(x), min(len(x), 256)) for x in (positive, unlabelled))
+        (pf, pr), (uf, ur) = flat([positive[i] for i in p]), flat([unlabelled[i] for i in u])
+        zp, zu = np.bincount(pr, w[pf], len(p)), np.bincount(ur, w[uf], len(u))
+        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        up, uu = -prior * sigmoid(-zp) / len(p), np.zeros(len(u))
+        back_p, back_u = -prior * sigmoid(zp) / len(p), sigmoid(zu) / len(u)
+        if negative >= 0:
+            up, uu = up + back_p, uu + back_u
+        else:
+            up, uu = -back_p, -back_u
+        g = np.bincount(pf, up[pr], n + 1) + np.bincount(uf, uu[ur], n + 1) + decay * w
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return w[:n], float(w[n])
 
 

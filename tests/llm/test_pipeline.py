@@ -39,4 +39,5 @@ def test_stages_on_all_rows_their_predecessor_kept(spark, tmp_path):
     for i, x in cut.items():
         ids = np.frombuffer(b"".join(b for _, b in sorted(pieces[i])), "<u4").tolist()
         assert ids == t.encode(x, add_special_tokens=False).ids + [2], words(x)[:3]
-    assert sorted(map(str, p.run(spark, str(tmp_path)).select("doc_id", "start", "length").collect())) == sorted(str(x) for x in now.select("doc_id", "start", "length").collect())
+    whole = p.run(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()  # where pieces are cut depends on the input's splits
+    assert {r[0]: r[1] for r in whole} == {i: sum(len(b) // 4 for _, b in x) for i, x in pieces.items()}
