@@ -6,8 +6,10 @@ rows, labelled or not. A linear classifier minimises prior * R+(P) + max(0, R-(U
 a batch's corrected negative risk falls below zero, the step goes up its gradient instead (which keeps the risk non-negative).
 The class prior is the share of toxic rows among labelled training rows.
 
-The fit uses at most `positives` and `unlabelled` texts, chosen by hash of their id - its documented bound - and `features`
-features whose frequencies differ most; counting them is a Spark aggregation. Every text is scored whole.
+The fit uses at most `positives` and `unlabelled` texts, chosen by hash of their id, and `n_features` features that positives
+hold more often (largest likelihood ratio; counting them is a Spark aggregation). Since unlabelled text holds toxic documents too,
+the classifier's log odds run low; a line fitted to at most `calibration` labelled training rows of either class maps them to
+probabilities. These four numbers are the documented bounds; every text is scored whole.
 
 Defined results: null or empty text has no features and gets the bias' score. Null doc_id rows are scored and held_out is null; labels
 with null doc_id or null toxic are ignored; repeated labels count as toxic if any is. If there is no toxic training row the
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnp as t
+from .shared import stored
 
 PREFIXES = (4, 5, 6, 7, 8, 10)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -55,12 +58,12 @@ def _distinct(rows, hashes):
 
 def _count(batches):
     for batch in batches:
-        side = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        in_p, in_u = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (1, 2))
         for i, _, data, offs in t.text_chunks(batch.column(0)):
             rows, h = _distinct(*features(data, offs))
             values, at = np.unique(h, return_inverse=True)
-            both = np.bincount(at, minlength=len(values)), np.bincount(at, weights=side[i + rows], minlength=len(values))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array((both[0] - both[1]).astype(np.int64)), pa.array(both[1].astype(np.int64))], ["feature", "in_u", "in_p"])
+            counts = [np.bincount(at, weights=side[i + rows], minlength=len(values)).astype(np.int64) for side in (in_u, in_p)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (values.view(np.int64), *counts)], ["feature", "in_u", "in_p"])
 
 
 class Vocabulary:
@@ -97,12 +100,12 @@ def _indexes(values):
                 found = vocabulary.find(h)
                 rows, found = _distinct(rows[found >= 0], found[found >= 0])
                 bounds = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.astype(np.int32)))], ["toxic", "at"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in (1, 2, 3)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.astype(np.int32)))], ["is_p", "is_u", "known", "at"])
 
     return run
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, prior: float, *, steps: int = 1200, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, prior: float, *, steps: int = 800, rate: float = 0.02, decay: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier on sets of feature indexes below n."""
     rng = np.random.default_rng(seed)
     w = np.zeros(n + 1)
@@ -132,6 +135,23 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, p
     return w[:n], float(w[n])
 
 
+def fit_line(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of log odds of y by z, by Newton steps; with one class only the line z itself."""
+    a, b = 1.0, 0.0
+    if not len(y) or y.min() == y.max():
+        return a, b
+    x = np.stack([z, np.ones(len(z))], axis=1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
+        gradient = x.T @ (p - y) + 1e-3 * np.array([a - 1, b])
+        move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), gradient)
+        move = np.clip(move, -2, 2)
+        a, b = max(a - move[0], 0.1), b - move[1]
+        if np.abs(move).max() < 1e-8:
+            break
+    return float(a), float(b)
+
+
 def _score(values, weights, bias):
     def run(batches):
         vocabulary = Vocabulary(values)
@@ -151,29 +171,35 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int = 3000, unlabelled: int = 6000, n_features: int = 20_000, threshold: float = 0.7) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int = 3000, unlabelled: int = 6000, calibration: int = 6000, n_features: int = 500, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score in 0..1, predicted (score >= threshold) for every document."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     train = remainder(F.col("doc_id")) != 1
     known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.max(toxic).alias("toxic")).where(train)
     first = [F.xxhash64("doc_id"), F.col("doc_id")]
-    p_ids = known.where("toxic = 1").select("doc_id").orderBy(*first).limit(positives).withColumn("is_p", F.lit(True))
-    u_ids = rows.where(train).select("doc_id").join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_anti").orderBy(*first).limit(unlabelled).withColumn("is_p", F.lit(False))
+    no = F.lit(None).cast("int")
+    p_ids = known.where("toxic = 1").select("doc_id").orderBy(*first).limit(positives).select("doc_id", F.lit(True).alias("is_p"), F.lit(False).alias("is_u"), no.alias("known"))
+    others = rows.where(train).select("doc_id").distinct().join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
+    u_ids = others.orderBy(*first).limit(unlabelled).select("doc_id", F.lit(False).alias("is_p"), F.lit(True).alias("is_u"), no.alias("known"))
+    c_ids = known.orderBy(*first).limit(calibration).select("doc_id", F.lit(False).alias("is_p"), F.lit(False).alias("is_u"), F.col("toxic").cast("int").alias("known"))
     prior, n_positive = known.agg(F.avg("toxic"), F.sum("toxic")).first()
     names, weights, bias = np.zeros(0, np.uint64), np.zeros(0), -40.0
     if n_positive:
-        chosen = rows.join(F.broadcast(p_ids.union(u_ids)), "doc_id").select("text", "is_p")
-        counted = chosen.mapInArrow(_count, "feature bigint, in_u bigint, in_p bigint").groupBy("feature").agg(F.sum("in_u").alias("in_u"), F.sum("in_p").alias("in_p"))
-        sizes = chosen.groupBy().agg(F.greatest(F.count_if("is_p"), F.lit(1)), F.greatest(F.count_if(~F.col("is_p")), F.lit(1))).first()
-        share_p, share_u = F.col("in_p") / sizes[0], F.col("in_u") / sizes[1]
-        apart = F.abs(share_p - share_u) / F.sqrt(share_p + share_u)
-        found = counted.where("in_u + in_p >= 5").orderBy(apart.desc(), "feature").limit(n_features).select("feature").toArrow()
+        ids = p_ids.union(u_ids).union(c_ids).groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.max("is_u").alias("is_u"), F.max("known").alias("known"))
+        chosen = stored(rows.join(F.broadcast(ids), "doc_id").select("text", "is_p", "is_u", "known"), "sample")
+        n_p, n_u = chosen.agg(F.count_if("is_p"), F.count_if("is_u")).first()
+        counted = chosen.where("is_p or is_u").mapInArrow(_count, "feature bigint, in_u bigint, in_p bigint").groupBy("feature").agg(F.sum("in_u").alias("in_u"), F.sum("in_p").alias("in_p"))
+        in_p, share_u = F.col("in_p").cast("double"), F.col("in_u") / max(n_u, 1)
+        gain = in_p * F.log((in_p / max(n_p, 1)) / (share_u + 0.5 / max(n_u, 1))) - max(n_p, 1) * (in_p / max(n_p, 1) - share_u)
+        found = counted.where((F.col("in_p") >= 3) & (in_p / max(n_p, 1) > share_u)).orderBy(gain.desc(), "feature").limit(n_features).select("feature").toArrow()
         names = np.sort(found.column(0).to_numpy().view(np.uint64))
-        sets = chosen.mapInArrow(_indexes(names), "toxic boolean, at array<int>").toArrow().to_pylist()
-        sides = [[np.array(r["at"], np.int64) for r in sets if r["toxic"] == side] for side in (True, False)]
+        sets = chosen.mapInArrow(_indexes(names), "is_p boolean, is_u boolean, known int, at array<int>").toArrow().to_pylist()
+        sides = [[np.array(r["at"], np.int64) for r in sets if r[side]] for side in ("is_p", "is_u")]
+        weights, bias = np.zeros(len(names)), float(np.log(min(max(prior, 1e-3), 1 - 1e-3) / (1 - min(max(prior, 1e-3), 1 - 1e-3))))
         if all(sides):
             weights, bias = fit_nnpu(*sides, len(names), float(min(max(prior, 1e-3), 1 - 1e-3)))
-        else:
-            weights = np.zeros(len(names))
+            labelled = [r for r in sets if r["known"] is not None]
+            slope, shift = fit_line(np.array([weights[r["at"]].sum() + bias for r in labelled]), np.array([r["known"] for r in labelled], float))
+            weights, bias = slope * weights, slope * bias + shift
     scored = rows.mapInArrow(_score(names, weights, bias), "doc_id bigint, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
