@@ -1,13 +1,15 @@
 """Training-order materialisation of token ids into fixed-stride binary shards.
 
 1. Each task joins its documents' ids (an end id after each) and cuts them into sequences of `length` ids; the last one of
-   a task is padded. The compressed sequences are written once, numbered by task and place.
-2. Counts per task give every sequence a dense index below N. A keyed balanced Feistel network over the next even power of
-   two, walked along its cycle until it falls below N, maps the index to the global slot: a bijection, known from the
-   key alone.
-3. Ranges of `per_shard` slots are partitions. Each writes one file whose slot s lies at (s mod per_shard) * stride, so a
-   reader starts at any slot and goes on in sequence. Files appear under their name only when complete; a task that runs
-   again writes the same bytes.
+   a task is padded. A sequence's index is its task times CAP plus its place.
+2. A keyed balanced Feistel network over the next even power of two above all indexes, walked along its cycle until it falls
+   among them again, is a bijection that the key alone determines. It gives every index its turn.
+3. Equal ranges of turns are the shards: known in advance, even in size whatever the data. Each is sorted by one task and
+   written as one file in which sequence r lies at r * stride. A sequence's global slot is the number of sequences in the
+   shards before its own, plus r: the turns without their gaps. The shards' sizes are the manifest, so a reader starts at any
+   slot and goes on in sequence. Files appear under their name only when complete; a task that runs again writes the same.
+
+The total isn't needed before the ids are there, so texts are tokenized once and move once.
 
 Defined results: null or empty text is the end id alone; doc_id is not read; an empty table gives no shard.
 """
@@ -19,9 +21,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import stored
@@ -29,7 +32,7 @@ from .tokens import Encoder, row_groups
 
 
 def feistel(index: np.ndarray, n: int, key: int, rounds: int = 4) -> np.ndarray:
-    """Slots of indexes below n: a permutation of 0..n-1."""
+    """Turns of indexes below n (at most 2**62): a permutation of 0..n-1."""
     half = max(1, -(-max(1, (max(n, 2) - 1).bit_length()) // 2))
     mask = np.uint64((1 << half) - 1)
     keys = np.random.default_rng(key).integers(0, 2**63, rounds, dtype=np.uint64)
@@ -42,28 +45,34 @@ def feistel(index: np.ndarray, n: int, key: int, rounds: int = 4) -> np.ndarray:
             left, right = right, left ^ ((h ^ (h >> np.uint64(32))) & mask)
         return left << np.uint64(half) | right
 
-    out = once(index.astype(np.uint64))
-    while (over := out >= n).any():
+    out = once(np.asarray(index).astype(np.uint64))
+    while (over := out >= np.uint64(n)).any():
         out[over] = once(out[over])
     return out.astype(np.int64)
 
 
-def _sequences(path: str, length: int, end_id: int, pad_id: int, dtype: str):
-    names = ["task", "local", "n_ids", "packed"]
+CAP = 1 << 24  # sequences a task can hold
+
+
+def _sequences(path: str, length: int, end_id: int, pad_id: int, dtype: str, tasks: int, key: int, shards: int):
+    names = ["shard", "turn", "n_ids", "packed"]
 
     def run(batches):
         import zstandard
 
         encoder, task = Encoder.load(path), TaskContext.get().partitionId()
         squeeze = zstandard.ZstdCompressor(level=1)
-        end, rest, local = np.array([end_id], "<u4"), np.zeros(0, "<u4"), 0
+        end, rest, local, domain = np.array([end_id], "<u4"), np.zeros(0, "<u4"), 0, tasks * CAP
 
         def rows(ids, n_ids):
             nonlocal local
             grid = ids.astype(dtype).reshape(-1, length)
-            out = pa.RecordBatch.from_arrays([pa.array([task] * len(grid), pa.int64()), pa.array(np.arange(local, local + len(grid))), pa.array([n_ids] * len(grid), pa.int64()), pa.array([squeeze.compress(x.tobytes()) for x in grid], pa.binary())], names)
+            turn = feistel(task * CAP + np.arange(local, local + len(grid)), domain, key)
             local += len(grid)
-            return out
+            if local > CAP or task >= tasks:
+                raise ValueError("a task holds more sequences than CAP; read the input in more partitions")
+            shard = (turn // -(-domain // shards)).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(turn), pa.array([n_ids] * len(grid), pa.int64()), pa.array([squeeze.compress(x.tobytes()) for x in grid], pa.binary())], names)
 
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -82,14 +91,14 @@ def _sequences(path: str, length: int, end_id: int, pad_id: int, dtype: str):
     return run
 
 
-def _write(folder: str, stride: int, per_shard: int):
-    names = ["slot", "shard", "byte_offset", "n_ids", "ids_crc32"]
+def _write(folder: str, stride: int):
+    names = ["shard", "place", "n_ids", "ids_crc32"]
 
     def run(batches):
         import zstandard
 
         expand, fs = zstandard.ZstdDecompressor(), None
-        shard, out, temporary, target = None, None, "", ""
+        shard, out, temporary, target, place = None, None, "", "", 0
 
         def close():
             if out is not None:
@@ -97,56 +106,54 @@ def _write(folder: str, stride: int, per_shard: int):
                 fs.move(temporary, target)
 
         for batch in batches:
-            slots, shards = batch.column("slot").to_numpy(), batch.column("shard").to_numpy()
-            sums = []
-            for at, raw in zip(shards.tolist(), batch.column("packed").to_pylist(), strict=True):
+            sums, places = [], []
+            for at, raw in zip(batch.column("shard").to_pylist(), batch.column("packed").to_pylist(), strict=True):
                 if at != shard:
                     close()
                     fs, base = pafs.FileSystem.from_uri(folder)
-                    shard, target = at, f"{base}/shard-{at:08d}.bin"
+                    shard, target, place = at, f"{base}/shard-{at:08d}.bin", 0
                     temporary = f"{target}.{uuid.uuid4().hex}.part"
                     out = fs.open_output_stream(temporary)
                 raw = expand.decompress(raw, max_output_size=stride)
                 out.write(raw)
                 sums.append(zlib.crc32(raw))
-            yield pa.RecordBatch.from_arrays([batch.column("slot"), batch.column("shard"), pa.array(slots % per_shard * stride), batch.column("n_ids"), pa.array(sums, pa.int64())], names)
+                places.append(place)
+                place += 1
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(places, pa.int64()), batch.column("n_ids"), pa.array(sums, pa.int64())], names)
         close()
 
     return run
 
 
-def write_training_order(docs: DataFrame, folder: str, tokenizer: str, *, text: str = "text", length: int = 1024, key: int = 20240607, per_shard: int = 8192, end_id: int = 2, pad_id: int = 0, dtype: str = "<u2") -> DataFrame:
-    """Writes shards into `folder` (a URI all executors reach) when evaluated; returns one row per sequence: slot, shard,
+def write_training_order(docs: DataFrame, folder: str, tokenizer: str, *, text: str = "text", length: int = 1024, key: int = 20240607, shards: int | None = None, end_id: int = 2, pad_id: int = 0, dtype: str = "<u2") -> DataFrame:
+    """Writes shards and their manifest into `folder` (a URI all executors reach); returns one row per sequence: slot, shard,
     byte_offset, n_ids (without padding), ids_crc32 (of the stride's bytes). dtype: `<u2` for vocabularies below 65,536."""
     spark = docs.sparkSession
+    fs, base = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(base, recursive=True)
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    sequences = stored(rows.mapInArrow(_sequences(tokenizer, length, end_id, pad_id, dtype), "task bigint, local bigint, n_ids bigint, packed binary"), "sequences")
-    counts = sequences.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    before = counts.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
-    pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1], recursive=True)
-
-    @F.pandas_udf("bigint")
-    def slot_of(index):
-        import pandas as pd
-
-        return pd.Series(feistel(index.to_numpy(), total, key))
-
-    placed = sequences.join(before, "task").withColumn("slot", slot_of(F.col("before") + F.col("local"))).withColumn("shard", F.floor(F.col("slot") / per_shard))
-    tasks = max(1, min(-(-total // per_shard), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ordered = placed.select("slot", "shard", "n_ids", "packed").repartition(tasks, "shard").sortWithinPartitions("slot")
-    return ordered.mapInArrow(_write(folder, length * np.dtype(dtype).itemsize, per_shard), "slot bigint, shard bigint, byte_offset bigint, n_ids bigint, ids_crc32 bigint")
-
-
-def read_slots(folder: str, slot: int, count: int, *, length: int = 1024, per_shard: int = 8192, dtype: str = "<u2") -> np.ndarray:
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks, stride = max(1, rows.rdd.getNumPartitions()), length * np.dtype(dtype).itemsize
+    sequences = rows.mapInArrow(_sequences(tokenizer, length, end_id, pad_id, dtype, tasks, key, shards), "shard int, turn bigint, n_ids bigint, packed binary")
+    ordered = sequences.repartition(shards, "shard").sortWithinPartitions("shard", "turn")
+    written = stored(ordered.mapInArrow(_write(folder, stride), "shard int, place bigint, n_ids bigint, ids_crc32 bigint"), "written")
+    counts = written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    manifest = counts.select("shard", "n", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("first_slot"))
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
+    placed = written.join(F.broadcast(spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")), "shard")
+    return placed.select((F.col("first_slot") + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"), "n_ids", "ids_crc32")
+
+
+def read_slots(folder: str, slot: int, count: int, *, length: int = 1024, dtype: str = "<u2") -> np.ndarray:
     """`count` sequences from `slot` on, read in sequence from the shards that hold them."""
     fs, base = pafs.FileSystem.from_uri(folder)
     stride, parts = length * np.dtype(dtype).itemsize, []
-    while count > 0:
-        shard, at = divmod(slot, per_shard)
-        take = min(count, per_shard - at)
-        with fs.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:
-            f.seek(at * stride)
-            parts.append(f.read(take * stride))
-        slot, count = slot + take, count - take
+    for s in sorted(ds.dataset(f"{base}/manifest", filesystem=fs, format="parquet").to_table().to_pylist(), key=lambda s: s["shard"]):
+        at = slot - s["first_slot"]
+        take = min(count, s["n"] - at)
+        if at >= 0 and take > 0:
+            with fs.open_input_file(f"{base}/shard-{s['shard']:08d}.bin") as f:
+                f.seek(at * stride)
+                parts.append(f.read(take * stride))
+            slot, count = slot + take, count - take
     return np.frombuffer(b"".join(parts), dtype).reshape(-1, length)

@@ -12,7 +12,7 @@ from cohortlens.llm.token_output import feistel, read_slots, write_training_orde
 from .helpers import SCHEMA, corpus
 
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
-ODD = ["it's <|endoftext|> we'll 12345 ½ ǅ", "ﬁ été É", "a b c\x1cd\x85e", "́x ́y", "ΣΑΣ ΟΔΟΣ", "🎉🎉!?...", "naïve—dash", "日本語 text"]
+ODD = ["it's <|endoftext|> we'll 12345 ½ ǅ", "ﬁ été É", "a b c\x1cd\x85e", "́x ́y", "ΣΑΣ ΟΔΟΣ", "🎉🎉!?...", "naïve—dash", "日本語 text", "foo.bar, baz., (qux). x.\ty,\n z.", "İstanbul İ ı K å Å Å", "a., b,. c'. d's, e.", "<|ENDOFTEXT|> <|startoftext|>x, y."]
 
 
 @pytest.fixture(scope="module")
@@ -76,15 +76,18 @@ def test_feistel_is_a_permutation(n):
 def test_training_order_round_trip(spark, rows, tmp_path):
     folder = f"file://{tmp_path}/shards"
     docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
-    options = {"length": 64, "per_shard": 40}
-    got = write_training_order(docs, folder, PATH, **options).collect()
+    got = write_training_order(docs, folder, PATH, length=64, shards=5).collect()
     n = len(got)
     assert sorted(r.slot for r in got) == list(range(n))
-    grid = read_slots(folder, 0, n, **options)
+    grid = read_slots(folder, 0, n, length=64)
+    first = {x: min(r.slot for r in got if r.shard == x) for x in {r.shard for r in got}}
+    assert len(first) == 5
     for r in got:
         assert zlib.crc32(grid[r.slot].tobytes()) == r.ids_crc32
-        assert (r.shard, r.byte_offset) == (r.slot // 40, r.slot % 40 * 128)
-    assert (read_slots(folder, 35, 20, **options) == grid[35:55]).all()
+        assert r.byte_offset == (r.slot - first[r.shard]) * 128
+    assert (read_slots(folder, 35, n // 2, length=64) == grid[35 : 35 + n // 2]).all()
+    again = write_training_order(docs, f"file://{tmp_path}/again", PATH, length=64, shards=5).collect()
+    assert sorted(again) == sorted(got)
     texts = sorted(x for r in got for x in grid[r.slot][: r.n_ids].tolist())
     assert texts == sorted(x for _, ids in expected_ids(rows) for x in ids)
 
