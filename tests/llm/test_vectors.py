@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.llm.ann import approximate_topk, balanced_parts, neighbour_graph, recall_at
+from cohortlens.llm.ann import approximate_topk, balanced_parts, fit_router, neighbour_graph, probes_for, recall_at
 from cohortlens.llm.exact_topk import KdTree, exact_topk
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, score string, vector string, part string"
@@ -55,7 +55,7 @@ def test_tree_boxes_are_tight_and_bound_their_points():
 
 def test_approximate_topk_finds_nine_tenths(spark):
     rows, df = table(spark)
-    found = approximate_topk(df, F.col("vec_id") % 20 == 0, k=20, parts=8, probes=3, chunk=60)
+    found = approximate_topk(df, F.col("vec_id") % 20 == 0, k=20, parts=8, chunk=60)
     expected = brute(rows, 20, 20, False)
     truth = spark.createDataFrame([(q, i) for q, x in expected.items() for i, _ in x], "query_id bigint, vec_id bigint")
     assert recall_at(found, truth) >= 0.9
@@ -69,6 +69,16 @@ def test_approximate_topk_finds_nine_tenths(spark):
     assert all(x == sorted(x) and len(x) <= 20 for x in ranks.values())
 
 
+def test_clustered_vectors_need_few_probes():
+    rng = np.random.default_rng(6)
+    points = np.concatenate([c + 0.05 * rng.normal(size=(150, 16)) for c in rng.normal(size=(8, 16))])
+    points = points[rng.permutation(len(points))]
+    router = fit_router(points[100:], 8)
+    assert probes_for(router, points[100:], points[:100], 8, 20, 0.95) <= 3
+    formless = rng.normal(size=(1200, 16))
+    assert probes_for(fit_router(formless[100:], 8), formless[100:], formless[:100], 8, 20, 0.95) > 3
+
+
 def test_parts_are_balanced():
     points = np.random.default_rng(2).normal(size=(600, 8))
     label = balanced_parts(points, neighbour_graph(points, 5), 6)
