@@ -13,6 +13,8 @@ from cohortlens.llm.source_mixing import mix_sources
 from cohortlens.llm.suffix_dedup import suffix_dedup
 from cohortlens.llm.toxicity import toxicity_scores
 
+#: Bytes of the shortest repeat that is cut: about 40 words, so that passages of 50 words are found in any language here.
+REPEAT = 240
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -30,11 +32,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of 400 bytes or more that occur elsewhere out of the texts; every document stays.
+    """Cuts strings of REPEAT bytes or more that occur elsewhere out of the texts; every document stays.
 
     A cut inside a character leaves out what remains of it.
     """
-    cut = suffix_dedup(docs, decode=True, carry=["lang", "source"])
+    cut = suffix_dedup(docs, length=REPEAT, gram=REPEAT // 2, decode=True, carry=["lang", "source"])
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("bigint").alias("n_chars"))
 
 

@@ -30,7 +30,7 @@ def test_stages_on_all_rows_their_predecessor_kept(spark, tmp_path):
     toxic = {i for i, x in before.items() if any(w in (x or "") for w in INSULTS)}
     assert len(toxic & kept.keys()) + len(before.keys() - toxic - kept.keys()) < 0.04 * len(before)
     assert {r.doc_id for r in seen["near_dedup"]} == {i for i, (_, c) in near_components(list(kept.items()), 5).items() if i == c}
-    cut = {i: k.decode(errors="ignore") for i, _, k in bytes_removed([(r.doc_id, r.text) for r in seen["near_dedup"]], 400)}
+    cut = {i: k.decode(errors="ignore") for i, _, k in bytes_removed([(r.doc_id, r.text) for r in seen["near_dedup"]], p.REPEAT)}
     assert {r.doc_id: r.text for r in seen["suffix_array_dedup"]} == cut and any(cut[i] != kept[i] for i in cut)
     assert sorted(map(tuple, seen["source_mixing"])) == sorted(map(tuple, seen["suffix_array_dedup"]))
     t, pieces = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json"))), defaultdict(list)
