@@ -28,15 +28,15 @@ def resolve(own_id: Column, own_source: Column, canonical: Column, canonical_sou
 
 
 def link_duplicates(rows: DataFrame, *, key: str = "dedupe_key", id: str = "posting_id", source: str = "source", quality: str = "text_quality", aggregators: Sequence[str] = DEFAULT.aggregators, ranks: Sequence[str] = (), out: str = "duplicate_of") -> DataFrame:
-    """All rows with their recomputed link.
+    """All rows with their recomputed link; a null key links nothing.
 
     The canonical row of a key is a minimum over a struct: it is combined before the shuffle, so a key with very many rows
     never meets in one task, as it would in a window; the join back is Spark's to split.
     """
     first, full = preference(F.col(source), F.col(quality), aggregators, ranks)
-    best = rows.groupBy(key).agg(F.min(F.struct(first.alias("a"), full.alias("b"), F.col(id).alias("id"), F.col(source).alias("source"))).alias("_best"))
+    best = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(first.alias("a"), full.alias("b"), F.col(id).alias("id"), F.col(source).alias("source"))).alias("_best"))
     kept = [c for c in rows.columns if c != out]
-    joined = rows.select(kept).join(best, key)
+    joined = rows.select(kept).join(best, key, "left")
     return joined.withColumn(out, resolve(F.col(id), F.col(source), F.col("_best.id"), F.col("_best.source"), aggregators)).select(*kept, out)
 
 
@@ -51,7 +51,7 @@ def relink_touched(rows: DataFrame, batch_keys: DataFrame, *, key: str = "dedupe
     """Links recomputed only for keys in batch_keys; other rows pass unchanged."""
     keys = batch_keys.select(key).distinct()
     fresh = link_duplicates(rows.join(keys, key, "left_semi"), key=key, out=out, **names)
-    rest = rows.join(keys, key, "left_anti").unionByName(rows.where(F.col(key).isNull()).limit(0))
+    rest = rows.join(keys, key, "left_anti")
     return rest.select(fresh.columns).unionByName(fresh)
 
 

@@ -159,12 +159,12 @@ def co_occurrence(rows: DataFrame, mentions: DataFrame, *, keys: Sequence[str] =
     """Pairs of a cohort's `top` items named together: postings with both, support and lift. A posting's pairs are bounded by top."""
     shares = item_share(rows, mentions, keys, id=id, item=item, kind=None, requirement=None)
     kept = top_per_group(shares, keys, [F.desc("n_with_skill"), F.asc(item)], top).select(*keys, item, "n_with_skill", "n_total")
-    named = rows.select(id, *keys).join(mentions.select(id, item), id).distinct().join(F.broadcast(kept), [*keys, item])
+    named = rows.select(id, *keys).join(mentions.select(id, item), id).distinct().join(kept, [*keys, item])
     sets = named.groupBy(id, *keys).agg(F.sort_array(F.collect_set(item)).alias("items"))
     pairs = sets.select(*keys, F.posexplode("items").alias("at", "a"), "items").select(*keys, "a", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("b"))
     both = pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= min_support)
     for side in ("a", "b"):
-        both = both.join(F.broadcast(kept.select(*keys, F.col(item).alias(side), F.col("n_with_skill").alias(f"n_{side}"), *(["n_total"] if side == "a" else []))), [*keys, side])
+        both = both.join(kept.select(*keys, F.col(item).alias(side), F.col("n_with_skill").alias(f"n_{side}"), *(["n_total"] if side == "a" else [])), [*keys, side])
     return both.withColumns({"support": F.col("n_both") / F.col("n_total"), "lift": F.col("n_both") * F.col("n_total") / (F.col("n_a") * F.col("n_b"))})
 
 

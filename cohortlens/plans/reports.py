@@ -35,10 +35,10 @@ def spread(shares: DataFrame, groups: DataFrame, keys: Sequence[str] = ("role",)
     """
     known = groups.where(~F.col(flag)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_reliable"))
     voting = groups.where(~F.col(flag)).select(*keys, group, F.lit(True).alias("votes"))
-    marked = shares.join(F.broadcast(voting), [*keys, group], "left")
+    marked = shares.join(voting, [*keys, group], "left")
     votes = F.coalesce("votes", F.lit(False))
     per = marked.groupBy(*keys, item).agg(F.max("pct").alias("peak"), F.max(F.when(votes, F.col("pct"))).alias("_high"), F.min(F.when(votes, F.col("pct"))).alias("_low"), F.count_if(votes).alias("_n"))
-    out = per.join(F.broadcast(known), list(keys), "left")
+    out = per.join(known, list(keys), "left")
     n = F.coalesce("n_reliable", F.lit(0))
     low = F.when(F.col("_n") < n, 0.0).otherwise(F.col("_low"))
     return out.select(*keys, item, F.when(n <= 1, 0.0).otherwise(F.coalesce("_high", F.lit(0.0)) - F.coalesce(low, F.lit(0.0))).alias("spread"), "peak")
@@ -52,7 +52,7 @@ def item_pivot(shares: DataFrame, groups: DataFrame, values: Sequence[str], keys
     """Rows of most disagreement, one struct (pct, n, thin) per group; a cell is thin if its column or its own cohort is."""
     ranked = by_disagreement(spread(shares, groups, keys, item, group), keys, item)
     columns = groups.select(*keys, group, F.col("low_confidence").alias("_thin"))
-    cells = shares.join(F.broadcast(columns), [*keys, group], "left").withColumn("cell", F.struct("pct", F.col("n_with_skill").alias("n"), (F.coalesce("_thin", F.lit(False)) | F.col("low_confidence")).alias("thin")))
+    cells = shares.join(columns, [*keys, group], "left").withColumn("cell", F.struct("pct", F.col("n_with_skill").alias("n"), (F.coalesce("_thin", F.lit(False)) | F.col("low_confidence")).alias("thin")))
     wide = cells.groupBy(*keys, item).pivot(group, list(values)).agg(F.first("cell"))
     return ranked.join(wide, [*keys, item]).orderBy(*keys, "rank")
 
