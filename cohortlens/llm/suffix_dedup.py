@@ -12,7 +12,9 @@ order. Sorting all suffixes of a corpus moves hundreds of bytes per byte of text
    digest of the full `length` bytes among equals - and neighbours with equal keys are repeats.
 
 Equal suffixes have equal keys and so never straddle a boundary between buckets: that is the comparison across
-boundaries. A passage that a third of all documents share is reduced to its distinct spans in step 1.
+boundaries. Documents are dealt to blocks, and each block sends one record per distinct suffix (or anchored span) it holds,
+so a bucket gets one record per block of a passage that a third of all documents share. What comes back is keyed the same
+way; the block finds the places again from its texts.
 
 Defined results: null text is empty. Documents under `length` bytes keep everything. A document that occurs twice, even
 as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
@@ -35,122 +37,165 @@ from . import textnp as t
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
+_CLOSED, _OPEN = 1, 2
+
+
+class Spans:
+    """The anchored spans of a block's documents, computed alike wherever the block is."""
+
+    def __init__(self, docs: pa.Table, length: int, gram: int):
+        self.length, self.texts = length, docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
+        parts = [self._chunk(i, data, offs, gram) for i, _, data, offs in t.text_chunks(self.texts)] if docs.num_rows else []
+        parts = [p for p in parts if p is not None]
+        kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
+        self.key, self.digest, self.row, self.low, self.more = columns
+
+    def _chunk(self, first, data, offs, gram):
+        length = self.length
+        if (np.diff(offs) < length).all():
+            return None
+        sums = t.byte_prefix(data)
+        h = t.gram_hash(sums, gram)
+        inside = np.ones(len(data) - length + 1, bool)
+        for end, size in zip(offs[1:], np.diff(offs), strict=True):
+            inside[max(end - length + 1, end - size) : end] = False
+        window = np.flatnonzero(inside)
+        at = t.leftmost_min(h, length - gram + 1)[window]
+        cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        low, high, at = window[cut], window[np.concatenate((cut[1:], [len(window)])) - 1], at[cut]
+        row = np.searchsorted(offs, low, "right") - 1
+        digest = t.slice_hash(sums, low, high + length) ^ t.mix((at - low).astype(np.uint64) << t.U(32) | (high - low).astype(np.uint64))
+        return h[at], digest, first + row, low - offs[row], high - low
+
+    def suffixes(self, chosen: np.ndarray):
+        """(span, pos, lead, digest) of all suffixes of the chosen spans."""
+        out = []
+        for i, j, data, offs in t.text_chunks(self.texts):
+            own = chosen[(self.row[chosen] >= i) & (self.row[chosen] < j)]
+            if not len(own):
+                continue
+            size = self.more[own] + 1
+            span = np.repeat(own, size)
+            pos = self.low[span] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            at = pos + offs[self.row[span] - i]
+            lead = np.zeros(len(at), np.uint32)
+            for k in range(4):
+                lead = lead << np.uint32(8) | data[at + k]
+            out.append((span, pos, lead, t.slice_hash(t.byte_prefix(data), at, at + self.length)))
+        return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, k) for k in (np.int64, np.int64, np.uint32, np.uint64)]
+
+
+def _with_block(batches: list[pa.RecordBatch], block: int, schema: pa.Schema) -> pa.Table:
+    return t.as_table([x.append_column("block", pa.array([block] * x.num_rows, pa.int32())).select(schema.names) for x in batches], schema)
+
+
+def _records(table: pa.Table, item: int, column: str) -> np.ndarray:
+    """The block of each packed record."""
+    return np.repeat(table.column("block").to_numpy(), [len(x) // item for x in table.column(column).to_pylist()])
+
+
 def _anchors(n, length, gram):
-    def run(batches):
-        out = t.Packer(["key", "digest", "uid", "low", "more"])
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for i, _, data, offs in t.text_chunks(batch.column(1)):
-                if (np.diff(offs) < length).all():
-                    continue
-                sums = t.byte_prefix(data)
-                h = t.gram_hash(sums, gram)
-                inside = np.ones(len(data) - length + 1, bool)
-                for end, size in zip(offs[1:], np.diff(offs), strict=True):
-                    inside[max(end - length + 1, end - size) : end] = False
-                window = np.flatnonzero(inside)
-                at = t.leftmost_min(h, length - gram + 1)[window]
-                cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-                low, high, at = window[cut], window[np.concatenate((cut[1:], [len(window)])) - 1], at[cut]
-                row = np.searchsorted(offs, low, "right") - 1
-                digest = t.slice_hash(sums, low, high + length) ^ t.mix((at - low).astype(np.uint64) << t.U(32) | (high - low).astype(np.uint64))
-                key = h[at]
-                yield from out.add((key % t.U(n)).astype(np.int32), (key >> t.U(32)).astype(np.uint32), digest, ids[i + row], (low - offs[row]).astype(np.int32), (high - low).astype(np.uint16))
-        yield from out.flush()
+    schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("key", pa.binary()), ("digest", pa.binary())])
+
+    def run(key: tuple, docs: pa.Table) -> pa.Table:
+        spans = Spans(docs, length, gram)
+        order = np.lexsort((spans.digest, spans.key))
+        k, d = spans.key[order], spans.digest[order]
+        start = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))) if len(k) else order
+        count = np.diff(np.concatenate((start, [len(k)])))
+        k, d = k[start], d[start]
+        # A span that the block holds twice is sent with its lowest key bit set.
+        short = (k >> t.U(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | (count > 1).astype(np.uint32)
+        return _with_block([t.packed((k % t.U(n)).astype(np.int32), {"key": short, "digest": d})], key[0].as_py(), schema)
 
     return run
 
 
-_CLOSED, _OPEN = 1, 2
-
+def _classes():
+    schema = pa.schema([("block", pa.int32()), ("digest", pa.binary()), ("kind", pa.binary())])
 
-def _classes(n):
     def run(table: pa.Table) -> pa.Table:
-        columns = [t.unpacked(table, c, kind) for c, kind in (("key", np.uint32), ("digest", np.uint64), ("uid", np.int64), ("low", np.int32), ("more", np.uint16))]
-        key, digest, uid, low, more = columns
-        order = np.lexsort((low, uid, digest, key))
-        key, digest, uid, low, more = (c[order] for c in columns)
+        short, digest, block = t.unpacked(table, "key", np.uint32), t.unpacked(table, "digest", np.uint64), _records(table, 4, "key")
+        key, twice = short >> np.uint32(1), (short & np.uint32(1)).astype(bool)
+        order = np.lexsort((block, digest, key))
+        key, digest, twice, block = key[order], digest[order], twice[order], block[order]
         new_key = np.concatenate(([True], key[1:] != key[:-1]))
-        new = new_key | np.concatenate(([True], digest[1:] != digest[:-1]))
-        start = np.flatnonzero(new)
+        start = np.flatnonzero(new_key | np.concatenate(([True], digest[1:] != digest[:-1])))
         count = np.diff(np.concatenate((start, [len(key)])))
         of_key = np.cumsum(new_key) - 1
         different = np.bincount(of_key[start])
-        kind = np.repeat(count > 1, count).astype(np.uint8) * _CLOSED
+        kind = (np.repeat(count > 1, count) | twice).astype(np.uint8) * _CLOSED
         kind[start] += (different[of_key[start]] > 1).astype(np.uint8) * _OPEN
         hit = kind > 0
-        columns = {"uid": uid[hit], "low": low[hit], "more": more[hit], "kind": kind[hit]}
-        return pa.Table.from_batches([t.packed(t.block_np(columns["uid"], n), columns, "block")])
+        return t.as_table([t.packed(block[hit], {"digest": digest[hit], "kind": kind[hit]}, "block")], schema)
 
     return run
 
 
-def _spans_of(table: pa.Table):
-    columns = [t.unpacked(table, c, kind) for c, kind in (("uid", np.int64), ("low", np.int32), ("more", np.uint16), ("kind", np.uint8))]
-    order = np.lexsort((columns[1], columns[0]))
-    return [c[order] for c in columns]
+def _marks(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of a block's marked spans, sorted, and their kinds."""
+    if not table.num_rows:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+    digest, kind = t.unpacked(table, "digest", np.uint64), t.unpacked(table, "kind", np.uint8)
+    order = np.argsort(digest)
+    return digest[order], kind[order]
+
+
+def _marked(spans: Spans, digest: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Kind of each span of the block; 0: neither repeated nor open."""
+    if not len(digest):
+        return np.zeros(len(spans.digest), np.uint8)
+    at = np.minimum(np.searchsorted(digest, spans.digest), len(digest) - 1)
+    return np.where(digest[at] == spans.digest, kind[at], 0).astype(np.uint8)
+
 
+def _open_suffixes(spans: Spans, kind: np.ndarray):
+    """Suffixes of the block's open spans, one span per digest; those of spans that occur once in the block are asked for."""
+    chosen = np.flatnonzero(kind >= _OPEN)
+    _, first = np.unique(spans.digest[chosen], return_index=True)
+    return spans.suffixes(np.sort(chosen[first]))
 
-def _suffixes(length, splitters):
-    schema = pa.schema([("bucket", pa.int32()), ("lead", pa.binary()), ("digest", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary()), ("block", pa.int32())])
+
+def _suffixes(length, gram, splitters):
+    schema = pa.schema([("bucket", pa.int32()), ("lead", pa.binary()), ("digest", pa.binary()), ("asked", pa.binary()), ("block", pa.int32())])
     splits = np.array(splitters, np.uint64)
 
-    def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
+    def run(key: tuple, docs: pa.Table, marks: pa.Table) -> pa.Table:
         if not docs.num_rows or not marks.num_rows:
             return schema.empty_table()
-        block = docs.column("block")[0].as_py()
-        uid, low, more, kind = _spans_of(marks)
-        uid, low, more, kind = (c[kind >= _OPEN] for c in (uid, low, more, kind))
-        docs = docs.filter(pa.compute.is_in(docs.column("uid"), pa.array(uid)))
-        ids = docs.column("uid").to_numpy()
-        names = np.unique(uid)
-        out, done = t.Packer(["lead", "digest", "doc", "pos"]), []
-        for i, j, data, offs in t.text_chunks(docs.column("text")):
-            sums = t.byte_prefix(data)
-            a, b = np.searchsorted(uid, ids[i:j]), np.searchsorted(uid, ids[i:j], "right")
-            span = np.concatenate([np.arange(x, y) for x, y in zip(a, b, strict=True)])
-            size = more[span].astype(np.int64) + 1
-            row = np.repeat(np.repeat(np.arange(j - i), b - a), size)
-            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            pos = np.repeat(low[span], size) + inner
-            at = pos + offs[row]
-            digest = t.slice_hash(sums, at, at + length)
-            lead = np.zeros(len(at), np.uint32)
-            for k in range(4):
-                lead = lead << np.uint32(8) | data[at + k]
-            bucket = np.searchsorted(splits, lead.astype(np.uint64) << t.U(32) | digest >> t.U(32), "right")
-            pos = np.where(np.repeat(kind[span], size) == _OPEN, pos, ~pos)
-            done += out.add(bucket.astype(np.int32), lead, digest, np.searchsorted(names, ids[i + row]).astype(np.int32), pos.astype(np.int32))
-        done += out.flush()
-        done = [x.append_column("block", pa.array([block] * x.num_rows, pa.int32())) for x in done]
-        return t.as_table(done, schema)
+        docs = docs.select(["text"])
+        spans = Spans(docs, length, gram)
+        kind = _marked(spans, *_marks(marks))
+        span, _, lead, digest = _open_suffixes(spans, kind)
+        _, first, count = np.unique(digest, return_index=True, return_counts=True)
+        asked = ((kind[span[first]] == _OPEN) & (count == 1)).astype(np.uint8)
+        lead, digest = lead[first], digest[first]
+        bucket = np.searchsorted(splits, lead.astype(np.uint64) << t.U(32) | digest >> t.U(32), "right")
+        return _with_block([t.packed(bucket.astype(np.int32), {"lead": lead, "digest": digest, "asked": asked})], key[0].as_py(), schema)
 
     return run
 
 
 def _neighbours():
-    schema = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c in ("uid", "low", "more", "kind", "doc", "pos"))])
+    schema = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c in ("digest", "kind", "found"))])
 
     def run(table: pa.Table) -> pa.Table:
-        lead, digest = t.unpacked(table, "lead", np.uint32), t.unpacked(table, "digest", np.uint64)
+        lead, digest, asked = (t.unpacked(table, c, kind) for c, kind in (("lead", np.uint32), ("digest", np.uint64), ("asked", np.uint8)))
+        block = _records(table, 4, "lead")
         order = np.lexsort((digest, lead))
-        lead, digest = lead[order], digest[order]
-        same = (lead[1:] == lead[:-1]) & (digest[1:] == digest[:-1])
+        same = (lead[order][1:] == lead[order][:-1]) & (digest[order][1:] == digest[order][:-1])
         hit = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-        doc, pos = t.unpacked(table, "doc", np.int32), t.unpacked(table, "pos", np.int32)
-        lengths = np.array([len(x) // 4 for x in table.column("doc").to_pylist()])
-        block = np.repeat(table.column("block").to_numpy(), lengths)
-        hit = hit[pos[hit] >= 0]
-        hit.sort()
-        out = t.packed(block[hit], {"doc": doc[hit], "pos": pos[hit]}, "block")
-        for c in ("uid", "low", "more", "kind"):
+        hit = hit[asked[hit] > 0]
+        out = t.packed(block[hit], {"found": digest[hit]}, "block")
+        for c in ("digest", "kind"):
             out = out.append_column(c, pa.array([b""] * out.num_rows, pa.binary()))
         return t.as_table([out.select(schema.names)], schema)
 
     return run
 
 
-def _removal(length, decode, carry):
+def _removal(length, gram, decode, carry):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string() if decode else pa.binary()), ("spans", _SPANS)])
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
@@ -160,19 +205,24 @@ def _removal(length, decode, carry):
         return out
 
     def judged(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        uid, low, more, kind = _spans_of(marks) if marks.num_rows else [np.zeros(0, np.int64)] * 4
-        names = np.unique(uid[kind >= _OPEN])
-        shut = (kind & _CLOSED) > 0
-        owner, start, end = uid[shut], low[shut].astype(np.int64), low[shut].astype(np.int64) + more[shut] + length
+        owner = start = end = np.zeros(0, np.int64)
         if marks.num_rows:
-            doc, pos = t.unpacked(marks, "doc", np.int32), t.unpacked(marks, "pos", np.int32).astype(np.int64)
-            owner, start, end = np.concatenate((owner, names[doc])), np.concatenate((start, pos)), np.concatenate((end, pos + length))
+            spans = Spans(docs, length, gram)
+            kind = _marked(spans, *_marks(marks))
+            shut = np.flatnonzero(kind & _CLOSED)
+            span, pos, _, digest = _open_suffixes(spans, kind)
+            _, at, count = np.unique(digest, return_inverse=True, return_counts=True)
+            repeated = (count[at] > 1) | np.isin(digest, t.unpacked(marks, "found", np.uint64))
+            span, pos = span[repeated], pos[repeated]
+            owner = np.concatenate((spans.row[shut], spans.row[span]))
+            start = np.concatenate((spans.low[shut], pos))
+            end = np.concatenate((spans.low[shut] + spans.more[shut], pos)) + length
             order = np.argsort(owner, kind="stable")
             owner, start, end = owner[order], start[order], end[order]
         rows = []
-        for key, doc_id, text in zip(*(docs.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
+        bounds = np.searchsorted(owner, np.arange(docs.num_rows + 1))
+        for a, b, doc_id, text in zip(bounds, bounds[1:], docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=False):
             raw = (text or "").encode()
-            a, b = np.searchsorted(owner, key), np.searchsorted(owner, key, "right")
             if a == b:
                 rows.append((doc_id, len(raw), 0, (text or "") if decode else raw, []))
                 continue
@@ -182,8 +232,8 @@ def _removal(length, decode, carry):
             gone = np.cumsum(change[:-1]) > 0
             edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
             kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            spans = [{"start": int(x), "length": int(y - x)} for x, y in edge.reshape(-1, 2)]
-            rows.append((doc_id, len(raw), int(gone.sum()), kept.decode(errors="ignore") if decode else kept, spans))
+            runs = [{"start": int(x), "length": int(y - x)} for x, y in edge.reshape(-1, 2)]
+            rows.append((doc_id, len(raw), int(gone.sum()), kept.decode(errors="ignore") if decode else kept, runs))
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
@@ -214,15 +264,16 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     n = t.partitions(docs.sparkSession)
     carried = [F.col(c).alias(f"carried_{c}") for c in carry]
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *carried)
-    rows = rows.withColumn("uid", F.xxhash64("doc_id", "text"))
-    anchors = rows.select("uid", "text").mapInArrow(_anchors(n, length, gram), "bucket int, key binary, digest binary, uid binary, low binary, more binary")
-    marks = anchors.groupBy("bucket").applyInArrow(_classes(n), "block int, uid binary, low binary, more binary, kind binary")
-    blocks = rows.select(t.block_of(F.col("uid"), n).alias("block"), "uid", "doc_id", "text", *(f"carried_{c}" for c in carry))
-    suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, sampled_splitters(rows.select("text"), length, n)), "bucket int, lead binary, digest binary, doc binary, pos binary, block int")
-    repeats = suffixes.groupBy("bucket").applyInArrow(_neighbours(), "block int, uid binary, low binary, more binary, kind binary, doc binary, pos binary")
-    both = marks.withColumns({"doc": F.lit(b""), "pos": F.lit(b"")}).unionByName(repeats)
+    block = t.block_of(F.xxhash64("doc_id", "text"), n).alias("block")
+    blocks = rows.select(block, "doc_id", "text", *(f"carried_{c}" for c in carry))
+    anchors = blocks.groupBy("block").applyInArrow(_anchors(n, length, gram), "block int, bucket int, key binary, digest binary")
+    marks = anchors.groupBy("bucket").applyInArrow(_classes(), "block int, digest binary, kind binary")
+    splitters = sampled_splitters(rows.select("text"), length, n)
+    suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, gram, splitters), "bucket int, lead binary, digest binary, asked binary, block int")
+    repeats = suffixes.groupBy("bucket").applyInArrow(_neighbours(), "block int, digest binary, kind binary, found binary")
+    both = marks.withColumn("found", F.lit(b"")).unionByName(repeats)
     fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed")]
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     fields += [T.StructField("kept", T.StringType() if decode else T.BinaryType()), T.StructField("spans", spans)]
     fields += [T.StructField(c, docs.schema[c].dataType) for c in carry]
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, decode, list(carry)), T.StructType(fields))
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, gram, decode, list(carry)), T.StructType(fields))
