@@ -18,7 +18,8 @@ coordinates once in a billion.
 
 Defined results: null or empty text, or no words: no shingles, its own component. Fewer words than a shingle: the whole
 sequence is the one shingle. Null doc_id: component_id null and kept, linked with nothing. Equal rows share their
-component and so their `kept`. Further columns are not read. Empty tables give empty results.
+component and so their `kept`. doc_id names one text: where it repeats with different texts, which of them stands for the id in
+the comparison of sets isn't fixed. Further columns are not read. Empty tables give empty results.
 """
 
 from __future__ import annotations
