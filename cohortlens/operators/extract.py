@@ -114,7 +114,9 @@ def validated(answers: DataFrame, *, answer: str = "answer", roles: Sequence[str
     5 and "5" and 5.0 are whole years, 5.5 is not. Any bad skill rejects the whole answer.
     """
     roles = roles or [r.slug for r in ROLES]
-    v = F.try_parse_json(F.col(answer))
+    answers = answers.withColumn("_v", F.try_parse_json(F.col(answer)))
+    v = F.col("_v")
+    answers = answers.withColumns({"_skills": F.coalesce(F.try_variant_get(v, "$.skills", SKILLS), F.array().cast(SKILLS))})
 
     def text(path: str) -> Column:
         return F.trim(F.try_variant_get(v, path, "string"))
@@ -122,7 +124,7 @@ def validated(answers: DataFrame, *, answer: str = "answer", roles: Sequence[str
     years_text, years_float = F.try_variant_get(v, "$.years_experience_min", "string"), F.try_variant_get(v, "$.years_experience_min", "double")
     years = F.try_variant_get(v, "$.years_experience_min", "int")
     years_ok = years_text.isNull() | ((years == years_float) & years.between(0, config.max_years))
-    skills = F.coalesce(F.try_variant_get(v, "$.skills", SKILLS), F.array().cast(SKILLS))
+    skills = F.col("_skills")
     n_given = F.try_variant_get(v, "$.skills", "array<variant>")
     trimmed = F.transform(skills, lambda s: F.struct(F.trim(s["name"]).alias("name"), s["kind"].alias("kind"), s["requirement"].alias("requirement")))
     skill_ok = F.forall(trimmed, lambda s: F.coalesce(F.length(s["name"]).between(1, config.max_skill_chars) & s["kind"].isin(*KINDS) & s["requirement"].isin(*REQUIREMENT), F.lit(False)))
@@ -139,10 +141,12 @@ def validated(answers: DataFrame, *, answer: str = "answer", roles: Sequence[str
     }
     wrong = F.concat_ws(", ", *(F.when(F.coalesce(bad, F.lit(True)), name) for name, bad in checks.items()))
     state = F.col("state") if "state" in answers.columns else F.lit("answered")
-    status = F.when(state != "answered", state).when(wrong != "", "invalid_json").otherwise("ok")
     failure = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
     payload = F.struct(role.alias("role"), text("$.seniority").alias("seniority"), years.alias("years_experience_min"), text("$.work_mode").alias("work_mode"), text("$.visa_sponsorship").alias("visa_sponsorship"), once.alias("skills"))
-    return answers.withColumns({"status": status, "error": short_error(F.when(status == "invalid_json", wrong).otherwise(failure)), "payload": F.when(status == "ok", payload)})
+    judged = answers.withColumns({"_wrong": wrong, "_payload": payload}).withColumn("status", F.when(state != "answered", state).when(F.col("_wrong") != "", "invalid_json").otherwise("ok"))
+    bad = F.col("status") == "invalid_json"
+    out = judged.withColumns({"error": short_error(F.when(bad, F.col("_wrong")).otherwise(failure)), "payload": F.when(F.col("status") == "ok", F.col("_payload"))})
+    return out.drop("_v", "_skills", "_wrong", "_payload")
 
 
 def run_report(results: DataFrame, pending_rows: int, granted: int) -> DataFrame:
