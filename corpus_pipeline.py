@@ -40,14 +40,22 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("bigint").alias("n_chars"))
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    return mix_sources(docs, WEIGHTS, other=OTHER).orderBy("_slot", "_nth").select(COLUMNS)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Orders all documents by their source blocks' slots."""
-    return mix_sources(docs, WEIGHTS, other=OTHER).orderBy("_slot", "_nth").select(COLUMNS)
+    return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the mixed documents into sequences of at most 4,096 ids."""
-    return pack_sequences(docs, tokenizer()).withColumn("ids_crc32", F.crc32("ids"))
+    """Packs the mixed documents into sequences of at most 4,096 ids.
+
+    Files are read by size and not by name, so the slots, which follow from the rows alone, are computed again: each task packs
+    one range of them, and sequence_id >> 33 counts the ranges in their order.
+    """
+    return pack_sequences(mixed(docs), tokenizer()).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("suffix_array_dedup", suffix_array_dedup), ("source_mixing", source_mixing), ("packing", packing)]

@@ -5,6 +5,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline as p
+from cohortlens.llm.queries import OTHER, WEIGHTS
+from cohortlens.llm.source_mixing import mix_sources
 
 from .helpers import bytes_removed, near_components, words
 from .test_toxicity import INSULTS, tables
@@ -41,3 +43,27 @@ def test_stages_on_all_rows_their_predecessor_kept(spark, tmp_path):
         assert ids == t.encode(x, add_special_tokens=False).ids + [2], words(x)[:3]
     whole = p.run(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()  # where pieces are cut depends on the input's splits
     assert {r[0]: r[1] for r in whole} == {i: sum(len(b) // 4 for _, b in x) for i, x in pieces.items()}
+
+
+def test_packing_follows_the_slots_over_several_files(spark, tmp_path):
+    """Files of rising size, which a scan reads from the largest on; each task of packing has its own range of slots."""
+    rows = [(i, f"{i} " * (5 + i // 3), "en", f"src{i % 3}", 0) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    slots = {r.doc_id: (r._slot, r._nth) for r in mix_sources(docs, WEIGHTS, other=OTHER).collect()}
+    order = sorted(slots, key=slots.get)
+    place, path = {x: n for n, x in enumerate(order)}, f"{tmp_path}/mixed"
+    by_id = {r[0]: r for r in rows}
+    for a, b in ((0, 50), (50, 200), (200, 450), (450, 900)):
+        spark.createDataFrame([by_id[x] for x in order[a:b]], docs.schema).coalesce(1).write.mode("append").parquet(path)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = defaultdict(set)
+        for r in p.packing(spark, spark.read.parquet(path), "").collect():
+            found[r.sequence_id >> 33].add(place[r.doc_id])
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    ranges = [(min(x), max(x)) for _, x in sorted(found.items())]
+    assert len(ranges) > 2 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
