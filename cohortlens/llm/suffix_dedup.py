@@ -16,7 +16,11 @@ boundaries. Documents are dealt to blocks, and each block sends one record per d
 so a bucket gets one record per block of a passage that a third of all documents share. What comes back is keyed the same
 way; the block finds the places again from its texts.
 
-Defined results: null text is empty. Documents under `length` bytes keep everything. A document that occurs twice, even
+With `words`, strings of that many words that are shorter than `length` bytes and start anywhere else go too: each block sends
+one 128-bit digest per distinct such string it holds, and gets back those that occur twice. A word is a run of bytes other
+than space and \\t..\\r, and the string ends with its last word, so separators inside it count and those around it don't.
+
+Defined results: null text is empty. Without `words`, documents under `length` bytes keep everything. A document that occurs twice, even
 as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
 and text), so each row is judged by its own text. Further columns are read only if they are named in `carry`. Removal may
 cut a character in two, so `kept` is binary; as text (`decode`) it leaves out what remains of such a character.
@@ -38,6 +42,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
 
 _CLOSED, _OPEN = 1, 2
+_SECOND = np.random.default_rng(20250102).integers(1, 2**63, 256, dtype=np.uint64) * t.U(2) + t.U(1)
 
 
 class Spans:
@@ -195,7 +200,45 @@ def _neighbours():
     return run
 
 
-def _removal(length, gram, decode, carry):
+def word_strings(texts: pa.Array, words: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start, end and two hashes of every string of `words` words that is shorter than `length` bytes."""
+    parts = [(np.zeros(0, np.int64),) * 3 + (np.zeros((0, 2), np.uint64),)]
+    for i, _, data, offs in t.text_chunks(texts, 1 << 20):
+        start, end, row = t.word_bounds(data, offs)
+        if len(start) < words:
+            continue
+        n = len(start) - words + 1
+        at = np.flatnonzero((row[:n] == row[words - 1 :]) & (end[words - 1 :] - start[:n] < length))
+        if len(at):
+            a, b, row = start[at], end[at + words - 1], row[at]
+            hashes = [t.slice_hash(sums, a, b) for sums in (t.byte_prefix(data), t.prefix(_SECOND[data]))]
+            parts.append((i + row, a - offs[row], b - offs[row], np.stack(hashes, axis=1)))
+    row, start, end, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return row, start, end, hashes
+
+
+def _word_strings(words, length):
+    def run(batches):
+        for batch in batches:
+            row, _, _, hashes = word_strings(batch.column(1), words, length)
+            keys = [x.tobytes() for x in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(keys, pa.binary())], ["block", "short"])
+
+    return run
+
+
+def _found_strings(docs: pa.Table, marks: pa.Table, words: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of the block's word strings that are marked."""
+    asked = t.unpacked(marks, "short", np.uint64).reshape(-1, 2)
+    if not len(asked):
+        return (np.zeros(0, np.int64),) * 3
+    asked = asked[np.argsort(asked[:, 0])]
+    row, start, end, hashes = word_strings(docs.column("text"), words, length)
+    hit = (asked[np.minimum(np.searchsorted(asked[:, 0], hashes[:, 0]), len(asked) - 1)] == hashes).all(axis=1)
+    return row[hit], start[hit], end[hit]
+
+
+def _removal(length, gram, decode, carry, words):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string() if decode else pa.binary()), ("spans", _SPANS)])
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
@@ -207,6 +250,7 @@ def _removal(length, gram, decode, carry):
     def judged(docs: pa.Table, marks: pa.Table) -> pa.Table:
         owner = start = end = np.zeros(0, np.int64)
         if marks.num_rows:
+            more = _found_strings(docs, marks, words, length) if words else None
             spans = Spans(docs, length, gram)
             kind = _marked(spans, *_marks(marks))
             shut = np.flatnonzero(kind & _CLOSED)
@@ -217,6 +261,8 @@ def _removal(length, gram, decode, carry):
             owner = np.concatenate((spans.row[shut], spans.row[span]))
             start = np.concatenate((spans.low[shut], pos))
             end = np.concatenate((spans.low[shut] + spans.more[shut], pos)) + length
+            if more:
+                owner, start, end = (np.concatenate(x) for x in zip((owner, start, end), more, strict=True))
             order = np.argsort(owner, kind="stable")
             owner, start, end = owner[order], start[order], end[order]
         rows = []
@@ -256,9 +302,11 @@ def sampled_splitters(rows: DataFrame, length: int, n: int) -> list[int]:
     return out
 
 
-def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192, decode: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192, words: int = 0, decode: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Removes every byte covered by a `length`-byte string that also starts anywhere else, in any document.
 
+    With `words` also every byte covered by a string of so many words, under `length` bytes, that starts anywhere else.
+
     Returns doc_id, n_bytes, n_removed, kept (the remaining bytes), spans (the maximal removed runs) and the columns in carry.
     """
     n = t.partitions(docs.sparkSession)
@@ -272,8 +320,14 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, gram, splitters), "bucket int, lead binary, digest binary, asked binary, block int")
     repeats = suffixes.groupBy("bucket").applyInArrow(_neighbours(), "block int, digest binary, kind binary, found binary")
     both = marks.withColumn("found", F.lit(b"")).unionByName(repeats)
+    if words:
+        held = rows.select(block, "text").mapInArrow(_word_strings(words, length), "block int, short binary").groupBy("block", "short").agg(F.count(F.lit(1)).alias("n"))
+        twice = held.groupBy("short").agg(F.sum("n").alias("n")).where("n > 1").select("short")
+        none = F.lit(b"")
+        again = held.join(twice, "short", "left_semi").select("block", none.alias("digest"), none.alias("kind"), none.alias("found"), "short")
+        both = both.withColumn("short", none).unionByName(again)
     fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed")]
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
     fields += [T.StructField("kept", T.StringType() if decode else T.BinaryType()), T.StructField("spans", spans)]
     fields += [T.StructField(c, docs.schema[c].dataType) for c in carry]
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, gram, decode, list(carry)), T.StructType(fields))
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, gram, decode, list(carry), words), T.StructType(fields))

@@ -13,8 +13,10 @@ from cohortlens.llm.source_mixing import mix_sources
 from cohortlens.llm.suffix_dedup import suffix_dedup
 from cohortlens.llm.toxicity import toxicity_scores
 
-#: Bytes of the shortest repeat that is cut: about 40 words, so that passages of 50 words are found in any language here.
+#: Bytes of the shortest repeat that is cut whatever its words.
 REPEAT = 240
+#: Words of the shortest repeat under REPEAT bytes that is cut: passages of over 50 words are found however short the words are.
+REPEAT_WORDS = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -32,11 +34,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts strings of REPEAT bytes or more that occur elsewhere out of the texts; every document stays.
+    """Cuts strings of REPEAT bytes or more, or of REPEAT_WORDS words or more, that occur elsewhere out of the texts; every document stays.
 
-    A cut inside a character leaves out what remains of it.
+    Under REPEAT bytes a repeat stays if it has fewer words between white space (text written without spaces is one word), if its
+    white space differs, or if its first or last word is joined to other text and 50 are left. A cut inside a character leaves out what remains of it.
     """
-    cut = suffix_dedup(docs, length=REPEAT, gram=REPEAT // 2, decode=True, carry=["lang", "source"])
+    cut = suffix_dedup(docs, length=REPEAT, gram=REPEAT // 2, words=REPEAT_WORDS, decode=True, carry=["lang", "source"])
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("bigint").alias("n_chars"))
 
 

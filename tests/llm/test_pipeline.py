@@ -67,3 +67,14 @@ def test_packing_follows_the_slots_over_several_files(spark, tmp_path):
             spark.conf.unset(k)
     ranges = [(min(x), max(x)) for _, x in sorted(found.items())]
     assert len(ranges) > 2 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_suffix_stage_cuts_fifty_one_short_words_but_no_short_line(spark):
+    """Passages under REPEAT bytes go from 51 words on; 50 words, or a line of few words, stay."""
+    passage, fifty, line = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("", 51), ("b", 50), ("line-of-few-long-words-", 8)))
+    assert max(len(passage), len(fifty), len(line)) < p.REPEAT
+    texts = [f"one {passage}\ttail one", f"another beginning {passage} é", f"x {fifty} y", f"z {fifty} w", f"{line}\nfirst", f"{line}\nsecond", "7 " * 60, None]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    got = {r.doc_id: (r.text, r.n_chars) for r in p.suffix_array_dedup(spark, docs, "").collect()}
+    want = ["one \ttail one", "another beginning  é", *texts[2:6], " ", ""]
+    assert got == {i: (x, len(x)) for i, x in enumerate(want)}
