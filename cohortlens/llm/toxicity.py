@@ -13,15 +13,18 @@ probabilities. These four numbers are the documented bounds; every text is score
 
 Defined results: null or empty text has no features and gets the bias' score. Null doc_id rows are scored and held_out is null; labels
 with null doc_id or null toxic are ignored; repeated labels count as toxic if any is. If there is no toxic training row the
-score is the prior 0 for all. Only named columns are read. An empty table gives an empty result.
+score is the prior 0 for all. Further columns are read only if they are named in `carry`. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textnp as t
 from .shared import stored
@@ -152,7 +155,7 @@ def fit_line(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _score(values, weights, bias):
+def _score(values, weights, bias, carry):
     def run(batches):
         vocabulary = Vocabulary(values)
         aligned = weights[np.argsort(values)]
@@ -162,7 +165,8 @@ def _score(values, weights, bias):
                 found = vocabulary.find(h)
                 rows, found = _distinct(rows[found >= 0], found[found >= 0])
                 z = np.bincount(rows, aligned[found], j - i) + bias
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], ["doc_id", "score"])
+                carried = [batch.column(c).slice(i, j - i) for c in carry.values()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40)))), *carried], ["doc_id", "score", *(f"carried_{c}" for c in carry)])
 
     return run
 
@@ -171,9 +175,11 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int = 3000, unlabelled: int = 6000, calibration: int = 6000, n_features: int = 500, threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score in 0..1, predicted (score >= threshold) for every document."""
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int = 3000, unlabelled: int = 6000, calibration: int = 6000, n_features: int = 500, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, held_out, score in 0..1, predicted (score >= threshold) and the columns in carry for every document."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    carried = [F.col(c).alias(f"carried_{c}") for c in carry if c != text]
+    every = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *carried)
     train = remainder(F.col("doc_id")) != 1
     known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.max(toxic).alias("toxic")).where(train)
     first = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -201,5 +207,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
             labelled = [r for r in sets if r["known"] is not None]
             slope, shift = fit_line(np.array([weights[r["at"]].sum() + bias for r in labelled]), np.array([r["known"] for r in labelled], float))
             weights, bias = slope * weights, slope * bias + shift
-    scored = rows.mapInArrow(_score(names, weights, bias), "doc_id bigint, score double")
-    return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())]
+    places = {c: "text" if c == text else f"carried_{c}" for c in carry}
+    fields += [T.StructField(f"carried_{c}", every.schema[place].dataType) for c, place in places.items()]
+    scored = every.mapInArrow(_score(names, weights, bias, places), T.StructType(fields))
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", predicted, *(F.col(f"carried_{c}").alias(c) for c in carry))

@@ -20,17 +20,28 @@ REPEAT_WORDS = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs and _key, 64 bits of a hash of all columns: equal rows share it, and so their verdict."""
+    return docs.select(*COLUMNS, F.xxhash64(*COLUMNS, *(F.isnull(c) for c in COLUMNS)).alias("_key"))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score 0.7 or more; the classifier learns from labels of documents that are not held out."""
+    """Drops rows that score 0.7 or more; the classifier learns from labels of documents that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    gone = toxicity_scores(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    gone = toxicity_scores(keyed(docs), labels, carry=["_key"]).where("predicted = 1").select("_key").distinct()
+    return keyed(docs).join(gone, "_key", "left_anti").select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies (five-word shingles, 0.8 or more)."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    """Keeps the document with the smallest doc_id of each group of near copies (five-word shingles, 0.8 or more).
+
+    Rows and not ids are judged: null ids come last in a group, and of equal rows one stays.
+    """
+    rows = keyed(docs)
+    found = near_duplicates(rows, doc_id="_key").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_key")
+    first = rows.select("doc_id", "_key").join(found, "_key").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select("first._key"), "_key", "left_semi").distinct().select(COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

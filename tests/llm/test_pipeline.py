@@ -78,3 +78,19 @@ def test_suffix_stage_cuts_fifty_one_short_words_but_no_short_line(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in p.suffix_array_dedup(spark, docs, "").collect()}
     want = ["one \ttail one", "another beginning  é", *texts[2:6], " ", ""]
     assert got == {i: (x, len(x)) for i, x in enumerate(want)}
+
+
+def test_stages_judge_rows_and_keep_one_of_equal_ones(spark, tmp_path):
+    """Null ids, repeated rows and an id with a clean and a toxic text, through the first three stages."""
+    rows, _, labels, _ = tables(spark, 240)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    text = {c: " ".join(f"{c}{i}w" for i in range(90)) for c in "abcdef"}
+    foul = text["d"] + "".join(f" {w}" for w in INSULTS * 3)
+    special = [(None, foul), (None, text["a"]), (None, text["a"]), (5000, text["b"]), (5000, text["b"]), (None, text["b"] + " end"), (5001, text["c"]), (5001, foul), (5002, text["e"]), (5002, text["f"]), (5003, text["e"] + " end"), (None, None), (5004, ""), (5004, "")]
+    whole = [(i, x, "en", "s", len(x or "")) for i, x in [(r[0], r[1]) for r in rows if r[0] is not None] + special]
+    now = spark.createDataFrame(whole, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    for _, stage in p.STAGES[:3]:
+        now = stage(spark, now, str(tmp_path)).cache()
+    got = [(r.doc_id, r.text) for r in now.collect() if r.doc_id is None or r.doc_id >= 5000]
+    want = [(None, text["a"]), (5000, text["b"]), (5001, text["c"]), (5002, text["e"]), (5002, text["f"]), (None, ""), (5004, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
