@@ -7,7 +7,9 @@ held out: the smallest number of parts in which these vectors find `recall` of t
 of probes, so clustered vectors need few and formless ones many. Everything else runs over all rows: the network deals every row
 to its most probable part, a query goes to its most probable parts and all vectors there are reranked by the exact inner
 product. Parts that hold more than `chunk` rows are split by hash of the id,
-so one frequent vector doesn't make one large task.
+so one frequent vector doesn't make one large task, and queries by hash into groups of about QUERIES_PER_GROUP: a task gets one
+split of a part and one group. Rows and queries are counted once before: from 16 * PART_ROWS rows on, `parts` grows with the
+rows, as far as the sample holds 64 vectors a part.
 
 Measure recall with recall_at() against exact search.
 
@@ -23,7 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import exact_scores, finite, matrix, merged
+from . import textnp as t
+from .vectors import QUERIES_PER_GROUP, exact_scores, finite, matrix, merged
+
+
+#: Rows a part, from which on there are more parts.
+PART_ROWS = 65_536
 
 
 def neighbour_graph(points: np.ndarray, k: int) -> np.ndarray:
@@ -176,7 +183,9 @@ def approximate_topk(rows: DataFrame, queries: Column, *, k: int = 20, vec_id: s
     dim = int(np.bincount(lengths).argmax()) if len(lengths) else 0
     valid = valid.where(F.size("vector") == dim)
     points = np.array([x for x in drawn.column("vector").to_pylist() if len(x) == dim], float).reshape(-1, max(dim, 1))
-    parts = max(1, min(parts, len(points) // 64))
+    n_rows, n_queries = valid.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
+    parts = max(1, min(max(parts, n_rows // PART_ROWS), len(points) // 64))
+    groups = max(1, -(-n_queries // QUERIES_PER_GROUP))
     held = len(points) // 8
     router = fit_router(points[held:], parts)
     probes = probes_for(router, points[held:], points[:held], parts, k, recall)
@@ -185,8 +194,10 @@ def approximate_topk(rows: DataFrame, queries: Column, *, k: int = 20, vec_id: s
     sizes = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
     held = placed.join(F.broadcast(sizes), "part").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
     asked = routed.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("parts").alias("part")).dropDuplicates(["query_id", "part"])
-    asked = asked.join(F.broadcast(sizes), "part").select("query_id", "query", F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q_salt"))
-    found = held.select("part", "salt", "vec_id", "vector").groupBy("part", "salt").cogroup(asked.groupBy("q_part", "q_salt")).applyInArrow(_rerank(dim, k), "query_id bigint, vec_id bigint, score double")
+    group = t.block_of(F.xxhash64("query_id"), groups).alias("q_group")
+    asked = asked.join(F.broadcast(sizes), "part").select("query_id", "query", F.col("part").alias("q_part"), group, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q_salt"))
+    dealt = held.select("part", "salt", "vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    found = dealt.groupBy("part", "salt", "group").cogroup(asked.groupBy("q_part", "q_salt", "q_group")).applyInArrow(_rerank(dim, k), "query_id bigint, vec_id bigint, score double")
     return merged(found, k)
 
 

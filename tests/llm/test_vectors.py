@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlens.llm import ann
 from cohortlens.llm.ann import approximate_topk, balanced_parts, fit_router, neighbour_graph, probes_for, recall_at
 from cohortlens.llm.exact_topk import KdTree, exact_topk
 
@@ -88,3 +89,32 @@ def test_parts_are_balanced():
 @pytest.mark.parametrize("search", [exact_topk, approximate_topk])
 def test_empty_tables(spark, search):
     assert search(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_approximate_topk_bounds_the_queries_of_a_task(spark, monkeypatch):
+    _, df = table(spark)
+    search = lambda: sorted(map(tuple, approximate_topk(df, F.col("vec_id") % 2 == 0, k=5, parts=4, chunk=120).collect()))
+    whole, rerank = search(), ann._rerank
+
+    def checked(dim, k):
+        run = rerank(dim, k)
+
+        def bounded(rows, queries):
+            assert queries.num_rows <= 90, queries.num_rows
+            return run(rows, queries)
+
+        return bounded
+
+    monkeypatch.setattr(ann, "_rerank", checked)
+    monkeypatch.setattr(ann, "QUERIES_PER_GROUP", 50)
+    assert whole and search() == whole
+
+
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    _, df = table(spark)
+    seen, fit = [], ann.fit_router
+    monkeypatch.setattr(ann, "fit_router", lambda points, parts: seen.append(parts) or fit(points, parts))
+    for rows in (10_000, 100):
+        monkeypatch.setattr(ann, "PART_ROWS", rows)
+        approximate_topk(df, F.col("vec_id") % 20 == 0, parts=3)
+    assert seen == [3, 7]
