@@ -6,15 +6,13 @@ fills its last bin, so every coordinate fills after 2 * bins rounds at most, mos
 coordinates are concentrated like independent MinHash values.
 
 Links. Documents with equal shingle sets are one class with its smallest doc_id as representative. Representatives that
-agree in all rows of a band share a bucket, and a bucket isn't expanded into all pairs: first its members are compared
-with its smallest one and the links found are contracted. Only buckets that still hold several components go on, in
-blocks of CHUNK x CHUNK members. A block finds, by the number of equal coordinates (one byte of each), which members of
-different components may be linked - each pair in the first band it shares alone - and gives one row for each such member
-with its partners. Their full sets of 64-bit shingle hashes then meet in the block's second task, which gives back the
-links that join its components. Every link is confirmed on full sets.
+agree in all rows of a band share a bucket, and a bucket isn't expanded into all pairs. Its members are compared with its
+pivot, the one with the most company over all bands (among near copies of one text the least edited one), and the links found are
+contracted. Buckets that still hold several components get further pivots from outside the largest while those find links, and
+then members of different components are compared exactly, by a prefix filter on rare shingles that loses no link (by_rare_shingles). Every link is confirmed on full sets of 64-bit
+shingle hashes; no candidate is dropped by an estimate.
 
-With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket once in 8 million, and agrees in fewer than ALIKE of its
-coordinates once in a billion.
+With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket once in 8 million.
 
 Defined results: null or empty text, or no words: no shingles, its own component. Fewer words than a shingle: the whole
 sequence is the one shingle. Null doc_id: component_id null and kept, linked with nothing. Equal rows share their
@@ -26,15 +24,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnp as t
 from .shared import stored
 
-CHUNK = 512
-BIT_BYTES = 64 << 20
-ALIKE = 0.63
+#: Further pivots a mixed bucket gets at most; what they leave is compared by rare shingles, so no link depends on it.
+ROUNDS = 3
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -86,11 +83,11 @@ def band_keys(sketch: np.ndarray, per_band: int) -> np.ndarray:
     return t.mix(keys + np.arange(bins // per_band, dtype=np.uint64) * t.U(0x9E3779B97F4A7C15))
 
 
-_SKETCH = "doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>, sketch binary"
+_SKETCH = "doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>"
 
 
 def _sketch(k, bins, per_band):
-    names = ["doc_id", "n_shingles", "low", "high", "bands", "sketch"]
+    names = ["doc_id", "n_shingles", "low", "high", "bands"]
 
     def run(batches):
         for batch in batches:
@@ -103,11 +100,10 @@ def _sketch(k, bins, per_band):
                     sizes[rows[start]] = count
                     low[rows[start]] = np.add.reduceat(t.mix(h), start)
                     high[rows[start]] = np.add.reduceat(t.mix(h ^ t.U(0xA5A5A5A55A5A5A5A)), start)
-                sketch = sketches(rows, h, n, bins)
-                keys = band_keys(sketch, per_band)
+                keys = band_keys(sketches(rows, h, n, bins), per_band)
                 flat = pa.array(keys.view(np.int64).reshape(-1))
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * keys.shape[1]), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), *(pa.array(x.view(np.int64)) for x in (sizes, low, high)), bands, pa.array([x.tobytes() for x in sketch.astype(np.uint8)], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), *(pa.array(x.view(np.int64)) for x in (sizes, low, high)), bands], names)
 
     return run
 
@@ -117,107 +113,26 @@ def _sets(k):
         for batch in batches:
             for i, j, data, offs in t.text_chunks(batch.column(1)):
                 rows, h = shingle_sets(data, offs, k)
-                bounds = np.searchsorted(rows, np.arange(j - i + 1)) * 8
-                hashes = pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(h)])
+                bounds = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
+                hashes = pa.ListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), hashes], ["doc_id", "hashes"])
 
     return run
 
 
-def _partners(part, whole):
-    schema = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("rep", pa.int64()), ("partners", pa.binary())])
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        """Members of one block that may be linked across components, with those of larger place they may be linked to."""
-        _, i, j = (k.as_py() for k in key)
-        rep, n, component, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
-        band = table.column("band")[0].as_py()
-        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)[:, :band]
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        found = []
-        for start in range(0, len(left), 64):
-            x = left[start : start + 64, None]
-            fits = (component[x] != component[right]) & (whole * np.minimum(n[x], n[right]) >= part * np.maximum(n[x], n[right]))
-            if i == j:
-                fits &= rep[x] < rep[right]
-            a, b = np.nonzero(fits)
-            a, b = x[a, 0], right[b]
-            for at in range(0, len(a), 20_000):
-                p, q = a[at : at + 20_000], b[at : at + 20_000]
-                near = (sketch[p] == sketch[q]).sum(axis=1) >= ALIKE * sketch.shape[1]
-                p, q = p[near], q[near]
-                first = ~(bands[p] == bands[q]).any(axis=1)
-                found.append((p[first], q[first]))
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-        members = np.unique(np.concatenate((a, b)))
-        order = np.argsort(a, kind="stable")
-        bounds = np.searchsorted(a[order], members), np.searchsorted(a[order], members, "right")
-        lists = [rep[b[order[x:y]]].tobytes() for x, y in zip(*bounds, strict=True)]
-        fixed = [pa.array([k.as_py()] * len(members), kind) for k, kind in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
-        return pa.Table.from_arrays([*fixed, pa.array(rep[members]), pa.array(lists, pa.binary())], schema=schema)
-
-    return run
-
-
-def _links(part, whole):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(table: pa.Table) -> pa.Table:
-        """Links among a block's members and their partners that join them into components."""
-        rep = table.column("rep").to_numpy()
-        order = np.argsort(rep)
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = np.cumsum(count > 1) - 1
-        width = -(-int((count > 1).sum()) // 8)
-        bits = None
-        if width * len(rep) <= BIT_BYTES:
-            grid = np.zeros((len(rep), width * 8), bool)
-            member = np.repeat(np.arange(len(rep)), size)
-            keep = count[at] > 1
-            grid[member[keep], shared[at[keep]]] = True
-            bits = np.packbits(grid, axis=1)
-        root = list(range(len(rep)))
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        out = []
-        for x, partners in enumerate(table.column("partners").to_pylist()):
-            if not partners:
-                continue
-            others = order[np.searchsorted(rep, np.frombuffer(partners, np.int64), sorter=order)]
-            if bits is not None:
-                common = np.bitwise_count(bits[others] & bits[x]).sum(axis=1, dtype=np.int64)
-            else:
-                common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for y in others])
-            for y in others[whole * common >= part * (size[others] + size[x] - common)].tolist():
-                a, b = find(x), find(y)
-                if a != b:
-                    root[a] = b
-                    out.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
-        return pa.Table.from_arrays([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], schema=schema)
-
-    return run
-
-
 def _confirm(part, whole):
     """Of rows (a, b, sets of both) those pairs whose sets' intersection is at least part / whole of their union."""
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            sides = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column("left"), batch.column("right"))]
+            keep = np.zeros(batch.num_rows, bool)
+            for row in range(batch.num_rows):
+                x, y = (values[at[row] : at[row + 1]] for at, values in sides)
                 both = np.sort(np.concatenate((x, y)), kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
-                keep.append(whole * common >= part * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                keep[row] = whole * common >= part * (len(x) + len(y) - common)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -240,6 +155,28 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
+def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """Pairs (a, b) of different components that can be linked: none that can is missing.
+
+    placed holds (key, rep, n, component, top) of mixed buckets. Outside the largest component of its bucket, top, a member is
+    `minor`, and every pair asked for holds one. Shingles are put in one order: those that can't be shared with a minor set first,
+    then from the rarest on. With the first shingle that two sets share, only those `later` in either can be shared: so only sets
+    that share an early shingle are paired, and their sizes and places must leave room for a link.
+    """
+    minor = placed.groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.max(F.col("component") != F.col("top")).alias("minor"))
+    single = stored(minor.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "component", "minor", F.explode("hashes").alias("shingle")), "shingles")
+    held = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.max("minor").alias("wanted")).where("held > 1 and wanted").drop("wanted")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("held"), F.desc("shingle")))
+    known = single.join(held, "shingle").withColumn("later", place - 1)
+    early = known.where((F.col("later") + 1) * whole >= F.col("n") * part).select("shingle", "rep", "n", "component", "minor", "later")
+    early = stored(early, "early")
+    right = early.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "component", "later", "minor")))
+    room = (F.least("later", "later_b") + 1) * (part + whole) >= (F.col("n") + F.col("n_b")) * part
+    once = ~F.col("minor_b") | (F.col("rep") < F.col("rep_b"))
+    pairs = early.where("minor").drop("minor").join(right, "shingle").where((F.col("component") != F.col("component_b")) & once & room)
+    return pairs.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, part: int = 80, whole: int = 100, bands: int = 40, per_band: int = 5) -> DataFrame:
     """Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (it is that document).
 
@@ -248,35 +185,50 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketched = stored(rows.mapInArrow(_sketch(shingle, bands * per_band, per_band), _SKETCH), "sketches")
     filled = sketched.where("n_shingles > 0 and doc_id is not null")
-    same = filled.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    same = filled.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(same, "classes")
-    single = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
-    shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("pivot")).where("size > 1")
-    members = stored(single.join(shared, "key").select("key", "band", "size", "pivot", "rep", "n"), "buckets")
-    sets = stored(rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(shingle), "doc_id bigint, hashes binary"), "sets")
+    single = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    together = stored(single.join(shared, "key"), "buckets")
+    central = together.groupBy("rep").agg(F.sum("size").alias("weight"))
+    members = stored(together.join(central, "rep").select("key", "rep", "n", "weight"), "members")
+    sets = stored(rows.join(central.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(shingle), "doc_id bigint, hashes array<bigint>"), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links of the pairs (a, b), once their sizes allow one."""
+        """Links among the pairs (a, b)."""
         left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right"))
         return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirm(part, whole), "a bigint, b bigint"), "links")
 
-    def possible(a: str, b: str):
-        return (F.least(a, b) * whole) >= (F.greatest(a, b) * part)
-
-    sizes = members.select(F.col("rep").alias("pivot"), F.col("n").alias("n_pivot")).distinct()
-    pairs = members.where("rep <> pivot").select("pivot", "rep", "n").distinct().join(sizes, "pivot").where(possible("n", "n_pivot"))
-    links = confirmed(pairs.select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+    def with_pivots(placed: DataFrame) -> DataFrame:
+        """Pairs (a, b) of each bucket's pivot, the weightiest outside the component `top`, with members it isn't linked to yet."""
+        weight = F.when(F.col("component").eqNullSafe(F.col("top")), -1).otherwise(F.col("weight"))
+        centre = F.max(F.struct(weight.alias("weight"), (-F.col("rep")).alias("minus"), "n", "component")).alias("p")
+        pivots = placed.groupBy("key").agg(centre).select("key", (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("n_pivot"), F.col("p.component").alias("c_pivot"))
+        fits = (F.col("component") != F.col("c_pivot")) & (F.least("n", "n_pivot") * whole >= F.greatest("n", "n_pivot") * part)
+        return placed.join(pivots, "key").where(fits).select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
+
+    def several(placed: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with theirs and the bucket's largest, `top`."""
+        known = labels.withColumnRenamed("node", "rep")
+        placed = stored(placed.select("key", "rep", "n", "weight").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
+        parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+        largest = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        return stored(placed.join(largest.where("parts > 1").select("key", F.col("top.component").alias("top")), "key"), "mixed")
+
+    links = confirmed(with_pivots(members.withColumns({"component": F.col("rep"), "top": F.lit(None).cast("bigint")})))
     labels = components(links)
-    placed = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    blocks = placed.join(mixed, "key").join(classes.select("rep", "sketch", "bands"), "rep").withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("rep"), chunks).cast("int")})
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
-    blocks = blocks.select("key", "i", "j", "band", "rep", "n", "component", "chunk", "sketch", "bands")
-    near = blocks.groupBy("key", "i", "j").applyInArrow(_partners(part, whole), "key bigint, i int, j int, rep bigint, partners binary")
-    met = near.join(sets.withColumnRenamed("doc_id", "rep"), "rep").groupBy("key", "i", "j").applyInArrow(_links(part, whole), "a bigint, b bigint")
-    labels = components(links.union(stored(met, "links")))
+    placed = several(members, labels)
+    for _ in range(ROUNDS):
+        more = confirmed(with_pivots(placed))
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = components(links)
+        placed = several(placed, labels)
+    more = confirmed(by_rare_shingles(placed, sets, part, whole))
+    if not more.isEmpty():
+        labels = components(links.union(more))
     named = classes.select("low", "high", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("class_component"))
     out = sketched.select("doc_id", "n_shingles", "low", "high").join(named, ["low", "high", "n_shingles"], "left")

@@ -73,6 +73,36 @@ def test_near_duplicates_follow_links_between_members(spark):
     assert len(set(got.values())) == 2
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_of_one_large_group(spark, seed):
+    """3,000 copies of one text with up to 40 words replaced, by which some lose all links: every component as by brute force."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 400, 150)
+    texts = []
+    for i in range(3000):
+        now = base.copy()
+        at = rng.choice(150, rng.integers(0, 20 + 20 * (i % 3)), replace=False)
+        now[at] = rng.integers(0, 60, len(at)) + 1000 * (i % 2)
+        texts.append(now)
+    rows = [(i, " ".join(f"w{x}" for x in now)) for i, now in enumerate(texts)]
+    pairs = np.array([x[:-1] * 10_000 + x[1:] for x in texts])
+    _, at = np.unique(pairs, return_inverse=True)
+    grid = np.zeros((len(rows), at.max() + 1), np.float32)
+    grid[np.arange(len(rows))[:, None], at.reshape(pairs.shape)] = 1
+    common, size = grid @ grid.T, grid.sum(axis=1)
+    linked = 100 * common >= 80 * (size[:, None] + size - common)
+    label = np.arange(len(rows))
+    while True:
+        least = np.array([label[x].min() for x in linked])
+        if (least == label).all():
+            break
+        label = least
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), shingle=2).collect()}
+    assert got == dict(enumerate(label.tolist())) and 100 < len(set(got.values())) < 2900
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     assert {r.node: r.component for r in components(edges).collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100}
