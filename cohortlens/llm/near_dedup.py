@@ -138,21 +138,43 @@ def _confirm(part, whole):
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, component): the smallest node reachable, by repeated minimum over neighbours and pointer jumps.
+    """(node, component): the smallest node reachable, by repeated contraction.
 
-    Every round is written to the shared folder; the number of rounds grows with the logarithm of the longest chain.
+    Each node goes to the one of itself and its neighbours that has the most links (of equals the one with the largest hash, which
+    differs each round), and only links between different targets go on: a star is gone after one round and a chain shrinks by a
+    fraction of its length. Every round is written to the shared folder.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), name)
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), name)
+    edges, maps = edges.select("a", "b").distinct(), []
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        up = step.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        step = stored(step.join(up, "component").select("node", "was", F.col("up").alias("component")), name)
-        moved = step.where(F.col("was") != F.col("component")).limit(1).count()
-        labels = step.select("node", "component")
-        if not moved:
-            return labels
+        both = edges.union(edges.select("b", "a"))
+        order = F.xxhash64("b", F.lit(len(maps)))
+        degree = both.groupBy("b").agg(F.count(F.lit(1)).alias("degree")).select("b", F.struct("degree", order.alias("turn"), "b").alias("rank"))
+        own = F.struct(F.count(F.lit(1)).alias("degree"), F.xxhash64("a", F.lit(len(maps))).alias("turn"), F.col("a").alias("b"))
+        best = both.join(degree, "b").groupBy("a").agg(F.greatest(F.max("rank"), own).alias("best"))
+        step = stored(best.select(F.col("a").alias("node"), F.col("best.b").alias("target")), name)
+        maps.append(step)
+        ends = [step.select(F.col("node").alias(x), F.col("target").alias(f"{x}_target")) for x in ("a", "b")]
+        moved = edges.join(ends[0], "a").join(ends[1], "b").where("a_target <> b_target")
+        edges = stored(moved.select(F.least("a_target", "b_target").alias("a"), F.greatest("a_target", "b_target").alias("b")).distinct(), name)
+        if edges.isEmpty():
+            break
+    roots = maps.pop().withColumnRenamed("target", "root")
+    for step in reversed(maps):
+        known = roots.select(F.col("node").alias("target"), "root")
+        roots = step.join(known, "target", "left").select("node", F.coalesce("root", "target").alias("root"))
+    return stored(roots.join(roots.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component"), name)
+
+
+def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after further links (a, b): only the components that these join are looked at again."""
+    if links.isEmpty():
+        return labels
+    for x in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(x), "component"), x, "left").withColumn(x, F.coalesce("component", x)).drop("component")
+    again = components(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    now = again.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    old = labels.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return stored(old.union(again.join(labels, "node", "left_anti")), "labels")
 
 
 def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -223,12 +245,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         more = confirmed(with_pivots(placed))
         if more.isEmpty():
             break
-        links = links.union(more)
-        labels = components(links)
+        labels = merged_labels(labels, more)
         placed = several(placed, labels)
-    more = confirmed(by_rare_shingles(placed, sets, part, whole))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    labels = merged_labels(labels, confirmed(by_rare_shingles(placed, sets, part, whole)))
     named = classes.select("low", "high", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("class_component"))
     out = sketched.select("doc_id", "n_shingles", "low", "high").join(named, ["low", "high", "n_shingles"], "left")
