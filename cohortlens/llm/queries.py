@@ -37,8 +37,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup(_read(spark, sf_dir, "documents"), length=400)
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """Removal goes by strings of 400 bytes alone; n_in_passages counts the bytes of repeated passages of 51 words and more, too."""
+    out = suffix_dedup(_read(spark, sf_dir, "documents"), length=400, words=51, cut_words=False)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_in_passages")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,29 +1,32 @@
 """Exact removal of repeated byte strings by a sparse, range-partitioned suffix array.
 
 A string of `length` bytes that occurs twice is a pair of suffixes with that much in common, neighbours in suffix
-order. Sorting all suffixes of a corpus moves hundreds of bytes per byte of text, so the order is refined in two steps:
-
-1. Anchored suffixes. Every `length`-byte string holds the smallest-hashed of its `gram`-byte grams, and equal strings
-   hold it at the same place. Only suffixes at such anchors are dealt and sorted. All strings that share one anchor
-   form its span. Equal spans are repeated as a whole; an anchor that occurs once proves that nothing around it is.
-2. Suffixes of open spans. Where one anchor stands in different spans, each distinct span enters the exact order with
-   all its suffixes. Splitters sampled over all texts range-partition them by leading bytes (ties by digest, so a
-   frequent beginning spreads over partitions); every bucket sorts by several keys - leading bytes, then a 64-bit
-   digest of the full `length` bytes among equals - and neighbours with equal keys are repeats.
-
-Equal suffixes have equal keys and so never straddle a boundary between buckets: that is the comparison across
-boundaries. Documents are dealt to blocks, and each block sends one record per distinct suffix (or anchored span) it holds,
-so a bucket gets one record per block of a passage that a third of all documents share. What comes back is keyed the same
-way; the block finds the places again from its texts.
-
-With `words`, strings of that many words that are shorter than `length` bytes and start anywhere else go too: each block sends
-one 128-bit digest per distinct such string it holds, and gets back those that occur twice. A word is a run of bytes other
-than space and \\t..\\r, and the string ends with its last word, so separators inside it count and those around it don't.
-
-Defined results: null text is empty. Without `words`, documents under `length` bytes keep everything. A document that occurs twice, even
-as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
+order. Dealing every suffix of a corpus to a bucket by its own leading bytes would move `length` bytes per byte of text, so
+suffixes travel together:
+
+1. Anchors. Every `length`-byte string holds the smallest-hashed of its `gram`-byte grams, and equal strings hold it at the
+   same place. All strings that share one anchor form its span. An anchor that occurs once proves that nothing around it
+   is repeated, and spans that are equal (128 bits of digest) are repeated as a whole.
+2. Sorting. Where one anchor stands in different spans, each distinct span goes once to the bucket of its anchor's leading bytes;
+   splitters sampled over all texts bound the buckets. A bucket sorts all suffixes of its spans by multikey quicksort
+   over the texts themselves, eight bytes a step and every tied segment by its next eight, and compares neighbours. Equal
+   suffixes have equal anchors at equal places and so the same leading bytes there: no pair of neighbours with `length` bytes
+   in common straddles a boundary between buckets.
+3. Hot anchors. Where more than HOT distinct spans share an anchor (the edges of a passage that very many documents hold), their
+   suffixes are told apart by 128 bits of digest instead, dealt by it and sent once per block, so that no bucket grows with them.
+
+Documents are dealt to blocks of bounded bytes, and each block sends one record per distinct span it holds, so a bucket gets one
+per block of a passage that a third of all documents share. The block finds the places again from its texts.
+
+With `words`, strings of that many words that are shorter than `length` bytes and occur elsewhere are found in the same way, their
+anchors among grams of WORD_GRAM words. A word is a run of bytes other than space and \\t..\\r, and the string ends with its last
+word, so separators inside it count and those around it don't. They are cut with `cut_words` and else only counted.
+
+Defined results: null text is empty. Documents under `length` bytes keep everything (without `words`). A document that occurs
+twice, even as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
 and text), so each row is judged by its own text. Further columns are read only if they are named in `carry`. Removal may
-cut a character in two, so `kept` is binary; as text (`decode`) it leaves out what remains of such a character.
+cut a character in two, so `kept` is binary; as text (`decode`) it leaves out what remains of such a character. An empty
+table gives an empty result. The texts are read once before, for their size and the splitters.
 """
 
 from __future__ import annotations
@@ -40,27 +43,77 @@ from . import textnp as t
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 
-
-_CLOSED, _OPEN = 1, 2
+#: Bytes of text a block holds (one longer document is a block's share, too), and of all texts a bucket is there for.
+BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 128 << 20
+#: Distinct spans of one anchor from which on they are compared by digest.
+HOT = 1000
+#: Suffixes sorted at a time.
+AT_ONCE = 400_000
+WORD_GRAM = 20
+_CLOSED, _OPEN, _HOT = 1, 2, 4
 _SECOND = np.random.default_rng(20250102).integers(1, 2**63, 256, dtype=np.uint64) * t.U(2) + t.U(1)
 
 
+def multikey_order(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the strings data[at : at + size], and for each place in it whether that string equals the one before.
+
+    Eight bytes are added to data's end by the caller. All tied segments are split by their next eight bytes in one step.
+    """
+    step = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+    order, same = np.arange(len(at)), np.zeros(len(at), bool)
+    live, group, depth, uneven = order.copy(), np.zeros(len(at), np.int64), 0, len(size) > 0 and size.min() < size.max()
+    while len(live):
+        now = order[live]
+        left = np.minimum(size[now] - depth, 9)  # 9: the string goes on after this step
+        key = step[at[now] + depth].astype(np.uint64)
+        if left.min() < 8:
+            key &= ~t.U(0) << (t.U(8) * (8 - np.minimum(left, 8)).astype(np.uint64))
+        inner = group[1:] == group[:-1]
+        odd = inner & ((key[1:] != key[:-1]) | (left[1:] != left[:-1]))
+        if odd.any():
+            split = np.zeros(group[-1] + 1, bool)
+            split[group[1:][odd]] = True
+            some = np.flatnonzero(split[group])
+            by = some[np.lexsort((left[some], key[some], group[some]) if uneven else (key[some], group[some]))]
+            order[live[some]] = now[by]
+            key[some], left[some] = key[by], left[by]
+        tie = inner & (key[1:] == key[:-1]) & (left[1:] == left[:-1])
+        same[live[1:][tie & (left[1:] < 9)]] = True
+        group = np.cumsum(np.concatenate(([True], ~tie))) - 1
+        on = (np.bincount(group)[group] > 1) & (left == 9)
+        live, group = live[on], group[on]
+        group = np.cumsum(_changes(group)) - 1
+        depth += 8
+    return order, same
+
+
 class Spans:
-    """The anchored spans of a block's documents, computed alike wherever the block is."""
+    """The anchored spans of a block's documents, computed alike wherever the block is.
 
-    def __init__(self, docs: pa.Table, length: int, gram: int):
-        self.length, self.texts = length, docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
-        parts = [self._chunk(i, data, offs, gram) for i, _, data, offs in t.text_chunks(self.texts)] if docs.num_rows else []
-        parts = [p for p in parts if p is not None]
-        kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
-        self.key, self.digest, self.row, self.low, self.more = columns
+    A span has its anchor's hash (key), a digest, its row, its first string's place (low: a byte of the row; for strings of words an
+    index into word_start and word_end), how many more strings it has, and the place of its anchor in its text (lead).
+    """
 
-    def _chunk(self, first, data, offs, gram):
+    def __init__(self, docs: pa.Table, length: int, gram: int, words: int):
+        self.length, self.words = length, words
+        self.texts = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
+        kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64, bool)
+        parts, bounds, n_words = [tuple(np.zeros(0, k) for k in kinds)], [(np.zeros(0, np.int64),) * 2], 0
+        for i, _, data, offs in t.text_chunks(self.texts):
+            sums, second = t.byte_prefix(data), t.prefix(_SECOND[data], 1)
+            parts += self._bytes(i, data, offs, sums, second, gram)
+            if words:
+                more, own = self._words(i, data, offs, sums, second, n_words)
+                parts += more
+                bounds.append(own)
+                n_words += len(own[0])
+        self.key, self.digest, self.second, self.row, self.low, self.more, self.lead, self.by_word = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.word_start, self.word_end = (np.concatenate(x) for x in zip(*bounds, strict=True))
+
+    def _bytes(self, first, data, offs, sums, second, gram):
         length = self.length
         if (np.diff(offs) < length).all():
-            return None
-        sums = t.byte_prefix(data)
+            return []
         h = t.gram_hash(sums, gram)
         inside = np.ones(len(data) - length + 1, bool)
         for end, size in zip(offs[1:], np.diff(offs), strict=True):
@@ -70,25 +123,57 @@ class Spans:
         cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         low, high, at = window[cut], window[np.concatenate((cut[1:], [len(window)])) - 1], at[cut]
         row = np.searchsorted(offs, low, "right") - 1
-        digest = t.slice_hash(sums, low, high + length) ^ t.mix((at - low).astype(np.uint64) << t.U(32) | (high - low).astype(np.uint64))
-        return h[at], digest, first + row, low - offs[row], high - low
+        return [self._span(h[at], sums, second, first + row, low, high + length, low - offs[row], high - low, at - low, False)]
 
-    def suffixes(self, chosen: np.ndarray):
-        """(span, pos, lead, digest) of all suffixes of the chosen spans."""
-        out = []
+    def _words(self, first, data, offs, sums, second, before):
+        words = self.words
+        start, end, row = t.word_bounds(data, offs)
+        own = (start - offs[row], end - offs[row]) if len(row) else (start, end)
+        if len(start) < words:
+            return [], own
+        n = len(start) - words + 1
+        window = np.flatnonzero((row[:n] == row[words - 1 :]) & (end[words - 1 :] - start[:n] < self.length))
+        if not len(window):
+            return [], own
+        gram = min(WORD_GRAM, words)
+        h = t.gram_hash(t.prefix(t.slice_hash(sums, start, end)), gram)
+        at = t.leftmost_min(h, words - gram + 1)[window]
+        cut = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1))))
+        low, high, at = window[cut], window[np.concatenate((cut[1:], [len(window)])) - 1], at[cut]
+        a, b = start[low], end[high + words - 1]
+        return [self._span(h[at] ^ t.U(0x5555555555555555), sums, second, first + row[low], a, b, before + low, high - low, start[at] - a, True)], own
+
+    @staticmethod
+    def _span(key, sums, second, row, a, b, low, more, lead, by_word):
+        shape = t.mix(lead.astype(np.uint64) << t.U(32) | more.astype(np.uint64) << t.U(1) | t.U(by_word))
+        return key, t.slice_hash(sums, a, b) ^ shape, t.slice_hash(second, a, b, 1) ^ shape, row, low, more, lead, np.full(len(key), by_word)
+
+    def ends(self, span: np.ndarray, low: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the row from the string at low to the end of the one `more` places on; span tells the kind."""
+        by_word, start, end = self.by_word[span], low.copy(), low + more + self.length
+        if by_word.any():
+            start[by_word], end[by_word] = self.word_start[low[by_word]], self.word_end[(low + more)[by_word] + self.words - 1]
+        return start, end
+
+    def chunks(self, chosen: np.ndarray):
+        """Chosen spans chunk by chunk: the spans, the first row, the chunk's bytes and offsets."""
         for i, j, data, offs in t.text_chunks(self.texts):
             own = chosen[(self.row[chosen] >= i) & (self.row[chosen] < j)]
-            if not len(own):
-                continue
+            if len(own):
+                yield own, i, data, offs
+
+    def suffixes(self, chosen: np.ndarray):
+        """(span, place in it, digest, second digest) of all strings of the chosen spans."""
+        out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2]
+        for own, first, data, offs in self.chunks(chosen):
             size = self.more[own] + 1
             span = np.repeat(own, size)
-            pos = self.low[span] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            at = pos + offs[self.row[span] - i]
-            lead = np.zeros(len(at), np.uint32)
-            for k in range(4):
-                lead = lead << np.uint32(8) | data[at + k]
-            out.append((span, pos, lead, t.slice_hash(t.byte_prefix(data), at, at + self.length)))
-        return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, k) for k in (np.int64, np.int64, np.uint32, np.uint64)]
+            nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            start, end = self.ends(span, self.low[span] + nth, np.zeros(len(nth), np.int64))
+            base = offs[self.row[span] - first]
+            digest = t.slice_hash(t.byte_prefix(data), base + start, base + end)
+            out.append((span, nth, digest, t.slice_hash(t.prefix(_SECOND[data], 1), base + start, base + end, 1)))
+        return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
 def _with_block(batches: list[pa.RecordBatch], block: int, schema: pa.Schema) -> pa.Table:
@@ -100,146 +185,200 @@ def _records(table: pa.Table, item: int, column: str) -> np.ndarray:
     return np.repeat(table.column("block").to_numpy(), [len(x) // item for x in table.column(column).to_pylist()])
 
 
-def _anchors(n, length, gram):
-    schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("key", pa.binary()), ("digest", pa.binary())])
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted columns differs from the one before."""
+    return np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))) if len(columns[0]) else np.zeros(0, bool)
+
+
+def _anchors(buckets, length, gram, words):
+    schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("key", "digest", "second"))])
 
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        spans = Spans(docs, length, gram)
-        order = np.lexsort((spans.digest, spans.key))
-        k, d = spans.key[order], spans.digest[order]
-        start = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))) if len(k) else order
+        spans = Spans(docs, length, gram, words)
+        order = np.lexsort((spans.second, spans.digest, spans.key))
+        k, d, e = spans.key[order], spans.digest[order], spans.second[order]
+        start = np.flatnonzero(_changes(k, d, e))
         count = np.diff(np.concatenate((start, [len(k)])))
-        k, d = k[start], d[start]
+        k, d, e = k[start], d[start], e[start]
         # A span that the block holds twice is sent with its lowest key bit set.
         short = (k >> t.U(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | (count > 1).astype(np.uint32)
-        return _with_block([t.packed((k % t.U(n)).astype(np.int32), {"key": short, "digest": d})], key[0].as_py(), schema)
+        return _with_block([t.packed((k % t.U(buckets)).astype(np.int32), {"key": short, "digest": d, "second": e})], key[0].as_py(), schema)
 
     return run
 
 
-def _classes():
-    schema = pa.schema([("block", pa.int32()), ("digest", pa.binary()), ("kind", pa.binary())])
+_BACK = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c in ("digest", "second", "kind", "span", "bits", "found", "found_second"))])
+_BACK_SQL = "block int, " + ", ".join(f"{c} binary" for c in _BACK.names[1:])
+
+
+def _back(batch: pa.RecordBatch) -> pa.Table:
+    """The columns that blocks get back; those that batch lacks are empty."""
+    for c in _BACK.names:
+        if c not in batch.schema.names:
+            batch = batch.append_column(c, pa.array([b""] * batch.num_rows, pa.binary()))
+    return t.as_table([batch.select(_BACK.names)], _BACK)
 
+
+def _classes():
     def run(table: pa.Table) -> pa.Table:
-        short, digest, block = t.unpacked(table, "key", np.uint32), t.unpacked(table, "digest", np.uint64), _records(table, 4, "key")
+        short, block = t.unpacked(table, "key", np.uint32), _records(table, 4, "key")
+        digest, second = (t.unpacked(table, c, np.uint64) for c in ("digest", "second"))
         key, twice = short >> np.uint32(1), (short & np.uint32(1)).astype(bool)
-        order = np.lexsort((block, digest, key))
-        key, digest, twice, block = key[order], digest[order], twice[order], block[order]
-        new_key = np.concatenate(([True], key[1:] != key[:-1]))
-        start = np.flatnonzero(new_key | np.concatenate(([True], digest[1:] != digest[:-1])))
+        order = np.lexsort((block, second, digest, key))
+        key, digest, second, twice, block = (x[order] for x in (key, digest, second, twice, block))
+        new_key = _changes(key)
+        start = np.flatnonzero(_changes(key, digest, second))
         count = np.diff(np.concatenate((start, [len(key)])))
         of_key = np.cumsum(new_key) - 1
-        different = np.bincount(of_key[start])
+        different = np.bincount(of_key[start])[of_key]
         kind = (np.repeat(count > 1, count) | twice).astype(np.uint8) * _CLOSED
-        kind[start] += (different[of_key[start]] > 1).astype(np.uint8) * _OPEN
+        kind[start] += ((different[start] > 1) & (different[start] <= HOT)).astype(np.uint8) * _OPEN
+        kind[start] += (different[start] > HOT).astype(np.uint8) * _HOT
         hit = kind > 0
-        return t.as_table([t.packed(block[hit], {"digest": digest[hit], "kind": kind[hit]}, "block")], schema)
+        return _back(t.packed(block[hit], {"digest": digest[hit], "second": second[hit], "kind": kind[hit]}, "block"))
 
     return run
 
 
-def _marks(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of a block's marked spans, sorted, and their kinds."""
-    if not table.num_rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-    digest, kind = t.unpacked(table, "digest", np.uint64), t.unpacked(table, "kind", np.uint8)
-    order = np.argsort(digest)
-    return digest[order], kind[order]
+def _marked(spans: Spans, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Kind of each span of the block (0: neither repeated nor open), and its mark: a place in the order of their digests."""
+    digest, second = (t.unpacked(marks, c, np.uint64) for c in ("digest", "second"))
+    if not len(digest):
+        return np.zeros(len(spans.digest), np.uint8), np.zeros(len(spans.digest), np.int64)
+    order = np.lexsort((second, digest))
+    at = np.minimum(np.searchsorted(digest[order], spans.digest), len(digest) - 1)
+    hit = (digest[order[at]] == spans.digest) & (second[order[at]] == spans.second)
+    return np.where(hit, t.unpacked(marks, "kind", np.uint8)[order[at]], 0).astype(np.uint8), at
 
 
-def _marked(spans: Spans, digest: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """Kind of each span of the block; 0: neither repeated nor open."""
-    if not len(digest):
-        return np.zeros(len(spans.digest), np.uint8)
-    at = np.minimum(np.searchsorted(digest, spans.digest), len(digest) - 1)
-    return np.where(digest[at] == spans.digest, kind[at], 0).astype(np.uint8)
+def _firsts(at: np.ndarray, kind: np.ndarray, which: int) -> np.ndarray:
+    """One span for each mark of the kind `which`."""
+    chosen = np.flatnonzero(kind & which)
+    _, first = np.unique(at[chosen], return_index=True)
+    return chosen[first]
 
 
-def _open_suffixes(spans: Spans, kind: np.ndarray):
-    """Suffixes of the block's open spans, one span per digest; those of spans that occur once in the block are asked for."""
-    chosen = np.flatnonzero(kind >= _OPEN)
-    _, first = np.unique(spans.digest[chosen], return_index=True)
-    return spans.suffixes(np.sort(chosen[first]))
+_FIELDS = (("span", np.uint32), ("size", np.uint32), ("lead", np.uint32), ("flags", np.uint8), ("text", np.uint8), ("digest", np.uint64), ("second", np.uint64), ("asked", np.uint8))
+_TO_BUCKETS = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c, _ in _FIELDS)])
 
 
-def _suffixes(length, gram, splitters):
-    schema = pa.schema([("bucket", pa.int32()), ("lead", pa.binary()), ("digest", pa.binary()), ("asked", pa.binary()), ("block", pa.int32())])
+def _open_spans(length, gram, words, splitters, buckets):
     splits = np.array(splitters, np.uint64)
 
+    def texts(spans, kind, at):
+        """One packed row per bucket of the distinct open spans' texts."""
+        chosen = _firsts(at, kind, _OPEN)
+        for every, first, data, offs in spans.chunks(chosen):
+            for i in range(0, len(every), 8192):
+                own = every[i : i + 8192]
+                start, end = spans.ends(own, spans.low[own], spans.more[own])
+                size, base = end - start, offs[spans.row[own] - first] + start
+                lead = np.zeros(len(own), np.uint64)
+                for k in range(7):
+                    lead = lead << t.U(8) | data[base + spans.lead[own] + k]
+                flags = (spans.by_word[own] * 1 + (kind[own] == _OPEN) * 2).astype(np.uint8)
+                bucket = np.searchsorted(splits, lead, "right")
+                order = np.argsort(bucket, kind="stable")
+                own, size, base, flags, bucket = (x[order] for x in (own, size, base, flags, bucket))
+                fields = {"span": at[own].astype(np.uint32), "size": size.astype(np.uint32), "lead": spans.lead[own].astype(np.uint32), "flags": flags}
+                batch = t.packed(bucket, fields)
+                where = np.arange(size.sum()) + np.repeat(base - (np.cumsum(size) - size), size)
+                last = np.flatnonzero(np.concatenate((bucket[1:] != bucket[:-1], [True])))
+                ends = np.concatenate(([0], np.cumsum(size)[last])).astype(np.int32)
+                text = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(data[where])])
+                yield batch.append_column("text", text)
+
     def run(key: tuple, docs: pa.Table, marks: pa.Table) -> pa.Table:
         if not docs.num_rows or not marks.num_rows:
-            return schema.empty_table()
-        docs = docs.select(["text"])
-        spans = Spans(docs, length, gram)
-        kind = _marked(spans, *_marks(marks))
-        span, _, lead, digest = _open_suffixes(spans, kind)
-        _, first, count = np.unique(digest, return_index=True, return_counts=True)
-        asked = ((kind[span[first]] == _OPEN) & (count == 1)).astype(np.uint8)
-        lead, digest = lead[first], digest[first]
-        bucket = np.searchsorted(splits, lead.astype(np.uint64) << t.U(32) | digest >> t.U(32), "right")
-        return _with_block([t.packed(bucket.astype(np.int32), {"lead": lead, "digest": digest, "asked": asked})], key[0].as_py(), schema)
+            return _TO_BUCKETS.empty_table()
+        spans = Spans(docs.select(["text"]), length, gram, words)
+        kind, at = _marked(spans, marks)
+        out = list(texts(spans, kind, at))
+        span, _, digest, second = spans.suffixes(_firsts(at, kind, _HOT))
+        if len(span):
+            order = np.lexsort((second, digest))
+            start = np.flatnonzero(_changes(digest[order], second[order]))
+            count = np.diff(np.concatenate((start, [len(order)])))
+            span, digest, second = (x[order][start] for x in (span, digest, second))
+            # A string that the block's hot spans hold twice needs no answer.
+            asked = ((kind[span] == _HOT) & (count == 1)).astype(np.uint8)
+            out.append(t.packed((digest % t.U(buckets)).astype(np.int32), {"digest": digest, "second": second, "asked": asked}))
+        out = [_filled(x) for x in out]
+        return _with_block(out, key[0].as_py(), _TO_BUCKETS)
+
+    def _filled(batch):
+        for c, _ in _FIELDS:
+            if c not in batch.schema.names:
+                batch = batch.append_column(c, pa.array([b""] * batch.num_rows, pa.binary()))
+        return batch
 
     return run
 
 
-def _neighbours():
-    schema = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c in ("digest", "kind", "found"))])
+def _sorted(length, words):
+    """Sorts the strings of a bucket's spans and tells blocks which of theirs equal a neighbour."""
+
+    def strings(data, base, size, by_word):
+        """Span, start and size of all strings of consecutive spans."""
+        n = np.where(by_word, 0, size - length + 1)
+        span = np.repeat(np.arange(len(base)), n)
+        start = base[span] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found = [(span, start, np.full(len(span), length, np.int64))]
+        worded = np.flatnonzero(by_word)
+        if len(worded):
+            where = np.arange(size[worded].sum()) + np.repeat(base[worded] - (np.cumsum(size[worded]) - size[worded]), size[worded])
+            a, b, row = t.word_bounds(data[where], np.concatenate(([0], np.cumsum(size[worded]))))
+            at = np.flatnonzero(row[: len(row) - words + 1] == row[words - 1 :])
+            found.append((worded[row[at]], where[a[at]], b[at + words - 1] - a[at]))
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+    def by_text(table):
+        """(block, span, bits) of asked spans that hold a repeated string."""
+        span, size, lead, flags = (t.unpacked(table, c, kind) for c, kind in _FIELDS[:4])
+        block = _records(table, 4, "span")
+        data = np.concatenate((t.unpacked(table, "text", np.uint8), np.zeros(8, np.uint8)))
+        size = size.astype(np.int64)
+        base = np.cumsum(size) - size
+        step = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+        first = step[base + lead].astype(np.uint64) >> t.U(8)
+        order = np.argsort(first, kind="stable")
+        weight = np.cumsum(size[order])
+        edges = np.flatnonzero(_changes(first[order]))
+        cuts = edges[np.flatnonzero(_changes(weight[edges] // AT_ONCE))]
+        for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            some = order[a:b]
+            own, start, n = strings(data, base[some], size[some], (flags[some] & 1).astype(bool))
+            by, same = multikey_order(data, start, n)
+            hit = np.zeros(len(own), bool)
+            hit[by] = same | np.concatenate((same[1:], [False]))
+            asked = (flags[some] & 2) > 0
+            hit &= asked[own]
+            nth = np.zeros(len(own), np.int64)
+            order_own = np.argsort(own, kind="stable")
+            run_start, run_size = t.runs(own[order_own])
+            nth[order_own] = np.arange(len(own)) - np.repeat(run_start, run_size)
+            yield block[some[own[hit]]], span[some[own[hit]]], nth[hit].astype(np.uint32)
 
     def run(table: pa.Table) -> pa.Table:
-        lead, digest, asked = (t.unpacked(table, c, kind) for c, kind in (("lead", np.uint32), ("digest", np.uint64), ("asked", np.uint8)))
-        block = _records(table, 4, "lead")
-        order = np.lexsort((digest, lead))
-        same = (lead[order][1:] == lead[order][:-1]) & (digest[order][1:] == digest[order][:-1])
-        hit = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-        hit = hit[asked[hit] > 0]
-        out = t.packed(block[hit], {"found": digest[hit]}, "block")
-        for c in ("digest", "kind"):
-            out = out.append_column(c, pa.array([b""] * out.num_rows, pa.binary()))
-        return t.as_table([out.select(schema.names)], schema)
+        parts = [(np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.uint32))]
+        if any(map(len, table.column("span").to_pylist())):
+            parts += by_text(table)
+        block, span, nth = (np.concatenate(x) for x in zip(*parts, strict=True))
+        out = [_back(t.packed(block, {"span": span, "bits": nth}, "block"))]
+        digest, second, asked = (t.unpacked(table, c, kind) for c, kind in _FIELDS[5:])
+        if len(digest):
+            block, order = _records(table, 8, "digest"), np.lexsort((second, digest))
+            same = ~_changes(digest[order], second[order])
+            hit = order[same | np.concatenate((same[1:], [False]))]
+            hit = hit[asked[hit] > 0]
+            out.append(_back(t.packed(block[hit], {"found": digest[hit], "found_second": second[hit]}, "block")))
+        return pa.concat_tables(out)
 
     return run
 
 
-def word_strings(texts: pa.Array, words: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start, end and two hashes of every string of `words` words that is shorter than `length` bytes."""
-    parts = [(np.zeros(0, np.int64),) * 3 + (np.zeros((0, 2), np.uint64),)]
-    for i, _, data, offs in t.text_chunks(texts, 1 << 20):
-        start, end, row = t.word_bounds(data, offs)
-        if len(start) < words:
-            continue
-        n = len(start) - words + 1
-        at = np.flatnonzero((row[:n] == row[words - 1 :]) & (end[words - 1 :] - start[:n] < length))
-        if len(at):
-            a, b, row = start[at], end[at + words - 1], row[at]
-            hashes = [t.slice_hash(sums, a, b) for sums in (t.byte_prefix(data), t.prefix(_SECOND[data]))]
-            parts.append((i + row, a - offs[row], b - offs[row], np.stack(hashes, axis=1)))
-    row, start, end, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return row, start, end, hashes
-
-
-def _word_strings(words, length):
-    def run(batches):
-        for batch in batches:
-            row, _, _, hashes = word_strings(batch.column(1), words, length)
-            keys = [x.tobytes() for x in hashes]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(keys, pa.binary())], ["block", "short"])
-
-    return run
-
-
-def _found_strings(docs: pa.Table, marks: pa.Table, words: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of the block's word strings that are marked."""
-    asked = t.unpacked(marks, "short", np.uint64).reshape(-1, 2)
-    if not len(asked):
-        return (np.zeros(0, np.int64),) * 3
-    asked = asked[np.argsort(asked[:, 0])]
-    row, start, end, hashes = word_strings(docs.column("text"), words, length)
-    hit = (asked[np.minimum(np.searchsorted(asked[:, 0], hashes[:, 0]), len(asked) - 1)] == hashes).all(axis=1)
-    return row[hit], start[hit], end[hit]
-
-
-def _removal(length, gram, decode, carry, words):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string() if decode else pa.binary()), ("spans", _SPANS)])
+def _removal(length, gram, decode, carry, words, cut_words):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_in_passages", pa.int64()), ("kept", pa.string() if decode else pa.binary()), ("spans", _SPANS)])
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
         out = judged(docs, marks) if docs.num_rows else schema.empty_table()
@@ -247,87 +386,107 @@ def _removal(length, gram, decode, carry, words):
             out = out.append_column(name, docs.column(f"carried_{name}"))
         return out
 
+    def places(docs, marks):
+        """Row, start, end and kind of all repeated runs."""
+        spans = Spans(docs, length, gram, words)
+        kind, at = _marked(spans, marks)
+        shut = np.flatnonzero(kind & _CLOSED)
+        found = [(shut, spans.low[shut], spans.more[shut])]
+        span, nth = (t.unpacked(marks, c, np.uint32).astype(np.int64) for c in ("span", "bits"))
+        if len(span):  # all spans of a mark that was answered
+            order = np.argsort(span, kind="stable")
+            start, count = t.runs(span[order])
+            answered = np.full(int(at.max()) + 1, -1)
+            keep = span[order][start] < len(answered)
+            answered[span[order][start[keep]]] = np.flatnonzero(keep)
+            own = np.flatnonzero((kind & _OPEN > 0) & (kind & _CLOSED == 0))
+            own = own[answered[at[own]] >= 0]
+            which = answered[at[own]]
+            each = np.repeat(own, count[which])
+            inner = np.arange(len(each)) - np.repeat(np.cumsum(count[which]) - count[which], count[which])
+            places = nth[order][np.repeat(start[which], count[which]) + inner]
+            found.append((each, spans.low[each] + places, np.zeros(len(each), np.int64)))
+        hot = np.flatnonzero(kind & _HOT)
+        if len(hot):
+            wanted = hot[np.unique(at[hot], return_index=True)[1]]
+            span, nth, digest, second = spans.suffixes(wanted)
+            order = np.lexsort((second, digest))
+            same = ~_changes(digest[order], second[order])
+            hit = np.zeros(len(order), bool)
+            hit[order] = same | np.concatenate((same[1:], [False]))
+            known, known_second = (t.unpacked(marks, c, np.uint64) for c in ("found", "found_second"))
+            if len(known):
+                by = np.argsort(known)
+                near = by[np.minimum(np.searchsorted(known[by], digest), len(known) - 1)]
+                hit |= (known[near] == digest) & (known_second[near] == second)
+            found.append((span[hit], spans.low[span[hit]] + nth[hit], np.zeros(hit.sum(), np.int64)))
+        span, low, more = (np.concatenate(x) for x in zip(*found, strict=True))
+        return (spans.row[span], *spans.ends(span, low, more), spans.by_word[span])
+
     def judged(docs: pa.Table, marks: pa.Table) -> pa.Table:
         owner = start = end = np.zeros(0, np.int64)
+        by_word = np.zeros(0, bool)
         if marks.num_rows:
-            more = _found_strings(docs, marks, words, length) if words else None
-            spans = Spans(docs, length, gram)
-            kind = _marked(spans, *_marks(marks))
-            shut = np.flatnonzero(kind & _CLOSED)
-            span, pos, _, digest = _open_suffixes(spans, kind)
-            _, at, count = np.unique(digest, return_inverse=True, return_counts=True)
-            repeated = (count[at] > 1) | np.isin(digest, t.unpacked(marks, "found", np.uint64))
-            span, pos = span[repeated], pos[repeated]
-            owner = np.concatenate((spans.row[shut], spans.row[span]))
-            start = np.concatenate((spans.low[shut], pos))
-            end = np.concatenate((spans.low[shut] + spans.more[shut], pos)) + length
-            if more:
-                owner, start, end = (np.concatenate(x) for x in zip((owner, start, end), more, strict=True))
+            owner, start, end, by_word = places(docs, marks)
             order = np.argsort(owner, kind="stable")
-            owner, start, end = owner[order], start[order], end[order]
+            owner, start, end, by_word = owner[order], start[order], end[order], by_word[order]
         rows = []
         bounds = np.searchsorted(owner, np.arange(docs.num_rows + 1))
+
+        def covered(size, some):
+            change = np.zeros(size + 1, np.int32)
+            np.add.at(change, start[some], 1)
+            np.add.at(change, end[some], -1)
+            return np.cumsum(change[:-1]) > 0
+
         for a, b, doc_id, text in zip(bounds, bounds[1:], docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=False):
             raw = (text or "").encode()
             if a == b:
-                rows.append((doc_id, len(raw), 0, (text or "") if decode else raw, []))
+                rows.append((doc_id, len(raw), 0, 0, (text or "") if decode else raw, []))
                 continue
-            change = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(change, start[a:b], 1)
-            np.add.at(change, end[a:b], -1)
-            gone = np.cumsum(change[:-1]) > 0
+            every, some = np.arange(a, b), np.arange(a, b)[~by_word[a:b]]
+            passages = covered(len(raw), every)
+            gone = passages if cut_words or len(some) == b - a else covered(len(raw), some)
             edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
             kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
             runs = [{"start": int(x), "length": int(y - x)} for x, y in edge.reshape(-1, 2)]
-            rows.append((doc_id, len(raw), int(gone.sum()), kept.decode(errors="ignore") if decode else kept, runs))
+            rows.append((doc_id, len(raw), int(gone.sum()), int(passages.sum()), kept.decode(errors="ignore") if decode else kept, runs))
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def sampled_splitters(rows: DataFrame, length: int, n: int) -> list[int]:
-    """n - 1 splitters of the suffix order: quantiles of the leading four bytes at one hashed place in every document.
+def size_and_splitters(rows: DataFrame, most: int) -> tuple[int, list[int]]:
+    """Bytes of all texts, and up to `most` - 1 quantiles of the leading seven bytes at one hashed place in every document."""
+    place = F.lit(1) + F.pmod(F.xxhash64("text"), F.greatest(F.octet_length("text") - 100, F.lit(1))).cast("int")
+    lead = F.conv(F.hex(F.substring(F.col("text").cast("binary"), place, F.lit(7))), 16, 10).cast("bigint")
+    quantiles = F.percentile_approx(F.when(F.octet_length("text") > 100, lead), [i / most for i in range(1, max(most, 2))], 10_000)
+    size, found = rows.agg(F.sum(F.octet_length("text")), quantiles).first()
+    return size or 0, sorted(set(found or []))
 
-    Where a beginning is so frequent that several quantiles agree, they are told apart by digest.
-    """
-    place = F.lit(1) + F.pmod(F.xxhash64("text"), F.greatest(F.octet_length("text") - length + 1, F.lit(1))).cast("int")
-    lead = F.conv(F.hex(F.substring(F.col("text").cast("binary"), place, F.lit(4))), 16, 10).cast("bigint")
-    if n < 2:
-        return []
-    found = rows.where(F.octet_length("text") >= length).agg(F.percentile_approx(lead, [i / n for i in range(1, n)], 10_000)).first()[0] or []
-    out = []
-    for value in sorted(set(found)):
-        count = found.count(value)
-        out += [(value << 32) + ((i << 32) // count) for i in range(count)]
-    return out
-
-
-def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192, words: int = 0, decode: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+
+def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 192, words: int = 0, cut_words: bool = True, decode: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Removes every byte covered by a `length`-byte string that also starts anywhere else, in any document.
 
-    With `words` also every byte covered by a string of so many words, under `length` bytes, that starts anywhere else.
+    With `words` and `cut_words` also every byte covered by a string of so many words, under `length` bytes, that starts anywhere else.
 
-    Returns doc_id, n_bytes, n_removed, kept (the remaining bytes), spans (the maximal removed runs) and the columns in carry.
+    Returns doc_id, n_bytes, n_removed, n_in_passages (bytes covered by repeated strings of either kind, cut or not), kept (the
+    remaining bytes), spans (the maximal removed runs) and the columns in carry.
     """
-    n = t.partitions(docs.sparkSession)
+    tasks = t.partitions(docs.sparkSession)
     carried = [F.col(c).alias(f"carried_{c}") for c in carry]
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *carried)
+    size, splitters = size_and_splitters(rows.select("text"), tasks)
+    n, buckets = max(tasks, size // BLOCK_BYTES), max(tasks, size // BUCKET_BYTES)
     block = t.block_of(F.xxhash64("doc_id", "text"), n).alias("block")
     blocks = rows.select(block, "doc_id", "text", *(f"carried_{c}" for c in carry))
-    anchors = blocks.groupBy("block").applyInArrow(_anchors(n, length, gram), "block int, bucket int, key binary, digest binary")
-    marks = anchors.groupBy("bucket").applyInArrow(_classes(), "block int, digest binary, kind binary")
-    splitters = sampled_splitters(rows.select("text"), length, n)
-    suffixes = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_suffixes(length, gram, splitters), "bucket int, lead binary, digest binary, asked binary, block int")
-    repeats = suffixes.groupBy("bucket").applyInArrow(_neighbours(), "block int, digest binary, kind binary, found binary")
-    both = marks.withColumn("found", F.lit(b"")).unionByName(repeats)
-    if words:
-        held = rows.select(block, "text").mapInArrow(_word_strings(words, length), "block int, short binary").groupBy("block", "short").agg(F.count(F.lit(1)).alias("n"))
-        twice = held.groupBy("short").agg(F.sum("n").alias("n")).where("n > 1").select("short")
-        none = F.lit(b"")
-        again = held.join(twice, "short", "left_semi").select("block", none.alias("digest"), none.alias("kind"), none.alias("found"), "short")
-        both = both.withColumn("short", none).unionByName(again)
-    fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed")]
-    spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
-    fields += [T.StructField("kept", T.StringType() if decode else T.BinaryType()), T.StructField("spans", spans)]
+    anchors = blocks.groupBy("block").applyInArrow(_anchors(buckets, length, gram, words), "block int, bucket int, key binary, digest binary, second binary")
+    marks = anchors.groupBy("bucket").applyInArrow(_classes(), _BACK_SQL)
+    sent = "block int, bucket int, " + ", ".join(f"{c} binary" for c, _ in _FIELDS)
+    spans = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_open_spans(length, gram, words, splitters, buckets), sent)
+    both = marks.unionByName(spans.groupBy("bucket").applyInArrow(_sorted(length, words), _BACK_SQL))
+    fields = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed", "n_in_passages")]
+    runs = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))
+    fields += [T.StructField("kept", T.StringType() if decode else T.BinaryType()), T.StructField("spans", runs)]
     fields += [T.StructField(c, docs.schema[c].dataType) for c in carry]
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, gram, decode, list(carry), words), T.StructType(fields))
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_removal(length, gram, decode, list(carry), words, cut_words), T.StructType(fields))

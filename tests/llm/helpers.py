@@ -99,3 +99,24 @@ def near_components(rows, k, part=80, whole=100):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def passages(rows, length, count):
+    """A list of (doc_id, bytes covered by repeated strings of `length` bytes, or of `count` words under `length` bytes)."""
+    raws = [(i, (x or "").encode()) for i, x, *_ in rows]
+    strings = [[(j, j + length) for j in range(len(b) - length + 1)] for _, b in raws]
+    for (_, b), own in zip(raws, strings):
+        w = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", b)]
+        own += [(x, y) for (x, _), (_, y) in zip(w, w[count - 1 :]) if y - x < length]
+    seen = defaultdict(int)
+    for (_, b), own in zip(raws, strings):
+        for x, y in set(own):
+            seen[b[x:y]] += 1
+    out = []
+    for (i, b), own in zip(raws, strings):
+        gone = set()
+        for x, y in own:
+            if seen[b[x:y]] > 1:
+                gone.update(range(x, y))
+        out.append((i, len(gone)))
+    return out

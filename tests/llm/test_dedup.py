@@ -1,10 +1,12 @@
+import numpy as np
 import pytest
 
 from cohortlens.llm.near_dedup import components, near_duplicates, sketches
 from cohortlens.llm.substring_dedup import substring_dedup
-from cohortlens.llm.suffix_dedup import suffix_dedup
+from cohortlens.llm import suffix_dedup as sd
+from cohortlens.llm.suffix_dedup import multikey_order, suffix_dedup
 
-from .helpers import SCHEMA, bytes_removed, corpus, near_components, windows_removed
+from .helpers import SCHEMA, bytes_removed, corpus, near_components, passages, windows_removed
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +45,42 @@ def test_suffix_dedup_equals_brute_force(docs, rows, length, gram):
     assert all(r.n_removed == sum(s.length for s in r.spans) == r.n_bytes - len(r.kept) for r in got)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 51])
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_suffix_dedup_by_text_and_by_digest_on_any_number_of_buckets(spark, docs, rows, monkeypatch, partitions, hot):
+    """hot=1 tells all open spans apart by digest, 1000 none; small blocks and chunks cut at every place."""
+    monkeypatch.setattr(sd, "HOT", hot)
+    monkeypatch.setattr(sd, "AT_ONCE", 3000)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = suffix_dedup(docs, length=120, gram=40).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted(str((r.doc_id, bytes(r.kept))) for r in got) == sorted(str((i, k)) for i, _, k in bytes_removed(rows, 120))
+
+
+@pytest.mark.parametrize("words, hot", [(12, 1000), (30, 1000), (12, 1)])
+def test_suffix_dedup_finds_passages_of_words(docs, rows, monkeypatch, words, hot):
+    monkeypatch.setattr(sd, "HOT", hot)
+    got = suffix_dedup(docs, length=220, gram=100, words=words, cut_words=False).collect()
+    assert sorted((str(r.doc_id), r.n_in_passages) for r in got) == sorted((str(i), n) for i, n in passages(rows, 220, words))
+    assert sorted(str((r.doc_id, bytes(r.kept))) for r in got) == sorted(str((i, k)) for i, _, k in bytes_removed(rows, 220))
+    cut = suffix_dedup(docs, length=220, gram=100, words=words).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in cut) == sorted((str(i), n) for i, n in passages(rows, 220, words))
+
+
+def test_multikey_order_sorts_strings_of_any_size():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    data[500:900] = data[1500:1900]
+    for sizes in ([40], [1, 7, 8, 9, 16, 17, 40]):
+        at = rng.integers(0, 2900, 2000)
+        size = rng.choice(sizes, 2000)
+        order, same = multikey_order(np.concatenate((data, np.zeros(8, np.uint8))), at, size)
+        strings = [data[at[i] : at[i] + size[i]].tobytes() for i in order]
+        assert strings == sorted(strings) and same.tolist() == [False] + [a == b for a, b in zip(strings, strings[1:])]
+
+
 def test_suffix_dedup_carries_columns_and_decodes(docs, rows):
     got = suffix_dedup(docs, length=61, gram=20, decode=True, carry=["source", "uid"]).collect()
     assert sorted(str((r.doc_id, r.source, r.uid)) for r in got) == sorted(str((r[0], r[3], r[6])) for r in rows)
@@ -73,12 +111,9 @@ def test_near_duplicates_follow_links_between_members(spark):
     assert len(set(got.values())) == 2
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_of_one_large_group(spark, seed):
+def test_near_duplicates_of_one_large_group(spark):
     """3,000 copies of one text with up to 40 words replaced, by which some lose all links: every component as by brute force."""
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
+    rng = np.random.default_rng(1)
     base = rng.integers(0, 400, 150)
     texts = []
     for i in range(3000):
@@ -109,16 +144,12 @@ def test_components_of_a_long_chain(spark):
 
 
 def test_sketches_fill_every_coordinate():
-    import numpy as np
-
     rows = np.repeat(np.arange(3), [1, 5, 900])
     out = sketches(rows, np.arange(len(rows), dtype=np.uint64) * np.uint64(7919), 4, 200)
     assert (out[:3] < np.iinfo(np.uint64).max).all() and (out[3] == np.iinfo(np.uint64).max).all()
 
 
 def test_sketches_estimate_similarity():
-    import numpy as np
-
     a = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     rows = np.repeat([0, 1], 900)
     s = sketches(rows, np.concatenate((a[:900], a[100:])), 2, 2000)
