@@ -16,7 +16,8 @@ the block finds the places again from its texts. Records travel packed, one row
 
 Defined results: null or empty text: no words, nothing removed. Rows with a null doc_id are returned as they are and
 are nobody's source. A doc_id that repeats with equal text gives equal rows (it isn't smaller than itself). Further
-columns of the input are not read. An empty table gives an empty result. Texts of any length stay whole.
+columns of the input are not read. An empty table gives an empty result. Texts of any length stay whole. Their bytes are
+summed once before, which gives the number of blocks.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from pyspark.sql import functions as F
 
 from . import textnp as t
 
+#: Bytes of text a block holds (one longer document is a block's share, too), and of all texts a bucket is there for.
+BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 64 << 20
+
 PATHS = "array<struct<start:bigint,length:bigint,source_doc:bigint,source_start:bigint>>"
 RESULT = f"doc_id bigint, n_words bigint, n_removed bigint, kept_text string, paths {PATHS}"
 _PATH = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "source_doc", "source_start")]))
@@ -137,9 +141,11 @@ def _edges(n, k, m):
     return run
 
 
+_BACK = (("h", np.uint64), ("check", np.uint32), ("source_doc", np.int64), ("source_pos", np.int32), ("sig", np.uint16), ("next", np.uint16))
+
+
 def _classes():
-    names = (("h", np.uint64), ("source_doc", np.int64), ("source_pos", np.int32), ("sig", np.uint16), ("next", np.uint16))
-    schema = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c, _ in names)])
+    schema = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c, _ in _BACK)])
 
     def run(table: pa.Table) -> pa.Table:
         kinds = {"h": np.uint64, "check": np.uint32, "doc": np.int64, "pos": np.int32, "sig": np.uint16, "next": np.uint16, "many": np.uint8}
@@ -153,7 +159,7 @@ def _classes():
         sums = {c: np.add.reduceat(columns[c], start, dtype=np.uint16) for c in ("sig", "next")}
         hit = (doc != doc[start][of]) | (many > 0)
         of = of[hit]
-        back = {"h": h[hit], "source_doc": doc[start][of], "source_pos": columns["pos"][start][of], "sig": sums["sig"][of], "next": sums["next"][of]}
+        back = {"h": h[hit], "check": check[hit], "source_doc": doc[start][of], "source_pos": columns["pos"][start][of], "sig": sums["sig"][of], "next": sums["next"][of]}
         return t.as_table([t.packed(columns["block"][hit], back, "block")], schema)
 
     return run
@@ -164,9 +170,10 @@ def _path_table(k, m):
 
     def later_places(docs, marks):
         """Places of the block's windows that have an earlier source: row, position, source, signatures."""
-        h, source, at, sig, following = (t.unpacked(marks, c, kind) for c, kind in (("h", np.uint64), ("source_doc", np.int64), ("source_pos", np.int32), ("sig", np.uint16), ("next", np.uint16)))
-        order = np.argsort(h)
-        h, source, at, sig, following = (x[order] for x in (h, source, at.astype(np.int64), sig, following))
+        h, check, source, at, sig, following = (t.unpacked(marks, c, kind) for c, kind in _BACK)
+        order = np.lexsort((check, h))
+        h, check, source, at, sig, following = (x[order] for x in (h, check, source, at.astype(np.int64), sig, following))
+        twins = np.flatnonzero(h[1:] == h[:-1])  # places of classes that only the second hash tells apart
         valid = np.flatnonzero(docs.column("doc_id").is_valid().to_numpy())
         out = []
         named = docs.take(pa.array(valid))
@@ -175,9 +182,12 @@ def _path_table(k, m):
             hashes, row, sums, _, window, _ = _grams(data, offs, k, m)
             if not len(window):
                 continue
-            own = t.slice_hash(sums, window, window + k)
+            own, second = _window_hashes(hashes, sums, window, k)
+            second = (second >> t.U(32)).astype(np.uint32)
             near = np.minimum(np.searchsorted(h, own), len(h) - 1)
-            hit = (h[near] == own) & (source[near] < ids[row[window]])
+            for _ in range(int(t.runs(twins - np.arange(len(twins)))[1].max(initial=0))):
+                near += (h[near] == own) & (check[near] != second) & (near + 1 < len(h))
+            hit = (h[near] == own) & (check[near] == second) & (source[near] < ids[row[window]])
             window, near = window[hit], near[hit]
             first = np.searchsorted(row, np.arange(j - i))
             out.append((valid[i + row[window]], window - first[row[window]], source[near], at[near], sig[near], following[near]))
@@ -218,11 +228,13 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Returns doc_id, n_words, n_removed, kept_text (kept words joined by one space) and paths: the maximal nonbranching
     repeated paths in words of this document, each with its source coordinate.
     """
-    n = t.partitions(docs.sparkSession)
+    tasks = t.partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    blocks = rows.select(F.coalesce(t.block_of(F.col("doc_id"), n), F.pmod(F.hash("text"), F.lit(n))).alias("block"), "doc_id", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, n = max(tasks, size // BLOCK_BYTES), max(tasks, size // BUCKET_BYTES)
+    blocks = rows.select(F.coalesce(t.block_of(F.col("doc_id"), blocks), F.pmod(F.hash("text"), F.lit(blocks))).alias("block"), "doc_id", "text")
     anchors = blocks.groupBy("block").applyInArrow(_anchors(n, k, gram), "block int, bucket int, key binary, doc binary, many binary")
     marks = anchors.groupBy("bucket").applyInArrow(_repeated(), "block int, bucket int, key binary")
     edges = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_edges(n, k, gram), "block int, bucket int, h binary, check binary, doc binary, pos binary, sig binary, next binary, many binary")
-    classes = edges.groupBy("bucket").applyInArrow(_classes(), "block int, h binary, source_doc binary, source_pos binary, sig binary, next binary")
+    classes = edges.groupBy("bucket").applyInArrow(_classes(), "block int, " + ", ".join(f"{c} binary" for c, _ in _BACK))
     return blocks.groupBy("block").cogroup(classes.groupBy("block")).applyInArrow(_path_table(k, gram), RESULT)

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from cohortlens.llm.near_dedup import components, near_duplicates, sketches
+from cohortlens.llm import substring_dedup as sub
 from cohortlens.llm.substring_dedup import substring_dedup
 from cohortlens.llm import suffix_dedup as sd
 from cohortlens.llm.suffix_dedup import multikey_order, suffix_dedup
@@ -28,6 +30,23 @@ def test_substring_dedup_equals_brute_force(docs, rows, k):
     assert all(r.n_removed == r.n_words - len(r.kept_text.split()) for r in got)
 
 
+def test_windows_with_one_hash_in_common_stay_apart(spark, docs, rows, monkeypatch):
+    """The first hash cut to its lowest 6 bits: the second alone tells windows apart."""
+    real = sub._window_hashes
+
+    def weak(hashes, sums, window, k):
+        h, check = real(hashes, sums, window, k)
+        return h & np.uint64(63), check
+
+    monkeypatch.setattr(sub, "_window_hashes", weak)
+    cloudpickle.register_pickle_by_value(sub)
+    try:
+        got = {(r.doc_id, r.n_words, r.kept_text) for r in sub.substring_dedup(docs).collect()}
+    finally:
+        cloudpickle.unregister_pickle_by_value(sub)
+    assert got == {(i, *x) for i, x in windows_removed(rows).items()}
+
+
 def test_paths_name_the_source(docs, rows):
     texts = {i: (x or "").encode().split() for i, x, *_ in rows}
     paths = [(r.doc_id, p) for r in substring_dedup(docs).collect() for p in r.paths]
