@@ -15,7 +15,9 @@ Measure recall with recall_at() against exact search.
 
 Defined results: vectors that are null, zero, or hold null, NaN or infinite components take no part, nor do null ids or vectors
 whose length isn't the sample's most frequent one. A query's own id is no candidate. Fewer candidates give fewer rows.
-An empty table gives an empty result.
+Equal scores are ordered by the smaller vec_id, also at rank k. Where a vec_id repeats every row of it is a candidate, and as a
+query it has the largest of its vectors (compared component by component). Only the named columns are read, so others may have
+any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -193,7 +195,8 @@ def approximate_topk(rows: DataFrame, queries: Column, *, k: int = 20, vec_id: s
     placed = routed.select("vec_id", "vector", F.element_at("parts", 1).alias("part"))
     sizes = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
     held = placed.join(F.broadcast(sizes), "part").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    asked = routed.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("parts").alias("part")).dropDuplicates(["query_id", "part"])
+    asked = routed.where("is_query").groupBy("vec_id").agg(F.max(F.struct("vector", "parts")).alias("q"))
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("q.vector").alias("query"), F.explode("q.parts").alias("part"))
     group = t.block_of(F.xxhash64("query_id"), groups).alias("q_group")
     asked = asked.join(F.broadcast(sizes), "part").select("query_id", "query", F.col("part").alias("q_part"), group, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("q_salt"))
     dealt = held.select("part", "salt", "vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))

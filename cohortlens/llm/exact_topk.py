@@ -9,7 +9,8 @@ return only what can still count.
 Queries are a stated subset, searched against all rows in groups of shard x query group; neither grows without bound.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no part; vectors of different length are
-never compared; a query's own id is no candidate, also where it repeats; fewer candidates give fewer rows; an empty table
+never compared; a query's own id is no candidate, also where it repeats (the query then has the largest of its vectors); equal scores are ordered
+by the smaller vec_id, also at rank k; only the named columns are read; fewer candidates give fewer rows; an empty table
 gives none. Null ids take no part. Components are integers below 2**26 in size, so double arithmetic is exact.
 """
 
@@ -116,7 +117,8 @@ def exact_topk(rows: DataFrame, queries: Column, *, k: int = 5, vec_id: str = "v
     points = valid.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole.alias("vector"), queries.alias("is_query"))
     points = points.withColumns({"dim": F.size("vector"), "shard": t.block_of(F.col("vec_id"), n)})
     asked = [F.col(a).alias(b) for a, b in (("dim", "q_dim"), ("shard", "q_shard"), ("vec_id", "query_id"), ("vector", "query"))]
-    wanted = points.where("is_query").select(*asked).dropDuplicates(["query_id"])
+    largest = points.where("is_query").groupBy("vec_id").agg(F.max(F.struct("dim", "vector", "shard")).alias("q"))
+    wanted = largest.select("vec_id", "q.*").select(*asked)
     schema = "query_id bigint, vec_id bigint, score bigint"
     table = points.select("dim", "shard", "vec_id", "vector")
     home = wanted.withColumn("least", F.lit(float("-inf")))

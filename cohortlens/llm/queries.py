@@ -17,7 +17,7 @@ from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .token_output import write_training_order
 from .toxicity import toxicity_scores
-from .url_filter import url_verdicts
+from .url_filter import SUFFIXES, url_verdicts
 
 #: Rules of the URL filter: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -109,14 +109,19 @@ WITH RECURSIVE u AS (
 ), l AS (
   SELECT doc_id AS page_id, max(CASE WHEN coalesce(quality, toxic) IS NOT NULL THEN CAST(coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS INTEGER) END) AS bad
   FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
+), n AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM p
+), q AS (
+  SELECT *, regexp_matches(name, '^[0-9.]+$') OR starts_with(name, '[') AS address, regexp_extract(name, '([^.]*[.])?[^.]*$') AS two FROM n
 ), h0 AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.')[-1] AS suffix,
-    CASE WHEN len(string_split(host, '.')) > 1 THEN string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] ELSE host END AS domain
-  FROM p LEFT JOIN l USING (page_id) GROUP BY host
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+    any_value(CASE WHEN address THEN name WHEN two IN __SUFFIXES__ THEN two ELSE regexp_extract(name, '[^.]*$') END) AS suffix,
+    any_value(CASE WHEN address THEN name WHEN two IN __SUFFIXES__ THEN regexp_extract(name, '([^.]*[.]){0,2}[^.]*$') ELSE two END) AS domain
+  FROM q LEFT JOIN l USING (page_id) GROUP BY host
 ), d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h0 GROUP BY ALL
 ), s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d0 GROUP BY ALL
 ), s1 AS (SELECT s0.*, (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM s0) AS prior FROM s0
-)"""
+)""".replace("__SUFFIXES__", str(SUFFIXES))
 
 
 def _level(name: str, rows: str) -> str:

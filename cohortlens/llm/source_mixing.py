@@ -11,7 +11,8 @@ source comes from a hash order: counts per (source, hash prefix) give offsets, s
 numbered by many tasks. Block and slot then follow by arithmetic; nothing else is sorted.
 
 Defined results: sources without a weight, or null, are pooled under the weight `other`. Every row is kept, repeated rows included;
-a null doc_id takes part like any other value. An empty table gives an empty result.
+a null doc_id takes part like any other value; repeated ids have neighbouring places in no fixed order. Input columns with the
+name of one that is added give way to it. Texts aren't looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+ADDED = ("_pool", "_nth", "_block", "_slot", "_release", "_due")
 PREFIX = 3  # hex digits: 4,096 numbering groups a source
 
 
@@ -47,18 +49,18 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int], *, other: int = 1,
         raise ValueError("weights must be whole numbers from 1 on")
     cycle = sum(quotas)
     pool = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(source)).cast("int") - 1, F.lit(-1)) if names else F.lit(-1)
-    pool = F.when(pool < 0, len(names)).otherwise(pool)
-    rows = docs.withColumns({"_pool": pool, "_hash": F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))})
-    rows = rows.withColumn("_part", F.substring("_hash", 1, PREFIX))
-    counts = rows.groupBy("_pool", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_pool").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("_pool", "_part", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_pool", "_part").orderBy("_hash", doc_id)) - 1
-    numbered = rows.withColumn("_within", within).join(offsets, ["_pool", "_part"]).withColumn("_nth", F.col("_before") + F.col("_within"))
+    pool = F.when(pool < 0, len(names)).otherwise(pool).alias("_pool")
+    own = [F.col(c) for c in docs.columns if c not in ADDED]
+    rows = docs.select(F.struct(*own).alias("row") if own else F.struct().alias("row"), F.col(doc_id).alias("id"), pool, F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("hash"))
+    rows = rows.withColumn("prefix", F.substring("hash", 1, PREFIX))
+    counts = rows.groupBy("_pool", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("_pool").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_pool", "prefix", before.alias("before"))
+    within = F.row_number().over(Window.partitionBy("_pool", "prefix").orderBy("hash", "id")) - 1
+    numbered = rows.withColumn("within", within).join(offsets, ["_pool", "prefix"]).withColumn("_nth", F.col("before") + F.col("within"))
     quota = F.element_at(F.array(*map(F.lit, quotas)), F.col("_pool") + 1).cast("bigint")
-    numbered = numbered.withColumn("_block", F.floor(F.col("_nth") / block)).withColumn("_turn", F.col("_block") % quota)
-    plan = F.broadcast(cycle_schedule(docs.sparkSession, quotas).select(F.col("pool").alias("_pool"), F.col("nth").alias("_turn"), F.col("slot").alias("_at")))
-    placed = numbered.join(plan, ["_pool", "_turn"])
-    slot = F.floor(F.col("_block") / quota) * cycle + F.col("_at")
-    out = placed.withColumns({"_slot": slot, "_release": F.floor(F.col("_block") * cycle / quota), "_due": F.ceil((F.col("_block") + 1) * cycle / quota)})
-    return out.select(*docs.columns, "_pool", "_nth", "_block", "_slot", "_release", "_due")
+    numbered = numbered.withColumn("_block", F.floor(F.col("_nth") / block)).withColumn("turn", F.col("_block") % quota)
+    plan = F.broadcast(cycle_schedule(docs.sparkSession, quotas).select(F.col("pool").alias("_pool"), F.col("nth").alias("turn"), F.col("slot").alias("at")))
+    slot = F.floor(F.col("_block") / quota) * cycle + F.col("at")
+    times = {"_slot": slot, "_release": F.floor(F.col("_block") * cycle / quota), "_due": F.ceil((F.col("_block") + 1) * cycle / quota)}
+    return numbered.join(plan, ["_pool", "turn"]).withColumns(times).select("row.*", *ADDED)

@@ -155,26 +155,6 @@ def unpacked(table: pa.Table, column: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), dtype)
 
 
-class Packer:
-    """Gathers records of several chunks and gives them as packed rows once they fill `limit` bytes."""
-
-    def __init__(self, columns: list[str], limit: int = 24 << 20, name: str = "bucket"):
-        self.columns, self.limit, self.name, self.parts, self.size = columns, limit, name, [], 0
-
-    def add(self, bucket: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(bucket):
-            self.parts.append((bucket, *values))
-            self.size += sum(v.nbytes for v in values)
-        if self.size >= self.limit:
-            yield from self.flush()
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            bucket, *values = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            self.parts, self.size = [], 0
-            yield packed(bucket, dict(zip(self.columns, values, strict=True)), self.name)
-
-
 def as_table(batches: list[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_batches([b.cast(schema) for b in batches], schema)
 
@@ -188,7 +168,7 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.concatenate((start, [len(values)])))
 
 
-# Blocks of documents: the same rule in SQL and in numpy.
+# Blocks of documents.
 
 
 def partitions(spark: SparkSession) -> int:
@@ -198,8 +178,3 @@ def partitions(spark: SparkSession) -> int:
 def block_of(doc_id: Column, n: int) -> Column:
     folded = doc_id.bitwiseXOR(F.shiftrightunsigned(doc_id, 13)).bitwiseXOR(F.shiftrightunsigned(doc_id, 29))
     return F.pmod(folded, F.lit(n).cast("bigint")).cast("int")
-
-
-def block_np(doc_id: np.ndarray, n: int) -> np.ndarray:
-    x = doc_id.astype(np.int64).view(np.uint64)
-    return np.mod((x ^ (x >> U(13)) ^ (x >> U(29))).view(np.int64), n).astype(np.int32)

@@ -4,14 +4,17 @@
    a task is padded. A sequence's index is its task times CAP plus its place.
 2. A keyed balanced Feistel network over the next even power of two above all indexes, walked along its cycle until it falls
    among them again, is a bijection that the key alone determines. It gives every index its turn.
-3. Equal ranges of turns are the shards: known in advance, even in size whatever the data. Each is sorted by one task and
-   written as one file in which sequence r lies at r * stride. A sequence's global slot is the number of sequences in the
+3. Equal ranges of turns are the shards: known in advance, even in size whatever the data. Shard i goes to task i, which sorts
+   and writes it as one file in which sequence r lies at r * stride. A sequence's global slot is the number of sequences in the
    shards before its own, plus r: the turns without their gaps. The shards' sizes are the manifest, so a reader starts at any
    slot and goes on in sequence. Files appear under their name only when complete; a task that runs again writes the same.
 
 The total isn't needed before the ids are there, so texts are tokenized once and move once.
 
-Defined results: null or empty text is the end id alone; doc_id is not read; an empty table gives no shard.
+Defined results: null or empty text is the end id alone; a very long text goes on over as many sequences as it fills; repeated
+rows are written as often as they occur; only the text is read, so ids may be null or repeat and further columns may have any
+name; an empty table gives no shard. Which documents share a sequence, and its index, follow from how the input is split: the same
+files and settings give the same order.
 """
 
 from __future__ import annotations
@@ -135,7 +138,7 @@ def write_training_order(docs: DataFrame, folder: str, tokenizer: str, *, text:
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks, stride = max(1, rows.rdd.getNumPartitions()), length * np.dtype(dtype).itemsize
     sequences = rows.mapInArrow(_sequences(tokenizer, length, end_id, pad_id, dtype, tasks, key, shards), "shard int, turn bigint, n_ids bigint, packed binary")
-    ordered = sequences.repartition(shards, "shard").sortWithinPartitions("shard", "turn")
+    ordered = sequences.repartitionById(shards, F.col("shard")).sortWithinPartitions("turn")
     written = stored(ordered.mapInArrow(_write(folder, stride), "shard int, place bigint, n_ids bigint, ids_crc32 bigint"), "written")
     counts = written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     manifest = counts.select("shard", "n", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("first_slot"))

@@ -9,7 +9,8 @@ The class prior is the share of toxic rows among labelled training rows.
 The fit uses at most `positives` and `unlabelled` texts, chosen by hash of their id, and `n_features` features that positives
 hold more often (largest likelihood ratio; counting them is a Spark aggregation). Since unlabelled text holds toxic documents too,
 the classifier's log odds run low; a line fitted to at most `calibration` labelled training rows of either class maps them to
-probabilities. These four numbers are the documented bounds; every text is scored whole.
+probabilities. These four numbers are the documented bounds, None is all there are; the fit itself runs on the driver over what they
+leave, so None is for corpora that fit there. Every text is scored whole, whatever its length.
 
 Defined results: null or empty text has no features and gets the bias' score. Null doc_id rows are scored and held_out is null; labels
 with null doc_id or null toxic are ignored; repeated labels count as toxic if any is. If there is no toxic training row the
@@ -175,7 +176,7 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int = 3000, unlabelled: int = 6000, calibration: int = 6000, n_features: int = 500, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int | None = 3000, unlabelled: int | None = 6000, calibration: int | None = 6000, n_features: int | None = 500, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, held_out, score in 0..1, predicted (score >= threshold) and the columns in carry for every document."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     carried = [F.col(c).alias(f"carried_{c}") for c in carry if c != text]
@@ -184,20 +185,25 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
     known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.max(toxic).alias("toxic")).where(train)
     first = [F.xxhash64("doc_id"), F.col("doc_id")]
     no = F.lit(None).cast("int")
-    p_ids = known.where("toxic = 1").select("doc_id").orderBy(*first).limit(positives).select("doc_id", F.lit(True).alias("is_p"), F.lit(False).alias("is_u"), no.alias("known"))
+
+    def some(ids: DataFrame, n: int | None) -> DataFrame:
+        return ids if n is None else ids.orderBy(*first).limit(n)
+
+    p_ids = some(known.where("toxic = 1").select("doc_id"), positives).select("doc_id", F.lit(True).alias("is_p"), F.lit(False).alias("is_u"), no.alias("known"))
     others = rows.where(train).select("doc_id").distinct().join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
-    u_ids = others.orderBy(*first).limit(unlabelled).select("doc_id", F.lit(False).alias("is_p"), F.lit(True).alias("is_u"), no.alias("known"))
-    c_ids = known.orderBy(*first).limit(calibration).select("doc_id", F.lit(False).alias("is_p"), F.lit(False).alias("is_u"), F.col("toxic").cast("int").alias("known"))
+    u_ids = some(others, unlabelled).select("doc_id", F.lit(False).alias("is_p"), F.lit(True).alias("is_u"), no.alias("known"))
+    c_ids = some(known, calibration).select("doc_id", F.lit(False).alias("is_p"), F.lit(False).alias("is_u"), F.col("toxic").cast("int").alias("known"))
     prior, n_positive = known.agg(F.avg("toxic"), F.sum("toxic")).first()
     names, weights, bias = np.zeros(0, np.uint64), np.zeros(0), -40.0
     if n_positive:
         ids = p_ids.union(u_ids).union(c_ids).groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.max("is_u").alias("is_u"), F.max("known").alias("known"))
-        chosen = stored(rows.join(F.broadcast(ids), "doc_id").select("text", "is_p", "is_u", "known"), "sample")
+        chosen = stored(rows.join(F.broadcast(ids) if None not in (positives, unlabelled, calibration) else ids, "doc_id").select("text", "is_p", "is_u", "known"), "sample")
         n_p, n_u = chosen.agg(F.count_if("is_p"), F.count_if("is_u")).first()
         counted = chosen.where("is_p or is_u").mapInArrow(_count, "feature bigint, in_u bigint, in_p bigint").groupBy("feature").agg(F.sum("in_u").alias("in_u"), F.sum("in_p").alias("in_p"))
         in_p, share_u = F.col("in_p").cast("double"), F.col("in_u") / max(n_u, 1)
         gain = in_p * F.log((in_p / max(n_p, 1)) / (share_u + 0.5 / max(n_u, 1))) - max(n_p, 1) * (in_p / max(n_p, 1) - share_u)
-        found = counted.where((F.col("in_p") >= 3) & (in_p / max(n_p, 1) > share_u)).orderBy(gain.desc(), "feature").limit(n_features).select("feature").toArrow()
+        found = counted.where((F.col("in_p") >= 3) & (in_p / max(n_p, 1) > share_u)).orderBy(gain.desc(), "feature")
+        found = (found if n_features is None else found.limit(n_features)).select("feature").toArrow()
         names = np.sort(found.column(0).to_numpy().view(np.uint64))
         sets = chosen.mapInArrow(_indexes(names), "is_p boolean, is_u boolean, known int, at array<int>").toArrow().to_pylist()
         sides = [[np.array(r["at"], np.int64) for r in sets if r[side]] for side in ("is_p", "is_u")]

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from cohortlens.llm.source_mixing import cycle_schedule, mix_sources
-from cohortlens.llm.url_filter import split_url, url_verdicts
+from cohortlens.llm.url_filter import SUFFIXES, registered, split_url, url_verdicts
 
 from .helpers import SCHEMA, corpus
 
@@ -46,6 +46,22 @@ def test_urls_rules_and_reputation(spark):
     assert got[200].bad_rate < 0.2 < got[15].bad_rate and got[15].bad_bound > 0.5
 
 
+@pytest.mark.parametrize(
+    "host, suffix, domain",
+    [("a.b.co.uk", "co.uk", "b.co.uk"), ("b.co.uk:8080", "co.uk", "b.co.uk"), ("co.uk", "co.uk", "co.uk"), ("me@x.y.com:80", "com", "y.com"), ("com", "com", "com"), ("10.0.0.1:99", "10.0.0.1", "10.0.0.1"), ("[::1]", "[::1]", "[::1]"), ("", "", ""), ("a.com.", "", "com.")],
+)
+def test_registered_domains(spark, host, suffix, domain):
+    df = spark.createDataFrame([(host,)], "host string")
+    assert tuple(df.select(*registered(df.host, SUFFIXES)).first()) == (suffix, domain)
+
+
+def test_neighbours_under_a_two_label_suffix_share_no_reputation(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i % 5}.{'bad' if i < 60 else 'fine'}.co.uk/{'x' * 5000}", None, None, 1, 1) for i in range(160)] + [(900, "http://new.bad.co.uk/", None, None, 1, 1), (901, "http://new.fine.co.uk/", None, None, 1, 1)], PAGES)
+    labels = spark.createDataFrame([(i, int(i >= 60), 0) for i in range(160)], "doc_id bigint, quality int, toxic int")
+    got = {r.page_id: r.bad_rate for r in url_verdicts(pages, labels, []).collect()}
+    assert got[900] > 0.5 > got[901]
+
+
 def test_few_bad_pages_do_not_block(spark):
     pages = spark.createDataFrame([(i, f"http://{'once' if i == 0 else f'h{i % 9}'}.x.com/", None, None, 1, 1) for i in range(90)], PAGES)
     labels = spark.createDataFrame([(i, int(i > 0), 0) for i in range(90)], "doc_id bigint, quality int, toxic int")
@@ -90,6 +106,13 @@ def test_mixing_keeps_rows_and_shares(spark):
     assert len({(r._pool, r._block) for r in got}) == len({r._slot for r in got})
 
 
+def test_mixing_replaces_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(i, "s", "old", "old", "old") for i in range(9)], "doc_id bigint, source string, _slot string, hash string, _pool string")
+    out = mix_sources(docs, {"s": 1}, block=2)
+    assert out.columns == ["doc_id", "source", "hash", "_pool", "_nth", "_block", "_slot", "_release", "_due"]
+    assert sorted(r._nth for r in out.collect()) == list(range(9)) and {r.hash for r in out.collect()} == {"old"}
+
+
 def test_empty_tables(spark):
     assert mix_sources(spark.createDataFrame([], SCHEMA), {"a": 1}).collect() == []
     assert url_verdicts(spark.createDataFrame([], PAGES), spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), RULES).collect() == []

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cohortlens.llm.packing import SumOfSquares, pack_sequences
-from cohortlens.llm.token_output import feistel, read_slots, write_training_order
+from cohortlens.llm.token_output import CAP, feistel, read_slots, write_training_order
 
 from .helpers import SCHEMA, corpus
 
@@ -92,6 +92,19 @@ def test_training_order_round_trip(spark, rows, tmp_path):
     assert texts == sorted(x for _, ids in expected_ids(rows) for x in ids)
 
 
+def test_training_order_keeps_each_documents_sequence(spark, rows, tmp_path):
+    """From the slots back to the indexes: the ids of all documents, one after the other, as they were read."""
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    folder = f"file://{tmp_path}/one"
+    got = write_training_order(docs, folder, PATH, length=64, shards=3, key=5).collect()
+    n = len(got)
+    place = np.argsort(np.argsort(feistel(np.arange(n), CAP, 5)))
+    n_ids = {r.slot: r.n_ids for r in got}
+    found = [x for slot in place.tolist() for x in read_slots(folder, slot, 1, length=64)[0][: n_ids[slot]].tolist()]
+    by_text = {r[1]: ids for r, (_, ids) in zip(rows, expected_ids(rows), strict=True)}
+    assert found == [x for r in docs.collect() for x in by_text[r.text]]
+
+
 def test_empty_tables(spark, tmp_path):
     none = spark.createDataFrame([], SCHEMA)
     assert pack_sequences(none, PATH).collect() == []

@@ -1,7 +1,9 @@
 import random
 import zlib
 
-from cohortlens.llm.toxicity import Vocabulary, toxicity_scores
+import numpy as np
+
+from cohortlens.llm.toxicity import Vocabulary, fit_nnpu, toxicity_scores
 
 from .helpers import prose
 
@@ -62,3 +64,44 @@ def test_no_labels_and_empty_tables(spark):
     _, docs, labels, _ = tables(spark, 20)
     assert {r.predicted for r in toxicity_scores(docs, labels.where("toxic = 2")).collect()} == {0}
     assert toxicity_scores(docs.limit(0), labels).collect() == []
+
+
+def test_fit_equals_plain_gradients_of_the_non_negative_risk():
+    """Each step against numeric gradients of prior * R+(P) + max(0, R-(U) - prior * R-(P)), uphill where that would fall below 0."""
+    rng = np.random.default_rng(0)
+    n, prior, steps, rate, decay = 5, 0.4, 40, 0.05, 1e-3
+    sides = [[np.flatnonzero(rng.random(n) < p) for _ in range(20)] for p in (0.7, 0.3)]
+    weights, bias = fit_nnpu(*sides, n, prior, steps=steps, rate=rate, decay=decay, seed=9)
+    draw = np.random.default_rng(9)
+    w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+    w[n] = np.log(prior / (1 - prior))
+    signs = set()
+
+    def risks(w, p, u):
+        z = [np.array([w[sides[k][i]].sum() + w[n] for i in x]) for k, x in enumerate((p, u))]
+        return prior * np.log1p(np.exp(-z[0])).mean(), np.log1p(np.exp(z[1])).mean() - prior * np.log1p(np.exp(z[0])).mean()
+
+    for step in range(1, steps + 1):
+        p, u = (draw.integers(0, len(x), min(len(x), 256)) for x in sides)
+        below = risks(w, p, u)[1] < 0
+        signs.add(bool(below))
+        objective = (lambda x: -risks(x, p, u)[1]) if below else (lambda x: sum(risks(x, p, u)))
+        g = np.array([(objective(w + e) - objective(w - e)) / 2e-5 for e in 1e-5 * np.eye(n + 1)]) + decay * w
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    assert signs == {True, False}
+    assert np.allclose(np.append(weights, bias), w, atol=1e-3)
+
+
+def test_no_bounds_use_all_rows_and_features(spark):
+    rows, docs, labels, truth = tables(spark)
+    got = toxicity_scores(docs, labels, positives=None, unlabelled=None, calibration=None, n_features=None).collect()
+    assert sum(r.predicted == int(truth[r.doc_id]) for r in got if r.doc_id in truth) > 0.97 * len(truth)
+
+
+def test_very_long_texts_are_scored_whole(spark):
+    rows, docs, labels, _ = tables(spark)
+    long = " ".join(["plain"] * 400_000)
+    more = spark.createDataFrame([(5000, long, *[None] * 6), (5001, f"{long} {' '.join(INSULTS * 2)}", *[None] * 6)], DOCS)
+    got = {r.doc_id: r.score for r in toxicity_scores(docs.union(more), labels).where("doc_id >= 5000").collect()}
+    assert got[5000] < got[5001]
