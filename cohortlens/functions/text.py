@@ -15,6 +15,7 @@ from ..config import DEFAULT
 LEGAL_SUFFIXES = "ab ag as bv co corp corporation gmbh inc incorporated limited llc ltd nv oy plc pty sa sas spa srl".split()
 # Words that say how a job is worked, not where.
 WORK_ARRANGEMENT = "a and anywhere distributed flexible hybrid in n na office on onsite or remote site".split()
+# Tags that end a line and the steps from HTML to text.
 _BLOCKS = "p|div|h[1-6]|ul|ol|tr|section|article"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
@@ -40,13 +40,6 @@ def link_duplicates(rows: DataFrame, *, key: str = "dedupe_key", id: str = "post
     return joined.withColumn(out, resolve(F.col(id), F.col(source), F.col("_best.id"), F.col("_best.source"), aggregators)).select(*kept, out)
 
 
-def link_duplicates_window(rows: DataFrame, *, key: str = "dedupe_key", id: str = "posting_id", source: str = "source", quality: str = "text_quality", aggregators: Sequence[str] = DEFAULT.aggregators, out: str = "duplicate_of") -> DataFrame:
-    """The same as a window; for keys that are known to be small."""
-    first, full = preference(F.col(source), F.col(quality), aggregators)
-    w = Window.partitionBy(key).orderBy(first, full, F.col(id))
-    return rows.withColumn(out, resolve(F.col(id), F.col(source), F.first(id).over(w), F.first(source).over(w), aggregators))
-
-
 def relink_touched(rows: DataFrame, batch_keys: DataFrame, *, key: str = "dedupe_key", out: str = "duplicate_of", **names) -> DataFrame:
     """Links recomputed only for keys in batch_keys; other rows pass unchanged."""
     keys = batch_keys.select(key).distinct()
@@ -56,7 +49,7 @@ def relink_touched(rows: DataFrame, batch_keys: DataFrame, *, key: str = "dedupe
 
 
 def latest_per_key(rows: DataFrame, key: str, order: Sequence[str], where: Column | None = None) -> DataFrame:
-    """The newest row of each key by the given columns, the last of them a tie-break."""
+    """The newest row of each key by the given columns, the last of them a tie-break; combined before the shuffle, so no key is one task's."""
     rows = rows if where is None else rows.where(where)
-    w = Window.partitionBy(key).orderBy(*(F.col(c).desc() for c in order))
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    newest = F.max_by(F.struct(*(F.col(c) for c in rows.columns)), F.struct(*(F.col(c) for c in order)))
+    return rows.groupBy(F.col(key).alias("_key")).agg(newest.alias("_row")).select("_row.*")

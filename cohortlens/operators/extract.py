@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..config import DEFAULT
 from ..functions.taxonomy import ROLES
 from ..functions.text import short_error
@@ -46,14 +47,29 @@ def charge(usage: DataFrame, day: str, model: str, granted: int, released: int =
 
 def minute_batches(rows: DataFrame, *, shard: str = "shard", order: Sequence[str] = ("posting_id",), tokens: str = "tokens", max_tokens: int = DEFAULT.tokens_per_minute, max_rows: int = DEFAULT.requests_per_minute) -> DataFrame:
     """Adds `batch` per shard: consecutive rows cut where the running tokens or rows pass the next multiple of a minute's
-    budget. A batch may exceed the budget by the row at its seam; see minute_batches_greedy for exact cuts."""
-    w = Window.partitionBy(shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    by_tokens = F.floor((F.sum(tokens).over(w) - F.col(tokens)) / max_tokens)
-    by_rows = F.floor((F.count(F.lit(1)).over(w) - 1) / max_rows)
-    cut = rows.withColumns({"_t": by_tokens, "_r": by_rows})
-    before = Window.partitionBy(shard).orderBy(*order)
-    new = (~F.lag("_t").over(before).eqNullSafe(F.col("_t")) | ~F.lag("_r").over(before).eqNullSafe(F.col("_r"))).cast("int")
-    return cut.withColumn("_new", new).withColumn("batch", F.sum("_new").over(w) - 1).drop("_t", "_r", "_new")
+    budget. A batch may exceed the budget by the row at its seam; see minute_batches_greedy for exact cuts.
+
+    Rows are dealt to ranges of (shard, order) and numbered there; sums of the ranges before give each its offsets, so a shard that
+    holds most rows is cut by many tasks."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = storage.stored(rows.repartitionByRange(n, shard, *order).withColumn("_part", F.spark_partition_id()), "batches")
+    own = Window.partitionBy(shard, "_part").orderBy(*order)
+    running, parts = own.rowsBetween(Window.unboundedPreceding, Window.currentRow), Window.partitionBy(shard).orderBy("_part")
+    earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
+    sums = part.groupBy(shard, "_part").agg(F.sum(tokens).alias("_tokens"), F.count(F.lit(1)).alias("_rows"))
+    offsets = sums.select(shard, "_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_tokens", "_rows")))
+    cut = part.join(F.broadcast(offsets), [shard, "_part"])
+    by_tokens = F.floor((F.col("_tokens") + F.sum(tokens).over(running) - F.col(tokens)) / max_tokens)
+    by_rows = F.floor((F.col("_rows") + F.count(F.lit(1)).over(running) - 1) / max_rows)
+    cut = cut.withColumns({"_at": F.struct(by_tokens.alias("t"), by_rows.alias("r"))}).drop("_tokens", "_rows")
+    last = cut.groupBy(shard, "_part").agg(F.max("_at").alias("_last"))
+    last = last.select(shard, "_part", F.lag("_last").over(parts).alias("_before"))
+    cut = cut.join(F.broadcast(last), [shard, "_part"])
+    new = (~F.coalesce(F.lag("_at").over(own), F.col("_before")).eqNullSafe(F.col("_at"))).cast("int")
+    cut = cut.withColumn("_new", new)
+    starts = cut.groupBy(shard, "_part").agg(F.sum("_new").alias("_started")).select(shard, "_part", F.coalesce(F.sum("_started").over(earlier), F.lit(0)).alias("_started"))
+    out = cut.join(F.broadcast(starts), [shard, "_part"]).withColumn("batch", F.col("_started") + F.sum("_new").over(running) - 1)
+    return out.select(*rows.columns, "batch")
 
 
 def minute_batches_greedy(rows: DataFrame, *, shard: str = "shard", order: Sequence[str] = ("posting_id",), tokens: str = "tokens", max_tokens: int = DEFAULT.tokens_per_minute, max_rows: int = DEFAULT.requests_per_minute) -> DataFrame:

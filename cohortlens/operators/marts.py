@@ -110,9 +110,10 @@ def _spellings(mentions: DataFrame, key: Column, id: str, name: str, kind: str)
     )
 
 
-def alias_candidates(mentions: DataFrame, *, limit: int = DEFAULT.top_names, id: str = "posting_id", name: str = "skill_raw", kind: str = "kind") -> DataFrame:
-    """The most mentioned names with their usual spelling and kind."""
-    return _spellings(mentions, F.lower(name), id, name, kind).orderBy(F.desc("mentions"), "name").limit(limit)
+def alias_candidates(mentions: DataFrame, *, limit: int | None = DEFAULT.top_names, id: str = "posting_id", name: str = "skill_raw", kind: str = "kind") -> DataFrame:
+    """The most mentioned names (all of them, in no order, with limit=None) with their usual spelling and kind."""
+    found = _spellings(mentions, F.lower(name), id, name, kind)
+    return found if limit is None else found.orderBy(F.desc("mentions"), "name").limit(limit)
 
 
 def merge_aliases(existing: DataFrame, candidates: DataFrame, synonyms: DataFrame) -> DataFrame:

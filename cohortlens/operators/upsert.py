@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
-    """The row that arrived last of each key; a batch that repeats a key acts as if applied in order."""
-    order = Window.partitionBy(*keys).orderBy(F.col(arrival).desc())
-    return batch.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    """The row that arrived last of each key; a batch that repeats a key acts as if applied in order. Combined before the shuffle."""
+    last = F.max_by(F.struct(*(F.col(c) for c in batch.columns)), F.struct(arrival))
+    return batch.groupBy(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys))).agg(last.alias("_row")).select("_row.*")
 
 
 def changed(pairs: Sequence[tuple[Column, Column]]) -> Column:

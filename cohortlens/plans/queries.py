@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import taxonomy, text
 from ..operators import checks, dedupe, evaluate, extract, marts, upsert
 from ..sources import landed
@@ -145,7 +145,7 @@ SELECT alias, canonical_skill, kind FROM alia UNION ALL
 SELECT n.name, coalesce(canonical, n.common_spelling), coalesce(c.kind, n.kind) FROM names n ANTI JOIN alia ON alia.alias = n.name
 LEFT JOIN syn ON syn.alias = n.name LEFT JOIN names c ON c.name = lower(coalesce(canonical, n.common_spelling))"""))
 def merge_aliases(spark, d):
-    found = marts.alias_candidates(bridge.mentions(spark, d), limit=1_000_000)
+    found = marts.alias_candidates(bridge.mentions(spark, d), limit=None)
     synonyms = found.where("name < 'hot h'").select(F.col("name").alias("alias"), F.element_at(F.split("name", " "), 1).alias("canonical"))
     return marts.merge_aliases(bridge.aliases(spark, d), found, synonyms)
 
@@ -338,7 +338,7 @@ def link_duplicates(spark, d):
 
 @query(S(sql.POSTS, LINKS, select="SELECT count(*) AS n FROM linked WHERE duplicate_of IS NULL"))
 def canonical_postings(spark, d):
-    return marts.canonical(dedupe.link_duplicates_window(bridge.postings(spark, d), aggregators=AGGREGATORS)).agg(F.count(F.lit(1)).alias("n"))
+    return marts.canonical(dedupe.link_duplicates(bridge.postings(spark, d), aggregators=AGGREGATORS)).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(S(sql.POSTS, LINKS.replace("source IN ('s0', 's1'), text", "list_position(['s3', 's1', 's4', 's0', 's5', 's2', 's6'], source), text"), select="SELECT posting_id, duplicate_of FROM linked"))
@@ -421,11 +421,11 @@ def pending(spark, d):
     return extract.pending(queue_rows(spark, d), extractions(spark, d), "m", "v1").select("posting_id")
 
 
-@query(S(sql.POSTS, LINKS, EXTRACTIONS, PENDING, select="SELECT posting_id FROM pend ORDER BY posted_at DESC NULLS LAST, posting_id LIMIT (SELECT CAST(greatest(0, 500 - count(*)) AS BIGINT) FROM events WHERE event_type = 'error' AND event_id < 1000)"))
+@query(S(sql.POSTS, LINKS, EXTRACTIONS, PENDING, select="SELECT posting_id FROM pend ORDER BY posted_at DESC NULLS LAST, posting_id LIMIT (SELECT CAST(greatest(0, 5000 - count(*)) AS BIGINT) FROM events WHERE event_type = 'error')"))
 def admit(spark, d):
     queue = extract.pending(queue_rows(spark, d), extractions(spark, d), "m", "v1")
-    usage = bridge.table(spark, d, "events").where("event_type = 'error' and event_id < 1000").select(F.lit("2001-08-01").cast("date").alias("day"), F.lit("m").alias("model"), F.lit(1).alias("requests"))
-    return extract.admit(queue, usage, "2001-08-01", "m", requested=1_000_000, cap=500).select("posting_id")
+    usage = bridge.table(spark, d, "events").where("event_type = 'error'").select(F.lit("2001-08-01").cast("date").alias("day"), F.lit("m").alias("model"), F.lit(1).alias("requests"))
+    return extract.admit(queue, usage, "2001-08-01", "m", requested=1_000_000, cap=5000).select("posting_id")
 
 
 BATCHES = """tk AS (SELECT doc_id, lang AS shard, CAST(ceil(length(text) / 4.8) AS BIGINT) AS tokens FROM documents
@@ -443,9 +443,20 @@ def minute_batches(spark, d):
     return extract.minute_batches(token_rows(spark, d), order=["doc_id"])
 
 
-@query()
+SHARD_ROWS = 100
+GREEDY = f"""tk AS (SELECT doc_id, lang || '-' || doc_id % (SELECT greatest(1, (count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS}) FROM documents) AS shard, CAST(ceil(length(text) / 4.8) AS BIGINT) AS tokens FROM documents
+), nth AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS n FROM tk
+), go AS (
+  SELECT doc_id, shard, tokens, n, CAST(0 AS BIGINT) AS batch, tokens AS total, 1 AS held FROM nth WHERE n = 1
+  UNION ALL SELECT x.doc_id, x.shard, x.tokens, x.n, batch + CAST(fresh AS BIGINT), CASE WHEN fresh THEN x.tokens ELSE total + x.tokens END, CASE WHEN fresh THEN 1 ELSE held + 1 END
+  FROM (SELECT nth.*, batch, total, held, total + nth.tokens > 15000 OR held >= 25 AS fresh FROM go JOIN nth ON nth.shard = go.shard AND nth.n = go.n + 1) x)"""
+
+
+@query("WITH RECURSIVE " + GREEDY + " SELECT doc_id, shard, tokens, batch FROM go")
 def minute_batches_greedy(spark, d):
-    sharded = token_rows(spark, d).withColumn("shard", F.concat_ws("-", "shard", F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("string")))
+    rows = token_rows(spark, d)
+    shards = -(-rows.count() // SHARD_ROWS)
+    sharded = rows.withColumn("shard", F.concat_ws("-", "shard", (F.col("doc_id") % max(1, shards)).cast("string")))
     return extract.minute_batches_greedy(sharded, order=["doc_id"])
 
 
@@ -647,7 +658,8 @@ def query_grid(spark, d):
 
 
 def check_frames(spark, d) -> dict[str, DataFrame]:
-    rows, marts_, levels, pay = bridge.postings(spark, d), shares(spark, d), level_shares(spark, d), bands(spark, d)
+    """Marts and postings are written once; the checks read what is stored, as they would in production."""
+    rows, marts_, levels, pay = (storage.stored(f(spark, d), name) for name, f in (("postings", bridge.postings), ("shares", shares), ("levels", level_shares), ("bands", bands)))
     linked = dedupe.link_duplicates(rows, aggregators=AGGREGATORS)
     return {
         "cohort_size_stated": checks.cohort_size_stated(summary(spark, d)),
@@ -692,8 +704,11 @@ def stream_upserts(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import landed_queries  # noqa: F401  registers its own
+
     return {name: q.run for name, q in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return {name: q.sql for name, q in REGISTRY.items() if q.sql}

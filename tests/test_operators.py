@@ -171,7 +171,6 @@ def test_links(spark):
     df = spark.createDataFrame(rows, "posting_id bigint, source string, text_quality string, dedupe_key string")
     expected = {1: 3, 2: None, 3: None, 4: None, 5: None, 6: 5, 7: None}
     assert {r.posting_id: r.duplicate_of for r in dedupe.link_duplicates(df).collect()} == expected
-    assert {r.posting_id: r.duplicate_of for r in dedupe.link_duplicates_window(df).collect()} == expected
     linked = dedupe.link_duplicates(df)
     assert dedupe.link_duplicates(linked).exceptAll(linked).count() == 0
 
