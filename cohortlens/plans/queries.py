@@ -552,7 +552,18 @@ def prompts(spark, d):
     return docs.select("doc_id", F.sha2(prompt.cast("binary"), 256).alias("prompt"))
 
 
-@query()
+def _steps(value: str, *steps: tuple[str, str]) -> str:
+    for pattern, to in steps:
+        value = f"regexp_replace({value}, '{pattern}', {to}, 'g')"
+    return value
+
+
+_TAGS = [(r"(?i)<li\b[^>]*>", "chr(10) || '- '"), (r"(?i)<br\s*/?>|</(?:p|div|h[1-6]|ul|ol|tr|section|article)>", "chr(10)"), (r"<[^>]+>", "''")]
+_SPACES = [(r"[ \t\r\f\v\x{A0}]+", "' '"), (r"(?m)^[^\S\n]+|[^\S\n]+$", "''"), (r"(?m)^-\n+", "'- '"), (r"\n{3,}", "chr(10) || chr(10)"), (r"\A\s+|\s+\z", "''")]
+_NAMED = "replace(replace(replace(replace(" + _steps("html", *_TAGS) + ", '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+
+
+@query(f"SELECT page_id, {_steps(_NAMED, *_SPACES)} AS text FROM pages")
 def page_texts(spark, d):
     return bridge.table(spark, d, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
@@ -598,14 +609,24 @@ def json_numbers(spark, d):
 DICTIONARY = [("the", "The", "concept"), ("and of", "And of", "tool"), ("le la", "Le la", "tool"), ("der", "Der", "concept")]
 
 
-@query()
+_PHRASES = "ph(alias, canonical_skill, kind) AS (VALUES " + ", ".join(map(str, DICTIONARY)) + ")"
+_GRAMS = r"""w AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[./](\s|$)', ' ', 'g'), '[^a-z0-9+#./-]+'), lambda x: x <> '') AS ws FROM documents
+), g AS (SELECT doc_id, list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS grams FROM w)"""
+
+
+@query(S(_PHRASES, _GRAMS, select="SELECT doc_id AS posting_id, ph.* FROM g JOIN ph ON list_contains(grams, alias)"))
 def dictionary_mentions(spark, d):
     aliases = spark.createDataFrame(DICTIONARY, "alias string, canonical_skill string, kind string")
     docs = bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), F.col("text").alias("description_text"))
     return extract.dictionary_mentions(docs, aliases)
 
 
-@query()
+_FOUND = ", ".join(rf"""CASE WHEN regexp_matches(body, '(^|[^\p{{L}}\p{{N}}_]){a}([^\p{{L}}\p{{N}}_]|$)') THEN '{{"name":"{c}","kind":"{k}","requirement":"unclear"}}' END""" for a, c, k in DICTIONARY)
+ANSWERED = f"""b AS (SELECT doc_id, lower(chr(10) || 'Title: ' || lang || chr(10) || chr(10) || left(coalesce(text, ''), 12000)) AS body FROM documents)
+SELECT doc_id AS posting_id, 'ok' AS status, '{{"role":"other","seniority":"unclear","work_mode":"unclear","visa_sponsorship":"not_mentioned","skills":[' || concat_ws(',', {_FOUND}) || ']}}' AS payload FROM b"""
+
+
+@query("WITH " + ANSWERED)
 def batch_inference(spark, d):
     table = {a: (c, k) for a, c, k in DICTIONARY}
     docs = bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), F.md5("text").alias("content_hash"), text.build_prompt("Read.", F.col("lang"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("text")).alias("prompt"))
@@ -613,6 +634,36 @@ def batch_inference(spark, d):
     return extract.validated(answers).select("posting_id", "status", F.to_json("payload").alias("payload"))
 
 
+@query(S(sql.POSTS, select=f"SELECT posting_id, role, posted_at >= DATE '{sql.AS_OF}' - INTERVAL {sql.RECENT_DAYS} DAY AS is_recent FROM posts WHERE role <> 'other'"))
+def enriched(spark, d):
+    rows = bridge.postings(spark, d)
+    return marts.enriched(rows.drop("role"), rows.select("posting_id", "role"), as_of(), days=bridge.RECENT_DAYS).select("posting_id", "role", "is_recent")
+
+
+@query(S(sql.POSTS, select="SELECT posting_id, posting_id % 3 <> 1 AS nowhere FROM posts"))
+def work_arrangements(spark, d):
+    k = F.col("posting_id")
+    place = F.when(k % 3 == 0, "Remote / Hybrid (on-site)").when(k % 3 == 1, F.concat(F.lit("Remote - "), "country"))
+    return bridge.postings(spark, d).select("posting_id", text.only_work_arrangement(place).alias("nowhere"))
+
+
+@query("SELECT doc_id, sha256(left(text, 500)) AS h FROM documents WHERE text IS NOT NULL")
+def short_errors(spark, d):
+    docs = bridge.table(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", F.sha2(text.short_error(F.col("text")).cast("binary"), 256).alias("h"))
+
+
+@query("SELECT doc_id FROM labels WHERE doc_id % 7 = 0 OR doc_id NOT IN (SELECT doc_id FROM documents)")
+def missing_labels(spark, d):
+    return evaluate.missing_ids(bridge.table(spark, d, "labels"), bridge.table(spark, d, "documents").where("doc_id % 7 <> 0"), id="doc_id")
+
+
+@query("SELECT p_name AS skill, count(*) AS n FROM part WHERE p_name = 'hot bolt' GROUP BY 1")
+def item_of_slug(spark, d):
+    named = bridge.table(spark, d, "part").groupBy(F.col("p_name").alias("skill")).agg(F.count(F.lit(1)).alias("n"))
+    return reports.find_slug(named, "hot-bolt")
+
+
 # Scoring: labels against a rule on documents.
 
 SCORED = """sc AS (SELECT doc_id, CAST(quality AS VARCHAR) AS role, CASE WHEN n_chars > 500 THEN '1' ELSE '0' END AS answer_role, CAST(toxic AS VARCHAR) AS seniority, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE '0' END AS answer_seniority, doc_id % 4 <> 0 AS answered,
