@@ -94,3 +94,19 @@ def test_stages_judge_rows_and_keep_one_of_equal_ones(spark, tmp_path):
     got = [(r.doc_id, r.text) for r in now.collect() if r.doc_id is None or r.doc_id >= 5000]
     want = [(None, text["a"]), (5000, text["b"]), (5001, text["c"]), (5002, text["e"]), (5002, text["f"]), (None, ""), (5004, "")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_stages_of_empty_tables_and_further_columns(spark, tmp_path):
+    """No rows through all stages; columns with clashing names and nulls in every column through the first four."""
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    _, _, labels, _ = tables(spark, 60)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    now = spark.createDataFrame([], kinds)
+    for name, stage in p.STAGES:
+        now = stage(spark, now, str(tmp_path))
+        assert now.collect() == [], name
+    rows = [(None, None, None, None, None, "x", "y", "z"), (1, "one two three", "en", None, 13, None, None, None)]
+    now = spark.createDataFrame(rows, f"{kinds}, _key string, _slot string, component_id string")
+    for _, stage in p.STAGES[:4]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == p.COLUMNS and now.count() == 2
