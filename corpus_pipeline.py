@@ -1,4 +1,11 @@
-"""The corpus pipeline: five stages over documents, each applying one operator to all rows its predecessor kept."""
+"""The corpus pipeline: five stages over documents, each applying one operator to all rows its predecessor kept.
+
+Defined results, for every stage: an empty table gives an empty one. Only the columns of documents are read and returned; further
+ones, whatever their names, are left out. Texts of any length are judged whole. Nulls stand for themselves in any column; a null text
+counts as empty, is never toxic or a near copy, becomes an empty text in the suffix stage and packs as the end id alone. Ids may be
+null or repeat, since the first two stages judge rows: of wholly equal rows near-dedup keeps one, rows of one id with different texts stay
+apart, and the later stages keep every row they get. Ties in a group go to the smaller id, ids before nulls.
+"""
 
 from __future__ import annotations
 
