@@ -666,14 +666,14 @@ def item_of_slug(spark, d):
 
 # Scoring: labels against a rule on documents.
 
-SCORED = """sc AS (SELECT doc_id, CAST(quality AS VARCHAR) AS role, CASE WHEN n_chars > 500 THEN '1' ELSE '0' END AS answer_role, CAST(toxic AS VARCHAR) AS seniority, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE '0' END AS answer_seniority, doc_id % 4 <> 0 AS answered,
-  [lang, 'APIs', source] AS skills, [source || '.', 'api', 'more'] AS answer_skills FROM documents JOIN labels USING (doc_id))"""
+SCORED = """sc AS (SELECT doc_id, CAST(quality AS VARCHAR) AS role, CASE WHEN n_chars > 500 THEN '1' ELSE '0' END AS answer_role, CAST(toxic AS VARCHAR) AS seniority, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE '0' END AS answer_seniority, doc_id % 4 <> 0 AS answered, lang,
+  doc_id % 5 = 0 AS lost, doc_id % 3 <> 0 AS more, [lang, 'APIs', source] AS skills FROM documents JOIN labels USING (doc_id))"""
 
 
 def scored(spark, d):
     c = F.col
     rows = bridge.table(spark, d, "documents").join(bridge.table(spark, d, "labels"), "doc_id")
-    return rows.select("doc_id", c("quality").cast("string").alias("role"), F.when(c("n_chars") > 500, "1").otherwise("0").alias("answer_role"), c("toxic").cast("string").alias("seniority"), F.when(c("doc_id") % 5 != 0, "0").alias("answer_seniority"), (c("doc_id") % 4 != 0).alias("answered"), F.array("lang", F.lit("APIs"), "source").alias("skills"), F.array(F.concat("source", F.lit(".")), F.lit("api"), F.lit("more")).alias("answer_skills"))
+    return rows.select("doc_id", c("quality").cast("string").alias("role"), F.when(c("n_chars") > 500, "1").otherwise("0").alias("answer_role"), c("toxic").cast("string").alias("seniority"), F.when(c("doc_id") % 5 != 0, "0").alias("answer_seniority"), (c("doc_id") % 4 != 0).alias("answered"), F.array("lang", F.lit("APIs"), "source").alias("skills"), F.array(F.concat("source", F.lit(".")), F.when(c("doc_id") % 5 == 0, "other").otherwise("api"), F.when(c("doc_id") % 3 == 0, c("source")).otherwise("more")).alias("answer_skills"))
 
 
 @query(S(SCORED, select="""SELECT 'role' AS field, count(*) FILTER (role IS NOT DISTINCT FROM answer_role) AS correct, count(*) AS total, round(avg(CAST(role IS NOT DISTINCT FROM answer_role AS INTEGER)), 6) AS accuracy FROM sc WHERE answered
@@ -682,13 +682,15 @@ def score_fields(spark, d):
     return evaluate.score_fields(scored(spark, d), id="doc_id", fields=("role", "seniority"), answered=F.col("answered"))
 
 
-@query(S(SCORED, select="""SELECT CAST(2 * count(*) AS BIGINT) AS found, CAST(count(*) AS BIGINT) AS invented, CAST(count(*) AS BIGINT) AS missed, round(2 / 3, 6) AS precision, round(2 / 3, 6) AS recall, round(2 / 3, 6) AS f1 FROM sc WHERE answered"""))
+@query(S(SCORED, select="""SELECT *, round(2 * found / (2 * found + invented + missed), 6) AS f1 FROM (SELECT *, round(found / (found + invented), 6) AS precision, round(found / (found + missed), 6) AS recall FROM (
+  SELECT CAST(count(*) + count(*) FILTER (NOT lost) AS BIGINT) AS found, CAST(count(*) FILTER (lost) + count(*) FILTER (more) AS BIGINT) AS invented, CAST(count(*) + count(*) FILTER (lost) AS BIGINT) AS missed FROM sc WHERE answered))"""))
 def score_sets(spark, d):
     return evaluate.score_sets(scored(spark, d), answered=F.col("answered"))
 
 
 @query(S(SCORED, select="""SELECT doc_id, 'role' AS what, role AS expected, answer_role AS got FROM sc WHERE role IS DISTINCT FROM answer_role UNION ALL SELECT doc_id, 'seniority', seniority, answer_seniority FROM sc WHERE seniority IS DISTINCT FROM answer_seniority
-UNION ALL SELECT doc_id, 'missed', skills[1], NULL FROM sc UNION ALL SELECT doc_id, 'invented', NULL, 'more' FROM sc"""))
+UNION ALL SELECT doc_id, 'missed', CASE WHEN lost THEN 'api, ' ELSE '' END || lang, NULL FROM sc
+UNION ALL SELECT doc_id, 'invented', NULL, concat_ws(', ', CASE WHEN more THEN 'more' END, CASE WHEN lost THEN 'other' END) FROM sc WHERE more OR lost"""))
 def mismatch_report(spark, d):
     return evaluate.mismatch_report(scored(spark, d), id="doc_id", fields=("role", "seniority"))
 
