@@ -6,7 +6,8 @@ first and ends when the best bound is below its kth score (an equal bound is sti
 searches the shard it lives in; the kth score found there is propagated to all shards as their starting bound, so they
 return only what can still count.
 
-Queries are a stated subset, searched against all rows in groups of shard x query group; neither grows without bound.
+Queries are a stated subset, searched against all rows in groups of shard x query group. Rows and queries are counted once
+before: shards of about SHARD_ROWS rows and groups of about QUERIES_PER_GROUP queries keep their size when the table grows.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no part; vectors of different length are
 never compared; a query's own id is no candidate, also where it repeats (the query then has the largest of its vectors); equal scores are ordered
@@ -27,6 +28,8 @@ from . import textnp as t
 from .vectors import QUERIES_PER_GROUP, finite, matrix, merged
 
 LEAF = 128
+#: Rows a shard holds on average; there are at least as many shards as shuffle partitions.
+SHARD_ROWS = 65_536
 _OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -111,8 +114,9 @@ def exact_topk(rows: DataFrame, queries: Column, *, k: int = 5, vec_id: str = "v
     Returns query_id, rank (from 1), vec_id, score.
     """
     spark = rows.sparkSession
-    n = t.partitions(spark)
     valid = rows.where(finite(F.col(vector)) & F.col(vec_id).isNotNull())
+    n_rows, n_queries = valid.agg(F.count(F.lit(1)), F.count_if(queries)).first()
+    n, groups = max(t.partitions(spark), -(-n_rows // SHARD_ROWS)), max(1, -(-n_queries // QUERIES_PER_GROUP))
     whole = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
     points = valid.select(F.col(vec_id).cast("bigint").alias("vec_id"), whole.alias("vector"), queries.alias("is_query"))
     points = points.withColumns({"dim": F.size("vector"), "shard": t.block_of(F.col("vec_id"), n)})
@@ -123,7 +127,6 @@ def exact_topk(rows: DataFrame, queries: Column, *, k: int = 5, vec_id: str = "v
     table = points.select("dim", "shard", "vec_id", "vector")
     home = wanted.withColumn("least", F.lit(float("-inf")))
     first = table.groupBy("dim", "shard").cogroup(home.groupBy("q_dim", "q_shard")).applyInArrow(_search(k, True), schema)
-    groups = max(1, -(-wanted.count() // QUERIES_PER_GROUP))
     group = t.block_of(F.col("query_id"), groups).alias("q_group")
     known = wanted.drop("q_shard").join(first.select("query_id", F.col("score").cast("double").alias("least")), "query_id", "left").fillna({"least": float("-inf")})
     known = known.select("q_dim", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("q_shard"), group, "query_id", "query", "least")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnp as t
-from .shared import stored
+from .shared import Store, scratch, stored
 
 #: Further pivots a mixed bucket gets at most; what they leave is compared by rare shingles, so no link depends on it.
 ROUNDS = 3
@@ -137,47 +137,48 @@ def _confirm(part, whole):
     return run
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, store: Store = stored) -> DataFrame:
     """(node, component): the smallest node reachable, by repeated contraction.
 
     Each node goes to the one of itself and its neighbours that has the most links (of equals the one with the largest hash, which
     differs each round), and only links between different targets go on: a star is gone after one round and a chain shrinks by a
-    fraction of its length. Every round is written to the shared folder.
+    fraction of its length. Every round is written to the shared folder, and deleted once the result is stored.
     """
     edges, maps = edges.select("a", "b").distinct(), []
-    while True:
-        both = edges.union(edges.select("b", "a"))
-        order = F.xxhash64("b", F.lit(len(maps)))
-        degree = both.groupBy("b").agg(F.count(F.lit(1)).alias("degree")).select("b", F.struct("degree", order.alias("turn"), "b").alias("rank"))
-        own = F.struct(F.count(F.lit(1)).alias("degree"), F.xxhash64("a", F.lit(len(maps))).alias("turn"), F.col("a").alias("b"))
-        best = both.join(degree, "b").groupBy("a").agg(F.greatest(F.max("rank"), own).alias("best"))
-        step = stored(best.select(F.col("a").alias("node"), F.col("best.b").alias("target")), name)
-        maps.append(step)
-        ends = [step.select(F.col("node").alias(x), F.col("target").alias(f"{x}_target")) for x in ("a", "b")]
-        moved = edges.join(ends[0], "a").join(ends[1], "b").where("a_target <> b_target")
-        edges = stored(moved.select(F.least("a_target", "b_target").alias("a"), F.greatest("a_target", "b_target").alias("b")).distinct(), name)
-        if edges.isEmpty():
-            break
-    roots = maps.pop().withColumnRenamed("target", "root")
-    for step in reversed(maps):
-        known = roots.select(F.col("node").alias("target"), "root")
-        roots = step.join(known, "target", "left").select("node", F.coalesce("root", "target").alias("root"))
-    return stored(roots.join(roots.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component"), name)
-
-
-def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    with scratch(edges.sparkSession) as keep:
+        while True:
+            both = edges.union(edges.select("b", "a"))
+            order = F.xxhash64("b", F.lit(len(maps)))
+            degree = both.groupBy("b").agg(F.count(F.lit(1)).alias("degree")).select("b", F.struct("degree", order.alias("turn"), "b").alias("rank"))
+            own = F.struct(F.count(F.lit(1)).alias("degree"), F.xxhash64("a", F.lit(len(maps))).alias("turn"), F.col("a").alias("b"))
+            best = both.join(degree, "b").groupBy("a").agg(F.greatest(F.max("rank"), own).alias("best"))
+            step = keep(best.select(F.col("a").alias("node"), F.col("best.b").alias("target")), "targets")
+            maps.append(step)
+            ends = [step.select(F.col("node").alias(x), F.col("target").alias(f"{x}_target")) for x in ("a", "b")]
+            moved = edges.join(ends[0], "a").join(ends[1], "b").where("a_target <> b_target")
+            edges = keep(moved.select(F.least("a_target", "b_target").alias("a"), F.greatest("a_target", "b_target").alias("b")).distinct(), "edges")
+            if edges.isEmpty():
+                break
+        roots = maps.pop().withColumnRenamed("target", "root")
+        for step in reversed(maps):
+            known = roots.select(F.col("node").alias("target"), "root")
+            roots = step.join(known, "target", "left").select("node", F.coalesce("root", "target").alias("root"))
+        return store(roots.join(roots.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component"), "components")
+
+
+def merged_labels(labels: DataFrame, links: DataFrame, store: Store) -> DataFrame:
     """labels (node, component) after further links (a, b): only the components that these join are looked at again."""
     if links.isEmpty():
         return labels
     for x in ("a", "b"):
         links = links.join(labels.select(F.col("node").alias(x), "component"), x, "left").withColumn(x, F.coalesce("component", x)).drop("component")
-    again = components(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    again = components(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), store)
     now = again.select(F.col("node").alias("component"), F.col("component").alias("now"))
     old = labels.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
-    return stored(old.union(again.join(labels, "node", "left_anti")), "labels")
+    return store(old.union(again.join(labels, "node", "left_anti")), "labels")
 
 
-def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int, store: Store) -> DataFrame:
     """Pairs (a, b) of different components that can be linked: none that can is missing.
 
     placed holds (key, rep, n, component, top) of mixed buckets. Outside the largest component of its bucket, top, a member is
@@ -186,12 +187,12 @@ def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int)
     that share an early shingle are paired, and their sizes and places must leave room for a link.
     """
     minor = placed.groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.max(F.col("component") != F.col("top")).alias("minor"))
-    single = stored(minor.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "component", "minor", F.explode("hashes").alias("shingle")), "shingles")
+    single = store(minor.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("rep", "n", "component", "minor", F.explode("hashes").alias("shingle")), "shingles")
     held = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.max("minor").alias("wanted")).where("held > 1 and wanted").drop("wanted")
     place = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("held"), F.desc("shingle")))
     known = single.join(held, "shingle").withColumn("later", place - 1)
     early = known.where((F.col("later") + 1) * whole >= F.col("n") * part).select("shingle", "rep", "n", "component", "minor", "later")
-    early = stored(early, "early")
+    early = store(early, "early")
     right = early.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "component", "later", "minor")))
     room = (F.least("later", "later_b") + 1) * (part + whole) >= (F.col("n") + F.col("n_b")) * part
     once = ~F.col("minor_b") | (F.col("rep") < F.col("rep_b"))
@@ -199,28 +200,20 @@ def by_rare_shingles(placed: DataFrame, sets: DataFrame, part: int, whole: int)
     return pairs.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, part: int = 80, whole: int = 100, bands: int = 40, per_band: int = 5) -> DataFrame:
-    """Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (it is that document).
-
-    A link: whole * |intersection| >= part * |union| of the sets of distinct `shingle`-word shingles.
-    """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sketched = stored(rows.mapInArrow(_sketch(shingle, bands * per_band, per_band), _SKETCH), "sketches")
-    filled = sketched.where("n_shingles > 0 and doc_id is not null")
-    same = filled.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = stored(same, "classes")
+def _linked(rows: DataFrame, classes: DataFrame, shingle: int, part: int, whole: int, keep: Store) -> DataFrame:
+    """(node, component) of the classes' representatives that are linked; keep stores what is needed until then."""
     single = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    together = stored(single.join(shared, "key"), "buckets")
+    together = keep(single.join(shared, "key"), "buckets")
     central = together.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = stored(together.join(central, "rep").select("key", "rep", "n", "weight"), "members")
-    sets = stored(rows.join(central.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(shingle), "doc_id bigint, hashes array<bigint>"), "sets")
+    members = keep(together.join(central, "rep").select("key", "rep", "n", "weight"), "members")
+    sets = keep(rows.join(central.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(shingle), "doc_id bigint, hashes array<bigint>"), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among the pairs (a, b)."""
         left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("right"))
-        return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirm(part, whole), "a bigint, b bigint"), "links")
+        return keep(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirm(part, whole), "a bigint, b bigint"), "links")
 
     def with_pivots(placed: DataFrame) -> DataFrame:
         """Pairs (a, b) of each bucket's pivot, the weightiest outside the component `top`, with members it isn't linked to yet."""
@@ -233,21 +226,35 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     def several(placed: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of buckets that hold several components, with theirs and the bucket's largest, `top`."""
         known = labels.withColumnRenamed("node", "rep")
-        placed = stored(placed.select("key", "rep", "n", "weight").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
+        placed = keep(placed.select("key", "rep", "n", "weight").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
         parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
         largest = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        return stored(placed.join(largest.where("parts > 1").select("key", F.col("top.component").alias("top")), "key"), "mixed")
+        return keep(placed.join(largest.where("parts > 1").select("key", F.col("top.component").alias("top")), "key"), "mixed")
 
     links = confirmed(with_pivots(members.withColumns({"component": F.col("rep"), "top": F.lit(None).cast("bigint")})))
-    labels = components(links)
+    labels = components(links, keep)
     placed = several(members, labels)
     for _ in range(ROUNDS):
         more = confirmed(with_pivots(placed))
         if more.isEmpty():
             break
-        labels = merged_labels(labels, more)
+        labels = merged_labels(labels, more, keep)
         placed = several(placed, labels)
-    labels = merged_labels(labels, confirmed(by_rare_shingles(placed, sets, part, whole)))
+    return merged_labels(labels, confirmed(by_rare_shingles(placed, sets, part, whole, keep)), keep)
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, part: int = 80, whole: int = 100, bands: int = 40, per_band: int = 5) -> DataFrame:
+    """Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (it is that document).
+
+    A link: whole * |intersection| >= part * |union| of the sets of distinct `shingle`-word shingles.
+    """
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    sketched = stored(rows.mapInArrow(_sketch(shingle, bands * per_band, per_band), _SKETCH), "sketches")
+    filled = sketched.where("n_shingles > 0 and doc_id is not null")
+    same = filled.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = stored(same, "classes")
+    with scratch(docs.sparkSession) as keep:
+        labels = stored(_linked(rows, classes, shingle, part, whole, keep), "labels")
     named = classes.select("low", "high", "n_shingles", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("class_component"))
     out = sketched.select("doc_id", "n_shingles", "low", "high").join(named, ["low", "high", "n_shingles"], "left")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,27 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """df written once as a table in the shared folder and read from there; lost executors cost nothing before it."""
-    path = new_folder(df.sparkSession, name)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of the shared one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Store]:
+    """Gives a `stored` whose tables go when the block ends: no frame that reads one may be used after it."""
+    folder = new_folder(spark, "scratch")
+    try:
+        yield lambda df, name: stored(df, name, folder)
+    finally:
+        delete(spark, folder)

@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark import cloudpickle
@@ -6,6 +8,7 @@ from cohortlens.llm.near_dedup import components, near_duplicates, sketches
 from cohortlens.llm import substring_dedup as sub
 from cohortlens.llm.substring_dedup import substring_dedup
 from cohortlens.llm import suffix_dedup as sd
+from cohortlens.llm.shared import shared_folder
 from cohortlens.llm.suffix_dedup import multikey_order, suffix_dedup
 
 from .helpers import SCHEMA, bytes_removed, corpus, near_components, passages, windows_removed
@@ -157,6 +160,16 @@ def test_near_duplicates_of_one_large_group(spark):
     assert got == dict(enumerate(label.tolist())) and 100 < len(set(got.values())) < 2900
 
 
+def test_near_duplicates_delete_what_they_no_longer_need(spark):
+    folder = shared_folder(spark).removeprefix("file://")
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    out = near_duplicates(spark.createDataFrame([(i, f"a b c d e f g h i {i % 3}") for i in range(12)], "doc_id bigint, text string"))
+    left = {x.rpartition("-")[0] for x in set(os.listdir(folder)) - before}
+    assert left == {"sketches", "classes", "labels"}
+    assert {r.doc_id: r.component_id for r in out.collect()} == {i: i % 3 for i in range(12)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     assert {r.node: r.component for r in components(edges).collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100}

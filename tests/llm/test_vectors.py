@@ -1,4 +1,5 @@
 import math
+import sys
 
 import numpy as np
 import pytest
@@ -42,6 +43,16 @@ def test_exact_topk_equals_brute_force(spark):
     assert got == {q: x for q, x in brute(rows, 5, 50, True).items() if x}
 
 
+def test_exact_topk_keeps_its_groups_small(spark, monkeypatch):
+    rows, df = table(spark)
+    monkeypatch.setattr(sys.modules[exact_topk.__module__], "SHARD_ROWS", 90)
+    monkeypatch.setattr(sys.modules[exact_topk.__module__], "QUERIES_PER_GROUP", 5)
+    got = {}
+    for r in exact_topk(df, F.col("vec_id") % 50 == 0, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {q: x for q, x in brute(rows, 5, 50, True).items() if x}
+
+
 def test_tree_boxes_are_tight_and_bound_their_points():
     rng = np.random.default_rng(1)
     points = rng.integers(-50, 50, (900, 6)).astype(float)
