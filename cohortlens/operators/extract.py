@@ -95,10 +95,40 @@ def minute_batches_greedy(rows: DataFrame, *, shard: str = "shard", order: Seque
 RESPONSE = "posting_id bigint, model string, prompt_version string, content_hash string, answer string, state string, error string, input_tokens int, output_tokens int, latency_ms int"
 
 
+def text_parts(rows: DataFrame, *, text: str = "description_text", chars: int = DEFAULT.max_posting_chars, overlap: int = 200) -> DataFrame:
+    """One row per part of a text, with `part` (from 0): at most `chars` characters, the last `overlap` of which begin the next one.
+
+    A word cut by a part's edge is left out there; it is whole in the neighbouring part. So any phrase shorter than overlap is
+    whole in some part, and none appears that isn't in the text. A null or empty text is one empty part."""
+    if not 0 <= overlap < chars:
+        raise ValueError("overlap must be smaller than chars")
+    step, whole = chars - overlap, F.coalesce(F.col(text), F.lit(""))
+    last = F.greatest(F.ceil((F.length(whole) - chars) / step), F.lit(0)).cast("int")
+    parts = rows.select(*rows.columns, F.explode(F.sequence(F.lit(0), last)).alias("part"), last.alias("_last"))
+    cut = F.substring(whole, F.col("part") * step + 1, F.lit(chars))
+    cut = F.when(F.col("part") > 0, F.regexp_replace(cut, r"(?U)\A\w+", "")).otherwise(cut)
+    cut = F.when(F.col("part") < F.col("_last"), F.regexp_replace(cut, r"(?U)\w+\z", "")).otherwise(cut)
+    return parts.withColumn(text, cut).drop("_last")
+
+
+def merged_parts(validated_rows: DataFrame) -> DataFrame:
+    """Answers about the parts of a text as one per posting: (posting_id, status, payload). The first part that was answered states the
+    scalar fields, all of them the skills (in order of name); status is ok if all parts are, else that of the first that isn't."""
+    ok = F.col("status") == "ok"
+    first = F.min_by("payload", F.when(ok, F.col("part")))
+    skills = F.array_sort(F.array_distinct(F.flatten(F.collect_list("payload.skills"))))
+    found = validated_rows.groupBy("posting_id").agg(
+        F.coalesce(F.min_by("status", F.when(~ok, F.col("part"))), F.lit("ok")).alias("status"), first.alias("_first"), skills.alias("_skills")
+    )
+    return found.select("posting_id", "status", F.when(F.col("_first").isNotNull(), F.col("_first").withField("skills", F.col("_skills"))).alias("payload"))
+
+
 def infer(prompts: DataFrame, backend: Callable[[], object], model: str, version: str) -> DataFrame:
-    """Answers for (posting_id, content_hash, prompt). backend() is made once per task and gives an object with
-    generate(prompt) -> (text, input tokens, output tokens); what it raises becomes a row. Raise RateLimited to leave a
+    """Answers for (posting_id, content_hash, prompt), and part if there is one. backend() is made once per task and gives an object
+    with generate(prompt) -> (text, input tokens, output tokens); what it raises becomes a row. Raise RateLimited to leave a
     posting untouched."""
+    keys = ["posting_id", "content_hash", *(["part"] if "part" in prompts.columns else [])]
+    schema = RESPONSE + (", part int" if "part" in keys else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
@@ -106,7 +136,7 @@ def infer(prompts: DataFrame, backend: Callable[[], object], model: str, version
         engine = backend()
         for pdf in batches:
             out = []
-            for id_, content, prompt in zip(pdf["posting_id"], pdf["content_hash"], pdf["prompt"], strict=True):
+            for prompt, id_, content, *part in zip(pdf["prompt"], *(pdf[c] for c in keys), strict=True):
                 began, answer, state, error, tokens = time.monotonic(), None, "answered", None, (None, None)
                 try:
                     answer, *tokens = engine.generate(prompt)
@@ -114,10 +144,10 @@ def infer(prompts: DataFrame, backend: Callable[[], object], model: str, version
                     state, error = "rate_limited", str(e)
                 except Exception as e:  # noqa: BLE001  any failure of a backend is data
                     state, error = "error", f"{type(e).__name__}: {e}"
-                out.append((id_, model, version, content, answer, state, error, *tokens, int((time.monotonic() - began) * 1000)))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in RESPONSE.split(", ")])
+                out.append((id_, model, version, content, answer, state, error, *tokens, int((time.monotonic() - began) * 1000), *part))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return prompts.select("posting_id", "content_hash", "prompt").mapInPandas(run, RESPONSE)
+    return prompts.select(*keys, "prompt").mapInPandas(run, schema)
 
 
 class RateLimited(Exception):

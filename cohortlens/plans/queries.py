@@ -186,13 +186,14 @@ def monthly_trend(spark, d):
 
 
 CO = """nm AS (SELECT DISTINCT posting_id, role, skill FROM recent JOIN mapped USING (posting_id)
+), top AS (SELECT role, skill, n_with_skill, n_total FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY n_with_skill DESC, skill) AS r FROM rs) WHERE r <= 150
 ), pr AS (SELECT x.role, x.skill AS a, y.skill AS b, count(*) AS n_both FROM nm x JOIN nm y ON x.posting_id = y.posting_id AND x.skill < y.skill GROUP BY ALL HAVING count(*) >= 2)"""
 
 
 @query(S(*sql.ALL, sql.shares("role", "recent", "rs", False), CO, select="""SELECT pr.role, a, b, n_both, sa.n_with_skill AS n_a, sa.n_total, sb.n_with_skill AS n_b, round(n_both / sa.n_total, 6) AS support,
-  round(n_both * sa.n_total / (sa.n_with_skill * sb.n_with_skill), 6) AS lift FROM pr JOIN rs sa ON sa.role = pr.role AND sa.skill = a JOIN rs sb ON sb.role = pr.role AND sb.skill = b"""))
+  round(n_both * sa.n_total / (sa.n_with_skill * sb.n_with_skill), 6) AS lift FROM pr JOIN top sa ON sa.role = pr.role AND sa.skill = a JOIN top sb ON sb.role = pr.role AND sb.skill = b"""))
 def co_occurrence(spark, d):
-    return marts.co_occurrence(bridge.recent(spark, d), mapped(spark, d))
+    return marts.co_occurrence(bridge.recent(spark, d), mapped(spark, d), top=150)
 
 
 @query(S(sql.POSTS, sql.RECENT, select="SELECT * FROM (SELECT role, region, company, count(*) AS n_postings, CAST(row_number() OVER (PARTITION BY role, region ORDER BY count(*) DESC, company) AS INTEGER) AS rank FROM recent GROUP BY role, region, company) WHERE rank <= 5"))
@@ -621,17 +622,19 @@ def dictionary_mentions(spark, d):
     return extract.dictionary_mentions(docs, aliases)
 
 
-_FOUND = ", ".join(rf"""CASE WHEN regexp_matches(body, '(^|[^\p{{L}}\p{{N}}_]){a}([^\p{{L}}\p{{N}}_]|$)') THEN '{{"name":"{c}","kind":"{k}","requirement":"unclear"}}' END""" for a, c, k in DICTIONARY)
-ANSWERED = f"""b AS (SELECT doc_id, lower(chr(10) || 'Title: ' || lang || chr(10) || chr(10) || left(coalesce(text, ''), 12000)) AS body FROM documents)
+_FOUND = ", ".join(rf"""CASE WHEN regexp_matches(body, '(^|[^\p{{L}}\p{{N}}_]){a}([^\p{{L}}\p{{N}}_]|$)') THEN '{{"name":"{c}","kind":"{k}","requirement":"unclear"}}' END""" for a, c, k in sorted(DICTIONARY, key=lambda x: x[1]))
+ANSWERED = f"""b AS (SELECT doc_id, lower(chr(10) || 'Title: ' || lang || chr(10) || chr(10) || coalesce(text, '')) AS body FROM documents)
 SELECT doc_id AS posting_id, 'ok' AS status, '{{"role":"other","seniority":"unclear","work_mode":"unclear","visa_sponsorship":"not_mentioned","skills":[' || concat_ws(',', {_FOUND}) || ']}}' AS payload FROM b"""
 
 
 @query("WITH " + ANSWERED)
 def batch_inference(spark, d):
     table = {a: (c, k) for a, c, k in DICTIONARY}
-    docs = bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), F.md5("text").alias("content_hash"), text.build_prompt("Read.", F.col("lang"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("text")).alias("prompt"))
-    answers = extract.infer(docs, lambda: extract.DictionaryBackend(table), "dictionary", "v1")
-    return extract.validated(answers).select("posting_id", "status", F.to_json("payload").alias("payload"))
+    docs = extract.text_parts(bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), "lang", "text", F.md5("text").alias("content_hash")), text="text")
+    none = F.lit(None).cast("string")
+    prompts = docs.select("posting_id", "content_hash", "part", text.build_prompt("Read.", F.col("lang"), none, none, F.col("text")).alias("prompt"))
+    answers = extract.infer(prompts, lambda: extract.DictionaryBackend(table), "dictionary", "v1")
+    return extract.merged_parts(extract.validated(answers)).select("posting_id", "status", F.to_json("payload").alias("payload"))
 
 
 @query(S(sql.POSTS, select=f"SELECT posting_id, role, posted_at >= DATE '{sql.AS_OF}' - INTERVAL {sql.RECENT_DAYS} DAY AS is_recent FROM posts WHERE role <> 'other'"))

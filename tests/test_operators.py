@@ -220,6 +220,30 @@ class Backend:
         return json.dumps(ANSWER), 10, 5
 
 
+def test_parts_of_long_texts(spark):
+    words = [f"w{i}" for i in range(300)]
+    texts = [(1, " ".join(words)), (2, None), (3, ""), (4, "x" * 130), (5, "a red fox " * 4), (6, "y" * 40 + " z")]
+    rows = spark.createDataFrame(texts, "posting_id bigint, description_text string")
+    parts = {}
+    for r in extract.text_parts(rows, chars=40, overlap=15).orderBy("posting_id", "part").collect():
+        parts.setdefault(r.posting_id, []).append(r.description_text)
+    assert all(len(p) <= 40 for ps in parts.values() for p in ps)
+    assert parts[2] == parts[3] == [""] and parts[5] == ["a red fox " * 4]
+    assert {w for p in parts[1] for w in p.split()} == set(words)
+    pairs = {(a, b) for p in parts[1] for a, b in zip(p.split(), p.split()[1:])}
+    assert pairs == set(zip(words, words[1:]))
+    assert set(parts[4]) == {""} and parts[6][-1] == " z"
+
+
+def test_merged_parts(spark):
+    skill = lambda n: {"name": n, "kind": "tool", "requirement": "unclear"}
+    payload = lambda role, *names: {"role": role, "skills": [skill(n) for n in names]}
+    rows = [(1, 1, "ok", payload("b", "z", "a")), (1, 0, "ok", payload("a", "z", "m")), (2, 0, "error", None), (2, 1, "ok", payload("c", "q")), (3, 0, "invalid_json", None)]
+    schema = f"posting_id bigint, part int, status string, payload struct<role:string,skills:{extract.SKILLS}>"
+    got = {r.posting_id: (r.status, r.payload and (r.payload.role, [s.name for s in r.payload.skills])) for r in extract.merged_parts(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: ("ok", ("a", ["a", "m", "z"])), 2: ("error", ("c", ["q"])), 3: ("invalid_json", None)}
+
+
 def test_inference_states_attempts_and_queue(spark):
     rows = [(1, "h", "fine"), (2, "h", "break"), (3, "h", "busy")]
     prompts = spark.createDataFrame(rows, "posting_id bigint, content_hash string, prompt string")
