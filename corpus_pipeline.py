@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.near_dedup import near_duplicates
 from cohortlens.llm.packing import pack_sequences
 from cohortlens.llm.queries import OTHER, WEIGHTS, tokenizer
-from cohortlens.llm.shared import new_folder
+from cohortlens.llm.shared import delete, new_folder
 from cohortlens.llm.source_mixing import mix_sources
 from cohortlens.llm.suffix_dedup import suffix_dedup
 from cohortlens.llm.toxicity import toxicity_scores
@@ -86,10 +86,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; each stage but the last is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage; each stage but the last is written to the shared folder and read again.
+
+    What a stage wrote is deleted once its successor is written; the last one's input stays, as the rows returned read it.
+    """
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = new_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read:
+            delete(spark, read)
+        docs, read = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
