@@ -91,14 +91,14 @@ class Spans:
     """The anchored spans of a block's documents, computed alike wherever the block is.
 
     A span has its anchor's hash (key), a digest, its row, its first string's place (low: a byte of the row; for strings of words an
-    index into word_start and word_end), how many more strings it has, and the place of its anchor in its text (lead).
+    index into word_start and word_end, places in the row in 32 bits), how many more strings it has, and the place of its anchor in its text (lead).
     """
 
     def __init__(self, docs: pa.Table, length: int, gram: int, words: int):
         self.length, self.words = length, words
         self.texts = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
         kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64, bool)
-        parts, bounds, n_words = [tuple(np.zeros(0, k) for k in kinds)], [(np.zeros(0, np.int64),) * 2], 0
+        parts, bounds, n_words = [tuple(np.zeros(0, k) for k in kinds)], [(np.zeros(0, np.int32),) * 2], 0
         for i, _, data, offs in t.text_chunks(self.texts):
             sums, second = t.byte_prefix(data), t.prefix(_SECOND[data], 1)
             parts += self._bytes(i, data, offs, sums, second, gram)
@@ -128,7 +128,7 @@ class Spans:
     def _words(self, first, data, offs, sums, second, before):
         words = self.words
         start, end, row = t.word_bounds(data, offs)
-        own = (start - offs[row], end - offs[row]) if len(row) else (start, end)
+        own = tuple((x - offs[row]).astype(np.int32) for x in (start, end)) if len(row) else (start.astype(np.int32), end.astype(np.int32))
         if len(start) < words:
             return [], own
         n = len(start) - words + 1
