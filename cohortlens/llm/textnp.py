@@ -14,8 +14,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
-CHUNK_BYTES = 1 << 20
-POS_BITS = 28  # places within one chunk of text; a chunk holds 1 MB or one longer document
+CHUNK_BYTES = 1 << 19
+POS_BITS = 28  # places within one chunk of text; a chunk holds 512 KB or one longer document
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 SEPARATOR = np.zeros(256, bool)
