@@ -12,6 +12,7 @@ from .conversation_repair import damaged, repair_conversations
 from .exact_topk import exact_topk
 from .near_dedup import near_duplicates
 from .packing import pack_sequences
+from .ppm import language_scores
 from .shared import new_folder
 from .source_mixing import mix_sources
 from .substring_dedup import substring_dedup
@@ -83,13 +84,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(_read(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     return repair_conversations(damaged(rows), rows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_substring_dedup, op2_url_filter, op3_packing, op4_token_output, op5_learned_partitions, op6_exact_topk, op7_source_mixing, op8_toxicity, op9_suffix_dedup, op10_near_dedup, op13_conversation_repair]
+    named = [op1_substring_dedup, op2_url_filter, op3_packing, op4_token_output, op5_learned_partitions, op6_exact_topk, op7_source_mixing, op8_toxicity, op9_suffix_dedup, op10_near_dedup, op12_lm_scoring, op13_conversation_repair]
     return {f.__name__: f for f in named}
 
 
