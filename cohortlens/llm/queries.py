@@ -12,6 +12,7 @@ from .conversation_repair import damaged, repair_conversations
 from .exact_topk import exact_topk
 from .near_dedup import near_duplicates
 from .packing import pack_sequences
+from .phrases import collocations
 from .ppm import language_scores
 from .shared import new_folder
 from .source_mixing import mix_sources
@@ -84,6 +85,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_read(spark, sf_dir, "documents"), least=30, most=4, covered=80, limit=2000)
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_scores(_read(spark, sf_dir, "documents"))
 
@@ -94,7 +99,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_substring_dedup, op2_url_filter, op3_packing, op4_token_output, op5_learned_partitions, op6_exact_topk, op7_source_mixing, op8_toxicity, op9_suffix_dedup, op10_near_dedup, op12_lm_scoring, op13_conversation_repair]
+    named = [op1_substring_dedup, op2_url_filter, op3_packing, op4_token_output, op5_learned_partitions, op6_exact_topk, op7_source_mixing, op8_toxicity, op9_suffix_dedup, op10_near_dedup, op11_phrases, op12_lm_scoring, op13_conversation_repair]
     return {f.__name__: f for f in named}
 
 
@@ -189,5 +194,32 @@ FROM b JOIN plan ON plan.pool = b.pool AND plan.turn = block % quota
 """
 
 
+OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, unnest(flatten(list_transform(range(1, 5), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])))) AS ws FROM w
+), f AS (SELECT lang, ws, count(*) AS a FROM g GROUP BY lang, ws HAVING count(*) >= 30
+), k AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM f
+), s AS (
+  SELECT k.lang, k.ws, k.a, k.k, x.a AS l, y.a AS r, CAST(CAST(2000000 AS HUGEINT) * k.a // (x.a + y.a) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.ws = k.ws[1 : k.k] JOIN f y ON y.lang = k.lang AND y.ws = k.ws[k.k + 1 :]
+), c AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1
+), i AS (
+  SELECT lang, unnest(flatten(list_transform(range(2, len(ws)), lambda k: list_transform(range(1, len(ws) - k + 2), lambda j: ws[j : j + k - 1])))) AS ws, a FROM f WHERE len(ws) > 2
+), m AS (SELECT lang, ws, max(a) AS longer FROM i GROUP BY lang, ws
+), o AS (
+  SELECT c.lang, array_to_string(c.ws, ' ') AS phrase, a, l, r, score FROM c LEFT JOIN m USING (lang, ws)
+  WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2, "op6_exact_topk": OP6, "op7_source_mixing": OP7}
+    return {"op2_url_filter": OP2, "op6_exact_topk": OP6, "op7_source_mixing": OP7, "op11_phrases": OP11}
