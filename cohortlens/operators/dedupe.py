@@ -40,11 +40,17 @@ def link_duplicates(rows: DataFrame, *, key: str = "dedupe_key", id: str = "post
     return joined.withColumn(out, resolve(F.col(id), F.col(source), F.col("_best.id"), F.col("_best.source"), aggregators)).select(*kept, out)
 
 
-def relink_touched(rows: DataFrame, batch_keys: DataFrame, *, key: str = "dedupe_key", out: str = "duplicate_of", **names) -> DataFrame:
-    """Links recomputed only for keys in batch_keys; other rows pass unchanged."""
-    keys = batch_keys.select(key).distinct()
+def touched_keys(before: DataFrame, batch: DataFrame, keys: Sequence[str] = ("source", "source_id"), key: str = "dedupe_key") -> DataFrame:
+    """Dedupe keys that the rows of a batch have now or had before: a row that leaves a key leaves a choice to be made there."""
+    had = before.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(key)
+    return batch.select(key).union(had).where(F.col(key).isNotNull()).distinct()
+
+
+def relink_touched(rows: DataFrame, touched: DataFrame, *, key: str = "dedupe_key", out: str = "duplicate_of", **names) -> DataFrame:
+    """Links recomputed only for keys in `touched` (see touched_keys); rows of other keys pass unchanged, those without a key have no link."""
+    keys = touched.select(key).distinct()
     fresh = link_duplicates(rows.join(keys, key, "left_semi"), key=key, out=out, **names)
-    rest = rows.join(keys, key, "left_anti")
+    rest = rows.join(keys, key, "left_anti").withColumn(out, F.when(F.col(key).isNotNull(), F.col(out)))
     return rest.select(fresh.columns).unionByName(fresh)
 
 

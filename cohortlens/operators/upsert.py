@@ -105,16 +105,3 @@ def link_changes(before: DataFrame, after: DataFrame, key: str = "posting_id", c
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
-
-
-def rewrite_touched(target_path: str, staging_path: str, target: DataFrame, batch: DataFrame, merged: DataFrame, keys: Sequence[str], n: int = 64) -> DataFrame:
-    """Writes the buckets that the batch touches to staging, partitioned by `_bucket`; swap them in one by one afterwards.
-
-    `target` lives in `target_path` partitioned the same way, so untouched buckets are neither read nor written.
-    """
-    if staging_path.rstrip("/") == target_path.rstrip("/"):
-        raise ValueError("a plan must not overwrite the path it reads")
-    touched = batch.select(bucket_of(keys, n).alias("_bucket")).distinct()
-    rows = merged.withColumn("_bucket", bucket_of(keys, n)).join(F.broadcast(touched), "_bucket", "left_semi")
-    rows.write.mode("overwrite").partitionBy("_bucket").parquet(staging_path)
-    return touched

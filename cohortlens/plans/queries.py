@@ -359,6 +359,31 @@ def relink_touched(spark, d):
     return dedupe.relink_touched(rows, rows.where("posting_id % 10 = 0"), aggregators=AGGREGATORS).select("posting_id", "duplicate_of")
 
 
+STORED = "posting_id bigint, source string, source_id string, content_hash string, dedupe_key string, text_quality string, duplicate_of bigint"
+INGESTED = """st AS (
+  SELECT posting_id % 3 = 0 AS later, source, source_id, CASE WHEN posting_id % 10 = 1 AND posting_id % 20 <> 1 THEN company || '|moved' ELSE dedupe_key END AS dedupe_key,
+    CASE WHEN posting_id % 10 = 2 THEN 'full' ELSE text_quality END AS text_quality FROM posts
+), ids AS (SELECT *, row_number() OVER (ORDER BY later, source, source_id) AS posting_id FROM st
+), """ + LINKS.replace("FROM posts", "FROM ids")
+
+
+@query(S(sql.POSTS, INGESTED, select="SELECT lk.source, source_id, lk.posting_id, lk.dedupe_key, text_quality, duplicate_of FROM lk JOIN linked USING (posting_id)"))
+def ingest_stream(spark, d):
+    """Three landings: rows are new, change their key or quality, come again unchanged, and move back to the key they left."""
+    k, rows = F.col("posting_id"), bridge.postings(spark, d).select("posting_id", "source", "source_id", "company", "dedupe_key", "text_quality")
+    moved, full = F.concat("company", F.lit("|moved")), F.lit("full")
+    second = rows.where((k % 3 == 0) | (k % 10).isin(1, 2, 4)).withColumns({"dedupe_key": F.when(k % 10 == 1, moved).otherwise(F.col("dedupe_key")), "text_quality": F.when(k % 10 == 2, full).otherwise(F.col("text_quality"))})
+    batches = [(rows.where(k % 3 != 0), F.lit("first")), (second, F.when((k % 10).isin(1, 2), "second").otherwise("first")), (rows.where(k % 20 == 1), F.lit("third"))]
+    landing, checkpoint = storage.new_folder(spark, "landing"), storage.new_folder(spark, "landing-checkpoint")
+    store = incremental.PostingStore(spark, storage.new_folder(spark, "postings"), STORED, update=["content_hash", "dedupe_key", "text_quality"], buckets=16, aggregators=AGGREGATORS)
+    for batch, content in batches:
+        landed_rows = batch.withColumn("content_hash", content).drop("posting_id", "company")
+        landed_rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(landed_rows.schema).parquet(landing)
+        incremental.ingest_stream(stream, lambda df: df, store, checkpoint)
+    return store.read("postings").drop("content_hash")
+
+
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events WHERE event_type <> 'error') WHERE n = 1")
 def latest_per_key(spark, d):
     return dedupe.latest_per_key(bridge.table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") != "error").select("user_id", "event_id", "event_type")

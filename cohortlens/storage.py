@@ -1,9 +1,13 @@
-"""Folders that all executors share."""
+"""Folders and small files that all executors share."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +27,69 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """df written once as a table in the shared folder and read from there."""
-    path = new_folder(df.sparkSession, name)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Store]:
+    """Gives a `stored` whose tables go when the block ends: no frame that reads one may be used after it."""
+    folder = new_folder(spark, "scratch")
+    try:
+        yield lambda df, name: stored(df, name, folder)
+    finally:
+        delete(spark, folder)
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    fs, where = _at(spark, folder)
+    fs.delete(where, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, where = _at(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file whole or not at all; False if it is there already. This is what versions and reservations compare and set by.
+
+    The text is written beside it first. Then a rename decides, which a cluster's file system refuses if the target exists; on a local
+    one a rename would replace it, so a hard link decides there.
+    """
+    fs, where = _at(spark, path)
+    _, beside = _at(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    fs.mkdirs(where.getParent())
+    stream = fs.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if fs.getScheme() == "file":
+            os.link(urlparse(beside.toString()).path, urlparse(where.toString()).path)
+            return True
+        return not fs.exists(where) and bool(fs.rename(beside, where))
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(beside, False)

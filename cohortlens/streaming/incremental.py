@@ -7,51 +7,83 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import relink_touched
-from ..operators.upsert import last_per_key, upsert
-from ..storage import new_folder
-
-
-class VersionedTable:
-    """A table as numbered folders; a batch reads one version and writes the next, so a batch that runs again repeats itself."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), root
-
-    def version(self, below: int | None = None) -> int | None:
-        """Newest complete version (written before batch `below`)."""
-        fs, root = self._fs()
-        if not fs.exists(root):
-            return None
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [int(n[1:]) for n in names if n.startswith("v") and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return max((v for v in done if below is None or v < below), default=None)
-
-    def read(self, below: int | None = None) -> DataFrame:
-        v = self.version(below)
-        reader = self.spark.read.schema(self.schema)
-        return self.spark.createDataFrame([], self.schema) if v is None else reader.parquet(f"{self.path}/v{v}")
-
-    def write(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
-
-
-def ingest_stream(landed: DataFrame, normalise: Callable[[DataFrame], DataFrame], table: VersionedTable, checkpoint: str, *, keys: Sequence[str] = ("source", "source_id"), compare: Sequence[str] = ("content_hash", "dedupe_key"), update: Sequence[str], link: bool = True) -> None:
-    """Upserts what has landed since the last run; a run without new files changes nothing. Links are recomputed only for the
-    dedupe keys that a batch touches."""
+from ..operators.dedupe import link_duplicates
+from ..operators.upsert import last_per_key, new_ids, upsert
+from ..sources.buckets import BucketStore, Version
+from ..storage import Store, new_folder, scratch
+
+
+MEMBERS = "dedupe_key string, posting_id bigint, source string, text_quality string, duplicate_of bigint, place int"
+
+
+class PostingStore(BucketStore):
+    """Postings by their key, and beside them the members of each dedupe key with their links, changed in one version together.
+
+    schema: columns of a posting, posting_id, dedupe_key, source, text_quality and duplicate_of among them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, *, keys: Sequence[str] = ("source", "source_id"), compare: Sequence[str] = ("content_hash", "dedupe_key"), update: Sequence[str], buckets: int = 64, **preference):
+        super().__init__(spark, path, {"postings": (schema, keys), "members": (MEMBERS, ("dedupe_key",))}, buckets)
+        self.keys, self.compare, self.update, self.preference = list(keys), compare, update, preference
+
+    def apply(self, rows: DataFrame, number: int, arrival: str | None = None) -> Version:
+        """The version after batch `number`; one that was applied before changes nothing.
+
+        Only buckets of the batch's keys are read, and only those in which a row or a link changes are written. A row that is new, or
+        whose key or quality changes, has the keys it enters and leaves elected anew, from the members of these keys alone; links that
+        change thereby are written to whatever buckets their rows are in.
+        """
+        base = self.version()
+        if base.batch >= number:
+            return base
+        with scratch(self.spark) as keep:
+            return self._applied(base, keep(last_per_key(rows, self.keys, arrival) if arrival else rows, "batch"), arrival, number, keep)
+
+    def _applied(self, base: Version, batch: DataFrame, arrival: str | None, number: int, keep: Store) -> Version:
+        at = self.touched(batch, "postings")
+        old = self.read("postings", at, base)
+        merged = keep(upsert(old, batch.drop(*([arrival] if arrival else [])), self.keys, self.compare, self.update, id_column=None), "merged")
+        counts = {r["_action"]: r["count"] for r in merged.groupBy("_action").count().collect()}
+        start, summary = base.facts.get("next_id", 1), {"inserted": counts.get("inserted", 0), "updated": counts.get("updated", 0), "relinked": 0}
+        if not summary["inserted"] + summary["updated"]:
+            return self.commit(base, number, {}, summary | {"next_id": start, "read": at, "written": [], "member_buckets": []})
+        numbered = new_ids(merged.where("_action = 'inserted'").drop("posting_id"), self.keys, start - 1)
+        merged = keep(merged.where("_action <> 'inserted'").unionByName(numbered.select(merged.columns)).withColumn("_bucket", self.bucket("postings")), "numbered")
+
+        was = old.select(*self.keys, F.col("dedupe_key").alias("_left"), F.col("text_quality").alias("_quality"))
+        fresh = merged.where("_action <> 'kept'").select(*self.keys, "posting_id", "dedupe_key", "text_quality", "duplicate_of", "_action", F.col("_bucket").alias("place"))
+        fresh = fresh.join(was, self.keys, "left")
+        same = F.col("dedupe_key").eqNullSafe(F.col("_left")) & F.col("text_quality").eqNullSafe(F.col("_quality"))
+        moved = keep(fresh.where((F.col("_action") == "inserted") | ~same), "moved")
+        changed = keep(moved.select("dedupe_key").union(moved.select("_left")).where("dedupe_key is not null").distinct(), "keys")
+        key_buckets = self.touched(changed, "members")
+        stay = self.read("members", key_buckets, base).join(moved.select("posting_id"), "posting_id", "left_anti")
+        now = keep(stay.unionByName(moved.where("dedupe_key is not null").select(stay.columns)), "members")
+        elected = link_duplicates(now.join(changed, "dedupe_key", "left_semi").withColumnRenamed("duplicate_of", "_was"), **self.preference)
+        elected = keep(elected, "elected")
+        links = elected.where(~F.col("_was").eqNullSafe(F.col("duplicate_of"))).select("posting_id", "place", F.col("duplicate_of").alias("_link"))
+        unlinked = moved.where("dedupe_key is null and duplicate_of is not null").select("posting_id", "place", F.lit(None).cast("bigint").alias("_link"))
+        links = keep(links.unionByName(unlinked), "links")
+
+        written = {r[0] for r in merged.where("_action <> 'kept'").select("_bucket").union(links.select("place")).distinct().collect()}
+        more = self.read("postings", sorted(written - set(at)), base)
+        rows = merged.select(more.columns).unionByName(more).join(links.select("posting_id", "_link", F.lit(True).alias("_new")), "posting_id", "left")
+        rows = rows.withColumn("duplicate_of", F.when(F.col("_new"), F.col("_link")).otherwise(F.col("duplicate_of")))
+        members = now.join(changed, "dedupe_key", "left_anti").unionByName(elected.select(now.columns))
+        summary["relinked"] = links.count()
+        tables = {"postings": self.write("postings", rows, sorted(written))}
+        if key_buckets:
+            tables["members"] = self.write("members", members, key_buckets)
+        facts = summary | {"next_id": start + summary["inserted"], "read": sorted({*at, *written}), "written": sorted(written), "member_buckets": key_buckets}
+        return self.commit(base, number, tables, facts)
+
+
+def ingest_stream(landed: DataFrame, normalise: Callable[[DataFrame], DataFrame], store: PostingStore, checkpoint: str) -> None:
+    """Upserts what has landed since the last run and links it; a run without new files changes nothing. A batch that died is
+    applied again, one that was committed isn't."""
 
     def one(batch: DataFrame, number: int) -> None:
-        rows = normalise(batch).withColumn("_at", F.monotonically_increasing_id())
-        before = table.read(number)
-        merged = upsert(before, rows, keys, compare, update, arrival="_at").drop("_action")
-        if link:
-            merged = relink_touched(merged, rows)
-        table.write(merged.select(before.columns), number)
+        store.apply(normalise(batch).withColumn("_at", F.monotonically_increasing_id()), number, arrival="_at")
 
     landed.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
@@ -71,16 +103,29 @@ def daily_counts_of_table(spark: SparkSession, sf_dir: str, table: str, time: st
     return spark.read.schema(counts.schema).parquet(out)
 
 
+class LatestStore(BucketStore):
+    """The newest row of each key; a batch rewrites the buckets it touches."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, order: str, buckets: int = 16):
+        super().__init__(spark, path, {"rows": (schema, (key,))}, buckets)
+        self.key, self.order = key, order
+
+    def apply(self, rows: DataFrame, number: int) -> Version:
+        base = self.version()
+        if base.batch >= number:
+            return base
+        with scratch(self.spark) as keep:
+            batch = keep(last_per_key(rows, [self.key], self.order), "batch")
+            at = self.touched(batch, "rows")
+            both = self.read("rows", at, base).unionByName(batch)
+            return self.commit(base, number, {"rows": self.write("rows", last_per_key(both, [self.key], self.order), at)} if at else {})
+
+
 def latest_of_stream(spark: SparkSession, sf_dir: str, source: str, key: str, order: str, columns: Sequence[str]) -> DataFrame:
     """The newest row of each key of a streamed table, kept by upserts batch after batch."""
     path = f"{sf_dir}/{source}.parquet"
     static = spark.read.parquet(path).select(key, order, *columns)
-    table = VersionedTable(spark, new_folder(spark, "latest"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in static.schema))
-
-    def one(batch: DataFrame, number: int) -> None:
-        both = table.read(number).unionByName(batch.select(key, order, *columns))
-        table.write(last_per_key(both, [key], order), number)
-
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
-    stream.writeStream.foreachBatch(one).option("checkpointLocation", new_folder(spark, "latest-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return table.read()
+    store = LatestStore(spark, new_folder(spark, "latest"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in static.schema), key, order)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*").select(key, order, *columns)
+    stream.writeStream.foreachBatch(store.apply).option("checkpointLocation", new_folder(spark, "latest-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return store.read("rows")

@@ -9,7 +9,6 @@ from cohortlens.functions import taxonomy, text
 from cohortlens.operators import checks, dedupe, evaluate, extract, marts, upsert
 from cohortlens.plans import reports
 from cohortlens.sources import landed
-from cohortlens.streaming.incremental import VersionedTable, ingest_stream
 
 
 def column(spark, values, f, kind="string"):
@@ -162,8 +161,6 @@ def test_upsert_is_idempotent_and_last_of_a_batch_wins(spark):
     assert upsert.action_counts(again).first().asDict() == {"inserted": 0, "updated": 0}
     quiet = batch.withColumn("title", F.lit("only the title"))
     assert upsert.action_counts(upsert.upsert(first.drop("_action"), quiet, ["source", "source_id"], ["content_hash", "dedupe_key"], UPDATE, arrival="at")).first().updated == 0
-    with pytest.raises(ValueError):
-        upsert.rewrite_touched("/x/", "/x", none, none, none, ["source"])
 
 
 def test_links(spark):
@@ -339,24 +336,3 @@ def test_checks_fire(spark, check, rows, schema):
     assert found.count() > 0
     with pytest.raises(ValueError):
         checks.run_checks({"x": found})
-
-
-def test_stream_ingests_once(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    table = VersionedTable(spark, f"file://{tmp_path}/table", POSTING)
-    schema = "source string, source_id string, title string, content_hash string, dedupe_key string, text_quality string"
-
-    def land(name, rows):
-        (tmp_path / "in" / name).write_text("\n".join(json.dumps(dict(zip(("source", "source_id", "title", "content_hash", "dedupe_key", "text_quality"), r, strict=True))) for r in rows))
-
-    def run():
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"file://{tmp_path}/in")
-        ingest_stream(stream, lambda df: df, table, f"file://{tmp_path}/checkpoint", update=UPDATE)
-        return {(r.source, r.source_id): (r.posting_id, r.title, r.duplicate_of) for r in table.read().collect()}
-
-    land("1.json", [("adzuna", "1", "t", "h", "k", "full")])
-    first = run()
-    assert first == {("adzuna", "1"): (1, "t", None)}
-    assert run() == first
-    land("2.json", [("lever", "2", "t", "h", "k", "full"), ("adzuna", "1", "t2", "h", "k", "full")])
-    assert run() == {("adzuna", "1"): (1, "t", 2), ("lever", "2"): (2, "t", None)}
