@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..sources import landed
 from . import bridge, sql
 from .queries import S, query
@@ -178,3 +179,41 @@ def listed_workday(spark, d):
     item = F.struct(c("name").alias("title"), F.when(c("posting_id") % 4 == 0, "").otherwise(F.concat(F.lit("/job/"), "key")).alias("externalPath"))
     pages = named(spark, d).groupBy("company").agg(F.collect_list(item).alias("jobPostings"))
     return landed.worth_fetching_workday(responses(pages, landed.WORKDAY_LIST, F.struct("jobPostings")))
+
+
+LANDED = """it AS (
+  SELECT region, posting_id, CASE WHEN posting_id % 17 = 0 THEN 'not JSON' WHEN posting_id % 19 = 0 THEN 'no list of items' END AS whole, posting_id % 10 = 0 AS no_title FROM posts
+), every AS (
+  SELECT region, posting_id, whole, CAST(NULL AS INTEGER) AS place, whole AS error, false AS rejected FROM it WHERE whole IS NOT NULL
+  UNION ALL SELECT region, posting_id, whole, 0, NULL, no_title FROM it WHERE whole IS NULL
+  UNION ALL SELECT region, posting_id, whole, 1, CASE posting_id % 3 WHEN 0 THEN 'null item' WHEN 1 THEN 'not an object' END, false FROM it WHERE whole IS NULL AND posting_id % 2 = 0
+  UNION ALL SELECT region, posting_id, whole, 2, 'wrong type', false FROM it WHERE whole IS NULL AND posting_id % 2 = 0
+)"""
+
+
+def landed_jobs(spark, d) -> DataFrame:
+    """Responses of one to three jobs as lines of files by region; some lines are cut short, some answer something else, some jobs are broken."""
+    c, rows = F.col, bridge.postings(spark, d)
+    key = c("posting_id").cast("string")
+    job = F.to_json(F.struct(key.alias("job_id"), F.when(c("posting_id") % 10 == 0, " ").otherwise(c("title")).alias("job_title"), url(key).alias("job_apply_link")))
+    second = F.when(c("posting_id") % 3 == 0, "null").when(c("posting_id") % 3 == 1, "[7]").otherwise('{"job_id": "more", "job_title": "T", "job_apply_link": "u"}')
+    jobs = F.when(c("posting_id") % 2 == 0, F.concat(job, F.lit(", "), second, F.lit(', {"job_id": {"was": 1}}'))).otherwise(job)
+    text = F.concat(F.lit('{"data": {"jobs": ['), jobs, F.lit("]}}"))
+    text = F.when(c("posting_id") % 17 == 0, F.substring(text, F.lit(1), F.length(text) - 3)).when(c("posting_id") % 19 == 0, '{"message": "limit"}').otherwise(text)
+    folder = storage.new_folder(spark, "responses")
+    rows.select("region", text.alias("value")).write.partitionBy("region").text(folder)
+    return landed.landed_items(landed.read_responses(spark, folder, lines=True), "jsearch")
+
+
+@query(S(sql.POSTS, LANDED, select="SELECT region, place, error, count(*) AS n FROM every WHERE error IS NOT NULL GROUP BY ALL"))
+def quarantined_items(spark, d):
+    bad = landed_jobs(spark, d).where("error is not null")
+    return bad.groupBy("region", F.col("at").alias("place"), "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(S(sql.POSTS, LANDED, select="""SELECT region, count(*) AS fetched, count(error) AS malformed, count(*) FILTER (rejected) AS rejected, count(*) FILTER (error IS NULL AND NOT rejected) AS valid,
+  count(error) + count(*) FILTER (rejected) AS invalid FROM every GROUP BY region"""))
+def unit_report(spark, d):
+    items = landed_jobs(spark, d)
+    postings = landed.normalize_jsearch(landed.readable(items), F.lit("ae"), carry=["region"])
+    return landed.unit_report(items, postings, ["region"])

@@ -1,7 +1,9 @@
 """Postings from landed JSON responses: one reader schema and one normaliser per source, all giving the same columns.
 
-Rows that a source would list but not fetch, or that miss their key, come out as they are; `validate_postings` splits them off.
-Timestamps that don't parse become null.
+`landed_items` takes responses apart and finds what can't be read - a truncated file, a null item, a value of the wrong kind - as rows
+with a reason, so nothing is lost unseen: `unit_report` counts fetched items as valid plus invalid ones. Rows that a source would list but
+not fetch, or that miss their key, come out of the normalisers as they are; `validate_postings` splits them off. Timestamps that don't parse
+become null. Normalisers keep the columns named in `carry`.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from ..functions.text import html_to_text, only_work_arrangement
 POSTING = "source string, source_id string, url string, title string, company string, location_raw string, country string, description_text string, posted_at timestamp, salary_min double, salary_max double, salary_currency string, salary_is_predicted boolean"
 COLUMNS = [c.split()[0] for c in POSTING.split(", ")]
 
-GREENHOUSE = "jobs ARRAY<STRUCT<id BIGINT, absolute_url STRING, title STRING, content STRING, first_published STRING, updated_at STRING, location STRUCT<name STRING>, offices ARRAY<STRUCT<name STRING>>>>"
+GREENHOUSE = "jobs ARRAY<STRUCT<id STRING, absolute_url STRING, title STRING, content STRING, first_published STRING, updated_at STRING, location STRUCT<name STRING>, offices ARRAY<STRUCT<name STRING>>>>"
 LEVER = "id STRING, hostedUrl STRING, text STRING, country STRING, createdAt BIGINT, categories STRUCT<location STRING>, descriptionPlain STRING, additionalPlain STRING, lists ARRAY<STRUCT<text STRING, content STRING>>"
 ASHBY = "jobs ARRAY<STRUCT<id STRING, jobUrl STRING, title STRING, location STRING, isListed BOOLEAN, descriptionPlain STRING, publishedAt STRING, address STRUCT<postalAddress STRUCT<addressCountry STRING>>, compensation STRUCT<summaryComponents ARRAY<STRUCT<compensationType STRING, interval STRING, minValue DOUBLE, maxValue DOUBLE, currencyCode STRING>>>>>"
 SMARTRECRUITERS_LIST = "totalFound INT, content ARRAY<STRUCT<id STRING, name STRING, releasedDate STRING, location STRUCT<country STRING, fullLocation STRING>>>"
@@ -28,35 +30,105 @@ ADZUNA = "count INT, results ARRAY<STRUCT<id STRING, title STRING, description S
 JSEARCH = "status STRING, data STRUCT<jobs ARRAY<STRUCT<job_id STRING, job_title STRING, employer_name STRING, job_apply_link STRING, job_google_link STRING, job_description STRING, job_location STRING, job_country STRING, job_posted_at_datetime_utc STRING>>>"
 
 
-def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Landed responses, one JSON document per file, with the file's name (it carries board, market or country)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("landed_from", F.col("_metadata.file_path"))
+#: Per source: its schema, where a response lists its items (None: it is one item itself) and the items' texts that must be texts.
+SOURCES = {
+    "greenhouse": (GREENHOUSE, "jobs", ("id", "absolute_url", "title")),
+    "lever": (LEVER, "", ("id", "hostedUrl", "text")),
+    "ashby": (ASHBY, "jobs", ("id", "jobUrl", "title")),
+    "smartrecruiters": (SMARTRECRUITERS, None, ("id", "postingUrl", "name")),
+    "workday": (WORKDAY, None, ("jobPostingInfo.id", "jobPostingInfo.externalUrl", "jobPostingInfo.title")),
+    "adzuna": (ADZUNA, "results", ("id", "redirect_url", "title")),
+    "jsearch": (JSEARCH, "data.jobs", ("job_id", "job_apply_link", "job_google_link", "job_title")),
+}
+
+
+def read_responses(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Landed responses as text, `value`, with the columns of the folders they are in and `landed_from`, their file: one to a file, or to a line.
+
+    Files of no bytes at all aren't listed by Spark's readers and have no row."""
+    return spark.read.text(path, wholetext=not lines).withColumn("landed_from", F.col("_metadata.file_path"))
+
+
+def landed_items(responses: DataFrame, source: str) -> DataFrame:
+    """One row per item of a response in `value`: the other columns, `at` (its place from 0), item (JSON text), error, and `d`, the item
+    as a response of its own in the source's schema.
+
+    error, and then d is null: `not JSON`, `no list of items` (at is null), `null item`, `not an object`, `wrong type`. A response without items has
+    no row, one that can't be read has one.
+    """
+    schema, listed, texts = SOURCES[source]
+    whole = F.try_parse_json("value")
+    items = F.array(F.col("_v")) if listed is None else F.try_variant_get("_v", f"$.{listed}" if listed else "$", "array<variant>")
+    rows = responses.withColumn("_v", whole).withColumn("_items", items)
+    error = F.when(F.col("_v").isNull(), "not JSON").when(F.col("_items").isNull(), "no list of items")
+    keep = [c for c in responses.columns if c != "value"]
+    broken = rows.where(error.isNotNull()).select(*keep, F.lit(None).cast("int").alias("at"), F.col("value").alias("item"), error.alias("error"), F.lit(None).cast("variant").alias("_i"))
+    parts = rows.where(error.isNull()).select(*keep, F.posexplode("_items").alias("at", "_i"))
+    kind = F.schema_of_variant("_i")
+    first = F.when(F.col("_i").isNull() | (kind == "VOID"), "null item").when(~kind.startswith("OBJECT"), "not an object")
+    parts = parts.select(*keep, "at", F.to_json("_i").alias("item"), first.alias("error"), "_i")
+    nested = F.lit(False)
+    for path in texts:
+        inner = F.schema_of_variant(F.try_variant_get("_i", f"$.{path}", "variant"))
+        nested = nested | F.coalesce(inner.startswith("OBJECT") | inner.startswith("ARRAY"), F.lit(False))
+    keys = listed.split(".") if listed else []
+    left, right = "".join(f'{{"{k}":' for k in keys) + "[" * bool(keys), "]" * bool(keys) + "}" * len(keys)
+    one = F.from_json(F.concat(F.lit(left), "item", F.lit(right)), f"{schema}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+    every = broken.unionByName(parts).withColumn("d", F.when(F.col("error").isNull(), one))
+    wrong = F.col("d").isNotNull() & (F.col("d._corrupt").isNotNull() | nested)
+    judged = every.withColumn("error", F.when(wrong, "wrong type").otherwise(F.col("error"))).drop("_i")
+    return judged.withColumn("d", F.when(F.col("error").isNull(), F.col("d").dropFields("_corrupt")))
+
+
+def readable(items: DataFrame) -> DataFrame:
+    """The items that could be read, as responses for the source's normaliser, with all other columns."""
+    rest = [c for c in items.columns if c not in ("d", "item", "error", "at")]
+    return items.where("error is null").select(*rest, "d.*")
+
+
+def unit_report(items: DataFrame, postings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per unit: fetched items, malformed (couldn't be read), rejected (their posting breaks the contract), invalid (both), valid.
+
+    items: of landed_items; postings: what the normaliser made of them with the keys carried on, not yet validated.
+    """
+    unread = items.select(*keys, F.col("error").isNotNull().alias("malformed"), F.lit(False).alias("rejected"), F.lit(False).alias("valid")).where("malformed")
+    texts = {f.name: F.trim(f.name) for f in postings.schema if f.dataType.simpleString() == "string" and f.name not in keys}
+    bad = F.size(posting_errors()) > 0
+    judged = postings.withColumns(texts).select(*keys, F.lit(False).alias("malformed"), bad.alias("rejected"), (~bad).alias("valid"))
+    n = {c: F.count_if(c) for c in ("malformed", "rejected", "valid")}
+    return unread.unionByName(judged).groupBy(*keys).agg(F.count(F.lit(1)).alias("fetched"), *(v.alias(c) for c, v in n.items()), (n["malformed"] + n["rejected"]).alias("invalid"))
+
+
+def read_landed(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """The readable items of landed responses, one JSON document per file, each as a response of its own with the file's name (it
+    carries board, market or country)."""
+    return readable(landed_items(read_responses(spark, path), source))
 
 
 def _filled(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def _posting(rows: DataFrame, source: str, **columns: Column) -> DataFrame:
+def _posting(rows: DataFrame, source: str, carry: Sequence[str], **columns: Column) -> DataFrame:
     given = {"source": F.lit(source), "salary_is_predicted": F.lit(False)} | columns
     kinds = dict(c.split() for c in POSTING.split(", "))
     cast = {c: given[c] if c in given else F.lit(None) for c in COLUMNS}
-    return rows.select(*(F.try_to_timestamp(v).alias(c) if c == "posted_at" and source != "lever" else v.cast(kinds[c]).alias(c) for c, v in cast.items()))
+    return rows.select(*carry, *(F.try_to_timestamp(v).alias(c) if c == "posted_at" and source != "lever" else v.cast(kinds[c]).alias(c) for c, v in cast.items()))
 
 
-def normalize_greenhouse(raw: DataFrame, company: Column) -> DataFrame:
+def normalize_greenhouse(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Office names give the country only where the location names no place."""
-    jobs = raw.select(company.alias("company"), F.explode("jobs").alias("j"))
+    jobs = raw.select(*carry, company.alias("company"), F.explode("jobs").alias("j"))
     j = F.col("j")
     location = F.coalesce(F.trim(j["location"]["name"]), F.lit(""))
     offices = F.array_join(F.coalesce(j["offices"]["name"], F.array().cast("array<string>")), ", ")
     country = F.when(only_work_arrangement(location), resolve_country(offices)).otherwise(resolve_country(location))
     posted = F.coalesce(_filled(j["first_published"]), _filled(j["updated_at"]))
     text = html_to_text(F.coalesce(j["content"], F.lit("")), escaped=True)
-    return _posting(jobs, "greenhouse", source_id=j["id"].cast("string"), url=j["absolute_url"], title=j["title"], company=F.col("company"), location_raw=_filled(location), country=country, description_text=text, posted_at=posted)
+    return _posting(jobs, "greenhouse", carry, source_id=j["id"].cast("string"), url=j["absolute_url"], title=j["title"], company=F.col("company"), location_raw=_filled(location), country=country, description_text=text, posted_at=posted)
 
 
-def normalize_lever(raw: DataFrame, company: Column) -> DataFrame:
+def normalize_lever(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Intro, titled lists and closing joined by blank lines; blank sections left out."""
     location = F.col("categories.location")
     empty = F.lit("")
@@ -66,7 +138,7 @@ def normalize_lever(raw: DataFrame, company: Column) -> DataFrame:
     text = F.array_join(F.filter(stripped, lambda x: x != ""), "\n\n")
     country = F.coalesce(F.upper(_filled(F.col("country"))), resolve_country(location))
     posted = F.when(F.col("createdAt") != 0, F.timestamp_millis("createdAt"))
-    return _posting(raw, "lever", source_id=F.col("id"), url=F.col("hostedUrl"), title=F.col("text"), company=company, location_raw=location, country=country, description_text=text, posted_at=posted)
+    return _posting(raw, "lever", carry, source_id=F.col("id"), url=F.col("hostedUrl"), title=F.col("text"), company=company, location_raw=location, country=country, description_text=text, posted_at=posted)
 
 
 def _list_text(content: Column) -> Column:
@@ -82,46 +154,46 @@ def _list_text(content: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"(?U)\A\s+|\s+\z", "")
 
 
-def normalize_ashby(raw: DataFrame, company: Column) -> DataFrame:
+def normalize_ashby(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Listed jobs; the first yearly salary component gives the salary."""
-    jobs = raw.select(company.alias("company"), F.explode("jobs").alias("j")).where(F.coalesce(F.col("j.isListed"), F.lit(True)))
+    jobs = raw.select(*carry, company.alias("company"), F.explode("jobs").alias("j")).where(F.coalesce(F.col("j.isListed"), F.lit(True)))
     j = F.col("j")
     pay = F.try_element_at(F.filter(j["compensation"]["summaryComponents"], lambda c: (c["compensationType"] == "Salary") & (c["interval"] == "1 YEAR")), F.lit(1))
     country = F.coalesce(resolve_country(j["address"]["postalAddress"]["addressCountry"]), resolve_country(j["location"]))
-    return _posting(jobs, "ashby", source_id=j["id"], url=j["jobUrl"], title=j["title"], company=F.col("company"), location_raw=j["location"], country=country, description_text=F.coalesce(j["descriptionPlain"], F.lit("")), posted_at=j["publishedAt"], salary_min=pay["minValue"], salary_max=pay["maxValue"], salary_currency=pay["currencyCode"])
+    return _posting(jobs, "ashby", carry, source_id=j["id"], url=j["jobUrl"], title=j["title"], company=F.col("company"), location_raw=j["location"], country=country, description_text=F.coalesce(j["descriptionPlain"], F.lit("")), posted_at=j["publishedAt"], salary_min=pay["minValue"], salary_max=pay["maxValue"], salary_currency=pay["currencyCode"])
 
 
-def normalize_smartrecruiters(raw: DataFrame, company: Column) -> DataFrame:
+def normalize_smartrecruiters(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Job, qualifications and additional sections; the company's blurb is left out."""
     sections = F.col("jobAd.sections")
     parts = F.array(*(F.coalesce(sections[n]["text"], F.lit("")) for n in ("jobDescription", "qualifications", "additionalInformation")))
     text = html_to_text(F.array_join(F.filter(parts, lambda x: x != ""), "\n"))
     code = F.upper(F.col("location.country"))
     country = F.when(code.isin(*(c.code for c in COUNTRIES)), code)
-    return _posting(raw, "smartrecruiters", source_id=F.col("id"), url=F.col("postingUrl"), title=F.col("name"), company=company, location_raw=_filled(F.col("location.fullLocation")), country=country, description_text=text, posted_at=F.col("releasedDate"))
+    return _posting(raw, "smartrecruiters", carry, source_id=F.col("id"), url=F.col("postingUrl"), title=F.col("name"), company=company, location_raw=_filled(F.col("location.fullLocation")), country=country, description_text=text, posted_at=F.col("releasedDate"))
 
 
-def normalize_workday(raw: DataFrame, company: Column) -> DataFrame:
+def normalize_workday(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     j = F.col("jobPostingInfo")
     location = F.coalesce(j["location"], F.lit(""))
     country = F.coalesce(resolve_country(j["country"]["descriptor"]), resolve_country(location))
-    return _posting(raw, "workday", source_id=j["id"], url=j["externalUrl"], title=j["title"], company=company, location_raw=_filled(location), country=country, description_text=html_to_text(F.coalesce(j["jobDescription"], F.lit(""))), posted_at=j["startDate"])
+    return _posting(raw, "workday", carry, source_id=j["id"], url=j["externalUrl"], title=j["title"], company=company, location_raw=_filled(location), country=country, description_text=html_to_text(F.coalesce(j["jobDescription"], F.lit(""))), posted_at=j["startDate"])
 
 
-def normalize_adzuna(raw: DataFrame, market: Column) -> DataFrame:
+def normalize_adzuna(raw: DataFrame, market: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Country and currency come from the market queried; the currency only beside a salary (0 is none)."""
-    rows = raw.select(market.alias("_market"), F.explode("results").alias("j"))
+    rows = raw.select(*carry, market.alias("_market"), F.explode("results").alias("j"))
     table = country_table(raw.sparkSession).where("market is not null").select(F.col("market").alias("_market"), "code", "currency")
     rows = rows.join(F.broadcast(table), "_market", "left")
     j = F.col("j")
     paid = (F.coalesce(j["salary_min"], F.lit(0)) != 0) | (F.coalesce(j["salary_max"], F.lit(0)) != 0)
-    return _posting(rows, "adzuna", source_id=j["id"], url=j["redirect_url"], title=html_to_text(j["title"]), company=j["company"]["display_name"], location_raw=j["location"]["display_name"], country=F.col("code"), description_text=html_to_text(F.coalesce(j["description"], F.lit(""))), posted_at=j["created"], salary_min=j["salary_min"], salary_max=j["salary_max"], salary_currency=F.when(paid, F.col("currency")), salary_is_predicted=F.coalesce(j["salary_is_predicted"] == "1", F.lit(False)))
+    return _posting(rows, "adzuna", carry, source_id=j["id"], url=j["redirect_url"], title=html_to_text(j["title"]), company=j["company"]["display_name"], location_raw=j["location"]["display_name"], country=F.col("code"), description_text=html_to_text(F.coalesce(j["description"], F.lit(""))), posted_at=j["created"], salary_min=j["salary_min"], salary_max=j["salary_max"], salary_currency=F.when(paid, F.col("currency")), salary_is_predicted=F.coalesce(j["salary_is_predicted"] == "1", F.lit(False)))
 
 
-def normalize_jsearch(raw: DataFrame, queried_country: Column) -> DataFrame:
-    rows = raw.select(queried_country.alias("_queried"), F.explode("data.jobs").alias("j"))
+def normalize_jsearch(raw: DataFrame, queried_country: Column, carry: Sequence[str] = ()) -> DataFrame:
+    rows = raw.select(*carry, queried_country.alias("_queried"), F.explode("data.jobs").alias("j"))
     j = F.col("j")
-    return _posting(rows, "jsearch", source_id=j["job_id"], url=F.coalesce(_filled(j["job_apply_link"]), j["job_google_link"]), title=j["job_title"], company=j["employer_name"], location_raw=j["job_location"], country=F.upper(F.coalesce(_filled(j["job_country"]), F.col("_queried"))), description_text=F.coalesce(j["job_description"], F.lit("")), posted_at=j["job_posted_at_datetime_utc"])
+    return _posting(rows, "jsearch", carry, source_id=j["job_id"], url=F.coalesce(_filled(j["job_apply_link"]), j["job_google_link"]), title=j["job_title"], company=j["employer_name"], location_raw=j["job_location"], country=F.upper(F.coalesce(_filled(j["job_country"]), F.col("_queried"))), description_text=F.coalesce(j["job_description"], F.lit("")), posted_at=j["job_posted_at_datetime_utc"])
 
 
 def worth_fetching_smartrecruiters(listed: DataFrame) -> DataFrame:

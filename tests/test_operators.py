@@ -76,16 +76,8 @@ def test_regions_and_arrangement(spark):
 
 def posting_rows(spark, source, payload, tmp_path, **names):
     (tmp_path / "x.json").write_text(json.dumps(payload))
-    schema, normalise = {
-        "greenhouse": (landed.GREENHOUSE, landed.normalize_greenhouse),
-        "lever": (landed.LEVER, landed.normalize_lever),
-        "ashby": (landed.ASHBY, landed.normalize_ashby),
-        "smartrecruiters": (landed.SMARTRECRUITERS, landed.normalize_smartrecruiters),
-        "workday": (landed.WORKDAY, landed.normalize_workday),
-        "adzuna": (landed.ADZUNA, landed.normalize_adzuna),
-        "jsearch": (landed.JSEARCH, landed.normalize_jsearch),
-    }[source]
-    out = normalise(landed.read_landed(spark, str(tmp_path), schema), F.lit(names["given"]))
+    normalise = getattr(landed, f"normalize_{source}")
+    out = normalise(landed.read_landed(spark, str(tmp_path), source), F.lit(names["given"]))
     assert out.columns == landed.COLUMNS
     return sorted(out.collect(), key=lambda r: r.source_id or "")
 
@@ -336,3 +328,35 @@ def test_checks_fire(spark, check, rows, schema):
     assert found.count() > 0
     with pytest.raises(ValueError):
         checks.run_checks({"x": found})
+
+
+@pytest.mark.parametrize(
+    "source, good, bad",
+    [
+        ("jsearch", {"data": {"jobs": [{"job_id": "1", "job_title": "T", "job_apply_link": "u"}]}}, [None, 5, {"job_id": {"x": 1}}, {"job_id": "2", "job_title": ["T"]}]),
+        ("greenhouse", {"jobs": [{"id": 7, "title": "T", "absolute_url": "u"}]}, [None, "text", {"id": 1, "location": "x"}, {"id": 2, "offices": [3]}]),
+        ("lever", [{"id": "1", "text": "T", "hostedUrl": "u"}], [None, [], {"id": "3", "createdAt": "soon"}, {"id": "4", "lists": {"a": 1}}]),
+        ("adzuna", {"results": [{"id": "1", "title": "T", "redirect_url": "u"}]}, [None, True, {"id": "2", "salary_min": "much"}, {"id": "3", "company": "Acme"}]),
+    ],
+)
+def test_malformed_items_are_counted_with_their_reason(spark, tmp_path, source, good, bad):
+    listed = good if isinstance(good, list) else next(iter(good.values())) if source != "jsearch" else good["data"]["jobs"]
+    listed += bad
+    text = json.dumps(good)
+    for name, content in {"a.json": text, "cut.json": text[:-9], "other.json": '{"error": "quota"}', "void.json": " \n"}.items():
+        (tmp_path / name).write_text(content)
+    items = landed.landed_items(landed.read_responses(spark, str(tmp_path)), source)
+    found = sorted(((r.error, r.at) for r in items.where("error is not null").collect()), key=lambda x: (x[0], x[1] or 0))
+    broken = [("no list of items", None), ("not JSON", None), ("not JSON", None)]
+    assert found == sorted([*broken, ("null item", 1), ("not an object", 2), ("wrong type", 3), ("wrong type", 4)], key=lambda x: (x[0], x[1] or 0))
+    postings = getattr(landed, f"normalize_{source}")(landed.readable(items), F.lit("gb"), carry=["landed_from"])
+    report = {r.landed_from.rpartition("/")[2]: (r.fetched, r.malformed, r.rejected, r.invalid, r.valid) for r in landed.unit_report(items, postings, ["landed_from"]).collect()}
+    assert report == {"a.json": (5, 4, 0, 4, 1), "cut.json": (1, 1, 0, 1, 0), "other.json": (1, 1, 0, 1, 0), "void.json": (1, 1, 0, 1, 0)}
+
+
+def test_details_are_items_themselves(spark, tmp_path):
+    for i, content in enumerate([{"id": "1", "name": "T", "postingUrl": "u"}, {"id": "2", "name": {"x": 1}}, [1], 3]):
+        (tmp_path / f"{i}.json").write_text(json.dumps(content))
+    items = landed.landed_items(landed.read_responses(spark, str(tmp_path)), "smartrecruiters")
+    assert sorted((r.landed_from[-6:], r.error) for r in items.collect()) == [("0.json", None), ("1.json", "wrong type"), ("2.json", "not an object"), ("3.json", "not an object")]
+    assert landed.read_landed(spark, str(tmp_path), "smartrecruiters").select("id").collect() == [("1",)]
