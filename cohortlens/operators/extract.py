@@ -39,10 +39,10 @@ def admit(queue: DataFrame, usage: DataFrame, day: str, model: str, *, requested
 
 
 def charge(usage: DataFrame, day: str, model: str, granted: int, released: int = 0) -> DataFrame:
-    """usage after granting requests and giving unused ones back."""
+    """usage after granting requests and giving unused ones back, never below 0; QuotaLedger does so for runs at the same time."""
     spark = usage.sparkSession
     new = spark.createDataFrame([(day, model, granted - released)], "day string, model string, requests int").withColumn("day", F.to_date("day"))
-    return usage.select("day", "model", "requests").unionByName(new).groupBy("day", "model").agg(F.sum("requests").cast("int").alias("requests"))
+    return usage.select("day", "model", "requests").unionByName(new).groupBy("day", "model").agg(F.greatest(F.sum("requests"), F.lit(0)).cast("int").alias("requests"))
 
 
 def minute_batches(rows: DataFrame, *, shard: str = "shard", order: Sequence[str] = ("posting_id",), tokens: str = "tokens", max_tokens: int = DEFAULT.tokens_per_minute, max_rows: int = DEFAULT.requests_per_minute) -> DataFrame:
@@ -58,17 +58,17 @@ def minute_batches(rows: DataFrame, *, shard: str = "shard", order: Sequence[str
     earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
     sums = part.groupBy(shard, "_part").agg(F.sum(tokens).alias("_tokens"), F.count(F.lit(1)).alias("_rows"))
     offsets = sums.select(shard, "_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in ("_tokens", "_rows")))
-    cut = part.join(F.broadcast(offsets), [shard, "_part"])
+    cut = part.join(offsets, [shard, "_part"])
     by_tokens = F.floor((F.col("_tokens") + F.sum(tokens).over(running) - F.col(tokens)) / max_tokens)
     by_rows = F.floor((F.col("_rows") + F.count(F.lit(1)).over(running) - 1) / max_rows)
     cut = cut.withColumns({"_at": F.struct(by_tokens.alias("t"), by_rows.alias("r"))}).drop("_tokens", "_rows")
     last = cut.groupBy(shard, "_part").agg(F.max("_at").alias("_last"))
     last = last.select(shard, "_part", F.lag("_last").over(parts).alias("_before"))
-    cut = cut.join(F.broadcast(last), [shard, "_part"])
+    cut = cut.join(last, [shard, "_part"])
     new = (~F.coalesce(F.lag("_at").over(own), F.col("_before")).eqNullSafe(F.col("_at"))).cast("int")
     cut = cut.withColumn("_new", new)
     starts = cut.groupBy(shard, "_part").agg(F.sum("_new").alias("_started")).select(shard, "_part", F.coalesce(F.sum("_started").over(earlier), F.lit(0)).alias("_started"))
-    out = cut.join(F.broadcast(starts), [shard, "_part"]).withColumn("batch", F.col("_started") + F.sum("_new").over(running) - 1)
+    out = cut.join(starts, [shard, "_part"]).withColumn("batch", F.col("_started") + F.sum("_new").over(running) - 1)
     return out.select(*rows.columns, "batch")
 
 
@@ -261,9 +261,3 @@ def trimmed(postings: DataFrame, archived: DataFrame, *, keep_chars: int = DEFAU
     marks = archived.select("posting_id").distinct().withColumn("_cut", F.lit(True))
     text = F.when(F.col("_cut"), F.left("description_text", F.lit(keep_chars))).otherwise(F.col("description_text"))
     return postings.join(marks, "posting_id", "left").withColumn("description_text", text).select(postings.columns)
-
-
-def write_archive(archived: DataFrame, path: str, now: Column) -> None:
-    """Appends the full texts as gzipped JSON lines, by month of archiving."""
-    rows = archived.select("posting_id", "source", "source_id", "title", "content_hash", "description_text", F.date_format(now, "yyyy-MM").alias("month"))
-    rows.write.mode("append").partitionBy("month").option("compression", "gzip").json(path)

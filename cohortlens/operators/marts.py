@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.text import midpoint, ratio
+from .percentiles import exact_percentiles
 
 
 def canonical(rows: DataFrame, link: str = "duplicate_of") -> DataFrame:
@@ -34,13 +35,19 @@ def mapped_mentions(mentions: DataFrame, aliases: DataFrame, *, name: str = "ski
     return joined.withColumns({"skill": skill, "_found": found, "is_mapped": F.col("_alias").isNotNull()}).drop(kind, "_alias", "_item", "_kind").withColumnRenamed("_found", kind)
 
 
-def cohort_summary(rows: DataFrame, keys: Sequence[str] = ("role", "region"), *, min_cohort: int = DEFAULT.min_cohort, company: str = "company", posted_at: str = "posted_at", work_mode: str = "work_mode", visa: str = "visa_sponsorship", years: str = "years_experience_min", not_mentioned: str = DEFAULT.not_mentioned, unclear: str = DEFAULT.unclear) -> DataFrame:
-    """One row per cohort. Shares are over postings that state the fact; nulls take no part."""
+def cohort_summary(rows: DataFrame, keys: Sequence[str] = ("role", "region"), *, min_cohort: int = DEFAULT.min_cohort, company: str = "company", posted_at: str = "posted_at", work_mode: str = "work_mode", visa: str = "visa_sponsorship", years: str = "years_experience_min", not_mentioned: str = DEFAULT.not_mentioned, unclear: str = DEFAULT.unclear, rollup: bool = False) -> DataFrame:
+    """One row per cohort. Shares are over postings that state the fact; nulls take no part.
+
+    rollup: also a row for each beginning of the keys, the rest of them null, with `level`, the bits of keys left out (0: a cohort itself);
+    low_confidence goes by the postings of the row's own level.
+    """
     stated = F.col(visa) != not_mentioned
     mode = F.when(F.col(work_mode) != unclear, (F.col(work_mode) == "remote").cast("int"))
     offered = F.when(stated, (F.col(visa) == "offered").cast("int"))
     n = F.count(F.lit(1))
-    return rows.groupBy(*keys).agg(
+    grouped = rows.rollup(*keys) if rollup else rows.groupBy(*keys)
+    return grouped.agg(
+        *([F.grouping_id().alias("level")] if rollup else []),
         n.alias("n_postings"),
         (n < min_cohort).alias("low_confidence"),
         F.count_distinct(company).alias("n_companies"),
@@ -86,8 +93,19 @@ def stated_salary(rows: DataFrame, as_of: Column, config=DEFAULT, *, role: str =
     return rows.where(usable & known & is_recent(F.col(posted_at), as_of, config.recent_days)).withColumn("salary", midpoint(low, high))
 
 
-def salary_bands(rows: DataFrame, keys: Sequence[str] = ("role_hint", "region", "salary_currency"), *, value: str = "salary", min_rows: int = DEFAULT.min_salaries, approximate: bool = False) -> DataFrame:
-    """p25, median and p75, rounded half to even, with their sample size. approximate: bounded memory for very large groups."""
+def salary_bands(rows: DataFrame, keys: Sequence[str] = ("role_hint", "region", "salary_currency"), *, value: str = "salary", min_rows: int = DEFAULT.min_salaries, approximate: bool = False, refine: bool = False) -> DataFrame:
+    """p25, median and p75, rounded half to even, with their sample size.
+
+    approximate: bounded memory for very large groups. refine: exact with bounded memory, in a few passes; groups without values have no row.
+    """
+    if refine:
+        found = exact_percentiles(rows, keys, value, {"p25": 0.25, "median": 0.5, "p75": 0.75})
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_postings"))
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+        both = sizes.alias("a").join(found.alias("b"), same)
+        return both.select(*(F.col(f"a.{k}") for k in keys), "n_postings", (F.col("n_postings") < min_rows).alias("low_confidence"), *(F.bround(c).alias(c) for c in ("p25", "median", "p75")))
 
     def at(p: float) -> Column:
         return F.percentile_approx(value, p, 10_000) if approximate else F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY {value})")

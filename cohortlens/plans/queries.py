@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions import taxonomy, text
-from ..operators import checks, dedupe, evaluate, extract, marts, upsert
-from ..sources import landed
+from ..operators import cells, checks, dedupe, evaluate, extract, marts, percentiles, runs, upsert
+from ..sources import landed, publish
 from ..streaming import incremental
 from . import bridge, reports, sql
 
@@ -88,6 +88,11 @@ def cohort_summary(spark, d):
     return summary(spark, d)
 
 
+@query(S(sql.POSTS, sql.RECENT, sql.SUMMARY.replace("SELECT role, region,", "SELECT role, region, GROUPING_ID(role, region) AS level,").replace("GROUP BY ALL", "GROUP BY ROLLUP (role, region)"), select=f"SELECT * REPLACE ({r6('remote_share', 'sponsorship_share', 'median_years_experience')}) FROM summary"))
+def cohort_rollup(spark, d):
+    return marts.cohort_summary(bridge.recent(spark, d), rollup=True)
+
+
 @query(S(*LEVEL, select=f"SELECT * REPLACE ({r6('pct')}) FROM lshares"))
 def item_share_by_level(spark, d):
     return level_shares(spark, d)
@@ -118,6 +123,45 @@ def cohort_salaries(spark, d):
     return bands(spark, d).where("role_hint = '1-URGENT' and region = 'ASIA'")
 
 
+@query(S(sql.POSTS, SALARY, BANDS, select="SELECT * FROM bands"))
+def salary_bands_refined(spark, d):
+    return marts.salary_bands(marts.stated_salary(bridge.postings(spark, d), as_of()), refine=True)
+
+
+#: Nine of ten line items are one cohort's.
+SKEWED = "CASE WHEN l_orderkey % 10 = 0 THEN l_returnflag ELSE 'most' END"
+
+
+@query(f"SELECT cohort, n, {r6('p01', 'median', 'p999')} FROM (SELECT {SKEWED} AS cohort, count(l_extendedprice) AS n, quantile_cont(l_extendedprice, 0.01) AS p01, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.999) AS p999 FROM lineitem GROUP BY 1)")
+def skewed_percentiles(spark, d):
+    rows = bridge.table(spark, d, "lineitem").withColumn("cohort", F.expr(SKEWED))
+    return percentiles.exact_percentiles(rows, ["cohort"], "l_extendedprice", {"p01": 0.01, "median": 0.5, "p999": 0.999})
+
+
+MOVED = sql.POSTS.replace("posts AS (", "posts AS (SELECT * REPLACE (CASE WHEN posting_id % 10 = 3 THEN 'ASIA' ELSE region END AS region) FROM (") .rstrip(")") + ") WHERE posting_id % 10 <> 7)"
+
+
+def changed_cells(spark, d) -> DataFrame:
+    """Cells after two batches: most postings come first; then the rest come, some move to another region and some go."""
+    k, rows, named = F.col("posting_id"), bridge.recent(spark, d), mapped(spark, d)
+    later, moves, goes = k % 4 == 0, k % 10 == 3, k % 10 == 7
+    store = cells.CellStore(spark, storage.new_folder(spark, "cells"), buckets=16)
+    store.apply(rows.where("false"), rows.where(~later), named, named, 0)
+    after = rows.where((later | moves) & ~goes).withColumn("region", F.when(moves, "ASIA").otherwise(F.col("region")))
+    store.apply(rows.where(~later & (moves | goes)), after, named, named, 1)
+    return store.read("cells")
+
+
+@query(S(MOVED, *sql.ALL[1:], sql.shares(), select=f"SELECT role, region, skill, n_with_skill, kind, states_requirement, {r6('pct_required')}, n_total, {r6('pct')}, low_confidence FROM shares"))
+def incremental_shares(spark, d):
+    return cells.shares_of(changed_cells(spark, d))
+
+
+@query(S(MOVED, sql.RECENT, sql.SUMMARY, select=f"SELECT * REPLACE ({r6('remote_share', 'sponsorship_share', 'median_years_experience')}) FROM summary"))
+def incremental_summary(spark, d):
+    return cells.summary_of(changed_cells(spark, d))
+
+
 def _modal(rows: str, key: str, where: str) -> str:
     """Names with counts, most frequent spelling and kind (ties to the smaller)."""
     return f"""base AS (SELECT {key} AS name, posting_id, trim(skill_raw) AS sp, kind FROM {rows} WHERE {where}
@@ -772,6 +816,85 @@ def run_checks(spark, d):
     return checks.run_checks(check_frames(spark, d), fail=False)
 
 
+PUBLISHED = """au AS (
+  SELECT 'clean' AS attempt, 'shares' AS mart, 'rows' AS "check", count(*) AS n FROM shares
+  UNION ALL SELECT 'clean', 'summary', 'rows', count(*) FROM summary
+  UNION ALL SELECT 'clean', mart, c, 0 FROM (VALUES ('shares', 'fraction'), ('shares', 'fits_cohort'), ('shares', 'repeated_key'), ('summary', 'size_stated'), ('summary', 'repeated_key'), ('between', 'cohort_missing')) AS v(mart, c)
+  UNION ALL SELECT 'planted', 'shares', 'rows', count(*) + count(*) FILTER (skill = 'gear') FROM shares
+  UNION ALL SELECT 'planted', 'shares', 'fraction', count(*) FILTER (skill = 'bolt' AND pct * 3 > 1) FROM shares
+  UNION ALL SELECT 'planted', 'shares', 'fits_cohort', count(*) FILTER (skill = 'rod') FROM shares
+  UNION ALL SELECT 'planted', 'shares', 'repeated_key', count(*) FILTER (skill = 'gear') FROM shares
+  UNION ALL SELECT 'planted', 'summary', 'rows', count(*) FROM summary WHERE region <> 'ASIA'
+  UNION ALL SELECT 'planted', 'summary', 'size_stated', count(*) FILTER (role = '2-HIGH') FROM summary WHERE region <> 'ASIA'
+  UNION ALL SELECT 'planted', 'summary', 'repeated_key', 0
+  UNION ALL SELECT 'planted', 'between', 'cohort_missing', count(*) + count(*) FILTER (skill = 'gear') FROM shares WHERE region = 'ASIA'
+  UNION ALL SELECT 'now', 'shares', 'rows', count(*) FROM shares
+)"""
+
+
+@query(S(*SHARES, sql.SUMMARY, PUBLISHED, select="SELECT * FROM au"))
+def published_marts(spark, d):
+    """The audits of a version that is published and of one with planted violations, which isn't, and what readers see then."""
+    rows, cohorts = storage.stored(shares(spark, d), "shares"), storage.stored(summary(spark, d), "summary")
+    c, store = F.col, publish.MartStore(spark, storage.new_folder(spark, "marts"))
+    of_shares = {"fraction": ~((c("pct") > 0) & (c("pct") <= 1)), "fits_cohort": ~c("n_with_skill").between(1, c("n_total"))}
+    of_cohorts = {"size_stated": ~((c("n_postings") > 0) & (c("low_confidence") == (c("n_postings") < 25)))}
+    between = {"cohort_missing": lambda written: written["shares"].join(written["summary"], ["role", "region"], "left_anti")}
+
+    def publish_(shares_: DataFrame, cohorts_: DataFrame) -> publish.Audit:
+        made = {"shares": publish.Mart(shares_, of_shares, ["role", "region", "skill"], ["role"]), "summary": publish.Mart(cohorts_, of_cohorts, ["role", "region"])}
+        try:
+            return store.audit(store.publish(made, between))
+        except publish.Rejected as e:
+            return e.audit
+
+    planted = rows.withColumns({"pct": F.when(c("skill") == "bolt", c("pct") * 3).otherwise(c("pct")), "n_with_skill": F.when(c("skill") == "rod", c("n_total") + 1).otherwise(c("n_with_skill"))})
+    thinner = cohorts.where("region <> 'ASIA'").withColumn("low_confidence", F.when(c("role") == "2-HIGH", ~c("low_confidence")).otherwise(c("low_confidence")))
+    audits = {"clean": publish_(rows, cohorts), "planted": publish_(planted.unionByName(planted.where("skill = 'gear'")), thinner), "now": {"shares": {"rows": store.read("shares").count()}}}
+    found = [(attempt, mart, check, n) for attempt, audit in audits.items() for mart, counts in audit.items() for check, n in counts.items()]
+    return spark.createDataFrame(found, "attempt string, mart string, check string, n bigint")
+
+
+# Runs.
+
+
+@query(S(sql.POSTS, LINKS, EXTRACTIONS, PENDING, select="SELECT posting_id FROM pend ORDER BY posted_at DESC NULLS LAST, posting_id LIMIT (SELECT count(*) // 8 + count(*) // 4 FROM orders)"))
+def admit_reserved(spark, d):
+    """A run reserves nearly all requests of the day and gives them back; the next one gets what the cap allows."""
+    queue = storage.stored(extract.pending(queue_rows(spark, d), extractions(spark, d), "m", "v1"), "queue")
+    n = bridge.table(spark, d, "orders").count()
+    cap, ledger = n // 8 + n // 4, runs.QuotaLedger(spark, storage.new_folder(spark, "quota"))
+    ledger.reserve("2001-08-01", "m", cap - 10, cap)
+    ledger.release("2001-08-01", "m", cap - 10)
+    return runs.admit_reserved(queue, ledger, "2001-08-01", "m", cap=cap).select("posting_id")
+
+
+@query("SELECT doc_id AS posting_id, sha256(text) AS digest, CASE WHEN doc_id % 6 = 0 THEN 'b1' ELSE 'b2' END AS batch, length(text) > 1000 AND doc_id % 3 = 0 AS trimmed FROM documents WHERE doc_id % 3 = 0 AND length(text) > 1000")
+def archived_texts(spark, d):
+    """Two batches, the first retried and the second overlapping it: each text is archived once."""
+    k = F.col("doc_id")
+    docs = bridge.table(spark, d, "documents").select(k.alias("posting_id"), "source", k.cast("string").alias("source_id"), F.lit("u").alias("url"), F.md5("text").alias("content_hash"), F.col("text").alias("description_text"))
+    done = docs.where("posting_id % 3 = 0").select("posting_id", "content_hash", F.lit("m").alias("model"), F.lit("v1").alias("prompt_version"), F.lit("ok").alias("status"))
+    rows, path, now = extract.archivable(docs, done, "m", "v1"), storage.new_folder(spark, "archive"), F.lit("2001-08-01").cast("timestamp")
+    for part, batch in ((rows.where("posting_id % 6 = 0"), "b1"), (rows.where("posting_id % 6 = 0"), "b1"), (rows, "b2")):
+        kept = runs.archive_texts(part, path, batch, now)
+    left = extract.trimmed(docs, kept).select("posting_id", (F.length("description_text") == 1000).alias("trimmed"))
+    return runs.read_archive(spark, path).select("posting_id", F.sha2("description_text", 256).alias("digest"), "batch").join(left, "posting_id")
+
+
+@query("WITH " + ANSWERED.replace(") AS body FROM documents)", ") AS body FROM documents WHERE lang <> 'fr')"))
+def resumed_inference(spark, d):
+    """A run over part of the queue, then one over all of it that asks only for the rest."""
+    table = {a: (c, k) for a, c, k in DICTIONARY}
+    docs = extract.text_parts(bridge.table(spark, d, "documents").where("lang <> 'fr'").select(F.col("doc_id").alias("posting_id"), "lang", "text", F.md5("text").alias("content_hash")), text="text")
+    none = F.lit(None).cast("string")
+    prompts = docs.select("posting_id", "content_hash", "part", text.build_prompt("Read.", F.col("lang"), none, none, F.col("text")).alias("prompt"))
+    path = storage.new_folder(spark, "answers")
+    for some in (prompts.where("posting_id % 3 = 0"), prompts):
+        answers = runs.infer_resumable(some, lambda: extract.DictionaryBackend(table), "dictionary", "v1", path, calls=200)
+    return extract.merged_parts(extract.validated(answers)).select("posting_id", "status", F.to_json("payload").alias("payload"))
+
+
 # Streams over the events table.
 
 

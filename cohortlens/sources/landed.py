@@ -128,11 +128,19 @@ def normalize_greenhouse(raw: DataFrame, company: Column, carry: Sequence[str] =
     return _posting(jobs, "greenhouse", carry, source_id=j["id"].cast("string"), url=j["absolute_url"], title=j["title"], company=F.col("company"), location_raw=_filled(location), country=country, description_text=text, posted_at=posted)
 
 
+#: A private-use character that stands between the texts of a list while they are one.
+_MARK = "\ue000"
+
+
 def normalize_lever(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Intro, titled lists and closing joined by blank lines; blank sections left out."""
     location = F.col("categories.location")
     empty = F.lit("")
-    lists = F.transform(F.coalesce("lists", F.array().cast("array<struct<text:string,content:string>>")), lambda x: F.concat(F.coalesce(x["text"], empty), F.lit("\n"), _list_text(x["content"])))
+    lists = F.coalesce("lists", F.array().cast("array<struct<text:string,content:string>>"))
+    # Python resolves all character references of the lists' texts at once: one text, cut up again where a mark stands
+    marked = F.array_join(F.transform(lists, lambda x: F.translate(F.coalesce(x["content"], empty), _MARK, "")), f"\n{_MARK}\n")
+    texts = F.split(html_to_text(marked), _MARK)
+    lists = F.zip_with(lists, texts, lambda x, y: F.concat(F.coalesce(x["text"], empty), F.lit("\n"), F.regexp_replace(F.coalesce(y, empty), r"(?U)\A\s+|\s+\z", "")))
     sections = F.concat(F.array(F.coalesce("descriptionPlain", empty)), lists, F.array(F.coalesce("additionalPlain", empty)))
     stripped = F.transform(sections, lambda x: F.regexp_replace(x, r"(?U)\A\s+|\s+\z", ""))
     text = F.array_join(F.filter(stripped, lambda x: x != ""), "\n\n")
@@ -141,19 +149,6 @@ def normalize_lever(raw: DataFrame, company: Column, carry: Sequence[str] = ())
     return _posting(raw, "lever", carry, source_id=F.col("id"), url=F.col("hostedUrl"), title=F.col("text"), company=company, location_raw=location, country=country, description_text=text, posted_at=posted)
 
 
-def _list_text(content: Column) -> Column:
-    """html_to_text for use inside transform(), where no Python runs: common and numeric references only."""
-    text = F.regexp_replace(F.coalesce(content, F.lit("")), r"(?i)<li\b[^>]*>", "\n- ")
-    text = F.regexp_replace(text, r"(?i)<br\s*/?>|</(?:p|div|h[1-6]|ul|ol|tr|section|article)>", "\n")
-    text = F.regexp_replace(text, r"<[^>]+>", "")
-    # Common named character references.
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&bull;", "•"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(char))
-    text = F.regexp_replace(text, "[ \\t\\r\\f\\u000B\\u00A0]+", " ")
-    text = F.regexp_replace(F.regexp_replace(text, r"(?md)^ +| +$", ""), r"(?md)^-\n+", "- ")
-    return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"(?U)\A\s+|\s+\z", "")
-
-
 def normalize_ashby(raw: DataFrame, company: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Listed jobs; the first yearly salary component gives the salary."""
     jobs = raw.select(*carry, company.alias("company"), F.explode("jobs").alias("j")).where(F.coalesce(F.col("j.isListed"), F.lit(True)))

@@ -14,9 +14,11 @@ def stage_views(frames: Mapping[str, DataFrame]) -> None:
 
 
 def write_mart(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
-    """Replaces a stored mart. Cohort keys as partitions let point lookups read one folder; sorting gives row groups narrow ranges."""
+    """Replaces a stored mart. Cohort keys as partitions let point lookups read one folder; sorting gives row groups narrow ranges.
+
+    Spark may split a cohort that has most rows over several files. Readers can meet the folder half written; see publish.MartStore."""
     if partition_by:
-        df = df.repartition(*partition_by)
+        df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

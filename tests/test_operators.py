@@ -262,18 +262,6 @@ def test_greedy_batches(spark):
     assert [r.batch for r in extract.minute_batches_greedy(df).orderBy("posting_id").collect()] == [0, 1, 1, 2, 3]
 
 
-def test_archive(spark, tmp_path):
-    docs = spark.createDataFrame([(1, "s", "1", "t", "h", "x" * 1500), (2, "s", "2", "t", "h", "x" * 900), (3, "s", "3", "t", "h", "x" * 1500)], "posting_id bigint, source string, source_id string, title string, content_hash string, description_text string")
-    done = spark.createDataFrame([(1, "h", "m", "v", "ok"), (2, "h", "m", "v", "ok"), (3, "other", "m", "v", "ok")], "posting_id bigint, content_hash string, model string, prompt_version string, status string")
-    archived = extract.archivable(docs, done, "m", "v")
-    extract.write_archive(archived, str(tmp_path / "archive"), F.lit("2024-03-05").cast("timestamp"))
-    back = spark.read.json(str(tmp_path / "archive"))
-    assert [(r.posting_id, len(r.description_text), r.month) for r in back.collect()] == [(1, 1500, "2024-03")]
-    left = extract.trimmed(docs, archived)
-    assert {r.posting_id: len(r.description_text) for r in left.collect()} == {1: 1000, 2: 900, 3: 1500}
-    assert extract.archivable(left, done, "m", "v").count() == 0
-
-
 def test_share_counts_postings_once_and_requirements_by_mention(spark):
     rows = spark.createDataFrame([(1, "r", "eu"), (2, "r", "eu"), (3, "r", "eu")], "posting_id bigint, role string, region string")
     mentions = spark.createDataFrame([(1, "Spark", "tool", "required"), (1, "apache spark", "tool", "preferred"), (2, "SPARK ", "tool", "unclear"), (2, " ", "tool", "unclear")], "posting_id bigint, skill_raw string, kind string, requirement string")
