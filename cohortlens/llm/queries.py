@@ -221,5 +221,68 @@ QUALIFY rank <= 2000
 """
 
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL: bit by bit over its bytes."""
+    bits = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), lambda a, b: {bits}))"
+
+
+def _edit(cell: str, cost: str, letter: str, when: str = "true") -> str:
+    return f"CASE WHEN {cell} IS NOT NULL AND {when} THEN {{'c': {cell}.c + {cost}, 'a': {cell}.a || '{letter}'}} END"
+
+
+def _least(*cells: str) -> str:
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _taken(before: tuple[str, ...], initial: str) -> list[str]:
+    """Cells of a row that is kept or gets another role after one of these last letters."""
+    cut = "3 * cut::INT"
+    out = [_edit(x, cut, "K", f"NOT gone AND initial = '{initial}'") for x in before]
+    return out + ([] if initial == "s" else [_edit(x, f"3 + {cut}", "R", "NOT gone") for x in before])
+
+
+#: From left to right: e, s, u and a are the cheapest (cost, audit) by the last role kept, of rows so far, closed under insertion.
+OP13 = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM k WHERE kind <> 0
+), o AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM o
+), g AS (
+  SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone, coalesce(fault = 'truncated', false) AS cut FROM f
+), n AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id
+), st AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': ''}} AS e, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR)) AS s, {{'c': 3, 'a': 'I'}} AS u, {{'c': 6, 'a': 'II'}} AS a FROM n
+  UNION ALL SELECT conv_id, i, e, s, u, {_least("a", _edit("u", "3", "I"))} FROM (
+    SELECT conv_id, i, e, s, {_least("u", *(_edit(x, "3", "I") for x in "esa"))} AS u, a FROM (
+      SELECT g.conv_id, g.i, {_edit("e", "4", "D")} AS e, {_least(_edit("s", "4", "D"), *_taken(("e",), "s"))} AS s,
+        {_least(_edit("u", "4", "D"), *_taken(("e", "s", "a"), "u"))} AS u, {_least(_edit("a", "4", "D"), *_taken(("u",), "a"))} AS a
+      FROM st JOIN g ON g.conv_id IS NOT DISTINCT FROM st.conv_id AND g.i = st.i + 1))
+), best AS (
+  SELECT st.conv_id, {_least("e", "a")} AS x FROM st JOIN n ON n.conv_id IS NOT DISTINCT FROM st.conv_id AND n.rows = st.i
+), w AS (
+  SELECT conv_id, x.a AS audit, 0 AS p, CAST(0 AS BIGINT) AS i, '' AS last, CAST([] AS VARCHAR[]) AS lines FROM best
+  UNION ALL SELECT conv_id, audit, p + 1, i, CASE WHEN line IS NULL THEN last ELSE left(line, 1) END, CASE WHEN line IS NULL THEN lines ELSE list_append(lines, line) END FROM (
+    SELECT w.conv_id, audit, p, coalesce(g.i, w.i) AS i, last, lines, CASE substr(audit, p + 1, 1) WHEN 'K' THEN g.role || ':' || g.text WHEN 'R' THEN CASE last WHEN 'u' THEN 'assistant:' ELSE 'user:' END || g.text
+      WHEN 'I' THEN CASE last WHEN 'u' THEN 'assistant:' ELSE 'user:' END END AS line
+    FROM w LEFT JOIN g ON substr(audit, p + 1, 1) <> 'I' AND g.conv_id IS NOT DISTINCT FROM w.conv_id AND g.i = w.i + 1 WHERE p < length(audit))
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(x.c, 0) AS BIGINT) AS cost, coalesce(x.a, '') AS audit, sha256(coalesce(array_to_string(w.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.p = length(w.audit)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2, "op6_exact_topk": OP6, "op7_source_mixing": OP7, "op11_phrases": OP11}
+    return {"op2_url_filter": OP2, "op6_exact_topk": OP6, "op7_source_mixing": OP7, "op11_phrases": OP11, "op13_conversation_repair": OP13}
