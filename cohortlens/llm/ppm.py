@@ -33,10 +33,12 @@ from .shared import stored
 
 ORDER = 5
 SHARED = 3  # last bytes of contexts that meet in one group
+CODE_BYTES = ORDER + 1
 END = 10
 ALPHABET = 252  # bytes but \t, \v, \f and \r; the line feed is the end
 BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
-PIECE_BYTES = 4 << 20  # of a block's texts at a time; a longer text is one piece
+LEAST_BYTES = 4 << 20  # of a block, where there are fewer blocks than tasks: smaller ones combine little
+PIECE_BYTES = 1 << 20  # of a block's texts at a time; a longer text is one piece
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, word_score double, score double"
 
 
@@ -106,22 +108,27 @@ def _asked(n: int):
             by_word[b].append(w)
         sums = sums[np.argsort(of, kind="stable")]
         word_at = np.concatenate(([0], np.cumsum([len(x) for x in by_word])))
-        of = (t.mix(code) % t.U(n)).astype(np.int64)
+        of = _bucket_of(code, n)
         order = np.argsort(of, kind="stable")
         code, count, code_at = code[order], count[order], np.searchsorted(of[order], np.arange(n + 1))
         rows = {
             "bucket": np.arange(n, dtype=np.int32),
-            "codes": [code[a:b].tobytes() for a, b in zip(code_at, code_at[1:], strict=False)],
-            "code_n": [count[a:b].astype(np.uint32).tobytes() for a, b in zip(code_at, code_at[1:], strict=False)],
+            "codes": [t.planes(code[a:b], CODE_BYTES) for a, b in zip(code_at, code_at[1:], strict=False)],
+            "code_n": [t.planes(count[a:b].astype(np.uint32)) for a, b in zip(code_at, code_at[1:], strict=False)],
             "words": [b"\n".join(x) for x in by_word],
             "word_n": [sums[a:b].astype(np.uint32).tobytes() for a, b in zip(word_at, word_at[1:], strict=False)],
         }
         filled = (np.diff(code_at) > 0) | (np.diff(word_at) > 0)
+        t.trim()
         return pa.table({"block": pa.array([key[0].as_py()] * n, pa.int64()), **rows}, schema=schema).filter(pa.array(filled))
 
     return run
 
 
+def _bucket_of(code: np.ndarray, n: int) -> np.ndarray:
+    return (t.mix(code) % t.U(n)).astype(np.int64)
+
+
 def _buckets(words: pa.ChunkedArray, n: int) -> np.ndarray:
     words = words.combine_chunks()
     if isinstance(words, pa.ChunkedArray):
@@ -143,7 +150,7 @@ def _totals():
     schema = pa.schema([("ending", pa.int32()), ("bucket", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        code, n = _summed([t.unpacked(table, "codes", np.uint64)], [t.unpacked(table, "code_n", np.uint32).astype(np.int64)])
+        code, n = _summed([t.from_planes(table, "codes", np.uint64, CODE_BYTES)[0]], [t.from_planes(table, "code_n", np.uint32)[0].astype(np.int64)])
         words, counts, _ = _bucket_words(table)
         both = _word_counts(words, counts).column("n_sum").to_numpy()
         ending = (code >> t.U(8 * (ORDER + 1 - SHARED))).astype(np.int32)
@@ -231,7 +238,7 @@ def _answers(pairs: np.ndarray):
 
 
 def _replies():
-    schema = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("codes", "logs", "words", "word_n"))])
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("logs", "words", "word_n"))])
 
     def run(asked: pa.Table, answers: pa.Table) -> pa.Table:
         if not asked.num_rows:
@@ -239,44 +246,52 @@ def _replies():
         code, logs = t.unpacked(answers, "codes", np.uint64), t.unpacked(answers, "logs", np.float64)
         order = np.argsort(code, kind="stable")
         code, logs = code[order], logs[order]
-        own = t.unpacked(asked, "codes", np.uint64)
+        own, sizes = t.from_planes(asked, "codes", np.uint64, CODE_BYTES)
         found = logs[np.searchsorted(code, own)] if len(own) else logs
-        code_at = np.cumsum([0, *(len(x) for x in asked.column("codes").to_pylist())]) // 8
+        code_at = np.concatenate(([0], np.cumsum(sizes)))
         words, counts, sizes = _bucket_words(asked)
         both = _word_counts(words, counts)
         total = both.column("n_sum").to_numpy()[pc.index_in(words, both.column("word").combine_chunks()).to_numpy()] if len(words) else counts
         word_at = np.concatenate(([0], np.cumsum(sizes)))
         columns = {
             "block": asked.column("block"),
-            "codes": asked.column("codes"),
-            "logs": [found[a:b].tobytes() for a, b in zip(code_at, code_at[1:], strict=False)],
+            "bucket": asked.column("bucket"),
+            "logs": [t.planes(found[a:b]) for a, b in zip(code_at, code_at[1:], strict=False)],
             "words": asked.column("words"),
-            "word_n": [total[a:b].astype(np.int64).tobytes() for a, b in zip(word_at, word_at[1:], strict=False)],
+            "word_n": [t.planes(total[a:b]) for a, b in zip(word_at, word_at[1:], strict=False)],
         }
         return pa.table(columns, schema=schema)
 
     return run
 
 
-def _scores():
+def _scores(n: int):
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("word_score", pa.float64()), ("score", pa.float64())])
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        code, logs = t.unpacked(replies, "codes", np.uint64), t.unpacked(replies, "logs", np.float64)
-        order = np.argsort(code, kind="stable")
-        code, logs = code[order], logs[order]
-        known, counts = pa.array([w for x in replies.column("words").to_pylist() if x for w in x.split(b"\n")], pa.binary()), t.unpacked(replies, "word_n", np.int64)
-        n_tokens, n_known, word_score, score = [], [], [], []
-        for _, _, words, n_words, own, size in _pieces(docs):
-            c = counts[pc.index_in(pa.array(words, pa.binary()), known).to_numpy()] if words else np.zeros(0, np.int64)
-            row = np.repeat(np.arange(len(size)), n_words)
-            n_tokens.append(n_words + 1)
-            n_known.append(np.bincount(row, c > 0, len(size)).astype(np.int64))
-            word_score.append(np.bincount(row, np.log10(c + 0.5), len(size)))
-            score.append(np.add.reduceat(logs[np.searchsorted(code, own)], np.cumsum(size) - size))
-        return pa.table([docs.column("doc_id"), docs.column("held_out"), *(np.concatenate(x) for x in (n_tokens, n_known, word_score, score))], schema=schema)
+        replies = replies.sort_by("bucket")
+        logs = t.from_planes(replies, "logs", np.float64)[0]
+        known, counts = pa.array([w for x in replies.column("words").to_pylist() if x for w in x.split(b"\n")], pa.binary()), t.from_planes(replies, "word_n", np.int64)[0]
+        n_words, words, found, sizes = [], [], [], []
+        for _, _, own, n_own, code, size in _pieces(docs):
+            n_words.append(n_own)
+            words.append(pa.array(own, pa.binary()))
+            found.append([x.astype(kind) for x, kind in zip(np.unique(code, return_inverse=True), (np.uint64, np.uint32), strict=True)])
+            sizes.append(size)
+        distinct = np.unique(np.concatenate([u for u, _ in found]))
+        by_code = np.empty(len(logs))
+        by_code[np.argsort(_bucket_of(distinct, n), kind="stable")] = logs  # replies are in the order in which this block asked
+        score = [np.add.reduceat(by_code[np.searchsorted(distinct, u)][at], np.cumsum(size) - size) for (u, at), size in zip(found, sizes, strict=True)]
+        c = counts[pc.index_in(pa.chunked_array(words, pa.binary()), known).to_numpy()] if len(counts) else counts
+        n_words = np.concatenate(n_words)
+        row = np.repeat(np.arange(len(n_words)), n_words)
+        n_known, word_score = np.bincount(row, c > 0, len(n_words)).astype(np.int64), np.bincount(row, np.log10(c + 0.5), len(n_words))
+        out = pa.table([docs.column("doc_id"), docs.column("held_out"), n_words + 1, n_known, word_score, np.concatenate(score)], schema=schema)
+        del found, words, replies
+        t.trim()
+        return out
 
     return run
 
@@ -292,7 +307,8 @@ def language_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), held)
     size, texts, trained = rows.agg(F.sum(F.octet_length("text") + 1), F.count(F.lit(1)), F.count_if(~F.col("held_out"))).first()
     tasks = t.partitions(spark)
-    blocks, n = max(tasks, (size or 0) // BLOCK_BYTES), int(max(tasks, (size or 0) // BUCKET_BYTES))
+    size = size or 0
+    blocks, n = max(min(tasks, -(-size // LEAST_BYTES)), size // BLOCK_BYTES, 1), int(max(tasks, size // BUCKET_BYTES))
     dealt = rows.select(F.coalesce(t.block_of(F.col("doc_id"), blocks), F.pmod(F.xxhash64("text"), F.lit(blocks))).cast("bigint").alias("block"), "doc_id", "text", "held_out")
     asked = dealt.groupBy("block").applyInArrow(_asked(n), "block bigint, bucket int, codes binary, code_n binary, words binary, word_n binary")
     asked = stored(asked, "asked")
@@ -308,8 +324,8 @@ def language_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     pairs[found.column("last").to_numpy(), found.column("follow").to_numpy()] = found.column("n").to_numpy()
     after = nodes.select("ending", F.shiftright("ending", 8).alias("two")).distinct().join(short, "two").select(F.col("ending").alias("shared"), "follow", "n")
     answers = nodes.groupBy("ending").cogroup(after.groupBy("shared")).applyInArrow(_answers(pairs), "bucket int, codes binary, logs binary")
-    replies = asked.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_replies(), "block bigint, codes binary, logs binary, words binary, word_n binary")
-    scored = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_scores(), RESULT)
+    replies = asked.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_replies(), "block bigint, bucket int, logs binary, words binary, word_n binary")
+    scored = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_scores(n), RESULT)
     end = F.lit(float(np.log10(trained + 0.5)))
     scale = F.lit(float(np.log10(train_tokens + 0.5 * (distinct + 1))))
     base = F.col("word_score") + end - F.col("n_tokens") * scale

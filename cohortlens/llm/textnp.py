@@ -6,6 +6,7 @@ brought back to the same exponent by multiplying with the base's inverse.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,6 +90,8 @@ def window_min(values: np.ndarray, w: int) -> np.ndarray:
 
 def leftmost_min(hashes: np.ndarray, w: int) -> np.ndarray:
     """Place of the smallest hash of every window of w hashes, the leftmost of equals."""
+    if len(hashes) > 1 << POS_BITS:
+        raise ValueError(f"one text holds {len(hashes)} places; {1 << POS_BITS} is the most that fit beside a hash")
     low = U((1 << POS_BITS) - 1)
     return (window_min((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), w) & low).astype(np.int64)
 
@@ -155,6 +158,23 @@ def unpacked(table: pa.Table, column: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), dtype)
 
 
+def planes(values: np.ndarray, width: int | None = None) -> bytes:
+    """Numbers byte by byte - all lowest bytes, then the next, up to `width` - which packs well where they are in order or small."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize)[:, : width or values.itemsize].T).tobytes()
+
+
+def from_planes(table: pa.Table, column: str, dtype, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """What planes made of each row's numbers: all numbers, and how many each row has."""
+    kind = np.dtype(dtype)
+    width = width or kind.itemsize
+    parts = [np.frombuffer(x, np.uint8).reshape(width, -1).T for x in table.column(column).to_pylist()]
+    sizes = np.array([len(x) for x in parts], np.int64)
+    whole = np.zeros((sizes.sum(), kind.itemsize), np.uint8)
+    if len(whole):
+        whole[:, :width] = np.concatenate(parts)
+    return whole.view(kind).ravel(), sizes
+
+
 def as_table(batches: list[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_batches([b.cast(schema) for b in batches], schema)
 
@@ -168,6 +188,17 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.concatenate((start, [len(values)])))
 
 
+# Workers stay between tasks.
+
+
+def trim() -> None:
+    """Gives memory that a task has freed back to the machine, which the allocators of a worker would keep for its next task."""
+    pa.default_memory_pool().release_unused()
+    free = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if free is not None:
+        free(0)
+
+
 # Blocks of documents.
 
 

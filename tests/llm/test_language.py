@@ -86,6 +86,8 @@ def test_probabilities_add_up_to_one():
 @pytest.mark.parametrize("seed", [3, 12])
 def test_scores(spark, monkeypatch, seed):
     monkeypatch.setattr(ppm, "BLOCK_BYTES", 40_000)
+    monkeypatch.setattr(ppm, "PIECE_BYTES", 9_000)
+    monkeypatch.setattr(ppm, "LEAST_BYTES", 10_000)
     monkeypatch.setattr(ppm, "BUCKET_BYTES", 50_000)
     rows = [(i, "ab" + "xyz"[i % 3] * (i % 7) if x == "one" else x, *rest) if i is not None else (i, x, *rest) for i, x, *rest in corpus(seed)]
     same(ppm.language_scores(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect(), expected(rows))
