@@ -201,9 +201,8 @@ def run_report(results: DataFrame, pending_rows: int, granted: int) -> DataFrame
     return results.agg(F.lit(pending_rows).alias("pending"), F.lit(granted).alias("granted"), *counts)
 
 
-def dictionary_mentions(texts: DataFrame, aliases: DataFrame, *, id: str = "posting_id", text: str = "description_text", longest: int = 4) -> DataFrame:
-    """Items whose alias occurs in a text as a run of whole words: (id, alias, canonical_skill, kind). No Python runs; the aliases
-    join by equality, so they may be many."""
+def word_runs(texts: DataFrame, shortest: int, longest: int, *, id: str = "posting_id", text: str = "description_text") -> DataFrame:
+    """(id, phrase): each run of `shortest` to `longest` words of a text, once."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z0-9+#./-]+|[./](?=\s|$)"), lambda w: w != "")
     rows = texts.select(id, words.alias("_w"))
 
@@ -211,25 +210,50 @@ def dictionary_mentions(texts: DataFrame, aliases: DataFrame, *, id: str = "post
         starts = F.slice(F.col("_w"), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
         return F.transform(starts, lambda w, i: F.array_join(F.slice(F.col("_w"), i + 1, n), " "))
 
-    phrases = rows.select(id, F.explode(F.array_distinct(F.concat(*(grams(n) for n in range(1, longest + 1))))).alias("alias"))
+    return rows.select(id, F.explode(F.array_distinct(F.concat(*(grams(n) for n in range(shortest, longest + 1))))).alias("phrase"))
+
+
+def dictionary_mentions(texts: DataFrame, aliases: DataFrame, *, id: str = "posting_id", text: str = "description_text", shortest: int = 1, longest: int = 4) -> DataFrame:
+    """Items whose alias (of `shortest` to `longest` words) occurs in a text as a run of whole words: (id, alias, canonical_skill, kind).
+    No Python runs; the aliases join by equality, so they may be many."""
+    phrases = word_runs(texts, shortest, longest, id=id, text=text).withColumnRenamed("phrase", "alias")
     return phrases.join(aliases.select("alias", "canonical_skill", "kind"), "alias").select(id, "alias", "canonical_skill", "kind")
 
 
 class DictionaryBackend:
-    """Offline backend: answers with the configured phrases that a prompt's text holds."""
+    """Offline backend: answers with the configured phrases that a prompt's text holds, all of them found in one pass over the text."""
 
     name = "dictionary"
 
     def __init__(self, aliases: dict[str, tuple[str, str]]):
+        import ahocorasick
+
         self.aliases = aliases
+        self.found = ahocorasick.Automaton()
+        for nth, alias in enumerate(aliases):
+            if alias:
+                self.found.add_word(alias, (nth, alias))
+        if len(self.found):
+            self.found.make_automaton()
+
+    def names_in(self, text: str) -> list[str]:
+        """Phrases that stand in the text as whole words, in the order of the table."""
+
+        def in_word(c: str) -> bool:
+            return c.isalnum() or c == "_"
+
+        hits = set()
+        for end, (nth, alias) in self.found.iter(text) if len(self.found) else ():
+            start = end - len(alias) + 1
+            if not (start and in_word(text[start - 1])) and not (end + 1 < len(text) and in_word(text[end + 1])):
+                hits.add((nth, alias))
+        return [alias for _, alias in sorted(hits)]
 
     def generate(self, prompt: str) -> tuple[str, int, int]:
         import json
-        import re
 
-        text = prompt.rpartition("--- JOB POSTING ---")[2].lower()
-        found = [(name, kind) for alias, (name, kind) in self.aliases.items() if re.search(rf"(?<!\w){re.escape(alias)}(?!\w)", text)]
-        skills = [{"name": n, "kind": k, "requirement": "unclear"} for n, k in dict.fromkeys(found)]
+        names = self.names_in(prompt.rpartition("--- JOB POSTING ---")[2].lower())
+        skills = [{"name": n, "kind": k, "requirement": "unclear"} for n, k in dict.fromkeys(self.aliases[x] for x in names)]
         answer = json.dumps({"role": "other", "seniority": "unclear", "years_experience_min": None, "work_mode": "unclear", "visa_sponsorship": "not_mentioned", "skills": skills})
         return answer, len(prompt) // 5, len(answer) // 5
 

@@ -691,6 +691,24 @@ def dictionary_mentions(spark, d):
     return extract.dictionary_mentions(docs, aliases)
 
 
+_WORDS = r"list_filter(regexp_split_to_array(regexp_replace(lower(text), '[./](\s|$)', ' ', 'g'), '[^a-z0-9+#./-]+'), lambda x: x <> '')"
+
+
+def _of_three(rows: str) -> str:
+    return f"SELECT DISTINCT id, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS alias FROM ({rows})"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT alias FROM ({_of_three(f"SELECT item_id AS id, {_WORDS} AS ws FROM benchmark")})), t AS ({_of_three(f"SELECT doc_id AS id, {_WORDS} AS ws FROM documents")})
+SELECT id AS doc_id, count(*) AS n_phrases, min(alias) AS first_phrase FROM t JOIN a USING (alias) GROUP BY id""")
+def benchmark_phrases(spark, d):
+    """Which of all three-word phrases of the benchmark each document names, and how many."""
+    items = bridge.table(spark, d, "benchmark").select(F.col("item_id").alias("posting_id"), F.col("text").alias("description_text"))
+    aliases = extract.word_runs(items, 3, 3).select(F.col("phrase").alias("alias"), F.col("phrase").alias("canonical_skill"), F.lit("concept").alias("kind")).distinct()
+    docs = bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), F.col("text").alias("description_text"))
+    found = extract.dictionary_mentions(docs, aliases, shortest=3, longest=3)
+    return found.groupBy(F.col("posting_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_phrases"), F.min("alias").alias("first_phrase"))
+
+
 _FOUND = ", ".join(rf"""CASE WHEN regexp_matches(body, '(^|[^\p{{L}}\p{{N}}_]){a}([^\p{{L}}\p{{N}}_]|$)') THEN '{{"name":"{c}","kind":"{k}","requirement":"unclear"}}' END""" for a, c, k in sorted(DICTIONARY, key=lambda x: x[1]))
 ANSWERED = f"""b AS (SELECT doc_id, lower(chr(10) || 'Title: ' || lang || chr(10) || chr(10) || coalesce(text, '')) AS body FROM documents)
 SELECT doc_id AS posting_id, 'ok' AS status, '{{"role":"other","seniority":"unclear","work_mode":"unclear","visa_sponsorship":"not_mentioned","skills":[' || concat_ws(',', {_FOUND}) || ']}}' AS payload FROM b"""

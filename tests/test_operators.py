@@ -348,3 +348,9 @@ def test_details_are_items_themselves(spark, tmp_path):
     items = landed.landed_items(landed.read_responses(spark, str(tmp_path)), "smartrecruiters")
     assert sorted((r.landed_from[-6:], r.error) for r in items.collect()) == [("0.json", None), ("1.json", "wrong type"), ("2.json", "not an object"), ("3.json", "not an object")]
     assert landed.read_landed(spark, str(tmp_path), "smartrecruiters").select("id").collect() == [("1",)]
+
+
+def test_dictionary_backend_finds_whole_words_that_overlap():
+    backend = extract.DictionaryBackend({"c": ("C", "language"), "c++": ("C++", "language"), "data lake": ("Data lake", "concept"), "lake house": ("Lake house", "concept"), "": ("none", "tool")})
+    assert backend.names_in("c++ and a data lake house, not abc or lake_house") == ["c", "c++", "data lake", "lake house"]
+    assert backend.names_in("") == [] and extract.DictionaryBackend({}).names_in("c") == []

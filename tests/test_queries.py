@@ -6,7 +6,7 @@ import pytest
 from cohortlens.plans.queries import REGISTRY, queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents pages labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages labels benchmark".split()
 
 
 @pytest.fixture(scope="module")
