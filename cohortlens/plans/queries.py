@@ -541,6 +541,35 @@ def archive_and_trim(spark, d):
     return left.join(marks, "posting_id", "left").select(F.col("posting_id").alias("doc_id"), F.coalesce("archived", F.lit(False)).alias("archived"), F.length("description_text").cast("bigint").alias("n_left"))
 
 
+@query("SELECT doc_id AS posting_id FROM documents WHERE length(text) > 1000 AND doc_id % 3 = 0 ORDER BY doc_id LIMIT 500")
+def archive_batch(spark, d):
+    docs = bridge.table(spark, d, "documents").select(F.col("doc_id").alias("posting_id"), F.col("text").alias("description_text"), F.md5("text").alias("content_hash"))
+    done = docs.where("posting_id % 3 = 0").select("posting_id", "content_hash", F.lit("m").alias("model"), F.lit("v1").alias("prompt_version"), F.lit("ok").alias("status"))
+    return extract.archivable(docs, done, "m", "v1", limit=500).select("posting_id")
+
+
+@query("SELECT s_name AS name, CASE s_suppkey % 3 WHEN 0 THEN 'lever' ELSE 'ashby' END AS ats, lower(s_name) AS board FROM supplier WHERE s_suppkey % 3 < 2")
+def board_registry(spark, d):
+    k = F.col("s_suppkey") % 3
+    rows = bridge.table(spark, d, "supplier").select(F.col("s_name").alias("name"), F.when(k == 0, "lever").when(k == 1, "ashby").otherwise("unknown").alias("ats"), F.lower("s_name").alias("board"))
+    return landed.load_registry(spark, rows)
+
+
+@query(S(sql.ALIASES, select="SELECT * FROM alia"))
+def alias_seed(spark, d):
+    """The alias table written as the seed file it comes as, and read."""
+    path = storage.new_folder(spark, "seed")
+    bridge.aliases(spark, d).write.csv(path, header=True)
+    return landed.read_alias_seed(spark, path)
+
+
+@query(S(sql.POSTS, sql.RECENT, sql.SUMMARY, select="SELECT role, region, n_postings, CAST(row_number() OVER (ORDER BY n_postings DESC, role, region) AS BIGINT) AS place FROM summary"))
+def ordered_cohorts(spark, d):
+    """Cohorts by size, each with its place in the order in which the report gives them."""
+    report = storage.stored(reports.ordered(summary(spark, d).select("role", "region", "n_postings"), F.desc("n_postings"), F.asc("role"), F.asc("region")).coalesce(1), "report")
+    return report.withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 @query("SELECT doc_id, sha256(left(text, 3500)) AS h FROM documents JOIN labels USING (doc_id) ")
 def golden_set(spark, d):
     labels = bridge.table(spark, d, "labels").select("doc_id")

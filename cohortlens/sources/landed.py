@@ -234,9 +234,10 @@ def in_scope(rows: DataFrame, title: str = "title", region: str = "region", othe
     return rows.where((F.col(region) != other) & is_relevant_title(F.col(title)))
 
 
-def load_registry(spark: SparkSession, companies: Sequence[tuple[str, str, str]], kinds: Sequence[str] = ("greenhouse", "lever", "ashby", "smartrecruiters", "workday")) -> DataFrame:
-    """Configured boards (name, ats, board) of known kinds; raises if (ats, board) repeats."""
-    table = spark.createDataFrame(companies, "name string, ats string, board string").where(F.col("ats").isin(*kinds))
+def load_registry(spark: SparkSession, companies: Sequence[tuple[str, str, str]] | DataFrame, kinds: Sequence[str] = ("greenhouse", "lever", "ashby", "smartrecruiters", "workday")) -> DataFrame:
+    """Configured boards (name, ats, board) of known kinds, given or as a table; raises if (ats, board) repeats."""
+    table = companies if isinstance(companies, DataFrame) else spark.createDataFrame(companies, "name string, ats string, board string")
+    table = table.select("name", "ats", "board").where(F.col("ats").isin(*kinds))
     twice = table.groupBy("ats", "board").count().where("count > 1").limit(5).collect()
     if twice:
         raise ValueError(f"boards listed more than once: {[(r.ats, r.board) for r in twice]}")
