@@ -16,8 +16,8 @@ the block finds the places again from its texts. Records travel packed, one row
 
 Defined results: null or empty text: no words, nothing removed. Rows with a null doc_id are returned as they are and
 are nobody's source. A doc_id that repeats with equal text gives equal rows (it isn't smaller than itself). Further
-columns of the input are not read. An empty table gives an empty result. Texts of any length stay whole. Their bytes are
-summed once before, which gives the number of blocks.
+columns of the input are not read. An empty table gives an empty result. Texts stay whole; one of 256 MB or more is refused, as its
+places don't fit beside their hashes. All bytes are summed once before, which gives the number of blocks.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ suffixes travel together:
    suffixes are told apart by 128 bits of digest instead, dealt by it and sent once per block, so that no bucket grows with them.
 
 Documents are dealt to blocks of bounded bytes, and each block sends one record per distinct span it holds, so a bucket gets one
-per block of a passage that a third of all documents share. The block finds the places again from its texts.
+per block of a passage that a third of all documents share. The records are dealt by digest and not by anchor: at the edges of such a passage
+every document's span is another, and all have one anchor. Buckets count an anchor's distinct spans, the counts are added up by anchor, and its
+kind - one span, few, HOT - goes back to the buckets. The block finds the places again from its texts.
 
 With `words`, strings of that many words that are shorter than `length` bytes and occur elsewhere are found in the same way, their
 anchors among grams of WORD_GRAM words. A word is a run of bytes other than space and \\t..\\r, and the string ends with its last
@@ -26,7 +28,8 @@ Defined results: null text is empty. Documents under `length` bytes keep everyth
 twice, even as the same row, is repeated text. Null or repeated doc_id values are no keys here (rows are addressed by a hash of id
 and text), so each row is judged by its own text. Further columns are read only if they are named in `carry`. Removal may
 cut a character in two, so `kept` is binary; as text (`decode`) it leaves out what remains of such a character. An empty
-table gives an empty result. The texts are read once before, for their size and the splitters.
+table gives an empty result. Texts stay whole; one of 256 MB or more is refused, as its places don't fit beside their
+hashes. The texts are read once before, for their size and the splitters.
 """
 
 from __future__ import annotations
@@ -201,8 +204,10 @@ def _anchors(buckets, length, gram, words):
         count = np.diff(np.concatenate((start, [len(k)])))
         k, d, e = k[start], d[start], e[start]
         # A span that the block holds twice is sent with its lowest key bit set.
-        short = (k >> t.U(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | (count > 1).astype(np.uint32)
-        return _with_block([t.packed((k % t.U(buckets)).astype(np.int32), {"key": short, "digest": d, "second": e})], key[0].as_py(), schema)
+        k = k & ~t.U(1) | (count > 1).astype(np.uint64)
+        out = _with_block([t.packed((d % t.U(buckets)).astype(np.int32), {"key": k, "digest": d, "second": e})], key[0].as_py(), schema)
+        t.trim()
+        return out
 
     return run
 
@@ -219,21 +224,58 @@ def _back(batch: pa.RecordBatch) -> pa.Table:
     return t.as_table([batch.select(_BACK.names)], _BACK)
 
 
-def _classes():
+def _spans_by_key(buckets):
+    """The number of distinct spans that a bucket holds of each anchor, for the bucket that adds them up."""
+    schema = pa.schema([("of", pa.int32()), ("bucket", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        anchor, digest, second = (t.unpacked(table, c, np.uint64) for c in ("key", "digest", "second"))
+        anchor = anchor >> t.U(1)
+        order = np.lexsort((second, digest, anchor))
+        anchor = anchor[order][_changes(anchor[order], digest[order], second[order])]
+        start, count = t.runs(anchor)
+        anchor = anchor[start]
+        out = t.packed((t.mix(anchor) % t.U(buckets)).astype(np.int32), {"key": anchor, "n": count.astype(np.uint32)})
+        return t.as_table([out.append_column("of", pa.array([key[0].as_py()] * out.num_rows, pa.int32())).select(schema.names)], schema)
+
+    return run
+
+
+def _anchor_kinds():
+    """Tells the buckets that hold spans of an anchor what they are, if it has more than one."""
+    schema = pa.schema([("of", pa.int32()), ("key", pa.binary()), ("kind", pa.binary())])
+
     def run(table: pa.Table) -> pa.Table:
-        short, block = t.unpacked(table, "key", np.uint32), _records(table, 4, "key")
-        digest, second = (t.unpacked(table, c, np.uint64) for c in ("digest", "second"))
-        key, twice = short >> np.uint32(1), (short & np.uint32(1)).astype(bool)
-        order = np.lexsort((block, second, digest, key))
-        key, digest, second, twice, block = (x[order] for x in (key, digest, second, twice, block))
-        new_key = _changes(key)
-        start = np.flatnonzero(_changes(key, digest, second))
+        anchor, n = t.unpacked(table, "key", np.uint64), t.unpacked(table, "n", np.uint32).astype(np.int64)
+        of = np.repeat(table.column("of").to_numpy(), [len(x) // 8 for x in table.column("key").to_pylist()])
+        order = np.argsort(anchor, kind="stable")
+        anchor, of = anchor[order], of[order]
+        start, count = t.runs(anchor)
+        different = np.repeat(np.add.reduceat(n[order], start), count) if len(start) else n
+        hit = different > 1
+        kind = np.where(different <= HOT, _OPEN, _HOT).astype(np.uint8)
+        return t.as_table([t.packed(of[hit], {"key": anchor[hit], "kind": kind[hit]}, "of")], schema)
+
+    return run
+
+
+def _classes():
+    def run(table: pa.Table, kinds: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _BACK.empty_table()
+        key, digest, second = (t.unpacked(table, c, np.uint64) for c in ("key", "digest", "second"))
+        block = _records(table, 8, "key")
+        order = np.lexsort((block, second, digest))
+        key, digest, second, block = (x[order] for x in (key, digest, second, block))
+        start = np.flatnonzero(_changes(digest, second))
         count = np.diff(np.concatenate((start, [len(key)])))
-        of_key = np.cumsum(new_key) - 1
-        different = np.bincount(of_key[start])[of_key]
-        kind = (np.repeat(count > 1, count) | twice).astype(np.uint8) * _CLOSED
-        kind[start] += ((different[start] > 1) & (different[start] <= HOT)).astype(np.uint8) * _OPEN
-        kind[start] += (different[start] > HOT).astype(np.uint8) * _HOT
+        kind = (np.repeat(count > 1, count) | (key & t.U(1)).astype(bool)).astype(np.uint8) * _CLOSED
+        anchor, of = t.unpacked(kinds, "key", np.uint64), t.unpacked(kinds, "kind", np.uint8)
+        if len(anchor):
+            by = np.argsort(anchor)
+            own = key[start] >> t.U(1)
+            near = by[np.minimum(np.searchsorted(anchor[by], own), len(anchor) - 1)]
+            kind[start] += np.where(anchor[near] == own, of[near], 0).astype(np.uint8)
         hit = kind > 0
         return _back(t.packed(block[hit], {"digest": digest[hit], "second": second[hit], "kind": kind[hit]}, "block"))
 
@@ -304,6 +346,8 @@ def _open_spans(length, gram, words, splitters, buckets):
             asked = ((kind[span] == _HOT) & (count == 1)).astype(np.uint8)
             out.append(t.packed((digest % t.U(buckets)).astype(np.int32), {"digest": digest, "second": second, "asked": asked}))
         out = [_filled(x) for x in out]
+        del spans
+        t.trim()
         return _with_block(out, key[0].as_py(), _TO_BUCKETS)
 
     def _filled(batch):
@@ -384,6 +428,7 @@ def _removal(length, gram, decode, carry, words, cut_words):
         out = judged(docs, marks) if docs.num_rows else schema.empty_table()
         for name in carry:
             out = out.append_column(name, docs.column(f"carried_{name}"))
+        t.trim()
         return out
 
     def places(docs, marks):
@@ -481,7 +526,9 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     block = t.block_of(F.xxhash64("doc_id", "text"), n).alias("block")
     blocks = rows.select(block, "doc_id", "text", *(f"carried_{c}" for c in carry))
     anchors = blocks.groupBy("block").applyInArrow(_anchors(buckets, length, gram, words), "block int, bucket int, key binary, digest binary, second binary")
-    marks = anchors.groupBy("bucket").applyInArrow(_classes(), _BACK_SQL)
+    counts = anchors.groupBy("bucket").applyInArrow(_spans_by_key(buckets), "of int, bucket int, key binary, n binary")
+    kinds = counts.groupBy("bucket").applyInArrow(_anchor_kinds(), "of int, key binary, kind binary")
+    marks = anchors.groupBy("bucket").cogroup(kinds.groupBy("of")).applyInArrow(_classes(), _BACK_SQL)
     sent = "block int, bucket int, " + ", ".join(f"{c} binary" for c, _ in _FIELDS)
     spans = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(_open_spans(length, gram, words, splitters, buckets), sent)
     both = marks.unionByName(spans.groupBy("bucket").applyInArrow(_sorted(length, words), _BACK_SQL))

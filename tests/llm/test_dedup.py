@@ -1,6 +1,8 @@
 import os
+import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
@@ -8,10 +10,11 @@ from cohortlens.llm.near_dedup import components, near_duplicates, sketches
 from cohortlens.llm import substring_dedup as sub
 from cohortlens.llm.substring_dedup import substring_dedup
 from cohortlens.llm import suffix_dedup as sd
+from cohortlens.llm import textnp as t
 from cohortlens.llm.shared import shared_folder
 from cohortlens.llm.suffix_dedup import multikey_order, suffix_dedup
 
-from .helpers import SCHEMA, bytes_removed, corpus, near_components, passages, windows_removed
+from .helpers import SCHEMA, bytes_removed, corpus, near_components, passages, prose, windows_removed
 
 
 @pytest.fixture(scope="module")
@@ -193,3 +196,21 @@ def test_empty_tables(spark):
     assert substring_dedup(none).collect() == []
     assert suffix_dedup(none).collect() == []
     assert near_duplicates(none).collect() == []
+
+
+def test_spans_of_one_anchor_are_dealt_to_many_buckets():
+    rng = random.Random(6)
+    passage = prose(rng, 120)
+    sizes = []
+    for n in (200, 800):
+        texts = [f"{prose(rng, 60)} {passage} {prose(rng, 60)}" for _ in range(n)]
+        out = sd._anchors(64, 400, 192, 0)((pa.scalar(0),), pa.table({"text": pa.array(texts, pa.string())}))
+        counts = sorted(len(x) // 8 for x in out.column("key").to_pylist())
+        sizes.append(counts[-1] / counts[len(counts) // 2])
+    assert max(sizes) < 2
+
+
+def test_a_text_without_room_for_its_places_is_refused(monkeypatch):
+    monkeypatch.setattr(t, "POS_BITS", 4)
+    with pytest.raises(ValueError):
+        t.leftmost_min(np.arange(17, dtype=np.uint64), 3)
