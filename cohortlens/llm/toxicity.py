@@ -1,16 +1,19 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Features of a text are the distinct words (runs of letters and non-ASCII bytes, A-Z lower-cased) and word beginnings of
-several lengths, as 64-bit hashes. Positives are confirmed toxic training rows, the unlabelled side is other text of training
-rows, labelled or not. A linear classifier minimises prior * R+(P) + max(0, R-(U) - prior * R-(P)) with logistic loss; where
-a batch's corrected negative risk falls below zero, the step goes up its gradient instead (which keeps the risk non-negative).
-The class prior is the share of toxic rows among labelled training rows.
+several lengths, as 64-bit hashes. Positives are confirmed toxic training rows, the unlabelled side is all text of training rows, labelled
+or not, as the estimator wants it. A linear classifier z minimises prior * R+(P) + max(0, R-(U) - prior * R-(P)) with the squared
+losses (1 - z)^2 / 4 and (1 + z)^2 / 4; where the corrected negative risk falls below zero, a step goes up its gradient instead (which
+keeps the risk non-negative). The class prior is the share of toxic rows among labelled training rows.
 
-The fit uses at most `positives` and `unlabelled` texts, chosen by hash of their id, and `n_features` features that positives
-hold more often (largest likelihood ratio; counting them is a Spark aggregation). Since unlabelled text holds toxic documents too,
-the classifier's log odds run low; a line fitted to at most `calibration` labelled training rows of either class maps them to
-probabilities. These four numbers are the documented bounds, None is all there are; the fit itself runs on the driver over what they
-leave, so None is for corpora that fit there. Every text is scored whole, whatever its length.
+With that loss the risks follow from how many texts of a side hold each pair of features, so the unlabelled side is read twice - to count
+the features that positives hold, and the pairs of those chosen - and every text of it counts. Tasks send sums; the driver holds matrices of
+`n_features` squared and walks down the exact gradient of the whole corpus.
+
+Labelled rows are bounded samples, chosen by hash of their id: at most `positives` toxic texts, and `calibration` of either class for the line that
+maps log odds to probabilities (unlabelled text holds toxic documents too, so z runs low). `n_features`, those that positives hold more
+often by likelihood ratio, and `candidates`, those counted for it, are the size of the model. None lifts the two sample bounds, for labels that
+fit on the driver. Every text is scored whole, whatever its length.
 
 Defined results: null or empty text has no features and gets the bias' score. Null doc_id rows are scored and held_out is null; labels
 with null doc_id or null toxic are ignored; repeated labels count as toxic if any is. If there is no toxic training row the
@@ -61,13 +64,11 @@ def _distinct(rows, hashes):
 
 
 def _count(batches):
+    """(feature, n): in how many texts of a chunk each feature is."""
     for batch in batches:
-        in_p, in_u = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (1, 2))
-        for i, _, data, offs in t.text_chunks(batch.column(0)):
-            rows, h = _distinct(*features(data, offs))
-            values, at = np.unique(h, return_inverse=True)
-            counts = [np.bincount(at, weights=side[i + rows], minlength=len(values)).astype(np.int64) for side in (in_u, in_p)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (values.view(np.int64), *counts)], ["feature", "in_u", "in_p"])
+        for _, _, data, offs in t.text_chunks(batch.column(0)):
+            values, n = np.unique(_distinct(*features(data, offs))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (values.view(np.int64), n.astype(np.int64))], ["feature", "n"])
 
 
 class Vocabulary:
@@ -95,47 +96,87 @@ class Vocabulary:
         return out
 
 
+def _found(vocabulary: Vocabulary, texts: pa.Array):
+    """Rows i..j at a time, and the rows and indexes of the vocabulary's features that they hold, each once."""
+    for i, j, data, offs in t.text_chunks(texts):
+        rows, h = features(data, offs)
+        found = vocabulary.find(h)
+        yield i, j, *_distinct(rows[found >= 0], found[found >= 0])
+
+
 def _indexes(values):
     def run(batches):
         vocabulary = Vocabulary(values)
         for batch in batches:
-            for i, j, data, offs in t.text_chunks(batch.column(0)):
-                rows, h = features(data, offs)
-                found = vocabulary.find(h)
-                rows, found = _distinct(rows[found >= 0], found[found >= 0])
+            for i, j, rows, found in _found(vocabulary, batch.column(0)):
                 bounds = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in (1, 2, 3)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.astype(np.int32)))], ["is_p", "is_u", "known", "at"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in (1, 2)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.astype(np.int32)))], ["is_p", "known", "at"])
+
+    return run
+
+
+def _held_by(values):
+    """(at, n) of a task: in how many of its texts each feature is; under -1 the number of texts."""
+
+    def run(batches):
+        vocabulary, n, texts = Vocabulary(values), np.zeros(len(values), np.int64), 0
+        for batch in batches:
+            texts += batch.num_rows
+            for *_, found in _found(vocabulary, batch.column(0)):
+                n += np.bincount(found, minlength=len(values))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(n[at], texts))], ["at", "n"])
+        t.trim()
 
     return run
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n: int, prior: float, *, steps: int = 800, rate: float = 0.02, decay: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear classifier on sets of feature indexes below n."""
-    rng = np.random.default_rng(seed)
-    w = np.zeros(n + 1)
-    m, v = np.zeros(n + 1), np.zeros(n + 1)
-    w[n] = np.log(prior / (1 - prior))
+def pair_counts(rows: np.ndarray, found: np.ndarray, n_rows: int, n: int) -> np.ndarray:
+    """How many of n_rows texts hold features i and j; the last feature stands for the bias and is in all."""
+    out, held = np.zeros((n + 1, n + 1)), np.zeros((1024, n + 1))
+    for i in range(0, n_rows, 1024):
+        k = min(1024, n_rows - i)
+        held[:k], held[:k, n] = 0, 1
+        a, b = np.searchsorted(rows, [i, i + k])
+        held[rows[a:b] - i, found[a:b]] = 1
+        out += held[:k].T @ held[:k]
+    return out
+
+
+def _pairs(values):
+    """(at, n) of a task: in how many of its texts each pair i <= j is, at i * (features + 1) + j."""
+
+    def run(batches):
+        vocabulary, n = Vocabulary(values), len(values)
+        out = np.zeros((n + 1, n + 1))
+        for batch in batches:
+            for i, j, rows, found in _found(vocabulary, batch.column(0)):
+                out += pair_counts(rows, found, j - i, n)
+        flat = np.triu(out).ravel()
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at].astype(np.int64))], ["at", "n"])
+        t.trim()
+
+    return run
+
 
-    def flat(rows):
-        return np.concatenate([np.append(x, n) for x in rows]), np.repeat(np.arange(len(rows)), [len(x) + 1 for x in rows])
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 1500, rate: float = 0.01, decay: float = 0.02) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear classifier from each side's pair counts (pair_counts), the last row for the bias."""
+    p, u = (x / max(x[-1, -1], 1) for x in (positive, unlabelled))
+    n = len(p) - 1
+    w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+    w[n] = -1
 
-    def sigmoid(z):
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    def risk(side, sign):
+        """The mean of (1 - sign * z)^2 / 4 and its gradient."""
+        return (w @ side @ w - 2 * sign * (side[n] @ w) + 1) / 4, (side @ w - sign * side[n]) / 2
 
     for step in range(1, steps + 1):
-        p, u = (rng.integers(0, len(x), min(len(x), 256)) for x in (positive, unlabelled))
-        (pf, pr), (uf, ur) = flat([positive[i] for i in p]), flat([unlabelled[i] for i in u])
-        zp, zu = np.bincount(pr, w[pf], len(p)), np.bincount(ur, w[uf], len(u))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        up, uu = -prior * sigmoid(-zp) / len(p), np.zeros(len(u))
-        back_p, back_u = -prior * sigmoid(zp) / len(p), sigmoid(zu) / len(u)
-        if negative >= 0:
-            up, uu = up + back_p, uu + back_u
-        else:
-            up, uu = -back_p, -back_u
-        g = np.bincount(pf, up[pr], n + 1) + np.bincount(uf, uu[ur], n + 1) + decay * w
+        (_, up), (again, back), (all_, down) = risk(p, 1), risk(p, -1), risk(u, -1)
+        g = prior * (up - back) + down if all_ >= prior * again else prior * back - down
+        g = g + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return w[:n], float(w[n])
 
 
@@ -161,13 +202,11 @@ def _score(values, weights, bias, carry):
         vocabulary = Vocabulary(values)
         aligned = weights[np.argsort(values)]
         for batch in batches:
-            for i, j, data, offs in t.text_chunks(batch.column(1)):
-                rows, h = features(data, offs)
-                found = vocabulary.find(h)
-                rows, found = _distinct(rows[found >= 0], found[found >= 0])
+            for i, j, rows, found in _found(vocabulary, batch.column(1)):
                 z = np.bincount(rows, aligned[found], j - i) + bias
                 carried = [batch.column(c).slice(i, j - i) for c in carry.values()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40)))), *carried], ["doc_id", "score", *(f"carried_{c}" for c in carry)])
+        t.trim()
 
     return run
 
@@ -176,7 +215,7 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int | None = 3000, unlabelled: int | None = 6000, calibration: int | None = 6000, n_features: int | None = 500, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", positives: int | None = 3000, calibration: int | None = 6000, n_features: int = 500, candidates: int = 200_000, threshold: float = 0.7, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, held_out, score in 0..1, predicted (score >= threshold) and the columns in carry for every document."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     carried = [F.col(c).alias(f"carried_{c}") for c in carry if c != text]
@@ -184,32 +223,42 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
     train = remainder(F.col("doc_id")) != 1
     known = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.max(toxic).alias("toxic")).where(train)
     first = [F.xxhash64("doc_id"), F.col("doc_id")]
-    no = F.lit(None).cast("int")
 
     def some(ids: DataFrame, n: int | None) -> DataFrame:
         return ids if n is None else ids.orderBy(*first).limit(n)
 
-    p_ids = some(known.where("toxic = 1").select("doc_id"), positives).select("doc_id", F.lit(True).alias("is_p"), F.lit(False).alias("is_u"), no.alias("known"))
-    others = rows.where(train).select("doc_id").distinct().join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
-    u_ids = some(others, unlabelled).select("doc_id", F.lit(False).alias("is_p"), F.lit(True).alias("is_u"), no.alias("known"))
-    c_ids = some(known, calibration).select("doc_id", F.lit(False).alias("is_p"), F.lit(False).alias("is_u"), F.col("toxic").cast("int").alias("known"))
+    p_ids = some(known.where("toxic = 1").select("doc_id"), positives).select("doc_id", F.lit(True).alias("is_p"), F.lit(None).cast("int").alias("known"))
+    c_ids = some(known, calibration).select("doc_id", F.lit(False).alias("is_p"), F.col("toxic").cast("int").alias("known"))
     prior, n_positive = known.agg(F.avg("toxic"), F.sum("toxic")).first()
     names, weights, bias = np.zeros(0, np.uint64), np.zeros(0), -40.0
     if n_positive:
-        ids = p_ids.union(u_ids).union(c_ids).groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.max("is_u").alias("is_u"), F.max("known").alias("known"))
-        chosen = stored(rows.join(F.broadcast(ids) if None not in (positives, unlabelled, calibration) else ids, "doc_id").select("text", "is_p", "is_u", "known"), "sample")
-        n_p, n_u = chosen.agg(F.count_if("is_p"), F.count_if("is_u")).first()
-        counted = chosen.where("is_p or is_u").mapInArrow(_count, "feature bigint, in_u bigint, in_p bigint").groupBy("feature").agg(F.sum("in_u").alias("in_u"), F.sum("in_p").alias("in_p"))
-        in_p, share_u = F.col("in_p").cast("double"), F.col("in_u") / max(n_u, 1)
-        gain = in_p * F.log((in_p / max(n_p, 1)) / (share_u + 0.5 / max(n_u, 1))) - max(n_p, 1) * (in_p / max(n_p, 1) - share_u)
-        found = counted.where((F.col("in_p") >= 3) & (in_p / max(n_p, 1) > share_u)).orderBy(gain.desc(), "feature")
-        found = (found if n_features is None else found.limit(n_features)).select("feature").toArrow()
-        names = np.sort(found.column(0).to_numpy().view(np.uint64))
-        sets = chosen.mapInArrow(_indexes(names), "is_p boolean, is_u boolean, known int, at array<int>").toArrow().to_pylist()
-        sides = [[np.array(r["at"], np.int64) for r in sets if r[side]] for side in ("is_p", "is_u")]
-        weights, bias = np.zeros(len(names)), float(np.log(min(max(prior, 1e-3), 1 - 1e-3) / (1 - min(max(prior, 1e-3), 1 - 1e-3))))
-        if all(sides):
-            weights, bias = fit_nnpu(*sides, len(names), float(min(max(prior, 1e-3), 1 - 1e-3)))
+        prior = float(min(max(prior, 1e-3), 1 - 1e-3))
+        ids = p_ids.union(c_ids).groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.max("known").alias("known"))
+        chosen = stored(rows.join(F.broadcast(ids) if None not in (positives, calibration) else ids, "doc_id").select("text", "is_p", "known"), "sample")
+        every_u = rows.where(train).select("text")
+        n_p = max(chosen.where("is_p").count(), 1)
+        by_p = chosen.where("is_p").mapInArrow(_count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).where("n >= 3")
+        by_p = by_p.orderBy(F.desc("n"), "feature").limit(candidates).orderBy("feature").toArrow()
+        values, in_p = by_p.column("feature").to_numpy().view(np.uint64), by_p.column("n").to_numpy()
+        order = np.argsort(values)
+        values, in_p = values[order], in_p[order].astype(float)
+        by_u = every_u.mapInArrow(_held_by(values), "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        in_u = np.zeros(len(values) + 1)
+        in_u[by_u.column("at").to_numpy()] = by_u.column("n").to_numpy()  # -1, the number of texts, comes last
+        share_p, share_u = in_p / n_p, in_u[:-1] / max(in_u[-1], 1)
+        gain = np.where(share_p > share_u, in_p * np.log(share_p / (share_u + 0.5 / max(in_u[-1], 1))) - n_p * (share_p - share_u), -np.inf)
+        best = np.lexsort((values, -gain))[:n_features]
+        names = np.sort(values[best[np.isfinite(gain[best])]])
+        sets = chosen.mapInArrow(_indexes(names), "is_p boolean, known int, at array<int>").toArrow().to_pylist()
+        toxic_sets = [np.array(r["at"], np.int64) for r in sets if r["is_p"]]
+        weights, bias = np.zeros(len(names)), float(np.log(prior / (1 - prior)))
+        if toxic_sets and len(names):
+            pairs_p = pair_counts(np.repeat(np.arange(len(toxic_sets)), [len(x) for x in toxic_sets]), np.concatenate(toxic_sets), len(toxic_sets), len(names))
+            found = every_u.mapInArrow(_pairs(names), "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+            upper = np.zeros((len(names) + 1) ** 2)
+            upper[found.column("at").to_numpy()] = found.column("n").to_numpy()
+            upper = upper.reshape(len(names) + 1, -1)
+            weights, bias = fit_nnpu(pairs_p, upper + np.triu(upper, 1).T, prior)
             labelled = [r for r in sets if r["known"] is not None]
             slope, shift = fit_line(np.array([weights[r["at"]].sum() + bias for r in labelled]), np.array([r["known"] for r in labelled], float))
             weights, bias = slope * weights, slope * bias + shift

@@ -1,9 +1,12 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
-from cohortlens.llm.toxicity import Vocabulary, fit_nnpu, toxicity_scores
+from cohortlens.llm.toxicity import PREFIXES, Vocabulary, fit_line, fit_nnpu, pair_counts, toxicity_scores
 
 from .helpers import prose
 
@@ -67,25 +70,24 @@ def test_no_labels_and_empty_tables(spark):
 
 
 def test_fit_equals_plain_gradients_of_the_non_negative_risk():
-    """Each step against numeric gradients of prior * R+(P) + max(0, R-(U) - prior * R-(P)), uphill where that would fall below 0."""
+    """Each step against numeric gradients of prior * R+(P) + max(0, R-(U) - prior * R-(P)) over the texts, uphill where that would fall below 0."""
     rng = np.random.default_rng(0)
-    n, prior, steps, rate, decay = 5, 0.4, 40, 0.05, 1e-3
+    n, prior, steps, rate, decay = 5, 0.6, 60, 0.1, 1e-3
     sides = [[np.flatnonzero(rng.random(n) < p) for _ in range(20)] for p in (0.7, 0.3)]
-    weights, bias = fit_nnpu(*sides, n, prior, steps=steps, rate=rate, decay=decay, seed=9)
-    draw = np.random.default_rng(9)
+    pairs = [pair_counts(np.repeat(np.arange(20), [len(x) for x in side]), np.concatenate(side), 20, n) for side in sides]
+    weights, bias = fit_nnpu(*pairs, prior, steps=steps, rate=rate, decay=decay)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
-    w[n] = np.log(prior / (1 - prior))
+    w[n] = -1
     signs = set()
 
-    def risks(w, p, u):
-        z = [np.array([w[sides[k][i]].sum() + w[n] for i in x]) for k, x in enumerate((p, u))]
-        return prior * np.log1p(np.exp(-z[0])).mean(), np.log1p(np.exp(z[1])).mean() - prior * np.log1p(np.exp(z[0])).mean()
+    def risks(w):
+        z = [np.array([w[i].sum() + w[n] for i in side]) for side in sides]
+        return prior * ((1 - z[0]) ** 2 / 4).mean(), ((1 + z[1]) ** 2 / 4).mean() - prior * ((1 + z[0]) ** 2 / 4).mean()
 
     for step in range(1, steps + 1):
-        p, u = (draw.integers(0, len(x), min(len(x), 256)) for x in sides)
-        below = risks(w, p, u)[1] < 0
+        below = risks(w)[1] < 0
         signs.add(bool(below))
-        objective = (lambda x: -risks(x, p, u)[1]) if below else (lambda x: sum(risks(x, p, u)))
+        objective = (lambda x: -risks(x)[1]) if below else (lambda x: sum(risks(x)))
         g = np.array([(objective(w + e) - objective(w - e)) / 2e-5 for e in 1e-5 * np.eye(n + 1)]) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -93,12 +95,59 @@ def test_fit_equals_plain_gradients_of_the_non_negative_risk():
     assert np.allclose(np.append(weights, bias), w, atol=1e-3)
 
 
-def test_no_bounds_use_all_rows_and_features(spark):
+def test_no_bounds_use_all_labelled_rows(spark):
     rows, docs, labels, truth = tables(spark)
-    got = toxicity_scores(docs, labels, positives=None, unlabelled=None, calibration=None, n_features=None).collect()
+    got = toxicity_scores(docs, labels, positives=None, calibration=None).collect()
     assert sum(r.predicted == int(truth[r.doc_id]) for r in got if r.doc_id in truth) > 0.97 * len(truth)
 
 
+def words_of(text):
+    """Words and word beginnings of a text, as strings."""
+    found = re.findall("[a-z\x80-\U0010ffff]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    raws = [x.encode() for x in found]
+    return {x for x in raws} | {(n, x[:n]) for x in raws for n in PREFIXES if len(x) > n}
+
+
+def test_query_like_a_plain_fit_over_all_texts(spark):
+    """The whole operator against one that holds all texts as sets of strings in one place."""
+    rows, docs, labels, _ = tables(spark, 400)
+    marks = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None:
+            marks[r.doc_id] = max(marks.get(r.doc_id, 0), r.toxic)
+    train = [r for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    known = {i: x for i, x in marks.items() if zlib.crc32(str(i).encode()) % 3 != 1}
+    p = [words_of(r[1]) for r in train if known.get(r[0]) == 1]
+    u = [words_of(r[1]) for r in train]
+    prior = sum(known.values()) / len(known)
+    count_p, count_u = (Counter(x for s in side for x in s) for side in (p, u))
+    gain = {}
+    for x, n in count_p.items():
+        a, b = n / len(p), count_u[x] / len(u)
+        if n >= 3 and a > b:
+            gain[x] = n * np.log(a / (b + 0.5 / len(u))) - len(p) * (a - b)
+    names = sorted(gain, key=lambda x: -gain[x])[:500]
+    assert len(names) < 500  # no tie decides
+    at = {x: i for i, x in enumerate(names)}
+    pairs = []
+    for side in (p, u):
+        held = np.zeros((len(side), len(names) + 1))
+        held[:, -1] = 1
+        for i, s in enumerate(side):
+            held[i, [at[x] for x in s if x in at]] = 1
+        pairs.append(held.T @ held)
+    w, bias = fit_nnpu(*pairs, prior)
+
+    def z(text):
+        return sum(w[at[x]] for x in words_of(text) if x in at) + bias
+
+    line = [(z(r[1]), known[r[0]]) for r in train if r[0] in known]
+    slope, shift = fit_line(*(np.array(x, float) for x in zip(*line)))
+    want = sorted((str(r[0]), round(1 / (1 + math.exp(-(slope * z(r[1]) + shift))), 6)) for r in rows)
+    got = sorted((str(r.doc_id), round(r.score, 6)) for r in toxicity_scores(docs, labels).collect())
+    assert [x[0] for x in got] == [x[0] for x in want] and np.allclose([x[1] for x in got], [x[1] for x in want], atol=2e-3)
+
+
 def test_very_long_texts_are_scored_whole(spark):
     rows, docs, labels, _ = tables(spark)
     long = " ".join(["plain"] * 400_000)
