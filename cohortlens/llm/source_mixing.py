@@ -11,7 +11,8 @@ source comes from a hash order: counts per (source, hash prefix) give offsets, s
 numbered by many tasks. Block and slot then follow by arithmetic; nothing else is sorted.
 
 Defined results: sources without a weight, or null, are pooled under the weight `other`. Every row is kept, repeated rows included;
-a null doc_id takes part like any other value; repeated ids have neighbouring places in no fixed order. Input columns with the
+rows without a doc_id are ordered by a hash of their plain columns, so they are numbered by many tasks, too; repeated ids have neighbouring places
+in no fixed order. Input columns with the
 name of one that is added give way to it. Texts aren't looked at. An empty table gives an empty result.
 """
 
@@ -21,6 +22,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 ADDED = ("_pool", "_nth", "_block", "_slot", "_release", "_due")
 PREFIX = 3  # hex digits: 4,096 numbering groups a source
@@ -51,7 +53,9 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int], *, other: int = 1,
     pool = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(source)).cast("int") - 1, F.lit(-1)) if names else F.lit(-1)
     pool = F.when(pool < 0, len(names)).otherwise(pool).alias("_pool")
     own = [F.col(c) for c in docs.columns if c not in ADDED]
-    rows = docs.select(F.struct(*own).alias("row") if own else F.struct().alias("row"), F.col(doc_id).alias("id"), pool, F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("hash"))
+    plain = [F.col(f.name) for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    unnamed = F.concat(F.lit("-"), F.xxhash64(*plain).cast("string")) if plain else F.lit("")
+    rows = docs.select(F.struct(*own).alias("row") if own else F.struct().alias("row"), F.col(doc_id).alias("id"), pool, F.md5(F.coalesce(F.col(doc_id).cast("string"), unnamed)).alias("hash"))
     rows = rows.withColumn("prefix", F.substring("hash", 1, PREFIX))
     counts = rows.groupBy("_pool", "prefix").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("_pool").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
