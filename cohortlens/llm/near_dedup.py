@@ -104,6 +104,7 @@ def _sketch(k, bins, per_band):
                 flat = pa.array(keys.view(np.int64).reshape(-1))
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * keys.shape[1]), flat)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), *(pa.array(x.view(np.int64)) for x in (sizes, low, high)), bands], names)
+        t.trim()
 
     return run
 
@@ -116,6 +117,7 @@ def _sets(k):
                 bounds = np.searchsorted(rows, np.arange(j - i + 1)).astype(np.int32)
                 hashes = pa.ListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), hashes], ["doc_id", "hashes"])
+        t.trim()
 
     return run
 
@@ -133,6 +135,7 @@ def _confirm(part, whole):
                 common = int((both[1:] == both[:-1]).sum())
                 keep[row] = whole * common >= part * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
+        t.trim()
 
     return run
 

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textnp import trim
 from .tokens import Encoder, row_groups
 
 OPEN = 4096
@@ -142,6 +143,7 @@ def _pack(path: str, size: int, end_id: int):
         packer.drain()
         if packer.rows:
             yield batch_of(packer.rows)
+        trim()
 
     return run
 

@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 
-WORDS = 1_200_000
+WORDS = 500_000
 _loaded: dict[str, Encoder] = {}
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r]|$)")
 
