@@ -160,12 +160,13 @@ def _pairs(values):
     return run
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 1500, rate: float = 0.01, decay: float = 0.02) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 1500, rate: float = 0.01, decay: float = 0.01) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier from each side's pair counts (pair_counts), the last row for the bias."""
     p, u = (x / max(x[-1, -1], 1) for x in (positive, unlabelled))
     n = len(p) - 1
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = -1
+    weighed = np.append(np.ones(n), 0)  # the bias isn't drawn to 0: what has no feature is like most text
 
     def risk(side, sign):
         """The mean of (1 - sign * z)^2 / 4 and its gradient."""
@@ -174,7 +175,7 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, step
     for step in range(1, steps + 1):
         (_, up), (again, back), (all_, down) = risk(p, 1), risk(p, -1), risk(u, -1)
         g = prior * (up - back) + down if all_ >= prior * again else prior * back - down
-        g = g + decay * w
+        g = g + decay * w * weighed
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return w[:n], float(w[n])
