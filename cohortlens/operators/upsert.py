@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import storage
+
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
     """The row that arrived last of each key; a batch that repeats a key acts as if applied in order. Combined before the shuffle."""
@@ -24,13 +26,15 @@ def changed(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return out
 
 
-def new_ids(rows: DataFrame, keys: Sequence[str], start: Column | int, out: str = "posting_id") -> DataFrame:
+def new_ids(rows: DataFrame, keys: Sequence[str], start: Column | int, out: str = "posting_id", store: storage.Store = storage.stored) -> DataFrame:
     """Consecutive ids after `start` in the order of the keys, without a global window.
 
-    Rows are range-partitioned by key; counts per partition give offsets. The frame is read twice, so it must be stable.
+    Rows are range-partitioned by key and written once with their partition, since Spark samples the bounds of ranges anew each time it
+    plans them; counts per partition then give offsets.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(*keys)))
+    placed = store(rows.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()), "ids")
+    placed = placed.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     start = start if isinstance(start, Column) else F.lit(start)

@@ -47,7 +47,7 @@ class PostingStore(BucketStore):
         start, summary = base.facts.get("next_id", 1), {"inserted": counts.get("inserted", 0), "updated": counts.get("updated", 0), "relinked": 0}
         if not summary["inserted"] + summary["updated"]:
             return self.commit(base, number, {}, summary | {"next_id": start, "read": at, "written": [], "member_buckets": []})
-        numbered = new_ids(merged.where("_action = 'inserted'").drop("posting_id"), self.keys, start - 1)
+        numbered = new_ids(merged.where("_action = 'inserted'").drop("posting_id"), self.keys, start - 1, store=keep)
         merged = keep(merged.where("_action <> 'inserted'").unionByName(numbered.select(merged.columns)).withColumn("_bucket", self.bucket("postings")), "numbered")
 
         was = old.select(*self.keys, F.col("dedupe_key").alias("_left"), F.col("text_quality").alias("_quality"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens import storage
-from cohortlens.operators import dedupe
+from cohortlens.operators import dedupe, upsert
 from cohortlens.sources.buckets import BucketStore, Conflict
 from cohortlens.streaming.incremental import PostingStore, ingest_stream
 
@@ -138,3 +138,10 @@ def test_a_file_is_created_once(spark, tmp_path):
     path = f"file://{tmp_path}/x/one"
     assert [storage.create_absent(spark, path, t) for t in "ab"] == [True, False]
     assert storage.read_text(spark, path) == "a" and storage.names_in(spark, f"file://{tmp_path}/x") == ["one"]
+
+
+def test_ids_of_many_rows_are_dense_whatever_is_read_of_them(spark):
+    """More rows than Spark samples for its ranges, and columns that the counts don't need."""
+    rows = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("k"), F.lit("x").alias("v")).repartition(3)
+    got = [r.posting_id for r in upsert.new_ids(rows, ["k"], 5).orderBy("k").collect()]
+    assert got == list(range(6, 20_006))
