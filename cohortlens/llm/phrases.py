@@ -5,11 +5,12 @@ divisible by PERIOD, and LONGEST words after the last one if none comes: boundar
 passage are cut alike wherever they stand. A chunk owns the words up to the next boundary and overlaps the next chunk by as many words as
 the longest phrase has beyond one, as far as its piece goes. A phrase belongs to the chunk that owns its first word, so each is counted once.
 
-1. Parse. Equal chunks are counted in the task that cut them, then by Spark; the dictionary holds each with its frequency.
-2. Candidates. The dictionary is dealt to blocks. A block sends the hash of each of its distinct words and word pairs with its weighted
+1. Parse. Equal chunks are counted in the task that cut them, dealt to blocks by hash and added up by Spark: the dictionary, each chunk once with
+   its frequency.
+2. Candidates. A block sends the hash of each of its distinct words and word pairs with its weighted
    count to a bucket, once, and gets those back that reach the least count over all blocks. A hash only rules phrases out.
-3. Counts. Blocks emit the words and pairs that were left, and longer phrases all of whose pairs were, as texts with weighted counts; Spark adds
-   them up by (lang, phrase). Cuts, containment and ranks are joins and aggregates over these phrases, exact in decimals where 64 bits don't do.
+3. Counts. Blocks send the words and pairs that were left, and longer phrases all of whose pairs were, as texts with weighted counts to buckets, which
+   add them up by (lang, phrase). Cuts, containment and ranks are joins and aggregates over these phrases, exact in decimals where 64 bits don't do.
 
 Ranks are found by taking the best of each of several parts of a lang first, so no task sorts all phrases of a lang that has most of them.
 
@@ -25,14 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textnp as t
 from .shared import stored
 
-PERIOD, LONGEST = 16, 64
+PERIOD, LONGEST = 32, 96
 BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
+LEAST_BYTES = 4 << 20  # of a block, where there are fewer blocks than tasks: smaller ones combine little
 PIECE_BYTES, HELD_BYTES = 2 << 20, 48 << 20  # of texts parsed at a time; of chunks held in a task before they are sent
 PARTS = 16  # of a lang, ranked apart first
 RESULT = "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint"
@@ -176,8 +179,24 @@ def _by_lang(table: pa.Table) -> Iterator[tuple[str, Grams]]:
         yield lang, Grams(table.filter(pa.array(codes == i)), lang)
 
 
+def _place(h: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of a hash and, above it, the 40 bits by which a bucket knows it: what is sent of a hash, which only rules phrases out."""
+    return h >> t.U(24) << t.U(24) | h % t.U(n)
+
+
+def _sent(bucket: np.ndarray, key: np.ndarray, n: int, **more: np.ndarray) -> dict[str, list]:
+    """Rows of buckets that occur: their keys in order, five bytes each, and further numbers."""
+    order = np.lexsort((key, bucket))
+    bounds = np.searchsorted(bucket[order], np.arange(n + 1))
+    filled = np.flatnonzero(np.diff(bounds))
+    slices = list(zip(bounds[filled].tolist(), bounds[filled + 1].tolist(), strict=True))
+    columns = {"key": [t.planes(x[a:b], 5) for x in [key[order]] for a, b in slices]}
+    columns |= {c: [t.planes(x[a:b]) for x in [v[order]] for a, b in slices] for c, v in more.items()}
+    return {"bucket": filled} | columns
+
+
 def _asked(n: int):
-    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hash", pa.binary()), ("count", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("key", pa.binary()), ("count", pa.binary())])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         hashes, counts = [], []
@@ -186,24 +205,25 @@ def _asked(n: int):
             hashes += [g.hash, g.pair_hash(pair)]
             counts += [np.bincount(g.word, g.weight, len(g.words)).astype(np.int64), weight]
         h, c = np.concatenate(hashes), np.minimum(np.concatenate(counts), 2**32 - 1).astype(np.uint32)
-        out = t.packed((h % t.U(n)).astype(np.int32), {"hash": h, "count": c})
-        return t.as_table([out.append_column("block", pa.array([key[0].as_py()] * out.num_rows, pa.int64())).select(schema.names)], schema)
+        rows = _sent((h % t.U(n)).astype(np.int64), h >> t.U(24), n, count=c)
+        return pa.table({"block": pa.array([key[0].as_py()] * len(rows["bucket"]), pa.int64()), **rows}).cast(schema)
 
     return run
 
 
 def _frequent(least: int):
-    schema = pa.schema([("block", pa.int64()), ("hash", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("key", pa.binary())])
 
-    def run(table: pa.Table) -> pa.Table:
-        h, c = t.unpacked(table, "hash", np.uint64), t.unpacked(table, "count", np.uint32).astype(np.int64)
-        block = np.repeat(table.column("block").to_numpy(), [len(x) // 8 for x in table.column("hash").to_pylist()])
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        h, sizes = t.from_planes(table, "key", np.uint64, 5)
+        c = t.from_planes(table, "count", np.uint32)[0].astype(np.int64)
+        row = np.repeat(np.arange(table.num_rows), sizes)
         order = np.argsort(h, kind="stable")
         start, count = t.runs(h[order])
-        hit = order[np.repeat(np.add.reduceat(c[order], start) >= least, count)] if len(start) else order
-        names, of = np.unique(block[hit], return_inverse=True)
-        out = t.packed(of, {"hash": h[hit]}, "of")
-        return t.as_table([pa.RecordBatch.from_pydict({"block": pa.array(names[out.column("of").to_numpy()], pa.int64()), "hash": out.column("hash")})], schema)
+        hit = np.sort(order[np.repeat(np.add.reduceat(c[order], start) >= least, count)] if len(start) else order)
+        bounds = np.searchsorted(row[hit], np.arange(table.num_rows + 1))
+        keys = [t.planes(h[hit[a:b]], 5) for a, b in zip(bounds, bounds[1:], strict=False)]
+        return pa.table({"block": table.column("block"), "bucket": pa.array([key[0].as_py()] * table.num_rows, pa.int32()), "key": keys}).cast(schema)
 
     return run
 
@@ -213,29 +233,65 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
 
 
-def _counts(most: int):
+def _packed_phrases(lang: str, texts: list[bytes], words: int, n: np.ndarray, buckets: int) -> pa.Table:
+    """One row per bucket of phrases: their texts in order, joined by line feeds, and counts."""
+    text = pa.array(texts, pa.binary())
+    order = pc.sort_indices(text).to_numpy()
+    text, n = text.take(pa.array(order)), n[order]
+    bucket = np.zeros(len(text), np.int64)
+    for i, j, data, offs in t.text_chunks(text):
+        bucket[i:j] = (t.slice_hash(t.byte_prefix(data), offs[:-1], offs[1:]) % t.U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    texts, n, bounds = text.take(pa.array(order)).to_pylist(), n[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    filled = np.flatnonzero(np.diff(bounds))
+    slices = list(zip(bounds[filled].tolist(), bounds[filled + 1].tolist(), strict=True))
+    columns = {"bucket": filled, "lang": [lang] * len(filled), "words": [words] * len(filled), "phrases": [b"\n".join(texts[a:b]) for a, b in slices], "n": [t.planes(n[a:b]) for a, b in slices]}
+    return pa.table(columns).cast(_PHRASES)
+
+
+_PHRASES = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("words", pa.int32()), ("phrases", pa.binary()), ("n", pa.binary())])
+
+
+def _added(least: int):
+    """Phrases of a bucket with their counts over all blocks."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
+    def run(table: pa.Table) -> pa.Table:
+        n, sizes = t.from_planes(table, "n", np.int64)
+        texts = pa.array([x for row in table.column("phrases").to_pylist() for x in row.split(b"\n")], pa.binary())
+        row = np.repeat(np.arange(table.num_rows), sizes)
+        rows = pa.table({"lang": table.column("lang").take(pa.array(row)), "words": table.column("words").take(pa.array(row)), "phrase": texts, "n": n})
+        rows = rows.group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")])
+        rows = rows.filter(pc.or_(pc.greater_equal(rows.column("n_sum"), least), pc.equal(rows.column("words"), 0)))
+        out = pa.table([rows.column("lang"), rows.column("phrase").cast(pa.string()), rows.column("words"), rows.column("n_sum")], schema=schema)
+        t.trim()
+        return out
+
+    return run
+
+
+def _counts(most: int, buckets: int):
     def run(chunks: pa.Table, hits: pa.Table) -> pa.Table:
         if not chunks.num_rows:
-            return schema.empty_table()
-        frequent = np.sort(t.unpacked(hits, "hash", np.uint64))
+            return _PHRASES.empty_table()
+        known, sizes = t.from_planes(hits, "key", np.uint64, 5)
+        frequent = np.sort(known << t.U(24) | np.repeat(hits.column("bucket").to_numpy().astype(np.uint64), sizes))
         out = []
 
         def emit(lang, texts, words, n):
             owned = n > 0
             texts = [x for x, y in zip(texts, owned.tolist(), strict=True) if y]
-            out.append(pa.table([pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array([words] * len(texts), pa.int32()), pa.array(n[owned], pa.int64())], schema=schema))
+            out.append(_packed_phrases(lang, texts, words, n[owned], buckets))
 
         for lang, g in _by_lang(chunks):
-            emit(lang, [""], 0, np.array([g.weight.sum()]))
+            emit(lang, [b""], 0, np.array([g.weight.sum()]))
             n = np.bincount(g.word, g.weight, len(g.words)).astype(np.int64)
-            keep = np.flatnonzero(_among(g.hash, frequent))
-            emit(lang, [g.words[i].decode() for i in keep], 1, n[keep])
+            keep = np.flatnonzero(_among(_place(g.hash, buckets), frequent))
+            emit(lang, [g.words[i] for i in keep], 1, n[keep])
             pair, weight = g.distinct_pairs()
-            keep = _among(g.pair_hash(pair), frequent)
+            keep = _among(_place(g.pair_hash(pair), buckets), frequent)
             pair, weight = pair[keep], weight[keep]
-            texts = [f"{g.words[a].decode()} {g.words[b].decode()}" for a, b in zip((pair >> 32).tolist(), (pair & 0xFFFFFFFF).tolist(), strict=True)]
+            texts = [b"%b %b" % (g.words[a], g.words[b]) for a, b in zip((pair >> 32).tolist(), (pair & 0xFFFFFFFF).tolist(), strict=True)]
             emit(lang, texts, 2, weight)
             # longer phrases: the number of the phrase without its last word, and the last pair; all pairs are among those left
             at = np.flatnonzero(_among(g.pair, pair))
@@ -247,11 +303,14 @@ def _counts(most: int):
                 inside = _among(following, pair)
                 at, number, following = at[inside], number[inside], np.searchsorted(pair, following[inside])
                 key, n = _summed(number << 32 | following, g.weight[at])
-                last = [g.words[x].decode() for x in (pair[key & 0xFFFFFFFF] & 0xFFFFFFFF).tolist()]
-                texts = [f"{texts[x]} {y}" for x, y in zip((key >> 32).tolist(), last, strict=True)]
+                last = [g.words[x] for x in (pair[key & 0xFFFFFFFF] & 0xFFFFFFFF).tolist()]
+                texts = [b"%b %b" % (texts[x], y) for x, y in zip((key >> 32).tolist(), last, strict=True)]
                 emit(lang, texts, words, n)
                 number = np.searchsorted(key, number << 32 | following)
-        return pa.concat_tables(out)
+        result = pa.concat_tables(out)
+        del out, g
+        t.trim()
+        return result
 
     return run
 
@@ -261,13 +320,14 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", le
     tasks = t.partitions(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, buckets = max(tasks, size // BLOCK_BYTES), int(max(tasks, size // BUCKET_BYTES))
+    blocks, buckets = max(min(tasks, -(-size // LEAST_BYTES)), size // BLOCK_BYTES, 1), int(max(tasks, size // BUCKET_BYTES))
     chunks = rows.mapInArrow(_parse(blocks, most), "block bigint, lang string, own int, chunk binary, n bigint")
-    chunks = stored(chunks.groupBy("block", "lang", "own", "chunk").agg(F.sum("n").alias("n")), "dictionary")
-    asked = chunks.groupBy("block").applyInArrow(_asked(buckets), "block bigint, bucket int, hash binary, count binary")
-    hits = asked.groupBy("bucket").applyInArrow(_frequent(least), "block bigint, hash binary")
-    found = chunks.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_counts(most), "lang string, phrase string, words int, n bigint")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
+    # dealt by block once: the sums by chunk, what a block asks and what it counts need no further exchange of texts
+    chunks = chunks.repartition("block").groupBy("block", "lang", "own", "chunk").agg(F.sum("n").alias("n"))
+    asked = chunks.groupBy("block").applyInArrow(_asked(buckets), "block bigint, bucket int, key binary, count binary")
+    hits = asked.groupBy("bucket").applyInArrow(_frequent(least), "block bigint, bucket int, key binary")
+    found = chunks.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_counts(most, buckets), "bucket int, lang string, words int, phrases binary, n binary")
+    return found.groupBy("bucket").applyInArrow(_added(least), "lang string, phrase string, words int, n bigint")
 
 
 def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, most: int = 4, covered: int = 80, limit: int | None = 2000) -> DataFrame:

@@ -58,6 +58,7 @@ def texts(seed=1):
 def test_like_plain_counting(spark, monkeypatch, least, limit):
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 20_000)
     monkeypatch.setattr(phrases, "BUCKET_BYTES", 30_000)
+    monkeypatch.setattr(phrases, "LEAST_BYTES", 10_000)
     monkeypatch.setattr(phrases, "HELD_BYTES", 5_000)
     rows = texts()
     got = phrases.collocations(spark.createDataFrame(rows, SCHEMA).repartition(5), least=least, limit=limit).collect()
