@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from html import entities
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -657,12 +658,35 @@ def _steps(value: str, *steps: tuple[str, str]) -> str:
     return value
 
 
-_TAGS = [(r"(?i)<li\b[^>]*>", "chr(10) || '- '"), (r"(?i)<br\s*/?>|</(?:p|div|h[1-6]|ul|ol|tr|section|article)>", "chr(10)"), (r"<[^>]+>", "''")]
-_SPACES = [(r"[ \t\r\f\v\x{A0}]+", "' '"), (r"(?m)^[^\S\n]+|[^\S\n]+$", "''"), (r"(?m)^-\n+", "'- '"), (r"\n{3,}", "chr(10) || chr(10)"), (r"\A\s+|\s+\z", "''")]
-_NAMED = "replace(replace(replace(replace(" + _steps("html", *_TAGS) + ", '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+# Java's classes in RE2: word characters at \b, \s without and with (?U); (?i) folds ASCII alone.
+_TAGS = [(r"(?i)<li(?:[^>\p{L}\p{Nd}\p{Mn}_][^>]*)?>", "chr(10) || '- '"), (r"(?i)<br[\t-\r ]*/?>|</(?:p|div|h[1-6]|ul|ol|tr|(?-i:[sS])ection|article)>", "chr(10)"), (r"<[^>]+>", "''")]
+_SPACES = [(r"[ \t\r\f\v\x{A0}]+", "' '"), (r"(?m)^[\p{Z}\t\x0B-\r\x{85}]+|[\p{Z}\t\x0B-\r\x{85}]+$", "''"), (r"(?m)^-\n+", "'- '"), (r"\n{3,}", "chr(10) || chr(10)"), (r"\A[\p{Z}\t-\r\x{85}]+|[\p{Z}\t-\r\x{85}]+\z", "''")]
 
 
-@query(f"SELECT page_id, {_steps(_NAMED, *_SPACES)} AS text FROM pages")
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+# Character references as HTML 5 reads them: a name may lack its semicolon, the longest name counts; numbers of Windows-1252 are its letters.
+_WINDOWS = " ".join(f"WHEN {n} THEN {_quoted(bytes([n]).decode('cp1252', 'ignore') or chr(n))}" for n in range(0x80, 0xA0))
+_REFERENCES = rf"""named(name, value) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(v)})" for n, v in entities.html5.items())}
+), pg AS MATERIALIZED (SELECT row_number() OVER () AS nth, page_id, {_steps("html", *_TAGS)} AS html FROM pages
+), part AS (SELECT nth, place, piece, CASE WHEN place > 1 THEN regexp_extract(piece, '^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{{1,32}};?)') ELSE '' END AS ref
+  FROM (SELECT nth, unnest(string_split(html, '&')) AS piece, generate_subscripts(string_split(html, '&'), 1) AS place FROM pg)
+), refs AS (SELECT DISTINCT ref FROM part WHERE ref <> ''
+), digits AS (SELECT ref, ref[2] IN ('x', 'X') AS hex, ltrim(rtrim(ref[(CASE WHEN ref[2] IN ('x', 'X') THEN 3 ELSE 2 END):], ';'), '0') AS d FROM refs WHERE ref[1] = '#'
+), number AS (SELECT ref, CASE WHEN length(d) > 7 THEN 9999999 WHEN hex THEN CAST('0x0' || d AS BIGINT) ELSE CAST('0' || d AS BIGINT) END AS n FROM digits
+), prefix AS (SELECT ref, unnest(range(2, length(ref) + 1)) AS k FROM refs WHERE ref[1] <> '#'
+), resolved AS (
+  SELECT ref, CASE WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN chr(65533) WHEN n BETWEEN 128 AND 159 THEN CASE n {_WINDOWS} END
+    WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN '' ELSE chr(CAST(n AS INTEGER)) END AS value FROM number
+  UNION ALL SELECT ref, max_by(value, k) || ref[(max(k) + 1):] FROM prefix JOIN named ON name = ref[:k] GROUP BY ref
+), plain AS (
+  SELECT nth, string_agg(CASE WHEN place = 1 THEN piece ELSE coalesce(value || piece[(length(ref) + 1):], '&' || piece) END, '' ORDER BY place) AS html FROM part LEFT JOIN resolved USING (ref) GROUP BY nth
+)"""
+
+
+@query(S(_REFERENCES, select=f"SELECT page_id, {_steps('plain.html', *_SPACES)} AS text FROM pg LEFT JOIN plain USING (nth)"))
 def page_texts(spark, d):
     return bridge.table(spark, d, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
