@@ -201,10 +201,13 @@ def run_report(results: DataFrame, pending_rows: int, granted: int) -> DataFrame
     return results.agg(F.lit(pending_rows).alias("pending"), F.lit(granted).alias("granted"), *counts)
 
 
+def _words(text: str) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z0-9+#./-]+|[./](?=\s|$)"), "")
+
+
 def word_runs(texts: DataFrame, shortest: int, longest: int, *, id: str = "posting_id", text: str = "description_text") -> DataFrame:
     """(id, phrase): each run of `shortest` to `longest` words of a text, once."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z0-9+#./-]+|[./](?=\s|$)"), lambda w: w != "")
-    rows = texts.select(id, words.alias("_w"))
+    rows = texts.select(id, _words(text).alias("_w"))
 
     def grams(n: int) -> Column:
         starts = F.slice(F.col("_w"), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
@@ -215,9 +218,19 @@ def word_runs(texts: DataFrame, shortest: int, longest: int, *, id: str = "posti
 
 def dictionary_mentions(texts: DataFrame, aliases: DataFrame, *, id: str = "posting_id", text: str = "description_text", shortest: int = 1, longest: int = 4) -> DataFrame:
     """Items whose alias (of `shortest` to `longest` words) occurs in a text as a run of whole words: (id, alias, canonical_skill, kind).
-    No Python runs; the aliases join by equality, so they may be many."""
-    phrases = word_runs(texts, shortest, longest, id=id, text=text).withColumnRenamed("phrase", "alias")
-    return phrases.join(aliases.select("alias", "canonical_skill", "kind"), "alias").select(id, "alias", "canonical_skill", "kind")
+
+    No Python runs; the aliases join by equality, so they may be many. They are written once, so that Spark knows their size and sends them
+    to all tasks while it is small. A text gives one row per word, with the words after it; only rows whose word begins an alias are cut
+    into runs. A text's phrases count once, also if another text has its id.
+    """
+    known = storage.stored(aliases.where(F.size(F.split("alias", " ")).between(shortest, longest)).select("alias", "canonical_skill", "kind"), "aliases")
+    starts = known.select(F.substring_index("alias", " ", 1).alias("_first")).distinct()
+    rows = texts.select(id, F.monotonically_increasing_id().alias("_text"), _words(text).alias("_w"))
+    runs = F.transform("_w", lambda w, i: F.concat_ws(" ", w, *(F.get("_w", i + n) for n in range(1, longest))))
+    runs = rows.select(id, "_text", F.explode(runs).alias("_run")).withColumn("_first", F.substring_index("_run", " ", 1)).join(starts, "_first", "left_semi")
+    phrases = runs.select(id, "_text", F.explode(F.array(*(F.substring_index("_run", " ", n) for n in range(shortest, longest + 1)))).alias("alias"))
+    found = phrases.join(known.select("alias").distinct(), "alias", "left_semi").distinct()
+    return found.join(known, "alias").select(id, "alias", "canonical_skill", "kind")
 
 
 class DictionaryBackend:

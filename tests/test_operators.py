@@ -354,3 +354,27 @@ def test_dictionary_backend_finds_whole_words_that_overlap():
     backend = extract.DictionaryBackend({"c": ("C", "language"), "c++": ("C++", "language"), "data lake": ("Data lake", "concept"), "lake house": ("Lake house", "concept"), "": ("none", "tool")})
     assert backend.names_in("c++ and a data lake house, not abc or lake_house") == ["c", "c++", "data lake", "lake house"]
     assert backend.names_in("") == [] and extract.DictionaryBackend({}).names_in("c") == []
+
+
+def exploded(df):
+    """Rows that each explode of a frame's plan has made, the first one last."""
+
+    def walk(plan):
+        own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName() == "Generate" else []
+        return own + [n for i in range(plan.children().length()) for n in walk(plan.children().apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_dictionary_makes_a_row_per_word(spark):
+    texts = [(1, "A data lake, a data. Lake data lake"), (1, "data lake"), (2, None), (3, "lake"), (4, " ".join(["filler"] * 500))]
+    aliases = spark.createDataFrame([("data lake", "Data lake", "concept"), ("data lake", "Lake", "tool"), ("lake", "Lake", "tool"), ("data data data data data", "x", "tool")], "alias string, canonical_skill string, kind string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = extract.dictionary_mentions(spark.createDataFrame(texts, "posting_id bigint, description_text string"), aliases)
+        got = sorted(map(tuple, df.collect()))
+        assert exploded(df)[-1] == 8 + 2 + 1 + 500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    both, lake = [(1, "data lake", "Data lake", "concept"), (1, "data lake", "Lake", "tool")], (1, "lake", "Lake", "tool")
+    assert got == sorted([*both, lake] * 2 + [(3, "lake", "Lake", "tool")])
