@@ -111,29 +111,44 @@ def is_relevant_title(title: Column, roles: Sequence[Role] = ROLES, exclude: Seq
     return F.coalesce(~_any(t, exclude) & (match_role(title, roles, exclude).isNotNull() | _any(t, keywords)), F.lit(False))
 
 
-def _patterns(countries: Sequence[Country]) -> list[tuple[str, str]]:
-    def whole(terms: Sequence[str], flags: str) -> str:
-        return f"(?{flags})(?<!\\w)(?:{'|'.join(re.escape(x) for x in sorted(terms, key=len, reverse=True))})(?!\\w)"
+def _whole(terms: Sequence[str], flags: str) -> str:
+    return f"(?{flags})(?<!\\w)(?:{'|'.join(re.escape(x) for x in sorted(terms, key=len, reverse=True))})(?!\\w)"
 
-    out = []
+
+def _any_place(countries: Sequence[Country]) -> str:
+    """Any name or code as a whole word, or a state code after a comma; of equal places the country earlier in order, then the longer term."""
+    by_letter: dict[str, list[str]] = {}
     for c in countries:
-        if c.aliases:
-            out.append((whole(c.aliases, "iuU"), c.code))
-        if c.codes:
-            out.append((whole(c.codes, "U"), c.code))
-        if c.state_codes:
-            out.append((f"(?U),\\s*(?:{'|'.join(c.state_codes)})(?!\\w)", c.code))
-    return out
+        for terms, flags in ((c.aliases, "iu"), (c.codes, "")):
+            for x in sorted(terms, key=len, reverse=True):
+                by_letter.setdefault(x[0].lower(), []).append(f"(?{flags}:{re.escape(x)})")
+    # a word is compared with the terms of its first letter only
+    words = "|".join(f"(?=(?iu:{re.escape(letter)}))(?:{'|'.join(terms)})" for letter, terms in by_letter.items())
+    states = "|".join(x for c in countries for x in c.state_codes)
+    return f"(?U)(?:(?<!\\w)(?:{words})(?!\\w)" + (f"|,\\s*(?:{states})(?!\\w))" if states else ")")
 
 
 def resolve_country(location: Column, countries: Sequence[Country] = COUNTRIES) -> Column:
-    """Code of the country named first in a location; null if none is. Of equal places the earlier in order."""
-    places = []
-    for order, (pattern, code) in enumerate(_patterns(countries)):
-        at = F.length(F.regexp_extract(location, f"(?s)^(.*?)(?={pattern})", 1))
-        found = F.regexp_instr(location, F.lit(pattern)) > 0
-        places.append(F.when(found, F.struct(at.alias("at"), F.lit(order).alias("order"), F.lit(code).alias("code"))))
-    return F.array_min(F.array_compact(F.array(*places)))["code"]
+    """Code of the country named first in a location; null if none is. Of equal places the earlier in order.
+
+    One expression finds the first place, which tells its country.
+    """
+
+    def country(place: Column) -> Column:
+        found = F.when(place == "", F.lit(None).cast("string"))
+        for c in countries:
+            if c.aliases:
+                found = found.when(F.lower(place).isin(*(x.lower() for x in c.aliases)), c.code)
+            if c.codes:
+                found = found.when(place.isin(*c.codes), c.code)
+            if c.state_codes:
+                found = found.when(place.startswith(",") & F.regexp_replace(place, r"(?U)^,\s*", "").isin(*c.state_codes), c.code)
+        for c in countries:  # letters that are equal in upper case alone
+            if c.aliases:
+                found = found.when(place.rlike(_whole(c.aliases, "iuU")), c.code)
+        return found
+
+    return F.transform(F.array(F.regexp_extract(location, _any_place(countries), 0)), country)[0]
 
 
 def resolve_countries(rows: DataFrame, location: str, out: str = "country", countries: Sequence[Country] = COUNTRIES) -> DataFrame:

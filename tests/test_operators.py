@@ -378,3 +378,11 @@ def test_dictionary_makes_a_row_per_word(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     both, lake = [(1, "data lake", "Data lake", "concept"), (1, "data lake", "Lake", "tool")], (1, "lake", "Lake", "tool")
     assert got == sorted([*both, lake] * 2 + [(3, "lake", "Lake", "tool")])
+
+
+def test_a_place_is_searched_once(spark, capsys):
+    spark.createDataFrame([("Paris",)], "v string").select(taxonomy.resolve_country(F.col("v")).alias("x")).explain(True)
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("regexp_extract(") == 1 and "regexp_instr" not in optimized
+    places = ["Atlanta, GA or Paris", "paris, GA", "LONDON/Paris", "Parisian", "kö, CA", "\u017feattle", ""]
+    assert column(spark, places, taxonomy.resolve_country) == ["US", "FR", "GB", None, "US", "US", None]
