@@ -214,6 +214,6 @@ def quarantined_items(spark, d):
 @query(S(sql.POSTS, LANDED, select="""SELECT region, count(*) AS fetched, count(error) AS malformed, count(*) FILTER (rejected) AS rejected, count(*) FILTER (error IS NULL AND NOT rejected) AS valid,
   count(error) + count(*) FILTER (rejected) AS invalid FROM every GROUP BY region"""))
 def unit_report(spark, d):
-    items = landed_jobs(spark, d)
+    items = storage.stored(landed_jobs(spark, d).select("region", "at", "item", "error", "d"), "items")
     postings = landed.normalize_jsearch(landed.readable(items), F.lit("ae"), carry=["region"])
     return landed.unit_report(items, postings, ["region"])

@@ -386,3 +386,12 @@ def test_a_place_is_searched_once(spark, capsys):
     assert optimized.count("regexp_extract(") == 1 and "regexp_instr" not in optimized
     places = ["Atlanta, GA or Paris", "paris, GA", "LONDON/Paris", "Parisian", "kö, CA", "\u017feattle", ""]
     assert column(spark, places, taxonomy.resolve_country) == ["US", "FR", "GB", None, "US", "US", None]
+
+
+def test_landed_items_read_a_response_once(spark, tmp_path, capsys):
+    (tmp_path / "a.json").write_text('{"data": {"jobs": [{"job_id": "1"}, null]}}\n{"data"\n{"data": 1}\n{"data": {"jobs": []}}\n')
+    items = landed.landed_items(landed.read_responses(spark, str(tmp_path), lines=True), "jsearch")
+    items.explain()
+    assert capsys.readouterr().out.count("FileScan text") == 1
+    got = sorted(map(tuple, items.select("error", "at", "item").collect()), key=str)
+    assert got == [("no list of items", None, '{"data": 1}'), ("not JSON", None, '{"data"'), ("null item", 1, "null"), (None, 0, '{"job_id":"1"}')]
