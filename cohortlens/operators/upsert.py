@@ -5,7 +5,7 @@ Every function gives a new frame; none writes the path it reads.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,10 +13,22 @@ from pyspark.sql import functions as F
 from .. import storage
 
 
+def hashed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with a hash of their keys: as the first column to group or join by, it has sorts compare numbers and seldom texts."""
+    return rows.withColumn("_hash", F.xxhash64(*keys))
+
+
+def _last(batch: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
+    """last_per_key with the hash it is grouped by, so that a join by hash and keys doesn't move the rows again."""
+    rest = [c for c in batch.columns if c not in keys]
+    last = F.max_by(F.struct(*(F.col(c) for c in rest or keys)), F.struct(arrival))
+    rows = hashed(batch, keys).groupBy("_hash", *keys).agg(last.alias("_row"))
+    return rows.select("_hash", *(c if c in keys else F.col(f"_row.{c}") for c in batch.columns))
+
+
 def last_per_key(batch: DataFrame, keys: Sequence[str], arrival: str) -> DataFrame:
     """The row that arrived last of each key; a batch that repeats a key acts as if applied in order. Combined before the shuffle."""
-    last = F.max_by(F.struct(*(F.col(c) for c in batch.columns)), F.struct(arrival))
-    return batch.groupBy(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys))).agg(last.alias("_row")).select("_row.*")
+    return _last(batch, keys, arrival).drop("_hash")
 
 
 def changed(pairs: Sequence[tuple[Column, Column]]) -> Column:
@@ -29,28 +41,28 @@ def changed(pairs: Sequence[tuple[Column, Column]]) -> Column:
 def new_ids(rows: DataFrame, keys: Sequence[str], start: Column | int, out: str = "posting_id", store: storage.Store = storage.stored) -> DataFrame:
     """Consecutive ids after `start` in the order of the keys, without a global window.
 
-    Rows are range-partitioned by key and written once with their partition, since Spark samples the bounds of ranges anew each time it
-    plans them; counts per partition then give offsets.
+    Rows are range-partitioned by key, sorted and written once with their partition and place in it, since Spark samples the bounds of
+    ranges anew each time it plans them; counts per partition then give offsets.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = store(rows.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()), "ids")
-    placed = placed.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
+    ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    placed = store(ordered.withColumn("_at", F.monotonically_increasing_id()), "ids").withColumn("_part", F.shiftright("_at", 33))
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    start = start if isinstance(start, Column) else F.lit(start)
-    return placed.join(F.broadcast(before), "_part").withColumn(out, (start + F.col("_before") + F.col("_at")).cast("bigint")).drop("_part", "_at", "_before")
+    start, place = start if isinstance(start, Column) else F.lit(start), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(before), "_part").withColumn(out, (start + F.col("_before") + place).cast("bigint")).drop("_part", "_at", "_before")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str], update: Sequence[str], *, arrival: str | None = None, id_column: str | None = "posting_id", stamp: Column | None = None, stamp_column: str = "ingested_at") -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str], update: Sequence[str], *, arrival: str | None = None, id_column: str | None = "posting_id", stamp: Column | None = None, stamp_column: str = "ingested_at", before: Mapping[str, str] | None = None) -> DataFrame:
     """The target after the batch, with `_action`: inserted, updated or kept.
 
     New keys are inserted; known keys get the batch's `update` columns only if one of `compare` differs; all other columns
-    (ids, links, first ingestion) stay as they were.
+    (ids, links, first ingestion) stay as they were. before: columns of the target -> names under which their earlier values come too.
     """
-    if arrival:
-        batch = last_per_key(batch, keys, arrival).drop(arrival)
-    old, new = target.alias("o"), batch.alias("n")
-    same = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
+    alike = all(target.schema[k].dataType == batch.schema[k].dataType for k in keys)  # an int and a bigint may be equal, their hashes aren't
+    batch = _last(batch, keys, arrival).drop(arrival) if arrival else hashed(batch, keys)
+    old, new = hashed(target, keys).alias("o"), batch.alias("n")
+    same = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in (*(["_hash"] if alike else []), *keys)]
     on = same[0]
     for s in same[1:]:
         on = on & s
@@ -70,7 +82,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Se
             columns.append(F.when(known, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c))
         else:
             columns.append(F.col(f"o.{c}").alias(c))
-    out = joined.select(*columns, action.alias("_action"))
+    out = joined.select(*columns, *(F.col(f"o.{c}").alias(name) for c, name in (before or {}).items()), action.alias("_action"))
     if id_column is None:
         return out
     fresh = out.where("_action = 'inserted'")

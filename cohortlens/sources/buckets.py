@@ -71,15 +71,18 @@ class BucketStore:
         version, schema = version or self.version(), self.specs[table][0]
         have = version.tables.get(table, {})
         paths = [f"{self.path}/data/{have[b]}" for b in (sorted(have) if buckets is None else buckets) if b in have]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else storage.no_rows(self.spark, schema)
 
     def write(self, table: str, rows: DataFrame, buckets: Sequence[int]) -> dict[int, str | None]:
-        """Writes the rows that belong to these buckets to a new folder: bucket -> folder, None for one that is empty now."""
+        """Writes the rows that belong to these buckets to a new folder: bucket -> folder, None for one that is empty now.
+
+        Rows move to tasks by bucket; Spark has several tasks write a bucket that is large.
+        """
         schema, _ = self.specs[table]
         columns = [c.split()[0] for c in schema.split(", ")]
         folder = f"{table}-{uuid.uuid4().hex}"
         own = rows.select(*columns, self.bucket(table).alias("_bucket")).where(F.col("_bucket").isin(*buckets))
-        own.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        own.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
         there = set(storage.names_in(self.spark, f"{self.path}/data/{folder}"))
         return {b: f"{folder}/_bucket={b}" if f"_bucket={b}" in there else None for b in buckets}
 

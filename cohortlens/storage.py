@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,6 +49,11 @@ def scratch(spark: SparkSession) -> Iterator[Store]:
         delete(spark, folder)
 
 
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """A frame without rows, which Spark knows to be empty when it plans: joins with it are left out."""
+    return spark.range(1).where("false").select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)))
+
+
 def _at(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where

@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import link_duplicates
-from ..operators.upsert import last_per_key, new_ids, upsert
+from ..operators.upsert import bucket_of, last_per_key, new_ids, upsert
 from ..sources.buckets import BucketStore, Version
-from ..storage import Store, new_folder, scratch
+from ..storage import Store, new_folder, no_rows, scratch
 
 
-MEMBERS = "dedupe_key string, posting_id bigint, source string, text_quality string, duplicate_of bigint, place int"
+MEMBERS = "dedupe_key string, posting_id bigint, source string, text_quality string, duplicate_of bigint, was bigint, place int"
 
 
 class PostingStore(BucketStore):
     """Postings by their key, and beside them the members of each dedupe key with their links, changed in one version together.
 
-    schema: columns of a posting, posting_id, dedupe_key, source, text_quality and duplicate_of among them.
+    schema: columns of a posting, posting_id, dedupe_key, source, text_quality and duplicate_of among them. A member also has the bucket
+    of its posting (place) and the link it had before its bucket was written (was).
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, *, keys: Sequence[str] = ("source", "source_id"), compare: Sequence[str] = ("content_hash", "dedupe_key"), update: Sequence[str], buckets: int = 64, **preference):
@@ -30,53 +31,66 @@ class PostingStore(BucketStore):
         """The version after batch `number`; one that was applied before changes nothing.
 
         Only buckets of the batch's keys are read, and only those in which a row or a link changes are written. A row that is new, or
-        whose key or quality changes, has the keys it enters and leaves elected anew, from the members of these keys alone; links that
-        change thereby are written to whatever buckets their rows are in.
+        whose key or quality changes, has the keys it enters and leaves elected anew with the others of their buckets; links that change
+        thereby are written to whatever buckets their rows are in. Rows are stored once as they are after the batch and, if new, once in the
+        order of their ids; members whose postings aren't among them come from the members' table. `rows` is read twice.
         """
         base = self.version()
         if base.batch >= number:
             return base
         with scratch(self.spark) as keep:
-            return self._applied(base, keep(last_per_key(rows, self.keys, arrival) if arrival else rows, "batch"), arrival, number, keep)
+            return self._applied(base, rows, arrival, number, keep)
 
     def _applied(self, base: Version, batch: DataFrame, arrival: str | None, number: int, keep: Store) -> Version:
         at = self.touched(batch, "postings")
         old = self.read("postings", at, base)
-        merged = keep(upsert(old, batch.drop(*([arrival] if arrival else [])), self.keys, self.compare, self.update, id_column=None), "merged")
-        counts = {r["_action"]: r["count"] for r in merged.groupBy("_action").count().collect()}
-        start, summary = base.facts.get("next_id", 1), {"inserted": counts.get("inserted", 0), "updated": counts.get("updated", 0), "relinked": 0}
+        earlier = {"dedupe_key": "_key", "text_quality": "_quality"}
+        merged = upsert(old, batch, self.keys, self.compare, self.update, arrival=arrival, id_column=None, before=earlier)
+        same = F.col("dedupe_key").eqNullSafe(F.col("_key")) & F.col("text_quality").eqNullSafe(F.col("_quality"))
+        moved = (F.col("_action") == "inserted") | ((F.col("_action") == "updated") & ~same)
+        left = F.when(moved & F.col("_key").isNotNull(), bucket_of(["_key"], self.buckets))
+        merged = keep(merged.withColumns({"_moved": moved, "_left": left, "_bucket": self.bucket("postings")}).drop("_key", "_quality"), "merged")
+        found = self._found(merged)
+        start, summary = base.facts.get("next_id", 1), {"inserted": found["inserted"], "updated": found["updated"], "relinked": 0}
         if not summary["inserted"] + summary["updated"]:
             return self.commit(base, number, {}, summary | {"next_id": start, "read": at, "written": [], "member_buckets": []})
-        numbered = new_ids(merged.where("_action = 'inserted'").drop("posting_id"), self.keys, start - 1, store=keep)
-        merged = keep(merged.where("_action <> 'inserted'").unionByName(numbered.select(merged.columns)).withColumn("_bucket", self.bucket("postings")), "numbered")
-
-        was = old.select(*self.keys, F.col("dedupe_key").alias("_left"), F.col("text_quality").alias("_quality"))
-        fresh = merged.where("_action <> 'kept'").select(*self.keys, "posting_id", "dedupe_key", "text_quality", "duplicate_of", "_action", F.col("_bucket").alias("place"))
-        fresh = fresh.join(was, self.keys, "left")
-        same = F.col("dedupe_key").eqNullSafe(F.col("_left")) & F.col("text_quality").eqNullSafe(F.col("_quality"))
-        moved = keep(fresh.where((F.col("_action") == "inserted") | ~same), "moved")
-        changed = keep(moved.select("dedupe_key").union(moved.select("_left")).where("dedupe_key is not null").distinct(), "keys")
-        key_buckets = self.touched(changed, "members")
-        stay = self.read("members", key_buckets, base).join(moved.select("posting_id"), "posting_id", "left_anti")
-        now = keep(stay.unionByName(moved.where("dedupe_key is not null").select(stay.columns)), "members")
-        elected = link_duplicates(now.join(changed, "dedupe_key", "left_semi").withColumnRenamed("duplicate_of", "_was"), **self.preference)
-        elected = keep(elected, "elected")
-        links = elected.where(~F.col("_was").eqNullSafe(F.col("duplicate_of"))).select("posting_id", "place", F.col("duplicate_of").alias("_link"))
-        unlinked = moved.where("dedupe_key is null and duplicate_of is not null").select("posting_id", "place", F.lit(None).cast("bigint").alias("_link"))
-        links = keep(links.unionByName(unlinked), "links")
-
-        written = {r[0] for r in merged.where("_action <> 'kept'").select("_bucket").union(links.select("place")).distinct().collect()}
-        more = self.read("postings", sorted(written - set(at)), base)
-        rows = merged.select(more.columns).unionByName(more).join(links.select("posting_id", "_link", F.lit(True).alias("_new")), "posting_id", "left")
-        rows = rows.withColumn("duplicate_of", F.when(F.col("_new"), F.col("_link")).otherwise(F.col("duplicate_of")))
-        members = now.join(changed, "dedupe_key", "left_anti").unionByName(elected.select(now.columns))
-        summary["relinked"] = links.count()
-        tables = {"postings": self.write("postings", rows, sorted(written))}
+        if summary["inserted"]:
+            numbered = new_ids(merged.where("_action = 'inserted'").drop("posting_id"), self.keys, start - 1, store=keep)
+            merged = merged.where("_action <> 'inserted'").unionByName(numbered.select(merged.columns))
+
+        tables, key_buckets, written = {}, sorted({*found["entered"], *found["left"]}), {*found["changed"]}
+        links = no_rows(self.spark, "posting_id bigint, _link bigint")
         if key_buckets:
-            tables["members"] = self.write("members", members, key_buckets)
+            own = merged.where(F.col("dedupe_key").isNotNull() & self.bucket("members").isin(key_buckets)).withColumn("place", F.col("_bucket"))
+            others = self.read("members", key_buckets if len(at) < self.buckets else [], base).where(~F.col("place").isin(at)).drop("was")
+            now = others.unionByName(own.select(others.columns)).withColumnRenamed("duplicate_of", "was")
+            tables["members"] = self.write("members", link_duplicates(now, **self.preference), key_buckets)
+            elected = self.read("members", version=Version(tables={"members": {b: f for b, f in tables["members"].items() if f}}))
+            links = elected.where(~F.col("was").eqNullSafe(F.col("duplicate_of")))
+            relinked = links.agg(F.count(F.lit(1)).alias("n"), F.collect_set("place").alias("places")).first()
+            links, written = links.select("posting_id", F.col("duplicate_of").alias("_link")), written | {*relinked["places"]}
+            summary["relinked"] = relinked["n"]
+        summary["relinked"] += found["unlinked"]
+
+        more = self.read("postings", sorted(written - set(at)), base)
+        rows = merged.select(more.columns).unionByName(more).join(links.withColumn("_new", F.lit(True)), "posting_id", "left")
+        link = F.when(F.col("dedupe_key").isNotNull(), F.when(F.col("_new"), F.col("_link")).otherwise(F.col("duplicate_of")))
+        tables["postings"] = self.write("postings", rows.withColumn("duplicate_of", link), sorted(written))
         facts = summary | {"next_id": start + summary["inserted"], "read": sorted({*at, *written}), "written": sorted(written), "member_buckets": key_buckets}
         return self.commit(base, number, tables, facts)
 
+    def _found(self, merged: DataFrame) -> Row:
+        """What a batch does, in one pass: how many rows, which buckets of postings, and of members the buckets of keys entered and left."""
+        action, moved = F.col("_action"), F.col("_moved")
+        return merged.agg(
+            F.count_if(action == "inserted").alias("inserted"),
+            F.count_if(action == "updated").alias("updated"),
+            F.count_if(moved & F.col("dedupe_key").isNull() & F.col("duplicate_of").isNotNull()).alias("unlinked"),
+            F.collect_set(F.when(action != "kept", F.col("_bucket"))).alias("changed"),
+            F.collect_set(F.when(moved & F.col("dedupe_key").isNotNull(), self.bucket("members"))).alias("entered"),
+            F.collect_set("_left").alias("left"),
+        ).first()
+
 
 def ingest_stream(landed: DataFrame, normalise: Callable[[DataFrame], DataFrame], store: PostingStore, checkpoint: str) -> None:
     """Upserts what has landed since the last run and links it; a run without new files changes nothing. A batch that died is
