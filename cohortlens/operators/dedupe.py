@@ -34,9 +34,10 @@ def link_duplicates(rows: DataFrame, *, key: str = "dedupe_key", id: str = "post
     never meets in one task, as it would in a window; the join back is Spark's to split.
     """
     first, full = preference(F.col(source), F.col(quality), aggregators, ranks)
-    best = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(first.alias("a"), full.alias("b"), F.col(id).alias("id"), F.col(source).alias("source"))).alias("_best"))
     kept = [c for c in rows.columns if c != out]
-    joined = rows.select(kept).join(best, key, "left")
+    rows = rows.select(*kept, F.xxhash64(key).alias("_hash"))
+    best = rows.where(F.col(key).isNotNull()).groupBy("_hash", key).agg(F.min(F.struct(first.alias("a"), full.alias("b"), F.col(id).alias("id"), F.col(source).alias("source"))).alias("_best"))
+    joined = rows.join(best, ["_hash", key], "left")
     return joined.withColumn(out, resolve(F.col(id), F.col(source), F.col("_best.id"), F.col("_best.source"), aggregators)).select(*kept, out)
 
 
